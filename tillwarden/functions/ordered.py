@@ -143,73 +143,78 @@ def carry_forward(
 
 @dataclass(frozen=True)
 class LookBack:
-    """Sum of ``value`` over the rows of a key with time in ``[t - width_ms, t]`` that came so far."""
+    """Sum of ``value`` over the rows of a key with time in ``[t - width, t]`` that came so far.
+
+    ``width`` is a number of milliseconds or the name of a column that is constant per key.
+    """
 
     name: str
-    width_ms: int
+    width: int | str
     value: Column
 
 
 def look_back(
     df: DataFrame,
-    key: str,
+    keys: Sequence[str],
     time_ms: str,
     seq: str,
     sums: Sequence[LookBack],
     cell_ms: int | None = None,
     limit: int | None = None,
+    keep: Column | None = None,
 ) -> DataFrame:
     """Adds one column per look-back sum. Rows with equal time count in ``seq`` order.
 
     Each row yields an enter mark and, per window width, an exit mark one order step after the last
-    instant that still sees it. Exit marks carry no payload.
+    instant that still sees it. Exit marks carry no payload. ``keep`` names the rows to return; the
+    others only count.
     """
     cell_ms = cell_ms or scale(df.sparkSession, "cell_ms", CELL_MS)
-    hot = hot_keys(df, [key], limit)
-    payload = [c for c in df.columns if c != key]
-    widths = sorted({s.width_ms for s in sums})
+    payload = [c for c in df.columns if c not in keys]
+    widths = list(dict.fromkeys(s.width for s in sums))
     valued = df.withColumns({f"_v_{s.name}": s.value for s in sums})
+    types = {s.name: valued.schema[f"_v_{s.name}"].dataType for s in sums}
 
-    marks = F.array(
-        F.struct(F.lit(0).alias("kind"), F.col(time_ms).alias("pos")),
-        *[F.struct(F.lit(i + 1).alias("kind"), (F.col(time_ms) + w).alias("pos")) for i, w in enumerate(widths)],
-    )
-    exploded = valued.withColumn("_mark", F.explode(marks)).select("*", "_mark.kind", "_mark.pos")
-    enter = F.col("kind") == 0
-    signed = {}
+    def end(width: int | str) -> Column:
+        return F.col(time_ms) + (F.col(width) if isinstance(width, str) else F.lit(width))
+
+    def mark(kind: int, pos: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), pos.cast("long").alias("pos"))
+
+    marks = F.array(mark(0, F.col(time_ms)), *[mark(i + 1, end(w)) for i, w in enumerate(widths)])
+    exploded = valued.withColumn("_mark", F.explode(marks))
+    kind = F.col("_mark.kind")
+    enter = kind == 0
+    signed = []
     for s in sums:
-        leaves = F.col("kind") == widths.index(s.width_ms) + 1
         value = F.col(f"_v_{s.name}")
-        signed[s.name] = F.when(enter, value).when(leaves, -value).otherwise(F.lit(0).cast(value_type(valued, s.name)))
+        leave = kind == widths.index(s.width) + 1
+        signed.append(F.when(enter, value).when(leave, -value).otherwise(F.lit(0)).cast(types[s.name]).alias(s.name))
     moved = exploded.select(
-        key,
-        F.col("kind").alias("_kind"),
-        F.col("pos").alias("_pos"),
+        *keys,
+        kind.alias("_kind"),
+        F.col("_mark.pos").alias("_pos"),
         F.col(seq).alias("_seq"),
         *[F.when(enter, F.col(c)).alias(c) for c in payload],
-        *[expr.alias(name) for name, expr in signed.items()],
+        *signed,
     )
-    nonzero = F.lit(False)
+    counts = F.col("_kind") == 0
     for s in sums:
-        nonzero = nonzero | (F.col(s.name) != 0)
-    moved = moved.filter((F.col("_kind") == 0) | nonzero)
+        counts = counts | (F.col(s.name) != 0)
+    wanted = F.col("_kind") == 0
     totals = running_totals(
-        moved,
-        [key],
+        moved.filter(counts),
+        keys,
         ["_pos", "_kind", "_seq"],
         "_pos",
         [s.name for s in sums],
         cell_ms,
-        hot=hot,
-        keep=F.col("_kind") == 0,
+        hot=hot_keys(df, keys, limit),
+        keep=wanted if keep is None else wanted & keep,
     )
     return totals.drop("_kind", "_pos", "_seq")
 
 
-def value_type(df: DataFrame, name: str):
-    return df.schema[f"_v_{name}"].dataType
-
-
 def exact_percentile(
     df: DataFrame,
     keys: Sequence[str],
