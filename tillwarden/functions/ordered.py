@@ -5,8 +5,8 @@ its buffer on every row. Here each key is an ordered log:
 
 * look-back windows become a sweep: a row adds its value at its own time and takes it away just
   after its window ends, so a window value is a running total and costs O(1) per row;
-* keys above a row limit are cut into cells along the order. Totals of a cell are pre-aggregated,
-  added up over the cells of the key (a small table) and added to the running total inside the cell.
+* keys above a row limit are cut into cells along the order. Totals of a cell are pre-aggregated and
+  added up over the cells of the key (a small table); each cell then opens with the total before it.
 
 Rows are shuffled once, on (key, cell). Keys at or below the limit have the single cell 0.
 """
@@ -27,6 +27,7 @@ CELL_ROWS = 1_000_000
 
 _CELL = "_cell"
 _HOT = "_hot"
+_LEAD = "_lead"
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame:
@@ -35,13 +36,6 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> Da
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).select(*keys)
 
 
-def match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
-
-
 def with_hot_flag(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Adds ``_hot``. The hot list is broadcast: its length is bounded by rows / limit."""
     renamed = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(True).alias(_HOT))
@@ -52,22 +46,28 @@ def with_hot_flag(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFra
     return joined.drop(*[f"_h_{k}" for k in keys]).withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False)))
 
 
-def with_cells(df: DataFrame, hot: DataFrame, keys: Sequence[str], position: Column, width: int) -> DataFrame:
+def with_cells(df: DataFrame, hot: DataFrame, keys: Sequence[str], position: str, width: int) -> DataFrame:
     flagged = with_hot_flag(df, hot, keys)
-    cell = F.when(F.col(_HOT), F.floor(position / F.lit(width))).otherwise(F.lit(0)).cast("long")
-    return flagged.withColumn(_CELL, cell)
+    return flagged.withColumn(_CELL, F.when(F.col(_HOT), F.expr(f"`{position}` div {width}")).otherwise(F.lit(0)).cast("long"))
 
 
 def _earlier_cells(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(_CELL).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _in_cell(keys: Sequence[str], order: Sequence[str | Column]):
-    return (
+def _with_openings(celled: DataFrame, openings: DataFrame, keys: Sequence[str], order: Sequence[str | Column]):
+    """Puts the opening row of each hot cell in front of its rows; gives the rows and their frame.
+
+    A union needs no join key, so rows meet their opening in the one shuffle of the window.
+    """
+    rows = celled.drop(_HOT).withColumn(_LEAD, F.lit(1))
+    both = rows.unionByName(openings.withColumn(_LEAD, F.lit(0)), allowMissingColumns=True)
+    frame = (
         Window.partitionBy(*keys, _CELL)
-        .orderBy(*order)
+        .orderBy(_LEAD, *order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    return both, frame
 
 
 def running_totals(
@@ -86,25 +86,13 @@ def running_totals(
     ``order`` must begin with ``position``, a whole number. ``keep`` selects the rows to return.
     """
     hot = hot if hot is not None else hot_keys(df, keys, limit)
-    celled = with_cells(df, hot, keys, F.col(position), width)
-
+    celled = with_cells(df, hot, keys, position, width)
     cells = celled.filter(F.col(_HOT)).groupBy(*keys, _CELL).agg(*[F.sum(m).alias(m) for m in measures])
-    offsets = cells.select(
-        *[F.col(k).alias(f"_o_{k}") for k in keys],
-        F.col(_CELL).alias("_o_cell"),
-        *[F.sum(m).over(_earlier_cells(keys)).alias(f"_o_{m}") for m in measures],
-    )
-
-    local = celled.withColumns({m: F.sum(m).over(_in_cell(keys, order)) for m in measures})
-    if keep is not None:
-        local = local.filter(keep)
-    condition = F.col(_CELL) == F.col("_o_cell")
-    for key in keys:
-        condition = condition & F.col(key).eqNullSafe(F.col(f"_o_{key}"))
-    joined = local.join(offsets, condition, "left")
-    zero = {m: F.col(m) + F.coalesce(F.col(f"_o_{m}"), F.lit(0)) for m in measures}
-    extra = [f"_o_{k}" for k in keys] + [f"_o_{m}" for m in measures] + ["_o_cell", _CELL, _HOT]
-    return joined.withColumns(zero).drop(*extra)
+    openings = cells.select(*keys, _CELL, *[F.sum(m).over(_earlier_cells(keys)).alias(m) for m in measures])
+    both, frame = _with_openings(celled, openings, keys, order)
+    totals = both.withColumns({m: F.sum(m).over(frame) for m in measures})
+    wanted = F.col(_LEAD) == 1
+    return totals.filter(wanted if keep is None else wanted & keep).drop(_LEAD, _CELL)
 
 
 def carry_forward(
@@ -118,27 +106,15 @@ def carry_forward(
     keep: Column | None = None,
 ) -> DataFrame:
     """Replaces ``value`` by the last non-NULL value at or before the row, per key in ``order``."""
-    celled = with_cells(df, hot_keys(df, keys, limit), keys, F.col(position), width)
-    filled = F.col(value).isNotNull()
-    cells = (
-        celled.filter(F.col(_HOT))
-        .groupBy(*keys, _CELL)
-        .agg(F.max(F.when(filled, F.struct(*order, F.col(value).alias("_v")))).alias("_last"))
-    )
-    offsets = cells.select(
-        *[F.col(k).alias(f"_o_{k}") for k in keys],
-        F.col(_CELL).alias("_o_cell"),
-        F.last("_last", ignorenulls=True).over(_earlier_cells(keys))["_v"].alias("_o_v"),
-    )
-    local = celled.withColumn(value, F.last(value, ignorenulls=True).over(_in_cell(keys, order)))
-    if keep is not None:
-        local = local.filter(keep)
-    condition = F.col(_CELL) == F.col("_o_cell")
-    for key in keys:
-        condition = condition & F.col(key).eqNullSafe(F.col(f"_o_{key}"))
-    joined = local.join(offsets, condition, "left")
-    extra = [f"_o_{k}" for k in keys] + ["_o_v", "_o_cell", _CELL, _HOT]
-    return joined.withColumn(value, F.coalesce(value, "_o_v")).drop(*extra)
+    celled = with_cells(df, hot_keys(df, keys, limit), keys, position, width)
+    newest = F.max(F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("_v"))))
+    cells = celled.filter(F.col(_HOT)).groupBy(*keys, _CELL).agg(newest.alias("_newest"))
+    before = F.last("_newest", ignorenulls=True).over(_earlier_cells(keys))["_v"]
+    openings = cells.select(*keys, _CELL, before.alias(value))
+    both, frame = _with_openings(celled, openings, keys, order)
+    filled = both.withColumn(value, F.last(value, ignorenulls=True).over(frame))
+    wanted = F.col(_LEAD) == 1
+    return filled.filter(wanted if keep is None else wanted & keep).drop(_LEAD, _CELL)
 
 
 @dataclass(frozen=True)
