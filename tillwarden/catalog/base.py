@@ -19,7 +19,7 @@ CTES = {
         CAST(round(value*100,2) AS DECIMAL(19,4)) AS amount,
         CASE user_id%3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'GBP' END AS currency,
         CASE WHEN k<5 THEN '' WHEN event_type='error' THEN 'm-'||(k%20)||':foreign' ELSE 'm-'||(k%20) END AS merchant_id,
-        date_trunc('milliseconds', ts) AS occurred_at, epoch_ms(ts) AS occurred_ms, event_id AS seq, k
+        date_trunc('milliseconds', ts) AS occurred_at, epoch_ms(date_trunc('milliseconds', ts)) AS occurred_ms, event_id AS seq, k
       FROM (SELECT *, CAST(regexp_extract(props,'(\\d+)',1) AS INT) AS k FROM events)""",
     "arr": """
       SELECT pay.* , seq*100 + (seq%7)*300 + seq%100 + CAST(shift AS BIGINT) AS arrival
@@ -75,11 +75,11 @@ CTES = {
       FROM sev WHERE step_name IS NOT NULL AND event_type LIKE 'STEP_%'""",
     "clog": """
       SELECT saga_id, id*10+s AS seq, action, CASE WHEN action='FAILED' THEN 'Saga failed at step '||current_step END AS reason,
-        payload, updated_at + to_minutes(s) AS at
+        payload, updated_at + to_minutes(s) AS "at"
       FROM inst, (VALUES (0,'FAILED'),(1,'RESOLVED'),(2,'FAILED')) e(s,action)
       WHERE status='FAILED' AND id%4<>0 AND (s=0 OR (s=1 AND id%5=0) OR (s=2 AND id%35=0))""",
     "cfail": """
-      SELECT f.saga_id, f.reason, f.payload, f.at AS created_at, coalesce(r.rs > f.seq, false) AS resolved
+      SELECT f.saga_id, f.reason, f.payload, f."at" AS created_at, coalesce(r.rs > f.seq, false) AS resolved
       FROM (SELECT * FROM clog WHERE action='FAILED' QUALIFY row_number() OVER (PARTITION BY saga_id ORDER BY seq DESC)=1) f
       LEFT JOIN (SELECT saga_id, max(seq) AS rs FROM clog WHERE action='RESOLVED' GROUP BY 1) r USING (saga_id)""",
     "est": """

@@ -6,7 +6,9 @@ looked at before a value is taken.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import not_blank
@@ -30,10 +32,22 @@ def present(doc: Column, field: str) -> Column:
     return F.coalesce(kind(doc, field) != "VOID", F.lit(False))
 
 
-def text(doc: Column, field: str) -> Column:
-    """Value of a JSON string that is not blank; other node types give NULL."""
-    value = F.when(kind(doc, field) == "STRING", F.try_variant_get(doc, f"$.{field}", "string"))
-    return not_blank(value)
+def text_name(field: str) -> str:
+    return f"_t_{field}"
+
+
+def with_texts(df: DataFrame, doc: str, fields: Sequence[str]) -> DataFrame:
+    """Adds ``_t_<field>``: the JSON string that is not blank; other node types give NULL.
+
+    Two projections keep each lookup in the plan once, which keeps the generated code small.
+    """
+    if not fields:
+        return df
+    found = {
+        text_name(f): F.when(kind(F.col(doc), f) == "STRING", F.try_variant_get(F.col(doc), f"$.{f}", "string"))
+        for f in fields
+    }
+    return df.withColumns(found).withColumns({n: not_blank(n) for n in found})
 
 
 def any_text(doc: Column, field: str) -> Column:
@@ -82,7 +96,3 @@ def text_items(doc: Column, field: str) -> Column:
         lambda v: F.try_variant_get(v, "$", "string"),
     )
     return F.coalesce(texts, F.array().cast("array<string>"))
-
-
-def keys(text_col: Column) -> Column:
-    return F.json_object_keys(text_col)

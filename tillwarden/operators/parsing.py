@@ -17,8 +17,14 @@ _DOC = "_doc"
 _PROVENANCE = ["topic", "partition", "offset", "key", "value", "ingest_ts"]
 
 
-def _with_doc(records: DataFrame) -> DataFrame:
-    return records.withColumn(_DOC, J.parse(F.col("value")))
+def _with_doc(records: DataFrame, *text_fields: str) -> DataFrame:
+    """Adds the parsed document and the text of each field, once each: later expressions reuse them."""
+    parsed = records.withColumn(_DOC, J.parse(F.col("value")))
+    return J.with_texts(parsed, _DOC, text_fields)
+
+
+def _text(field: str) -> Column:
+    return F.col(J.text_name(field))
 
 
 def _first_error(*rules: tuple[Column, str]) -> Column:
@@ -30,7 +36,7 @@ def _first_error(*rules: tuple[Column, str]) -> Column:
 
 
 def _missing(field: str) -> tuple[Column, str]:
-    return J.text(F.col(_DOC), field).isNull(), f"missing or blank field: {field}"
+    return _text(field).isNull(), f"missing or blank field: {field}"
 
 
 def parse_payments(records: DataFrame) -> DataFrame:
@@ -43,16 +49,16 @@ def parse_payments(records: DataFrame) -> DataFrame:
         _missing("accountId"),
         (~J.present(doc, "amount"), "missing amount"),
     )
-    at = F.coalesce(instant(J.text(doc, "occurredAt")), millis("ingest_ts"))
-    return _with_doc(records).select(
+    at = F.coalesce(instant(_text("occurredAt")), millis("ingest_ts"))
+    return _with_doc(records, "eventId", "paymentId", "accountId", "currency", "merchantId", "occurredAt").select(
         *_PROVENANCE,
         error.alias("error"),
-        J.text(doc, "eventId").alias("event_id"),
-        J.text(doc, "paymentId").alias("payment_id"),
-        J.text(doc, "accountId").alias("account_id"),
+        _text("eventId").alias("event_id"),
+        _text("paymentId").alias("payment_id"),
+        _text("accountId").alias("account_id"),
         J.coerced_double(doc, "amount").alias("amount"),
-        F.coalesce(J.text(doc, "currency"), F.lit("UNKNOWN")).alias("currency"),
-        J.text(doc, "merchantId").alias("merchant_id"),
+        F.coalesce(_text("currency"), F.lit("UNKNOWN")).alias("currency"),
+        _text("merchantId").alias("merchant_id"),
         at.alias("occurred_at"),
         F.unix_millis(at).alias("occurred_ms"),
     )
@@ -73,12 +79,12 @@ def parse_payments_strict(records: DataFrame) -> DataFrame:
     """Ledger profile: currency, a UUID payment id and a valid event time are required as well."""
     doc = F.col(_DOC)
     amount = J.coerced_money(doc, "amount", MONEY)
-    at = instant(J.text(doc, "occurredAt"))
+    at = instant(_text("occurredAt"))
     error = _first_error(
         (doc.isNull(), "invalid json"),
         _missing("eventId"),
         _missing("paymentId"),
-        (~is_uuid(J.text(doc, "paymentId")), "paymentId is not a UUID"),
+        (~is_uuid(_text("paymentId")), "paymentId is not a UUID"),
         _missing("accountId"),
         _missing("currency"),
         (~J.present(doc, "amount"), "missing amount"),
@@ -86,14 +92,14 @@ def parse_payments_strict(records: DataFrame) -> DataFrame:
         _missing("occurredAt"),
         (at.isNull(), "occurredAt is not an offset date-time"),
     )
-    return _with_doc(records).select(
+    return _with_doc(records, "eventId", "paymentId", "accountId", "currency", "occurredAt").select(
         *_PROVENANCE,
         error.alias("error"),
-        J.text(doc, "eventId").alias("event_id"),
-        J.text(doc, "paymentId").alias("payment_id"),
-        J.text(doc, "accountId").alias("account_id"),
+        _text("eventId").alias("event_id"),
+        _text("paymentId").alias("payment_id"),
+        _text("accountId").alias("account_id"),
         amount.alias("amount"),
-        J.text(doc, "currency").alias("currency"),
+        _text("currency").alias("currency"),
         at.alias("occurred_at"),
     )
 
@@ -110,17 +116,17 @@ def parse_live_payments(records: DataFrame) -> DataFrame:
     doc = F.col(_DOC)
     amount = F.coalesce(J.coerced_money(doc, "amount", MONEY), F.lit(0).cast(MONEY))
     return (
-        _with_doc(records)
-        .filter(doc.isNotNull() & J.text(doc, "paymentId").isNotNull() & J.text(doc, "accountId").isNotNull())
+        _with_doc(records, "paymentId", "accountId", "currency", "merchantId", "sagaId", "occurredAt")
+        .filter(doc.isNotNull() & _text("paymentId").isNotNull() & _text("accountId").isNotNull())
         .select(
             "offset",
-            J.text(doc, "paymentId").alias("payment_id"),
-            J.text(doc, "accountId").alias("account_id"),
+            _text("paymentId").alias("payment_id"),
+            _text("accountId").alias("account_id"),
             amount.alias("amount"),
-            F.coalesce(J.text(doc, "currency"), F.lit("UNKNOWN")).alias("currency"),
-            J.text(doc, "merchantId").alias("merchant_id"),
-            J.text(doc, "sagaId").alias("saga_id"),
-            F.coalesce(instant(J.text(doc, "occurredAt")), millis("ingest_ts")).alias("occurred_at"),
+            F.coalesce(_text("currency"), F.lit("UNKNOWN")).alias("currency"),
+            _text("merchantId").alias("merchant_id"),
+            _text("sagaId").alias("saga_id"),
+            F.coalesce(instant(_text("occurredAt")), millis("ingest_ts")).alias("occurred_at"),
         )
     )
 
@@ -129,17 +135,17 @@ def parse_saga_events(records: DataFrame) -> DataFrame:
     doc = F.col(_DOC)
     attempt = F.when(J.is_integer(doc, "attempt"), J.number(doc, "attempt", "int"))
     return (
-        _with_doc(records)
-        .filter(J.text(doc, "sagaId").isNotNull())
+        _with_doc(records, "sagaId", "eventType", "stepName", "status", "paymentId", "occurredAt")
+        .filter(_text("sagaId").isNotNull())
         .select(
             "offset",
-            J.text(doc, "sagaId").alias("saga_id"),
-            F.coalesce(J.text(doc, "eventType"), F.lit("SAGA_UPDATE")).alias("event_type"),
-            J.text(doc, "stepName").alias("step_name"),
-            J.text(doc, "status").alias("status"),
-            J.text(doc, "paymentId").alias("payment_id"),
+            _text("sagaId").alias("saga_id"),
+            F.coalesce(_text("eventType"), F.lit("SAGA_UPDATE")).alias("event_type"),
+            _text("stepName").alias("step_name"),
+            _text("status").alias("status"),
+            _text("paymentId").alias("payment_id"),
             F.coalesce(attempt, F.lit(1)).alias("attempt"),
-            F.coalesce(instant(J.text(doc, "occurredAt")), millis("ingest_ts")).alias("occurred_at"),
+            F.coalesce(instant(_text("occurredAt")), millis("ingest_ts")).alias("occurred_at"),
         )
     )
 
@@ -147,21 +153,21 @@ def parse_saga_events(records: DataFrame) -> DataFrame:
 def parse_alerts(records: DataFrame) -> DataFrame:
     """Alerts with epoch-millisecond or date-time event time; a bad date-time makes a record malformed."""
     doc = F.col(_DOC)
-    from_text = J.text(doc, "occurredAt")
+    from_text = _text("occurredAt")
     from_ms = F.timestamp_millis(J.number(doc, "occurredAtEpochMs", "long"))
     at = F.when(from_ms.isNotNull(), from_ms).when(from_text.isNotNull(), instant(from_text)).otherwise(millis("ingest_ts"))
-    required = [J.text(doc, f).isNotNull() for f in ("alertId", "userId", "paymentId")]
+    required = [_text(f).isNotNull() for f in ("alertId", "userId", "paymentId")]
     return (
-        _with_doc(records)
+        _with_doc(records, "alertId", "userId", "paymentId", "ruleId", "occurredAt")
         .filter(required[0] & required[1] & required[2] & at.isNotNull())
         .select(
             "offset",
-            J.text(doc, "alertId").alias("alert_id"),
-            J.text(doc, "userId").alias("user_id"),
-            J.text(doc, "paymentId").alias("payment_id"),
+            _text("alertId").alias("alert_id"),
+            _text("userId").alias("user_id"),
+            _text("paymentId").alias("payment_id"),
             F.coalesce(J.coerced_double(doc, "score"), F.lit(0.0)).alias("score"),
             J.text_items(doc, "reasons").alias("reasons"),
-            F.coalesce(J.text(doc, "ruleId"), F.lit("unknown")).alias("rule_id"),
+            F.coalesce(_text("ruleId"), F.lit("unknown")).alias("rule_id"),
             at.alias("occurred_at"),
         )
     )
@@ -237,13 +243,16 @@ def rule_spec_errors(specs: DataFrame, spec: str = "json_spec") -> DataFrame:
     """Adds ``errors``: every broken constraint of a rule spec, joined by ``; `` (empty when valid)."""
     doc = F.col(_DOC)
     names = F.json_object_keys(F.col(spec))
-    checks = []
+    checks, kinds = [], {}
     for name, type_name, low, high in RULE_SPEC_FIELDS:
-        value = J.number(doc, name)
-        right_type = J.is_integer(doc, name) if type_name == "integer" else J.is_number(doc, name)
-        absent = J.node(doc, name).isNull()
-        checks.append(F.when(absent, f"{name}: is required"))
-        checks.append(F.when(~absent & ~right_type, f"{name}: must be {'an' if type_name == 'integer' else 'a'} {type_name}"))
+        kinds[f"_k_{name}"] = J.kind(doc, name)
+        kinds[f"_d_{name}"] = J.number(doc, name)
+        kind, value = F.col(f"_k_{name}"), F.col(f"_d_{name}")
+        right_type = value.isNotNull() & (value == F.floor(value)) if type_name == "integer" else value.isNotNull()
+        checks.append(F.when(kind.isNull(), f"{name}: is required"))
+        checks.append(
+            F.when(kind.isNotNull() & ~right_type, f"{name}: must be {'an' if type_name == 'integer' else 'a'} {type_name}")
+        )
         checks.append(F.when(right_type & (value < low), f"{name}: must be at least {low}"))
         if high is not None:
             checks.append(F.when(right_type & (value > high), f"{name}: must be at most {high}"))
@@ -255,7 +264,8 @@ def rule_spec_errors(specs: DataFrame, spec: str = "json_spec") -> DataFrame:
         .when(names.isNull(), "json_spec is not an object")
         .otherwise(F.array_join(found, "; "))
     )
-    return specs.withColumn(_DOC, J.parse(F.col(spec))).withColumn("errors", text).drop(_DOC)
+    looked_at = specs.withColumn(_DOC, J.parse(F.col(spec))).withColumns(kinds)
+    return looked_at.withColumn("errors", text).drop(_DOC, *kinds)
 
 
 def payment_request_errors(requests: DataFrame) -> DataFrame:
