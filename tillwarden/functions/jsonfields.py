@@ -36,18 +36,20 @@ def text_name(field: str) -> str:
     return f"_t_{field}"
 
 
-def with_texts(df: DataFrame, doc: str, fields: Sequence[str]) -> DataFrame:
-    """Adds ``_t_<field>``: the JSON string that is not blank; other node types give NULL.
+def with_document(df: DataFrame, value: str, doc: str, texts: Sequence[str] = ()) -> DataFrame:
+    """Adds the parsed document and ``_t_<field>``: the JSON string that is not blank, else NULL.
 
-    Two projections keep each lookup in the plan once, which keeps the generated code small.
+    The values pass through a one-element ``explode``. Filters are not pushed below a generator, so a
+    filter on a parsed field does not repeat the parsing, and the generated code stays small.
     """
-    if not fields:
-        return df
-    found = {
-        text_name(f): F.when(kind(F.col(doc), f) == "STRING", F.try_variant_get(F.col(doc), f"$.{f}", "string"))
-        for f in fields
-    }
-    return df.withColumns(found).withColumns({n: not_blank(n) for n in found})
+    parsed = df.withColumn(doc, parse(F.col(value)))
+    found = [
+        F.when(kind(F.col(doc), f) == "STRING", F.try_variant_get(F.col(doc), f"$.{f}", "string")).alias(f) for f in texts
+    ]
+    once = parsed.withColumn("_once", F.explode(F.array(F.struct(F.col(doc).alias("_doc"), *found))))
+    columns = {doc: F.col("_once._doc"), **{text_name(f): F.col(f"_once.{f}") for f in texts}}
+    flat = once.withColumns(columns).drop("_once")
+    return flat.withColumns({text_name(f): not_blank(text_name(f)) for f in texts}) if texts else flat
 
 
 def any_text(doc: Column, field: str) -> Column:

@@ -26,7 +26,7 @@ SORT_KEYS = {
 
 
 def _with_doc(records: DataFrame) -> DataFrame:
-    return records.withColumn(_DOC, J.parse(F.col("value")))
+    return J.with_document(records, "value", _DOC)
 
 
 def _text(field: str) -> Column:

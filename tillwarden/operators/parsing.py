@@ -19,8 +19,7 @@ _PROVENANCE = ["topic", "partition", "offset", "key", "value", "ingest_ts"]
 
 def _with_doc(records: DataFrame, *text_fields: str) -> DataFrame:
     """Adds the parsed document and the text of each field, once each: later expressions reuse them."""
-    parsed = records.withColumn(_DOC, J.parse(F.col("value")))
-    return J.with_texts(parsed, _DOC, text_fields)
+    return J.with_document(records, "value", _DOC, text_fields)
 
 
 def _text(field: str) -> Column:
