@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_AREAS = ("warehouse", "detection", "ledger", "lifecycle", "quality")
+_AREAS = ("warehouse", "detection", "ledger", "lifecycle", "quality", "streams")
 
 
 def load():

@@ -165,7 +165,7 @@ PATH_ENDS = """
 """
 
 
-def orders(spark: SparkSession, folder: str) -> DataFrame:
+def shape_orders(table: DataFrame) -> DataFrame:
     """Orders as lifecycles: path, start and the gap ``u`` in seconds between events."""
     low = F.substring("o_orderpriority", 1, 1).cast("int") <= 3
     path = (
@@ -174,7 +174,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "P", "X")
         .otherwise("O")
     )
-    return read_table(spark, folder, "orders").select(
+    return table.select(
         "o_orderkey",
         "o_custkey",
         "o_totalprice",
@@ -184,6 +184,10 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def orders(spark: SparkSession, folder: str) -> DataFrame:
+    return shape_orders(read_table(spark, folder, "orders"))
+
+
 def _values(spark: SparkSession, rows: str, columns: str) -> DataFrame:
     """Fixed list of a few rows."""
     return F.broadcast(spark.sql(f"SELECT * FROM VALUES {rows} AS t({columns})"))
@@ -194,9 +198,13 @@ def _after(i: Column) -> Column:
 
 
 def saga_events(spark: SparkSession, folder: str) -> DataFrame:
-    path = _values(spark, PATH_EVENTS, "path, i, event_type, status, step_name, attempt")
+    return shape_saga_events(orders(spark, folder))
+
+
+def shape_saga_events(sagas: DataFrame) -> DataFrame:
+    path = _values(sagas.sparkSession, PATH_EVENTS, "path, i, event_type, status, step_name, attempt")
     at = _after(F.col("i"))
-    return orders(spark, folder).join(path, "path").select(
+    return sagas.join(path, "path").select(
         _cat("saga-", F.col("o_orderkey")).alias("saga_id"),
         F.lit("PaymentSaga").alias("saga_type"),
         "event_type",
