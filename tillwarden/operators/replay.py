@@ -199,12 +199,12 @@ def _chain(steps):
     """Starting state of every cell of one lifecycle, from the tables of the cells before it."""
     numbers = {lane: i for i, lane in enumerate(_lanes(steps))}
 
-    def run(key, cells: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
         state, out = start_state(steps), []
         cells = cells.sort_values("_cell")
         last = cells["_cell"].iloc[-1]
         for cell, text in zip(cells["_cell"], cells["table"]):
-            out.append((key[0], cell, json.dumps({"state": state, "first": not out, "last": cell == last})))
+            out.append((key[0], cell, json.dumps({"state": state, "first": not out, "last": bool(cell == last)})))
             lane = _lane_of(steps, state)
             state = _after_lane(steps, state, lane, json.loads(text)[numbers[lane]])
         return pd.DataFrame(out, columns=["saga_id", "_cell", "opening"])
@@ -282,6 +282,7 @@ def replay(
         _cell_tables(steps), "saga_id string, _cell long, table string"
     )
     openings = tables.groupBy("saga_id").applyInPandas(_chain(steps), "saga_id string, _cell long, opening string")
+    openings = openings.withColumn("seq", F.lit(-1).cast("long"))
 
     rows = celled.drop("_hot").withColumn("opening", F.lit(None).cast("string"))
     both = rows.unionByName(openings, allowMissingColumns=True).withColumn("_lead", F.col("opening").isNull())
