@@ -1,7 +1,7 @@
-"""Typed access to JSON text through VARIANT, with the node type kept.
+"""Typed access to JSON objects with the node type kept.
 
-``from_json`` would read the number 1 as a string and lose a quoted number, so the node type is
-looked at before a value is taken.
+``from_json`` would read the number 1 as a string and lose a quoted number. So each declared field is
+read as VARIANT in one pass over the text, and its node type is looked at before a value is taken.
 """
 
 from __future__ import annotations
@@ -13,88 +13,88 @@ from pyspark.sql import functions as F
 
 from .columns import not_blank
 
+_BAD = "_bad"
 
-def parse(text: Column) -> Column:
-    """NULL for text that is not JSON."""
-    return F.try_parse_json(text)
 
+def parse(text: Column, fields: Sequence[str]) -> Column:
+    """Struct of the fields as VARIANT; text that is not an object is kept in ``_bad``."""
+    schema = ", ".join(f"`{f}` variant" for f in fields) + f", {_BAD} string"
+    return F.from_json(text, schema, {"columnNameOfCorruptRecord": _BAD})
 
-def node(doc: Column, field: str) -> Column:
-    return F.try_variant_get(doc, f"$.{field}", "variant")
+
+def is_object(doc: Column) -> Column:
+    return doc.isNotNull() & doc[_BAD].isNull()
+
+
+def is_not_json(doc: Column) -> Column:
+    """True for text that is no JSON at all; scalars and arrays are JSON. Tried for rejects only."""
+    return F.when(doc[_BAD].isNotNull(), F.try_parse_json(doc[_BAD]).isNull()).otherwise(F.lit(False))
 
 
 def kind(doc: Column, field: str) -> Column:
     """Type name of a field's node: NULL when missing, ``VOID`` for JSON null."""
-    return F.schema_of_variant(node(doc, field))
+    return F.schema_of_variant(doc[field])
 
 
 def present(doc: Column, field: str) -> Column:
     return F.coalesce(kind(doc, field) != "VOID", F.lit(False))
 
 
+def value(doc: Column, field: str, type_name: str) -> Column:
+    """The field in another type; NULL when missing, JSON null or not convertible."""
+    return F.try_variant_get(doc[field], "$", type_name)
+
+
 def text_name(field: str) -> str:
     return f"_t_{field}"
 
 
-def with_document(df: DataFrame, value: str, doc: str, texts: Sequence[str] = ()) -> DataFrame:
-    """Adds the parsed document and ``_t_<field>``: the JSON string that is not blank, else NULL.
+def with_document(df: DataFrame, source: str, doc: str, fields: Sequence[str] = (), texts: Sequence[str] = ()) -> DataFrame:
+    """Adds the parsed document and ``_t_<field>`` for each of ``texts``: the JSON string that is not
+    blank, else NULL. ``fields`` are read as well, but only as VARIANT.
 
     The values pass through a one-element ``explode``. Filters are not pushed below a generator, so a
     filter on a parsed field does not repeat the parsing, and the generated code stays small.
     """
-    parsed = df.withColumn(doc, parse(F.col(value)))
-    found = [
-        F.when(kind(F.col(doc), f) == "STRING", F.try_variant_get(F.col(doc), f"$.{f}", "string")).alias(f) for f in texts
-    ]
-    once = parsed.withColumn("_once", F.explode(F.array(F.struct(F.col(doc).alias("_doc"), *found))))
+    parsed = df.withColumn(doc, parse(F.col(source), [*texts, *fields]))
+    d = F.col(doc)
+    found = [F.when(kind(d, f) == "STRING", value(d, f, "string")).alias(f) for f in texts]
+    once = parsed.withColumn("_once", F.explode(F.array(F.struct(d.alias("_doc"), *found))))
     columns = {doc: F.col("_once._doc"), **{text_name(f): F.col(f"_once.{f}") for f in texts}}
     flat = once.withColumns(columns).drop("_once")
     return flat.withColumns({text_name(f): not_blank(text_name(f)) for f in texts}) if texts else flat
 
 
-def any_text(doc: Column, field: str) -> Column:
-    """Scalar rendered as text; NULL when missing or JSON null."""
-    return F.try_variant_get(doc, f"$.{field}", "string")
-
-
-def _numeric(type_name: Column) -> Column:
-    return type_name.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-
-
 def is_number(doc: Column, field: str) -> Column:
-    return F.coalesce(_numeric(kind(doc, field)), F.lit(False))
+    return F.coalesce(kind(doc, field).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.lit(False))
 
 
 def is_integer(doc: Column, field: str) -> Column:
     """A number written without a fraction (or with a zero one)."""
-    value = F.try_variant_get(doc, f"$.{field}", "double")
-    return is_number(doc, field) & F.coalesce(value == F.floor(value), F.lit(False))
+    as_double = value(doc, field, "double")
+    return is_number(doc, field) & F.coalesce(as_double == F.floor(as_double), F.lit(False))
 
 
 def number(doc: Column, field: str, type_name: str = "double") -> Column:
     """Value only when the node is a JSON number."""
-    return F.when(is_number(doc, field), F.try_variant_get(doc, f"$.{field}", type_name))
+    return F.when(is_number(doc, field), value(doc, field, type_name))
 
 
 def coerced_double(doc: Column, field: str) -> Column:
     """Number of any present node: numeric text converts, whatever does not convert is 0."""
-    return F.when(
-        present(doc, field),
-        F.coalesce(F.try_variant_get(doc, f"$.{field}", "double"), F.lit(0.0)),
-    )
+    return F.when(present(doc, field), F.coalesce(value(doc, field, "double"), F.lit(0.0)))
 
 
 def coerced_money(doc: Column, field: str, type_name: str) -> Column:
     """Exact decimal of a JSON number or of a JSON string holding a number; else NULL."""
-    as_text = F.trim(F.try_variant_get(doc, f"$.{field}", "string"))
-    return F.when(is_number(doc, field) | (kind(doc, field) == "STRING"), as_text.try_cast(type_name))
+    as_text = F.trim(value(doc, field, "string"))
+    return F.when(kind(doc, field).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL|STRING)"), as_text.try_cast(type_name))
 
 
 def text_items(doc: Column, field: str) -> Column:
     """Array of the string elements of a JSON array; other elements are left out."""
-    items = F.try_variant_get(doc, f"$.{field}", "array<variant>")
     texts = F.transform(
-        F.filter(items, lambda v: F.schema_of_variant(v) == "STRING"),
+        F.filter(value(doc, field, "array<variant>"), lambda v: F.schema_of_variant(v) == "STRING"),
         lambda v: F.try_variant_get(v, "$", "string"),
     )
     return F.coalesce(texts, F.array().cast("array<string>"))

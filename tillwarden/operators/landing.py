@@ -25,27 +25,27 @@ SORT_KEYS = {
 }
 
 
-def _with_doc(records: DataFrame) -> DataFrame:
-    return J.with_document(records, "value", _DOC)
+def _with_doc(records: DataFrame, *fields: str) -> DataFrame:
+    return J.with_document(records, "value", _DOC, fields)
 
 
 def _text(field: str) -> Column:
     """Landing text: a missing field is the empty string, numbers become text."""
-    return F.coalesce(J.any_text(F.col(_DOC), field), F.lit(""))
+    return F.coalesce(J.value(F.col(_DOC), field, "string"), F.lit(""))
 
 
 def _number(field: str, type_name: str) -> Column:
-    return F.coalesce(F.try_variant_get(F.col(_DOC), f"$.{field}", type_name), F.lit(0).cast(type_name))
+    return F.coalesce(J.value(F.col(_DOC), field, type_name), F.lit(0).cast(type_name))
 
 
 def landing_error(number_fields: Sequence[str]) -> Column:
     """Reason why a record cannot be landed, NULL when it can. Missing fields are not an error."""
     doc = F.col(_DOC)
-    error = F.when(doc.isNull(), "cannot parse input: not JSON").when(
-        F.json_object_keys("value").isNull(), "cannot parse input: not an object"
+    error = F.when(F.coalesce(J.is_not_json(doc), F.lit(True)), "cannot parse input: not JSON").when(
+        ~J.is_object(doc), "cannot parse input: not an object"
     )
     for field in number_fields:
-        bad = J.present(doc, field) & F.try_variant_get(doc, f"$.{field}", "double").isNull()
+        bad = J.present(doc, field) & J.value(doc, field, "double").isNull()
         error = error.when(bad, f"cannot parse number: {field}")
     return error
 
@@ -54,7 +54,7 @@ def read_payment_topic(records: DataFrame) -> DataFrame:
     """Payment records with provenance and ``error``; the good and the bad landing read from this."""
     doc = F.col(_DOC)
     amount = F.coalesce(J.coerced_money(doc, "amount", MONEY), F.lit(0).cast(MONEY))
-    return _with_doc(records).select(
+    return _with_doc(records, "eventId", "paymentId", "accountId", "amount", "currency", "merchantId", "occurredAt").select(
         "topic",
         "partition",
         "offset",
@@ -66,7 +66,7 @@ def read_payment_topic(records: DataFrame) -> DataFrame:
         _text("accountId").alias("account_id"),
         amount.alias("amount"),
         _text("currency").alias("currency"),
-        J.any_text(doc, "merchantId").alias("merchant_id"),
+        J.value(doc, "merchantId", "string").alias("merchant_id"),
         time_or_zero(_text("occurredAt")).alias("occurred_at"),
     )
 
@@ -85,7 +85,7 @@ def land_alerts(records: DataFrame) -> DataFrame:
     doc = F.col(_DOC)
     at = F.timestamp_millis(_number("occurredAtEpochMs", "long"))
     return (
-        _with_doc(records)
+        _with_doc(records, "alertId", "userId", "paymentId", "score", "reasons", "ruleId", "occurredAtEpochMs")
         .filter(landing_error(["score", "occurredAtEpochMs"]).isNull())
         .select(
             "offset",
@@ -104,7 +104,7 @@ def land_alerts(records: DataFrame) -> DataFrame:
 def land_metrics(records: DataFrame) -> DataFrame:
     start = F.timestamp_millis(_number("windowStartEpochMs", "long"))
     return (
-        _with_doc(records)
+        _with_doc(records, "windowStartEpochMs", "windowEndEpochMs", "currency", "count", "totalAmount")
         .filter(landing_error(["windowStartEpochMs", "windowEndEpochMs", "count", "totalAmount"]).isNull())
         .select(
             "offset",
@@ -122,7 +122,7 @@ def land_saga_events(records: DataFrame) -> DataFrame:
     doc = F.col(_DOC)
     at = time_or_zero(_text("occurredAt"))
     return (
-        _with_doc(records)
+        _with_doc(records, "sagaId", "sagaType", "eventType", "status", "stepName", "paymentId", "attempt", "occurredAt")
         .filter(landing_error(["attempt"]).isNull())
         .select(
             "offset",
@@ -130,8 +130,8 @@ def land_saga_events(records: DataFrame) -> DataFrame:
             _text("sagaType").alias("saga_type"),
             _text("eventType").alias("event_type"),
             _text("status").alias("status"),
-            J.any_text(doc, "stepName").alias("step_name"),
-            J.any_text(doc, "paymentId").alias("payment_id"),
+            J.value(doc, "stepName", "string").alias("step_name"),
+            J.value(doc, "paymentId", "string").alias("payment_id"),
             _number("attempt", "int").alias("attempt"),
             F.to_date(at).alias("event_date"),
             at.alias("occurred_at"),

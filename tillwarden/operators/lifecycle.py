@@ -30,7 +30,7 @@ def saga_event_type(status: Column) -> Column:
 
 def payload_payment_id(payload: Column) -> Column:
     """Field of a JSON payload as text; NULL for bad JSON, a missing field or JSON null."""
-    return F.try_variant_get(J.parse(payload), "$.paymentId", "string")
+    return J.value(J.parse(payload, ["paymentId"]), "paymentId", "string")
 
 
 def next_action(step: Column, ok: Column, is_compensation: Column, statuses: dict[str, Column], retries: dict[str, Column]) -> Column:
@@ -321,15 +321,16 @@ def step_timeline(instances: DataFrame, steps: DataFrame, events: DataFrame) ->
 
 def saga_payload(replies: DataFrame) -> DataFrame:
     """Data folded from the newest successful reply of each step, one row per saga."""
-    doc = J.parse(F.col("payload"))
-    ok = replies.filter((F.col("status") == "SUCCESS") & ~F.col("is_compensation")).withColumn("_doc", doc)
+    fields = sorted({s.reply_field for s in PAYMENT_STEPS})
+    ok = replies.filter((F.col("status") == "SUCCESS") & ~F.col("is_compensation"))
+    ok = J.with_document(ok, "payload", "_doc", fields)
     columns = []
     for s in PAYMENT_STEPS:
         kind = J.kind(F.col("_doc"), s.reply_field)
         if s.reply_field == "score":
             value = F.when(kind.isNotNull(), F.coalesce(J.coerced_double(F.col("_doc"), s.reply_field), F.lit(0.0)))
         else:
-            value = F.when(kind == "VOID", "null").otherwise(J.any_text(F.col("_doc"), s.reply_field))
+            value = F.when(kind == "VOID", "null").otherwise(J.value(F.col("_doc"), s.reply_field, "string"))
         newest = F.max(F.when(F.col("step_name") == s.name, F.struct("seq", value.alias("v"))))
         columns.append(newest["v"].alias(s.payload_field))
     return ok.groupBy("saga_id").agg(*columns)

@@ -6,6 +6,8 @@ falls back to ``ingest_ts``, never to the wall clock, so a replay gives the same
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +19,9 @@ _DOC = "_doc"
 _PROVENANCE = ["topic", "partition", "offset", "key", "value", "ingest_ts"]
 
 
-def _with_doc(records: DataFrame, *text_fields: str) -> DataFrame:
-    """Adds the parsed document and the text of each field, once each: later expressions reuse them."""
-    return J.with_document(records, "value", _DOC, text_fields)
+def _with_doc(records: DataFrame, texts: Sequence[str] = (), fields: Sequence[str] = ()) -> DataFrame:
+    """Adds the parsed document and the text of each text field, once each: later expressions reuse them."""
+    return J.with_document(records, "value", _DOC, fields, texts)
 
 
 def _text(field: str) -> Column:
@@ -42,14 +44,14 @@ def parse_payments(records: DataFrame) -> DataFrame:
     """Payments with an ``error`` column; good rows have it NULL. Amounts are doubles here."""
     doc = F.col(_DOC)
     error = _first_error(
-        (doc.isNull(), "invalid json"),
+        (J.is_not_json(doc), "invalid json"),
         _missing("eventId"),
         _missing("paymentId"),
         _missing("accountId"),
         (~J.present(doc, "amount"), "missing amount"),
     )
     at = F.coalesce(instant(_text("occurredAt")), millis("ingest_ts"))
-    return _with_doc(records, "eventId", "paymentId", "accountId", "currency", "merchantId", "occurredAt").select(
+    return _with_doc(records, ["eventId", "paymentId", "accountId", "currency", "merchantId", "occurredAt"], ["amount"]).select(
         *_PROVENANCE,
         error.alias("error"),
         _text("eventId").alias("event_id"),
@@ -80,7 +82,7 @@ def parse_payments_strict(records: DataFrame) -> DataFrame:
     amount = J.coerced_money(doc, "amount", MONEY)
     at = instant(_text("occurredAt"))
     error = _first_error(
-        (doc.isNull(), "invalid json"),
+        (J.is_not_json(doc), "invalid json"),
         _missing("eventId"),
         _missing("paymentId"),
         (~is_uuid(_text("paymentId")), "paymentId is not a UUID"),
@@ -91,7 +93,7 @@ def parse_payments_strict(records: DataFrame) -> DataFrame:
         _missing("occurredAt"),
         (at.isNull(), "occurredAt is not an offset date-time"),
     )
-    return _with_doc(records, "eventId", "paymentId", "accountId", "currency", "occurredAt").select(
+    return _with_doc(records, ["eventId", "paymentId", "accountId", "currency", "occurredAt"], ["amount"]).select(
         *_PROVENANCE,
         error.alias("error"),
         _text("eventId").alias("event_id"),
@@ -115,8 +117,8 @@ def parse_live_payments(records: DataFrame) -> DataFrame:
     doc = F.col(_DOC)
     amount = F.coalesce(J.coerced_money(doc, "amount", MONEY), F.lit(0).cast(MONEY))
     return (
-        _with_doc(records, "paymentId", "accountId", "currency", "merchantId", "sagaId", "occurredAt")
-        .filter(doc.isNotNull() & _text("paymentId").isNotNull() & _text("accountId").isNotNull())
+        _with_doc(records, ["paymentId", "accountId", "currency", "merchantId", "sagaId", "occurredAt"], ["amount"])
+        .filter(J.is_object(doc) & _text("paymentId").isNotNull() & _text("accountId").isNotNull())
         .select(
             "offset",
             _text("paymentId").alias("payment_id"),
@@ -134,7 +136,7 @@ def parse_saga_events(records: DataFrame) -> DataFrame:
     doc = F.col(_DOC)
     attempt = F.when(J.is_integer(doc, "attempt"), J.number(doc, "attempt", "int"))
     return (
-        _with_doc(records, "sagaId", "eventType", "stepName", "status", "paymentId", "occurredAt")
+        _with_doc(records, ["sagaId", "eventType", "stepName", "status", "paymentId", "occurredAt"], ["attempt"])
         .filter(_text("sagaId").isNotNull())
         .select(
             "offset",
@@ -157,7 +159,7 @@ def parse_alerts(records: DataFrame) -> DataFrame:
     at = F.when(from_ms.isNotNull(), from_ms).when(from_text.isNotNull(), instant(from_text)).otherwise(millis("ingest_ts"))
     required = [_text(f).isNotNull() for f in ("alertId", "userId", "paymentId")]
     return (
-        _with_doc(records, "alertId", "userId", "paymentId", "ruleId", "occurredAt")
+        _with_doc(records, ["alertId", "userId", "paymentId", "ruleId", "occurredAt"], ["score", "reasons", "occurredAtEpochMs"])
         .filter(required[0] & required[1] & required[2] & at.isNotNull())
         .select(
             "offset",
@@ -175,10 +177,10 @@ def parse_alerts(records: DataFrame) -> DataFrame:
 def parse_rule_acks(records: DataFrame) -> DataFrame:
     """Applied rule versions. Tombstones are skipped; the record key stands in for a missing rule id."""
     doc = F.col(_DOC)
-    own_id = F.when(J.kind(doc, "ruleId") == "STRING", F.try_variant_get(doc, "$.ruleId", "string"))
+    own_id = F.when(J.kind(doc, "ruleId") == "STRING", J.value(doc, "ruleId", "string"))
     return (
-        _with_doc(records)
-        .filter(doc.isNotNull())
+        _with_doc(records, fields=["ruleId", "version"])
+        .filter(J.is_object(doc))
         .select(
             "offset",
             F.coalesce(own_id, F.col("key")).alias("rule_id"),
@@ -188,16 +190,29 @@ def parse_rule_acks(records: DataFrame) -> DataFrame:
     )
 
 
+_RULE_JSON = [
+    "ruleId",
+    "version",
+    "enabled",
+    "maxAmount",
+    "velocityWindowMs",
+    "velocityMaxCount",
+    "structuringThreshold",
+    "structuringWindowHours",
+    "structuringMinPayments",
+]
+
+
 def parse_rules(records: DataFrame) -> DataFrame:
     """Rules with a default per missing field; unknown fields are ignored."""
     doc, d = F.col(_DOC), DEFAULT_RULE
 
     def field(name: str, type_name: str, default) -> Column:
-        return F.coalesce(F.try_variant_get(doc, f"$.{name}", type_name), F.lit(default).cast(type_name))
+        return F.coalesce(J.value(doc, name, type_name), F.lit(default).cast(type_name))
 
     return (
-        _with_doc(records)
-        .filter(doc.isNotNull())
+        _with_doc(records, fields=_RULE_JSON)
+        .filter(J.is_object(doc))
         .select(
             "offset",
             field("ruleId", "string", d.rule_id).alias("rule_id"),
@@ -215,12 +230,12 @@ def parse_rules(records: DataFrame) -> DataFrame:
 
 def parse_profiles(records: DataFrame) -> DataFrame:
     doc = F.col(_DOC)
-    risk = F.try_variant_get(doc, "$.baselineRisk", "double")
+    risk = J.value(doc, "baselineRisk", "double")
     return (
-        _with_doc(records)
+        _with_doc(records, fields=["userId", "baselineRisk"])
         .select(
             "offset",
-            J.any_text(doc, "userId").alias("user_id"),
+            J.value(doc, "userId", "string").alias("user_id"),
             F.coalesce(risk, F.lit(DEFAULT_BASELINE_RISK)).alias("baseline_risk"),
         )
         .filter(F.col("user_id").rlike(r"\S"))
@@ -259,11 +274,11 @@ def rule_spec_errors(specs: DataFrame, spec: str = "json_spec") -> DataFrame:
     extra = F.transform(F.array_except(names, allowed), lambda n: F.concat(n, F.lit(": is not allowed")))
     found = F.concat(F.array_compact(F.array(*checks)), F.coalesce(extra, F.array().cast("array<string>")))
     text = (
-        F.when(doc.isNull(), "json_spec is not valid JSON")
-        .when(names.isNull(), "json_spec is not an object")
+        F.when(F.coalesce(J.is_not_json(doc), F.lit(True)), "json_spec is not valid JSON")
+        .when(~J.is_object(doc), "json_spec is not an object")
         .otherwise(F.array_join(found, "; "))
     )
-    looked_at = specs.withColumn(_DOC, J.parse(F.col(spec))).withColumns(kinds)
+    looked_at = J.with_document(specs, spec, _DOC, [f[0] for f in RULE_SPEC_FIELDS]).withColumns(kinds)
     return looked_at.withColumn("errors", text).drop(_DOC, *kinds)
 
 
