@@ -20,6 +20,15 @@ def is_small(df: DataFrame, rows: int | None = None) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def local_copy(df: DataFrame, rows: int = 1000) -> DataFrame | None:
+    """The rows as a literal table of the plan when there are at most ``rows`` of them, else None.
+
+    For configuration that a plan mentions several times: its own plan then runs once.
+    """
+    table = df.limit(rows + 1).toArrow()
+    return df.sparkSession.createDataFrame(table, df.schema) if table.num_rows <= rows else None
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -27,13 +36,15 @@ def salted_join(
     how: str = "left",
     limit: int | None = None,
     salts: int = SALTS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi join of a large left side whose keys may be hot with a right side (unique per key).
+    """Equi join of a large left side whose keys may be hot.
 
     Rows of a hot key are spread over ``salts`` partitions and only the right rows of hot keys are
-    copied; other keys join as usual.
+    copied; other keys join as usual. Pass ``hot`` when ``left`` is dear to compute: it can be found on
+    the table that ``left`` came from.
     """
-    hot = hot_keys(left, keys, limit)
+    hot = hot if hot is not None else hot_keys(left, keys, limit)
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
     big = with_hot_flag(left, hot, keys).withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0)))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
@@ -42,12 +53,32 @@ def salted_join(
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", rows: int | None = None
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    rows: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Broadcasts ``right`` when a count proves it small, else salts the hot keys of ``left``."""
     if is_small(right, rows):
         return left.join(F.broadcast(right), list(keys), how)
-    return salted_join(left, right, keys, how)
+    return salted_join(left, right, keys, how, hot=hot)
+
+
+def with_first(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str], limit: int | None = None) -> DataFrame:
+    """Adds ``_first``: a struct of ``order`` and ``values`` of the first row of the key.
+
+    Usual keys need one shuffle and a window. Hot keys are reduced by a partial aggregate, whose result
+    (a row per hot key, so at most rows / limit) is broadcast back to their rows.
+    """
+    flagged = with_hot_flag(df, hot_keys(df, keys, limit), keys)
+    struct = F.struct(order, *values)
+    window = Window.partitionBy(*keys).orderBy(order)
+    usual = flagged.filter(~F.col("_hot")).withColumn("_first", F.first(struct).over(window))
+    crowd = flagged.filter(F.col("_hot"))
+    firsts = crowd.groupBy(*keys).agg(F.min(struct).alias("_first"))
+    return usual.unionByName(crowd.join(F.broadcast(firsts), list(keys))).drop("_hot")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], *order) -> DataFrame:

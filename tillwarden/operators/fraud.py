@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY, clamp01
 from ..functions.joins import first_per_key, lookup_join
-from ..functions.ordered import LookBack, look_back
+from ..functions.ordered import LookBack, hot_keys, look_back
 from ..sources.schemas import DEFAULT_BASELINE_RISK, FraudRule
 from .rules import RULE_FIELDS, join_spans, rule_intervals
 
@@ -30,11 +30,11 @@ def amount_over_max(amount: Column, max_amount: float | Column) -> Column:
     return amount.cast("double") > max_amount
 
 
-def enrich_risk(payments: DataFrame, profiles: DataFrame) -> DataFrame:
+def enrich_risk(payments: DataFrame, profiles: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Adds ``baseline_risk`` by account. Profiles hold one row per user and grow with the users, so
     they are broadcast only when counted small; else hot accounts are salted."""
     right = profiles.select(F.col("user_id").alias("account_id"), "baseline_risk")
-    joined = lookup_join(payments, right, ["account_id"])
+    joined = lookup_join(payments, right, ["account_id"], hot=hot)
     return joined.withColumn("baseline_risk", F.coalesce("baseline_risk", F.lit(DEFAULT_BASELINE_RISK)))
 
 
@@ -99,7 +99,7 @@ def detect(payments: DataFrame, rule: FraudRule, profiles: DataFrame, keep: Colu
             "rule_version": F.lit(rule.version),
         }
     )
-    return score_columns(enrich_risk(signals, profiles))
+    return score_columns(enrich_risk(signals, profiles, hot_keys(payments, ["account_id"], tuning.get("limit"))))
 
 
 def detect_asof(payments: DataFrame, rules: DataFrame, profiles: DataFrame, **tuning) -> DataFrame:
@@ -132,7 +132,9 @@ def detect_asof(payments: DataFrame, rules: DataFrame, profiles: DataFrame, **tu
         }
     )
     keep = [c for c in signals.columns if c not in RULE_FIELDS or c == "rule_id"]
-    return score_columns(enrich_risk(signals.select(*keep), profiles)).drop("from_ms", "to_ms", "structuring_ms", "rule_seq")
+    hot = hot_keys(payments, ["account_id"], tuning.get("limit"))
+    enriched = enrich_risk(signals.select(*keep), profiles, hot)
+    return score_columns(enriched).drop("from_ms", "to_ms", "structuring_ms", "rule_seq")
 
 
 def fraud_alerts(scored: DataFrame) -> DataFrame:

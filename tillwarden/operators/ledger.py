@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY, WIDE_MONEY, money, not_blank, wide_sum
-from ..functions.joins import first_per_key, lookup_join, salted_join
-from ..functions.ordered import CELL_MS, CELL_ROWS, carry_forward, running_totals
+from ..functions.joins import first_per_key, lookup_join, salted_join, with_first
+from ..functions.ordered import CELL_MS, CELL_ROWS, carry_forward, hot_keys, running_totals
 
 
 def balance_events(deduplicated: DataFrame, opening: DataFrame | None = None, **tuning) -> DataFrame:
@@ -24,15 +24,17 @@ def balance_events(deduplicated: DataFrame, opening: DataFrame | None = None, **
         F.col("payment_id").alias("aggregate_id"),
         F.col("arrival").cast("long").alias("arrival"),
     ).withColumn("balance_after", F.col("delta").cast(WIDE_MONEY))
-    width = tuning.pop("width", CELL_ROWS)
-    running = running_totals(rows, keys, ["arrival"], "arrival", ["balance_after"], width, **tuning)
-    running = running.withColumn("balance_after", F.col("balance_after").cast(WIDE_MONEY))
-    if opening is None:
-        return running
-    before = opening.select(*keys, F.col("balance").alias("_opening"))
-    joined = lookup_join(running, before, keys, "left")
-    total = F.col("balance_after") + F.coalesce(F.col("_opening"), F.lit(0))
-    return joined.withColumn("balance_after", total.cast(WIDE_MONEY)).drop("_opening")
+    hot = tuning.pop("hot", None)
+    hot = hot if hot is not None else hot_keys(rows, keys, tuning.pop("limit", None))
+    if opening is not None:
+        # An opening balance is one more entry in front of the log, so it needs no join.
+        touched = rows.select(*keys).distinct()
+        before = opening.join(touched, keys, "left_semi").select(*keys, F.col("balance").alias("balance_after"))
+        rows = rows.unionByName(before.withColumn("arrival", F.lit(-1).cast("long")), allowMissingColumns=True)
+    running = running_totals(
+        rows, keys, ["arrival"], "arrival", ["balance_after"], tuning.pop("width", CELL_ROWS), hot=hot, keep=F.col("arrival") >= 0
+    )
+    return running.withColumn("balance_after", F.col("balance_after").cast(WIDE_MONEY))
 
 
 def account_balance(deduplicated: DataFrame) -> DataFrame:
@@ -108,9 +110,10 @@ def aggregate_versions(events: DataFrame) -> DataFrame:
 def event_versions(appends: DataFrame, existing: DataFrame, **tuning) -> DataFrame:
     """Gives appended events the next versions of their aggregate, in (time, id) order."""
     rows = appends.withColumns({"_ms": F.unix_millis("occurred_at"), "version": F.lit(1).cast("long")})
-    numbered = running_totals(rows, ["aggregate_id"], ["_ms", "id"], "_ms", ["version"], CELL_MS, **tuning)
+    hot = hot_keys(appends, ["aggregate_id"], tuning.pop("limit", None))
+    numbered = running_totals(rows, ["aggregate_id"], ["_ms", "id"], "_ms", ["version"], CELL_MS, hot=hot, **tuning)
     known = aggregate_versions(existing).withColumnRenamed("version", "_max")
-    joined = salted_join(numbered, known, ["aggregate_id"], "left")
+    joined = salted_join(numbered, known, ["aggregate_id"], "left", hot=hot)
     total = F.col("version") + F.coalesce(F.col("_max"), F.lit(0))
     return joined.withColumn("version", total.cast("int")).drop("_ms", "_max")
 
@@ -145,7 +148,7 @@ def settled_events(commands: DataFrame, existing: DataFrame, step: str = "LEDGER
     known = aggregate_versions(existing).select(
         F.col("aggregate_id").alias("payment_id"), F.col("version").alias("_max")
     )
-    joined = salted_join(once, known, ["payment_id"], "left")
+    joined = once.join(known, "payment_id", "left")
     return joined.select(
         F.md5(F.concat_ws("|", "saga_id", F.lit(step))).alias("event_id"),
         F.col("payment_id").alias("aggregate_id"),
@@ -173,23 +176,18 @@ def settled_payload(settled: DataFrame) -> DataFrame:
 def idempotency_outcome(requests: DataFrame, limit: int | None = None) -> DataFrame:
     """Outcome per request: ``created``, ``idempotent_hit`` or ``failed`` (key reused for another body).
 
-    The first request per key is found by a partial aggregate and joined back with hot keys salted. A
-    request without a key is always created. Expiry is stored but not consulted on lookup.
+    A request without a key is always created. Expiry is stored but not consulted on lookup.
     """
-    hashed = requests.withColumns(
-        {
-            "key_hash": F.when(not_blank("idempotency_key").isNotNull(), F.sha2("idempotency_key", 256)),
-            "request_hash": F.sha2("body", 256),
-        }
-    )
-    keyed = hashed.filter(F.col("key_hash").isNotNull())
-    first = keyed.groupBy("key_hash").agg(F.min(F.struct("arrival", "request_hash")).alias("_first"))
+    hashed = requests.withColumn("request_hash", F.sha2("body", 256))
+    has_key = F.coalesce(F.col("idempotency_key").rlike(r"\S"), F.lit(False))
     same = F.col("request_hash") == F.col("_first.request_hash")
     outcome = (
         F.when(F.col("arrival") == F.col("_first.arrival"), "created").when(same, "idempotent_hit").otherwise("failed")
     )
-    looked_up = salted_join(keyed, first, ["key_hash"], "inner", limit).withColumn("outcome", outcome).drop("_first")
-    return looked_up.unionByName(hashed.filter(F.col("key_hash").isNull()).withColumn("outcome", F.lit("created")))
+    seen = with_first(hashed.filter(has_key), ["idempotency_key"], "arrival", ["request_hash"], limit)
+    judged = seen.withColumn("outcome", outcome).withColumn("key_hash", F.sha2("idempotency_key", 256)).drop("_first")
+    plain = hashed.filter(~has_key).withColumn("outcome", F.lit("created"))
+    return judged.unionByName(plain.withColumn("key_hash", F.lit(None).cast("string")))
 
 
 def idempotency_records(requests: DataFrame) -> DataFrame:

@@ -106,11 +106,9 @@ def saga_duration_p95(instances: DataFrame, share: float = 0.95, window: str = "
 
 
 def step_metrics(instances: DataFrame, steps: DataFrame) -> DataFrame:
-    """Durations, retries and failures per step. Steps are first reduced per instance."""
+    """Durations, retries and failures per step."""
     seconds = (F.unix_millis("completed_at") - F.unix_millis("started_at")) / 1000
-    typed = salted_join(
-        steps, instances.select(F.col("id").alias("saga_instance_id"), "saga_type"), ["saga_instance_id"], "inner"
-    )
+    typed = steps.join(instances.select(F.col("id").alias("saga_instance_id"), "saga_type"), "saga_instance_id")
     return typed.groupBy("saga_type", "step_name", "step_type").agg(
         F.count(seconds).alias("runs"),
         F.avg(seconds).alias("avg_seconds"),
@@ -182,8 +180,8 @@ def saga_of_payment(events: DataFrame) -> DataFrame:
 
 def payments_with_saga(payments: DataFrame, events: DataFrame) -> DataFrame:
     """Payments with the newest saga that names them and its newest status."""
-    joined = salted_join(payments, saga_of_payment(events), ["payment_id"], "left")
-    return salted_join(joined, latest_status(events), ["saga_id"], "left")
+    state = saga_of_payment(events).join(latest_status(events), "saga_id", "left")
+    return salted_join(payments, state, ["payment_id"], "left")
 
 
 def stuck_sagas(failures: DataFrame, instances: DataFrame, limit: int = STUCK_LIMIT) -> DataFrame:
@@ -255,7 +253,7 @@ def timed_out_steps(
         (F.col("status") == "EXECUTING") & (F.unix_millis("started_at") < F.unix_millis(as_of) - seconds * 1000)
     ).withColumn("_seconds", seconds)
     sagas = instances.select(F.col("id").alias("saga_instance_id"), "saga_id")
-    return salted_join(late, sagas, ["saga_instance_id"], "inner").select(
+    return late.join(sagas, "saga_instance_id").select(
         "saga_id",
         "step_name",
         F.lit("FAILURE").alias("status"),
@@ -265,8 +263,10 @@ def timed_out_steps(
 
 
 def saga_steps(instances: DataFrame, steps: DataFrame) -> DataFrame:
+    """Steps with the id of their saga. An instance has one row per step of its definition, so neither
+    side of this join can be hot."""
     sagas = instances.select(F.col("id").alias("saga_instance_id"), "saga_id")
-    return salted_join(steps, sagas, ["saga_instance_id"], "inner").select(
+    return steps.join(sagas, "saga_instance_id").select(
         "saga_id", "step_order", "step_name", "step_type", "status", "retry_count", "error_message", "started_at", "completed_at"
     )
 
@@ -310,7 +310,7 @@ def step_timeline(instances: DataFrame, steps: DataFrame, events: DataFrame) ->
     )
     merged = snapshot.join(overlay, ["saga_id", "step_name"], "full")
     state = instances.select("saga_id", F.col("status").alias("_snapshot")).join(own, "saga_id", "full")
-    return salted_join(merged, state, ["saga_id"], "left").select(
+    return merged.join(state, "saga_id", "left").select(
         "saga_id",
         "step_name",
         F.coalesce("_stated.status", "_status", F.lit("PENDING")).alias("status"),

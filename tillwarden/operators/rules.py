@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import first_per_key, is_small
+from ..functions.joins import first_per_key, local_copy
 from ..sources.schemas import DEFAULT_RULE, FRAUD_RULE, FraudRule
 
 RULE_FIELDS = [f.name for f in FRAUD_RULE]
@@ -71,8 +71,10 @@ def rule_intervals(log: DataFrame) -> DataFrame:
 def join_spans(payments: DataFrame, spans: DataFrame, since: Column, until: Column) -> DataFrame:
     """Payments with every span that covers them: an equi join on 30-day buckets, then the exact test.
 
-    The spans are broadcast only when counted small.
+    A short list of spans becomes a literal table; a long one joins by bucket like any other table.
     """
+    copy = local_copy(spans)
+    spans = copy if copy is not None else spans
     bucketed = spans.withColumn("_since", since).withColumn("_until", until)
     bucketed = bucketed.withColumn(
         "_bucket",
@@ -80,7 +82,8 @@ def join_spans(payments: DataFrame, spans: DataFrame, since: Column, until: Colu
             F.sequence(F.floor(F.col("_since") / BUCKET_MS), F.floor((F.col("_until") - 1) / BUCKET_MS))
         ),
     )
-    small = F.broadcast(bucketed) if is_small(bucketed) else bucketed
+    # Open spans cover at most 1,600 buckets, so a local copy bounds the broadcast.
+    small = F.broadcast(bucketed) if copy is not None else bucketed
     return (
         payments.withColumn("_bucket", F.floor(F.col("occurred_ms") / BUCKET_MS))
         .join(small, "_bucket")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import or_unknown, surrogate_key, wide_sum
 from ..functions.joins import lookup_join, salted_join
+from ..functions.ordered import hot_keys
 
 # Thresholds of the marts.
 STRUCTURING_THRESHOLD = 9900
@@ -175,11 +176,15 @@ def fct_payments(payments: DataFrame) -> DataFrame:
 
 def fct_payments_from(payments: DataFrame, accounts: DataFrame, merchants: DataFrame, currencies: DataFrame) -> DataFrame:
     """Payment facts against dimensions built elsewhere, whose keys may be missing."""
-    keyed = payments.withColumn("payment_sk", surrogate_key("event_id"))
+    joined = payments.withColumn("payment_sk", surrogate_key("event_id"))
     codes = currencies.select("currency_sk", F.col("currency_code").alias("currency"))
-    joined = lookup_join(keyed, codes, ["currency"], "inner")
-    joined = lookup_join(joined, merchants.select("merchant_sk", "merchant_id"), ["merchant_id"], "left")
-    return lookup_join(joined, accounts.select("account_sk", "account_id"), ["account_id"], "inner").select(*_PAYMENT_FACT)
+    for dim, key, how in (
+        (codes, "currency", "inner"),
+        (merchants.select("merchant_sk", "merchant_id"), "merchant_id", "left"),
+        (accounts.select("account_sk", "account_id"), "account_id", "inner"),
+    ):
+        joined = lookup_join(joined, dim, [key], how, hot=hot_keys(payments, [key]))
+    return joined.select(*_PAYMENT_FACT)
 
 
 def fct_fraud_alerts(alerts: DataFrame, accounts: DataFrame) -> DataFrame:
