@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scale
-from .ordered import hot_keys, with_hot_flag
+from .ordered import UNKNOWN, hot_keys, with_hot_flag
 
 BROADCAST_ROWS = 500_000
 SALTS = 64
@@ -36,7 +36,7 @@ def salted_join(
     how: str = "left",
     limit: int | None = None,
     salts: int = SALTS,
-    hot: DataFrame | None = None,
+    hot: DataFrame | None = UNKNOWN,
 ) -> DataFrame:
     """Equi join of a large left side whose keys may be hot.
 
@@ -44,7 +44,9 @@ def salted_join(
     copied; other keys join as usual. Pass ``hot`` when ``left`` is dear to compute: it can be found on
     the table that ``left`` came from.
     """
-    hot = hot if hot is not None else hot_keys(left, keys, limit)
+    hot = hot_keys(left, keys, limit) if hot is UNKNOWN else hot
+    if hot is None:
+        return left.join(right, list(keys), how)
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
     big = with_hot_flag(left, hot, keys).withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0)))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
@@ -58,7 +60,7 @@ def lookup_join(
     keys: Sequence[str],
     how: str = "left",
     rows: int | None = None,
-    hot: DataFrame | None = None,
+    hot: DataFrame | None = UNKNOWN,
 ) -> DataFrame:
     """Broadcasts ``right`` when a count proves it small, else salts the hot keys of ``left``."""
     if is_small(right, rows):
@@ -72,9 +74,12 @@ def with_first(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[
     Usual keys need one shuffle and a window. Hot keys are reduced by a partial aggregate, whose result
     (a row per hot key, so at most rows / limit) is broadcast back to their rows.
     """
-    flagged = with_hot_flag(df, hot_keys(df, keys, limit), keys)
+    hot = hot_keys(df, keys, limit)
     struct = F.struct(order, *values)
     window = Window.partitionBy(*keys).orderBy(order)
+    if hot is None:
+        return df.withColumn("_first", F.first(struct).over(window))
+    flagged = with_hot_flag(df, hot, keys)
     usual = flagged.filter(~F.col("_hot")).withColumn("_first", F.first(struct).over(window))
     crowd = flagged.filter(F.col("_hot"))
     firsts = crowd.groupBy(*keys).agg(F.min(struct).alias("_first"))

@@ -24,20 +24,38 @@ from ..session import scale
 HOT_ROWS = 2_000_000
 CELL_MS = 600_000
 CELL_ROWS = 1_000_000
+SMALL_BYTES = 64 << 20
+UNKNOWN = object()
 
 _CELL = "_cell"
 _HOT = "_hot"
 _LEAD = "_lead"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame:
-    """Keys with more than ``limit`` rows: at most rows / limit of them, whatever the data."""
-    limit = limit or scale(df.sparkSession, "hot_rows", HOT_ROWS)
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate; None where it cannot be asked."""
+    plan = getattr(df, "_jdf", None)
+    return None if plan is None else int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame | None:
+    """Keys with more than ``limit`` rows: at most rows / limit of them, whatever the data.
+
+    None means that no key needs care: without an explicit limit a table that is estimated to be small
+    is not counted. The estimate decides on speed only, results are the same either way.
+    """
+    if limit is None:
+        size = estimated_bytes(df)
+        if size is not None and size < scale(df.sparkSession, "small_bytes", SMALL_BYTES):
+            return None
+        limit = scale(df.sparkSession, "hot_rows", HOT_ROWS)
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).select(*keys)
 
 
-def with_hot_flag(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+def with_hot_flag(df: DataFrame, hot: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """Adds ``_hot``. The hot list is broadcast: its length is bounded by rows / limit."""
+    if hot is None:
+        return df.withColumn(_HOT, F.lit(False))
     renamed = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(True).alias(_HOT))
     condition = F.lit(True)
     for key in keys:
@@ -46,7 +64,7 @@ def with_hot_flag(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFra
     return joined.drop(*[f"_h_{k}" for k in keys]).withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False)))
 
 
-def with_cells(df: DataFrame, hot: DataFrame, keys: Sequence[str], position: str, width: int) -> DataFrame:
+def with_cells(df: DataFrame, hot: DataFrame | None, keys: Sequence[str], position: str, width: int) -> DataFrame:
     flagged = with_hot_flag(df, hot, keys)
     return flagged.withColumn(_CELL, F.when(F.col(_HOT), F.expr(f"`{position}` div {width}")).otherwise(F.lit(0)).cast("long"))
 
@@ -55,12 +73,15 @@ def _earlier_cells(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(_CELL).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _with_openings(celled: DataFrame, openings: DataFrame, keys: Sequence[str], order: Sequence[str | Column]):
+def _with_openings(celled: DataFrame, openings: DataFrame | None, keys: Sequence[str], order: Sequence[str | Column]):
     """Puts the opening row of each hot cell in front of its rows; gives the rows and their frame.
 
     A union needs no join key, so rows meet their opening in the one shuffle of the window.
     """
     rows = celled.drop(_HOT).withColumn(_LEAD, F.lit(1))
+    if openings is None:
+        plain = Window.partitionBy(*keys).orderBy(*order)
+        return rows, plain.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     both = rows.unionByName(openings.withColumn(_LEAD, F.lit(0)), allowMissingColumns=True)
     frame = (
         Window.partitionBy(*keys, _CELL)
@@ -78,23 +99,27 @@ def running_totals(
     measures: Sequence[str],
     width: int,
     limit: int | None = None,
-    hot: DataFrame | None = None,
+    hot: DataFrame | None = UNKNOWN,
     keep: Column | None = None,
 ) -> DataFrame:
     """Replaces each measure by its running total per key.
 
     ``order`` must begin with ``position``, a whole number. ``keep`` selects the rows to return.
     """
-    hot = hot if hot is not None else hot_keys(df, keys, limit)
+    hot = hot_keys(df, keys, limit) if hot is UNKNOWN else hot
     celled = with_cells(df, hot, keys, position, width)
-    cells = celled.filter(F.col(_HOT)).groupBy(*keys, _CELL).agg(*[F.sum(m).alias(m) for m in measures])
-    openings = cells.select(*keys, _CELL, *[F.sum(m).over(_earlier_cells(keys)).alias(m) for m in measures])
+    openings = None if hot is None else _total_openings(celled, keys, measures)
     both, frame = _with_openings(celled, openings, keys, order)
     totals = both.withColumns({m: F.sum(m).over(frame) for m in measures})
     wanted = F.col(_LEAD) == 1
     return totals.filter(wanted if keep is None else wanted & keep).drop(_LEAD, _CELL)
 
 
+def _total_openings(celled: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    cells = celled.filter(F.col(_HOT)).groupBy(*keys, _CELL).agg(*[F.sum(m).alias(m) for m in measures])
+    return cells.select(*keys, _CELL, *[F.sum(m).over(_earlier_cells(keys)).alias(m) for m in measures])
+
+
 def carry_forward(
     df: DataFrame,
     keys: Sequence[str],
@@ -106,17 +131,22 @@ def carry_forward(
     keep: Column | None = None,
 ) -> DataFrame:
     """Replaces ``value`` by the last non-NULL value at or before the row, per key in ``order``."""
-    celled = with_cells(df, hot_keys(df, keys, limit), keys, position, width)
-    newest = F.max(F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("_v"))))
-    cells = celled.filter(F.col(_HOT)).groupBy(*keys, _CELL).agg(newest.alias("_newest"))
-    before = F.last("_newest", ignorenulls=True).over(_earlier_cells(keys))["_v"]
-    openings = cells.select(*keys, _CELL, before.alias(value))
+    hot = hot_keys(df, keys, limit)
+    celled = with_cells(df, hot, keys, position, width)
+    openings = None if hot is None else _last_openings(celled, keys, order, value)
     both, frame = _with_openings(celled, openings, keys, order)
     filled = both.withColumn(value, F.last(value, ignorenulls=True).over(frame))
     wanted = F.col(_LEAD) == 1
     return filled.filter(wanted if keep is None else wanted & keep).drop(_LEAD, _CELL)
 
 
+def _last_openings(celled: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
+    newest = F.max(F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("_v"))))
+    cells = celled.filter(F.col(_HOT)).groupBy(*keys, _CELL).agg(newest.alias("_newest"))
+    before = F.last("_newest", ignorenulls=True).over(_earlier_cells(keys))["_v"]
+    return cells.select(*keys, _CELL, before.alias(value))
+
+
 @dataclass(frozen=True)
 class LookBack:
     """Sum of ``value`` over the rows of a key with time in ``[t - width, t]`` that came so far.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY, clamp01
 from ..functions.joins import first_per_key, lookup_join
-from ..functions.ordered import LookBack, hot_keys, look_back
+from ..functions.ordered import UNKNOWN, LookBack, hot_keys, look_back
 from ..sources.schemas import DEFAULT_BASELINE_RISK, FraudRule
 from .rules import RULE_FIELDS, join_spans, rule_intervals
 
@@ -30,7 +30,7 @@ def amount_over_max(amount: Column, max_amount: float | Column) -> Column:
     return amount.cast("double") > max_amount
 
 
-def enrich_risk(payments: DataFrame, profiles: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def enrich_risk(payments: DataFrame, profiles: DataFrame, hot: DataFrame | None = UNKNOWN) -> DataFrame:
     """Adds ``baseline_risk`` by account. Profiles hold one row per user and grow with the users, so
     they are broadcast only when counted small; else hot accounts are salted."""
     right = profiles.select(F.col("user_id").alias("account_id"), "baseline_risk")

@@ -24,8 +24,7 @@ def balance_events(deduplicated: DataFrame, opening: DataFrame | None = None, **
         F.col("payment_id").alias("aggregate_id"),
         F.col("arrival").cast("long").alias("arrival"),
     ).withColumn("balance_after", F.col("delta").cast(WIDE_MONEY))
-    hot = tuning.pop("hot", None)
-    hot = hot if hot is not None else hot_keys(rows, keys, tuning.pop("limit", None))
+    hot = hot_keys(rows, keys, tuning.pop("limit", None))
     if opening is not None:
         # An opening balance is one more entry in front of the log, so it needs no join.
         touched = rows.select(*keys).distinct()

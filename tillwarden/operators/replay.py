@@ -264,6 +264,14 @@ def _fold(steps):
     return run
 
 
+def _openings(hot_log: DataFrame, steps) -> DataFrame:
+    """True starting state of every cell of the hot lifecycles."""
+    by_cell = hot_log.drop("_hot").repartition("saga_id", "_cell").sortWithinPartitions("saga_id", "_cell", "seq")
+    tables = by_cell.mapInPandas(_cell_tables(steps), "saga_id string, _cell long, table string")
+    chained = tables.groupBy("saga_id").applyInPandas(_chain(steps), "saga_id string, _cell long, opening string")
+    return chained.withColumn("seq", F.lit(-1).cast("long"))
+
+
 def replay(
     log: DataFrame, steps: tuple[StepDefinition, ...] = PAYMENT_STEPS, limit: int | None = None, width: int = CELL_ROWS
 ) -> DataFrame:
@@ -275,17 +283,12 @@ def replay(
     if "action" not in log.columns:
         log = log.withColumn("action", F.lit(None).cast("string"))
     keys = ["saga_id"]
-    celled = with_cells(log.select(*_LOG), hot_keys(log, keys, limit), keys, "seq", width)
-
-    hot_log = celled.filter(F.col("_hot")).drop("_hot").repartition("saga_id", "_cell")
-    tables = hot_log.sortWithinPartitions("saga_id", "_cell", "seq").mapInPandas(
-        _cell_tables(steps), "saga_id string, _cell long, table string"
-    )
-    openings = tables.groupBy("saga_id").applyInPandas(_chain(steps), "saga_id string, _cell long, opening string")
-    openings = openings.withColumn("seq", F.lit(-1).cast("long"))
-
-    rows = celled.drop("_hot").withColumn("opening", F.lit(None).cast("string"))
-    both = rows.unionByName(openings, allowMissingColumns=True).withColumn("_lead", F.col("opening").isNull())
+    hot = hot_keys(log, keys, limit)
+    celled = with_cells(log.select(*_LOG), hot, keys, "seq", width)
+    both = celled.drop("_hot").withColumn("opening", F.lit(None).cast("string"))
+    if hot is not None:
+        both = both.unionByName(_openings(celled.filter(F.col("_hot")), steps), allowMissingColumns=True)
+    both = both.withColumn("_lead", F.col("opening").isNull())
     ordered = both.repartition("saga_id", "_cell").sortWithinPartitions("saga_id", "_cell", "_lead", "seq")
     return ordered.mapInPandas(_fold(steps), OUTPUT)
 
