@@ -8,6 +8,7 @@ from ..functions.columns import literal_time
 from ..operators import ledger as L
 from ..operators import quality as Q
 from ..operators import warehouse as W
+from ..plans.refresh import check_report
 from ..sources import samples as S
 from ..sources.tables import read_table
 from .base import query
@@ -92,3 +93,31 @@ def _(spark, folder):
     """Every merchant key of the facts is in its dimension."""
     merchants = W.dim_merchant(W.int_merchants_latest(payments(spark, folder)))
     return Q.relationships(facts(spark, folder), "merchant_sk", merchants, "merchant_sk")
+
+
+_REPORT = """
+  SELECT unnest(['stg_payment_events.event_id.not_null','stg_payment_events.currency.not_null','stg_payment_events.amount.positive_amount',
+    'stg_fraud_alerts.alert_id.not_null','stg_fraud_alerts.score.score_range','stg_payment_events.event_id.unique','stg_fraud_alerts.alert_id.unique',
+    'dim_account.account_sk.not_null','dim_account.account_id.not_null','dim_account.account_sk.unique','dim_account.account_id.unique',
+    'fct_payments.payment_sk.not_null','fct_payments.account_sk.not_null','fct_payments.currency_sk.not_null','fct_payments.amount.positive_amount',
+    'fct_payments.payment_sk.unique','fct_payments.account_sk.relationships']) AS check_name, CAST(0 AS BIGINT) AS violations"""
+
+
+@query(
+    "dq_report",
+    f"""SELECT check_name, CASE WHEN check_name='stg_fraud_alerts.score.score_range' THEN (SELECT count(*) FROM sa WHERE score*2>1)
+      WHEN check_name='fct_payments.account_sk.relationships' THEN (SELECT count(DISTINCT account_id) FROM sp WHERE account_id LIKE '%3')
+      ELSE violations END AS violations FROM ({_REPORT})""",
+)
+def _(spark, folder):
+    """All checks of four tables: some scores are too high, and some accounts lack a dimension row."""
+    raised = alerts(spark, folder).withColumn("score", F.col("score") * 2)
+    known = W.dim_account(W.int_accounts_latest(payments(spark, folder))).filter(~F.col("account_id").endswith("3"))
+    return check_report(
+        {
+            "stg_payment_events": payments(spark, folder),
+            "stg_fraud_alerts": raised,
+            "dim_account": known,
+            "fct_payments": facts(spark, folder),
+        }
+    )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import first_per_key, local_copy
+from ..functions.joins import first_per_key, local_copy, salted_join
 from ..sources.schemas import DEFAULT_RULE, FRAUD_RULE, FraudRule
 
 RULE_FIELDS = [f.name for f in FRAUD_RULE]
@@ -82,14 +82,16 @@ def join_spans(payments: DataFrame, spans: DataFrame, since: Column, until: Colu
             F.sequence(F.floor(F.col("_since") / BUCKET_MS), F.floor((F.col("_until") - 1) / BUCKET_MS))
         ),
     )
-    # Open spans cover at most 1,600 buckets, so a local copy bounds the broadcast.
-    small = F.broadcast(bucketed) if copy is not None else bucketed
-    return (
-        payments.withColumn("_bucket", F.floor(F.col("occurred_ms") / BUCKET_MS))
-        .join(small, "_bucket")
-        .filter((F.col("occurred_ms") >= F.col("_since")) & (F.col("occurred_ms") < F.col("_until")))
-        .drop("_bucket", "_since", "_until")
-    )
+    left = payments.withColumn("_bucket", F.floor(F.col("occurred_ms") / BUCKET_MS))
+    # Open spans cover at most 1,600 buckets, so a local copy bounds the broadcast. Buckets are few and
+    # large: without a broadcast they are salted.
+    if copy is not None:
+        joined = left.join(F.broadcast(bucketed), "_bucket")
+    else:
+        joined = salted_join(left, bucketed, ["_bucket"], "inner")
+    return joined.filter(
+        (F.col("occurred_ms") >= F.col("_since")) & (F.col("occurred_ms") < F.col("_until"))
+    ).drop("_bucket", "_since", "_until")
 
 
 def rule_asof(payments: DataFrame, log: DataFrame) -> DataFrame:

@@ -35,9 +35,13 @@ def write_table(
     sort_by: Sequence[str] = (),
     mode: str = "overwrite",
 ) -> None:
-    """Parquet sink, split by calendar month of ``month_of`` and sorted inside files for row-group pruning."""
+    """Parquet sink, split by calendar month of ``month_of`` and sorted inside files for row-group pruning.
+
+    The rebalance hint brings a month together and lets adaptive execution cut a large one into several
+    files, so there are neither tiny files nor one writer per month.
+    """
     if month_of:
-        df = df.withColumn("month", F.date_format(month_of, "yyyyMM"))
+        df = df.withColumn("month", F.date_format(month_of, "yyyyMM")).hint("rebalance", "month")
         sort_by = ["month", *sort_by]
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)

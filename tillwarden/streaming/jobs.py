@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.columns import MONEY
 from ..operators import fraud, landing, ledger, lifecycle, monitoring, parsing
 from ..sources.schemas import ACCOUNT_BALANCE, FraudRule
+from ..sources.topics import TOPICS, write_kafka
 
 WATERMARK = "5 seconds"
 CHECKPOINT_INTERVAL = "60 seconds"
@@ -78,9 +79,12 @@ def detect(
     rules: Callable[[], FraudRule],
     profiles: Callable[[], DataFrame],
     trigger: Trigger = Trigger(),
+    publish: Callable[[str, DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Scores raw payments as they arrive: alerts, user scores and dead letters.
 
+    Results are written as tables; ``publish`` also gets them as keyed JSON records by topic name.
+
     ``rules`` and ``profiles`` are called for each batch, so a change acts on the next one. The look-back
     history is a narrow table by day and batch. A batch reads back only the days and accounts its windows
     reach, and is scored by the same sweep as the batch job, hot accounts included. Payments are never
@@ -123,6 +127,10 @@ def detect(
                 alerts.write.mode("overwrite").parquet(batch_folder(root, "alerts", batch_id))
                 scores = fraud.user_scores(scored)
                 scores.write.mode("overwrite").parquet(batch_folder(root, "scores", batch_id))
+                if publish is not None:
+                    publish(TOPICS["alerts"], landing.alert_records(alerts))
+                    publish(TOPICS["scores"], landing.score_records(scores))
+                    publish(TOPICS["dead_letter"], landing.dead_letter_records(letters))
             finally:
                 scored.unpersist()
         finally:
@@ -132,6 +140,11 @@ def detect(
     return _start(writer, f"{root}/_checkpoints/detect", trigger)
 
 
+def to_kafka(servers: str) -> Callable[[str, DataFrame], None]:
+    """Publisher for ``detect``. It is at-least-once: a replayed batch sends its records again."""
+    return lambda topic, records: write_kafka(records, servers, topic)
+
+
 def balances(payments: DataFrame, root: str, trigger: Trigger = Trigger()) -> StreamingQuery:
     """Balance events and current balances from payments with an ``arrival`` number.
 
