@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import use_utc
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -178,7 +180,11 @@ def query(name: str, sql: str | None = None):
     """Registers a query under ``name``; ``sql`` is its oracle."""
 
     def register(build: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = lambda spark, folder: comparable(build(spark, folder))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            use_utc(spark)
+            return comparable(build(spark, folder))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = oracle(sql)
         return build

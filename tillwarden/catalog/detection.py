@@ -502,10 +502,20 @@ def _(spark, folder):
     return R.rules_list(R.rule_registry(_rule_changes(spark, folder))).select("name", "id", "version")
 
 
-@query("rule_payload")
+@query(
+    "rule_payload",
+    f"""SELECT id, CAST(version AS BIGINT) AS version, id AS "key", id AS rule_id, CAST(version AS BIGINT) AS published_version,
+      enabled AND action<>'delete' AS enabled, CAST(round(c_acctbal) AS BIGINT) AS max_amount, n%10=4 AS has_extra
+    FROM ({_CHANGES}) WHERE n%10<>7""",
+)
 def _(spark, folder):
+    """The published payload, with its fields read back."""
     valid = _rule_changes(spark, folder).filter(~F.col("json_spec").startswith("{not"))
-    return R.rule_payload(R.rule_versions(valid))
+    body = F.from_json("payload", "ruleId string, version long, enabled boolean, maxAmount long, bogus int")
+    return R.rule_payload(R.rule_versions(valid)).select(
+        "id", "version", "key", body["ruleId"].alias("rule_id"), body["version"].alias("published_version"),
+        body["enabled"].alias("enabled"), body["maxAmount"].alias("max_amount"), body["bogus"].isNotNull().alias("has_extra"),
+    )
 
 
 # Detection

@@ -129,14 +129,37 @@ def _(spark, folder):
     return G.saga_steps(*_inputs(spark, folder))
 
 
-@query("saga_detail")
+def _step_text(steps):
+    """Ordered steps as text, so that nested rows compare in any engine."""
+    return F.array_join(
+        F.transform(steps, lambda s: F.concat_ws(":", s["step_name"], s["status"], s["retry_count"].cast("string"))), ","
+    )
+
+
+_STEP_TEXT = """
+  t AS (SELECT saga_instance_id AS id, string_agg(step_name||':'||status||':'||retry_count, ',' ORDER BY step_order) AS steps FROM stp GROUP BY 1)"""
+
+
+@query(
+    "saga_detail",
+    f"WITH {_STEP_TEXT} SELECT id, saga_id, status, current_step, created_at, completed_at, t.steps AS steps FROM inst JOIN t USING (id)",
+)
 def _(spark, folder):
-    return G.saga_detail(*_inputs(spark, folder))
+    detail = G.saga_detail(*_inputs(spark, folder))
+    return detail.select("id", "saga_id", "status", "current_step", "created_at", "completed_at", _step_text(F.col("steps")).alias("steps"))
 
 
-@query("payment_full")
+@query(
+    "payment_full",
+    f"""WITH {_STEP_TEXT}, s AS (SELECT 'pay-'||id AS payment_id, saga_id, status AS saga_status, t.steps AS steps FROM inst JOIN t USING (id))
+    SELECT event_id, p.payment_id, account_id, saga_id, saga_status, steps FROM pay p LEFT JOIN s ON s.payment_id=p.payment_id""",
+)
 def _(spark, folder):
-    return G.payment_full(S.payments(spark, folder), *_inputs(spark, folder))
+    full = G.payment_full(S.payments(spark, folder), *_inputs(spark, folder))
+    return full.select(
+        "event_id", "payment_id", "account_id", F.col("saga.saga_id").alias("saga_id"), F.col("saga.status").alias("saga_status"),
+        _step_text(F.col("saga.steps")).alias("steps"),
+    )
 
 
 @query(
