@@ -11,15 +11,22 @@ from __future__ import annotations
 
 import itertools
 import json
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordered import CELL_ROWS, hot_keys, with_cells
+from ..sources import schemas
 from ..sources.schemas import PAYMENT_STEPS, StepDefinition
 
+# The fold travels with the job: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(schemas)
+
 _SAME = "\0"  # a step error that the cell has not touched
 _MERGE_EVERY = 1000
 
