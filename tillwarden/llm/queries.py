@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bpe, digest, langid, quality, shards, sketch_join, toxicity, url_filter
+from . import bpe, decontam, digest, langid, passages, quality, shards, sketch_join, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,6 +114,11 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return code_digests(coded_documents(read_table(spark, folder, "documents")))
 
 
+@query
+def op7_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.find(read_table(spark, folder, "documents"))
+
+
 @query
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shards.place(read_table(spark, folder, "documents"), "doc_id", SHARDS).select("doc_id", "slot", "shard")
@@ -124,3 +129,20 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     found = langid.identify(docs, langid.learn(docs, fold_of(3) != 1))
     return found.select("doc_id", (fold_of(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contained(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+def _shingle_sql(table: str, key: str) -> str:
+    return f"""SELECT DISTINCT {key}, array_to_string(w[i : i + 4], ' ') AS s FROM (
+        SELECT {key}, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM (
+        SELECT {key}, list_filter(string_split_regex(lower(text), '[ \\t-\\r]+'), lambda x: x <> '') AS w FROM {table}) WHERE len(w) > 0)"""
+
+
+ORACLES["op10_decontamination"] = f"""WITH d AS ({_shingle_sql("documents", "doc_id")}), b AS ({_shingle_sql("benchmark", "item_id")}),
+    n AS (SELECT item_id, count(*) AS n FROM b GROUP BY 1)
+    SELECT doc_id, item_id, c / n AS containment FROM (SELECT doc_id, item_id, count(*) AS c FROM d JOIN b USING (s) GROUP BY 1, 2) JOIN n USING (item_id)
+    WHERE c / n >= {decontam.CONTAINED}"""
