@@ -214,27 +214,30 @@ def find(docs: DataFrame) -> DataFrame:
     return both.select("doc", "low", "high", "here", "o_doc", "o_low", "o_high", "there").mapInArrow(_check, columns).distinct()
 
 
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without the words of the given stretches; white space before a stretch goes with it."""
-    for batch in batches:
-        out = []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-            raw = (text or "").encode()
-            starts, ends, _ = find_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
-            kept, last = [], 0
-            for s in sorted(spans, key=lambda s: (s["first_word"], s["n_words"])):
-                if s["first_word"] >= len(starts):
-                    continue
-                low = int(ends[s["first_word"] - 1]) if s["first_word"] else 0
-                high = int(ends[min(s["first_word"] + s["n_words"], len(ends)) - 1])
-                if low > last:
-                    kept.append(raw[last:low])
-                last = max(last, high)
-            kept.append(raw[last:])
-            out.append(b"".join(kept).decode().lstrip() if spans else text)
-        at = batch.schema.names.index("text")
-        columns = [pa.array(out, pa.string()) if i == at else c for i, c in enumerate(batch.columns) if batch.schema.names[i] != "spans"]
-        yield pa.RecordBatch.from_arrays(columns, [n for n in batch.schema.names if n != "spans"])
+def _without(column: str):
+    """Texts without the words of the stretches in ``column``; white space before a stretch goes with it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column(column).to_pylist(), strict=True):
+                raw = (text or "").encode()
+                starts, ends, _ = find_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+                kept, last = [], 0
+                for s in sorted(spans, key=lambda s: (s["first_word"], s["n_words"])):
+                    if s["first_word"] >= len(starts):
+                        continue
+                    low = int(ends[s["first_word"] - 1]) if s["first_word"] else 0
+                    high = int(ends[min(s["first_word"] + s["n_words"], len(ends)) - 1])
+                    if low > last:
+                        kept.append(raw[last:low])
+                    last = max(last, high)
+                kept.append(raw[last:])
+                out.append(b"".join(kept).decode().lstrip())
+            names = [n for n in batch.schema.names if n != column]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if n == "text" else batch.column(n) for n in names], names)
+
+    return run
 
 
 def cut(docs: DataFrame, passages: DataFrame) -> DataFrame:
@@ -242,11 +245,14 @@ def cut(docs: DataFrame, passages: DataFrame) -> DataFrame:
 
     Columns stay as they are, but for ``n_chars``, which is counted anew where there is one.
     """
-    spans = passages.select("doc_id", F.struct("first_word", "n_words").alias("one")).groupBy("doc_id").agg(F.collect_set("one").alias("_spans"))
-    held = docs.join(spans, "doc_id", "left").select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_spans").alias("spans"))
+    own = "_stretches"
+    while own in docs.columns:
+        own += "_"
+    spans = passages.select("doc_id", F.struct("first_word", "n_words").alias("one")).groupBy("doc_id").agg(F.collect_set("one").alias(own))
+    held = docs.join(spans, "doc_id", "left").select(*[F.col(f"`{c}`") for c in docs.columns], own)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    plain = held.filter("spans is null").drop("spans")
-    less = held.filter("spans is not null").mapInArrow(_without, columns).filter("text <> ''")
+    plain = held.filter(F.col(own).isNull()).drop(own)
+    less = held.filter(F.col(own).isNotNull()).mapInArrow(_without(own), columns).filter("text <> ''")
     if "n_chars" in docs.columns:
         less = less.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return plain.unionByName(less)
