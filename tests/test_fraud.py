@@ -101,3 +101,21 @@ def test_detect_asof_equals_detect_inside_a_span(spark):
 def test_keep_scores_only_wanted_rows(spark):
     kept = fraud.detect(_burst(spark), DEFAULT_RULE, _profiles(spark), keep=F.col("seq") == 4).collect()
     assert [(r.seq, r.structuring) for r in kept] == [(4, True)]
+
+
+def test_payments_far_from_any_rule_are_scored(spark):
+    log = _log(spark, ("r1", 2, True, 9050.0, BASE + 2000))
+    far = _burst(spark).select(*[F.col(c) for c in _burst(spark).columns if c != "occurred_ms"], F.lit(-86_400_000).cast("long").alias("occurred_ms"))
+    late = far.withColumn("occurred_ms", F.lit(9_999_999_999_999).cast("long"))
+    both = far.unionByName(late).unionByName(_burst(spark))
+    scored = fraud.detect_asof(both, log, _profiles(spark))
+    assert scored.count() == both.count() == fraud.detect(both, DEFAULT_RULE, _profiles(spark)).count()
+    assert {r.rule_id for r in scored.filter("occurred_ms < 0").collect()} == {"rule-default"}
+    assert {r.rule_id for r in scored.filter("occurred_ms > 4e12").collect()} == {"r1"}
+    assert rules.rule_asof(both, log.limit(0)).count() == both.count()
+
+
+def test_rule_without_start_holds_from_its_ingest_time(spark):
+    log = _log(spark, ("r1", 2, True, 9050.0, BASE + 2000))
+    ingested = log.withColumnRenamed("valid_from", "ingest_ts")
+    assert sorted(map(tuple, rules.rule_intervals(ingested).collect())) == sorted(map(tuple, rules.rule_intervals(log).collect()))

@@ -63,6 +63,22 @@ def test_idempotency(spark):
         assert got == {1: "created", 2: "idempotent_hit", 3: "failed", 4: "created", 5: "created", 6: "created"}
 
 
+def test_equal_arrivals_create_once(spark):
+    df = spark.createDataFrame([("k", "a", 1), ("k", "a", 1), ("k", "b", 1)], "idempotency_key string, body string, arrival int")
+    for limit in (None, 1):
+        outcomes = sorted(r.outcome for r in ledger.idempotency_outcome(df, limit).collect())
+        assert outcomes.count("created") == 1 and len(outcomes) == 3
+
+
+def test_commands_of_one_payment_get_versions_in_order(spark):
+    at = _at(2026, 1, 1)
+    rows = [("s2", 7, "p", "a", Decimal(1), "USD", at), ("s1", 3, "p", "a", Decimal(1), "USD", at), ("s1", 9, "p", "a", Decimal(1), "USD", at)]
+    commands = spark.createDataFrame(rows, "saga_id string, seq long, payment_id string, account_id string, amount decimal(19,4), currency string, occurred_at timestamp")
+    stored = spark.createDataFrame([("p", 1)], "aggregate_id string, version int")
+    got = {r.event_id: r.version for r in ledger.settled_events(commands, stored).collect()}
+    assert sorted(got.values()) == [2, 3] and len(got) == 2
+
+
 def test_command_replay_gives_stored_reply(spark):
     commands = spark.createDataFrame(
         [("s1", "L", 1, "r1"), ("s1", "L", 2, "r2"), ("s2", "L", 3, "r3")], "saga_id string, step_name string, seq long, reply_payload string"

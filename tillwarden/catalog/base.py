@@ -114,6 +114,21 @@ CTES = {
       SELECT sig.*, sc>=3 AND ss>9900 AS structuring, CASE WHEN tight THEN vt>2 ELSE vd>50 END AS velocity,
         CASE WHEN tight THEN 'rule-tight' ELSE 'rule-default' END AS rule_id, coalesce(baseline_risk,0.1e0) AS baseline_risk
       FROM sig LEFT JOIN prof ON user_id=account_id""",
+    "payx": """
+      SELECT * REPLACE (occurred_at + to_milliseconds(shift) AS occurred_at, occurred_ms + shift AS occurred_ms) FROM
+        (SELECT *, CASE seq%97 WHEN 0 THEN -1893456000000 WHEN 1 THEN 3155760000000 ELSE 0 END AS shift FROM pay)""",
+    "sigx": """
+      SELECT *, amount>10000 AS amount_over_max, contains(lower(merchant_id),':foreign') AS geo_anomaly,
+        count(*) OVER vd AS vd, count(*) OVER vt AS vt,
+        count(*) FILTER (amount<9900) OVER st AS sc, coalesce(sum(amount) FILTER (amount<9900) OVER st, 0) AS ss,
+        occurred_at >= TIMESTAMP '2024-01-10' AND occurred_at < TIMESTAMP '2024-01-20' AS tight
+      FROM payx WINDOW vd AS (PARTITION BY account_id ORDER BY occurred_ms RANGE BETWEEN 3600000 PRECEDING AND CURRENT ROW),
+        vt AS (PARTITION BY account_id ORDER BY occurred_ms RANGE BETWEEN 21600000 PRECEDING AND CURRENT ROW),
+        st AS (PARTITION BY account_id ORDER BY occurred_ms RANGE BETWEEN 86400000 PRECEDING AND CURRENT ROW)""",
+    "scoredx": """
+      SELECT sigx.*, sc>=3 AND ss>9900 AS structuring, CASE WHEN tight THEN vt>2 ELSE vd>50 END AS velocity,
+        CASE WHEN tight THEN 'rule-tight' ELSE 'rule-default' END AS rule_id, coalesce(baseline_risk,0.1e0) AS baseline_risk
+      FROM sigx LEFT JOIN prof ON user_id=account_id""",
     "scored0": """
       SELECT sig.*, sc>=3 AND ss>9900 AS structuring, vd>50 AS velocity, 'rule-default' AS rule_id, coalesce(baseline_risk,0.1e0) AS baseline_risk
       FROM sig LEFT JOIN prof ON user_id=account_id""",

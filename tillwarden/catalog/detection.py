@@ -464,25 +464,32 @@ def _(spark, folder):
 
 @query(
     "active_rule",
-    """SELECT e.event_id, 'rule-default' AS rule_id, CAST(1 AS BIGINT) AS version, 10000e0 AS max_amount FROM pay e""",
-)
-def _(spark, folder):
-    rule = R.active_rule(S.rule_log(spark))
-    return S.payments(spark, folder).select(
-        "event_id",
-        F.lit(rule.rule_id).alias("rule_id"),
-        F.lit(rule.version).cast("long").alias("version"),
-        F.lit(rule.max_amount).alias("max_amount"),
-    )
+    """SELECT event_id, records, CASE records WHEN 2 THEN 'rule-tight' ELSE 'rule-default' END AS rule_id, CAST(1 AS BIGINT) AS version,
+      CASE records WHEN 2 THEN 21600000 ELSE 3600000 END AS velocity_window_ms FROM pay, (VALUES (1), (2), (3)) r(records)""",
+)
+def _(spark, folder):
+    """The rule in force after one, two and all three records of the log."""
+    made = None
+    for records in (1, 2, 3):
+        rule = R.active_rule(S.rule_log(spark).filter(F.col("offset") < records))
+        one = S.payments(spark, folder).select(
+            "event_id",
+            F.lit(records).alias("records"),
+            F.lit(rule.rule_id).alias("rule_id"),
+            F.lit(rule.version).cast("long").alias("version"),
+            F.lit(rule.velocity_window_ms).cast("long").alias("velocity_window_ms"),
+        )
+        made = one if made is None else made.unionByName(one)
+    return made
 
 
 @query(
     "rule_asof",
     """SELECT event_id, CASE WHEN tight THEN 'rule-tight' ELSE 'rule-default' END AS rule_id, CAST(1 AS BIGINT) AS version,
-      CASE WHEN tight THEN 21600000 ELSE 3600000 END AS velocity_window_ms FROM sig""",
+      CASE WHEN tight THEN 21600000 ELSE 3600000 END AS velocity_window_ms FROM sigx""",
 )
 def _(spark, folder):
-    joined = R.rule_asof(S.payments(spark, folder), S.rule_log(spark))
+    joined = R.rule_asof(S.far_payments(spark, folder), S.rule_log(spark))
     return joined.select("event_id", "rule_id", "version", "velocity_window_ms")
 
 
@@ -504,17 +511,17 @@ def _(spark, folder):
 
 @query(
     "rule_payload",
-    f"""SELECT id, CAST(version AS BIGINT) AS version, id AS "key", id AS rule_id, CAST(version AS BIGINT) AS published_version,
-      enabled AND action<>'delete' AS enabled, CAST(round(c_acctbal) AS BIGINT) AS max_amount, n%10=4 AS has_extra
-    FROM ({_CHANGES}) WHERE n%10<>7""",
+    f"""SELECT id, CAST(version AS BIGINT) AS version, id AS "key", CASE WHEN ok THEN id END AS rule_id, CASE WHEN ok THEN CAST(version AS BIGINT) END AS published_version,
+      CASE WHEN ok THEN enabled AND action<>'delete' END AS enabled, CASE WHEN ok THEN CAST(round(c_acctbal) AS BIGINT) END AS max_amount, n%10=4 AS has_extra,
+      CASE WHEN NOT ok THEN 'invalid rule spec' END AS error
+    FROM (SELECT *, n%10<>7 AS ok FROM ({_CHANGES}))""",
 )
 def _(spark, folder):
-    """The published payload, with its fields read back."""
-    valid = _rule_changes(spark, folder).filter(~F.col("json_spec").startswith("{not"))
+    """The published payload, with its fields read back; some specs are no JSON."""
     body = F.from_json("payload", "ruleId string, version long, enabled boolean, maxAmount long, bogus int")
-    return R.rule_payload(R.rule_versions(valid)).select(
+    return R.rule_payload(R.rule_versions(_rule_changes(spark, folder))).select(
         "id", "version", "key", body["ruleId"].alias("rule_id"), body["version"].alias("published_version"),
-        body["enabled"].alias("enabled"), body["maxAmount"].alias("max_amount"), body["bogus"].isNotNull().alias("has_extra"),
+        body["enabled"].alias("enabled"), body["maxAmount"].alias("max_amount"), body["bogus"].isNotNull().alias("has_extra"), "error",
     )
 
 
@@ -563,10 +570,10 @@ def _(spark, folder):
 
 
 def scored(spark, folder):
-    return D.detect_asof(S.payments(spark, folder), S.rule_log(spark), S.profiles(spark, folder))
+    return D.detect_asof(S.far_payments(spark, folder), S.rule_log(spark), S.profiles(spark, folder))
 
 
-@query("fraud_scores", f"SELECT event_id, account_id, payment_id, rule_id, {SCORE} AS score, {REASONS} AS reasons FROM scored")
+@query("fraud_scores", f"SELECT event_id, account_id, payment_id, rule_id, {SCORE} AS score, {REASONS} AS reasons FROM scoredx")
 def _(spark, folder):
     return scored(spark, folder).select("event_id", "account_id", "payment_id", "rule_id", "score", "reasons")
 
@@ -576,7 +583,7 @@ _ALERTS = f"""
     occurred_ms, occurred_at, CAST(CAST(occurred_at AS DATE) AS VARCHAR) AS alert_date"""
 
 
-@query("fraud_alerts", f"SELECT * FROM ({_ALERTS} FROM scored) WHERE reasons<>''")
+@query("fraud_alerts", f"SELECT * FROM ({_ALERTS} FROM scoredx) WHERE reasons<>''")
 def _(spark, folder):
     return D.fraud_alerts(scored(spark, folder))
 
@@ -589,7 +596,7 @@ def _(spark, folder):
 
 @query(
     "latest_scores",
-    f"SELECT account_id AS user_id, {SCORE} AS score, payment_id AS last_payment_id, occurred_ms AS updated_at FROM scored"
+    f"SELECT account_id AS user_id, {SCORE} AS score, payment_id AS last_payment_id, occurred_ms AS updated_at FROM scoredx"
     " QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY seq DESC)=1",
 )
 def _(spark, folder):
@@ -634,8 +641,7 @@ _MINUTE_AS_OF = "2024-01-20 12:07:30"
 def _(spark, folder):
     from .warehouse import alerts
 
-    seen = alerts(spark, folder).filter(F.col("occurred_at") <= literal_time(_MINUTE_AS_OF))
-    return V.alerts_per_minute(seen, literal_time(_MINUTE_AS_OF), 300)
+    return V.alerts_per_minute(alerts(spark, folder), literal_time(_MINUTE_AS_OF), 300)
 
 
 @query(

@@ -125,13 +125,18 @@ def _commands(spark, folder):
 
 @query(
     "settled_events",
-    """SELECT md5('saga-'||o_orderkey||'|LEDGER_APPLY') AS event_id, 'pay-'||o_orderkey AS aggregate_id, 'PaymentSettledV1' AS event_type,
-      2 AS version, 'acc-'||o_custkey AS account_id, CAST(round(CAST(o_totalprice/8 AS DECIMAL(19,4)),2) AS DOUBLE) AS amount, 'USD' AS currency, start AS occurred_at
-    FROM ord WHERE path='C'""",
+    """SELECT md5(saga_id||'|LEDGER_APPLY') AS event_id, 'pay-'||o_orderkey AS aggregate_id, 'PaymentSettledV1' AS event_type,
+      CAST(2 + row_number() OVER (PARTITION BY o_orderkey ORDER BY saga_id) AS INT) AS version, 'acc-'||o_custkey AS account_id,
+      CAST(round(CAST(o_totalprice/8 AS DECIMAL(19,4)),2) AS DOUBLE) AS amount, 'USD' AS currency, start AS occurred_at
+    FROM (SELECT *, 'saga-'||o_orderkey||again AS saga_id FROM ord, (VALUES (''),('-again')) a(again) WHERE path='C' AND (again='' OR o_orderkey%5=0))""",
 )
 def _(spark, folder):
-    initiated = S.event_store(spark, folder).filter(F.col("version") == 1)
-    return L.settled_events(_commands(spark, folder), initiated)
+    """Payments with two sagas and with stored versions; both count on from there."""
+    commands = _commands(spark, folder)
+    again = commands.filter(F.col("payment_id").rlike("[05]$")).withColumns(
+        {"saga_id": F.concat("saga_id", F.lit("-again")), "seq": F.col("seq") + 5}
+    )
+    return L.settled_events(commands.unionByName(again), S.event_store(spark, folder))
 
 
 @query(
@@ -163,6 +168,20 @@ def _(spark, folder):
     return result.select("idempotency_key", "key_hash", "body", "requested_at", "account_id", "outcome")
 
 
+@query(
+    "idempotency_equal_arrivals",
+    """WITH r AS (SELECT idempotency_key, body||CASE WHEN c=1 THEN 'x' ELSE '' END AS body, requested_at FROM req, (VALUES (0),(1)) v(c) WHERE c=0 OR body LIKE '1%')
+    SELECT idempotency_key, body, requested_at, CASE WHEN row_number() OVER w = 1 THEN 'created' WHEN body = first_value(body) OVER w THEN 'idempotent_hit' ELSE 'failed' END AS outcome
+    FROM r WINDOW w AS (PARTITION BY idempotency_key ORDER BY requested_at, sha256(body))""",
+)
+def _(spark, folder):
+    """Requests that arrive at once, some with another body: one of each key is created."""
+    copies = F.when(F.col("body").startswith("1"), F.array(F.lit(""), F.lit("x"))).otherwise(F.array(F.lit("")))
+    requests = S.requests(spark, folder).withColumn("arrival", F.col("requested_at")).withColumn("copy", F.explode(copies))
+    result = L.idempotency_outcome(requests.withColumn("body", F.concat("body", "copy")))
+    return result.select("idempotency_key", "body", "requested_at", "outcome")
+
+
 @query(
     "idempotency_records",
     "SELECT sha256(idempotency_key) AS key_hash, sha256(body) AS request_hash, requested_at AS created_at, requested_at + INTERVAL 1 DAY AS expires_at FROM req WHERE rn=1",

@@ -45,10 +45,15 @@ def _(spark, folder):
     return Q.accepted_values(payments(spark, folder), "currency", ["USD", "EUR"])
 
 
-@query("dq_accepted_segments", "SELECT 'x' AS risk_segment, 0 AS rows WHERE false")
+@query(
+    "dq_accepted_segments",
+    "SELECT 'EXTREME' AS risk_segment, count(*) AS rows FROM (SELECT DISTINCT account_id FROM sp WHERE account_id LIKE '%3') HAVING count(*)>0",
+)
 def _(spark, folder):
+    """Customers whose account ends in 3 have a segment that is not accepted."""
     mart = W.mart_customer_risk_rfm(activity(spark, folder), literal_time(S.AS_OF))
-    return Q.accepted_values(mart, "risk_segment", ["LOW", "MEDIUM", "HIGH"])
+    odd = F.when(F.col("account_id").endswith("3"), "EXTREME").otherwise(F.col("risk_segment"))
+    return Q.accepted_values(mart.withColumn("risk_segment", odd), "risk_segment", ["LOW", "MEDIUM", "HIGH"])
 
 
 @query("dq_positive_amount", "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal<0")
@@ -88,10 +93,13 @@ def _(spark, folder):
     return Q.event_version(S.event_store(spark, folder))
 
 
-@query("dq_fact_keys", "SELECT 'x' AS merchant_sk, 0 AS rows WHERE false")
+@query(
+    "dq_fact_keys",
+    "SELECT md5(merchant_id) AS merchant_sk, count(*) AS rows FROM sp WHERE merchant_id LIKE 'm-1%' GROUP BY 1",
+)
 def _(spark, folder):
-    """Every merchant key of the facts is in its dimension."""
-    merchants = W.dim_merchant(W.int_merchants_latest(payments(spark, folder)))
+    """Merchant keys of the facts that are not in a dimension without the merchants m-1*."""
+    merchants = W.dim_merchant(W.int_merchants_latest(payments(spark, folder))).filter(~F.col("merchant_id").startswith("m-1"))
     return Q.relationships(facts(spark, folder), "merchant_sk", merchants, "merchant_sk")
 
 

@@ -279,12 +279,12 @@ def _(spark, folder):
 # Charts
 
 
-@query("chart_revenue", f"SELECT revenue_date, sum(total_revenue) AS sum_total_revenue FROM ({_REVENUE}) GROUP BY 1 ORDER BY 1 LIMIT 10000")
+@query("chart_revenue", f"SELECT revenue_date, sum(total_revenue) AS sum_total_revenue FROM ({_REVENUE}) GROUP BY 1 ORDER BY 1")
 def _(spark, folder):
     return V.chart(W.mart_daily_revenue(facts(spark, folder)), ["revenue_date"], F.sum("total_revenue"), "sum_total_revenue")
 
 
-@query("chart_risk", f"SELECT report_date, CAST(sum(alert_count) AS BIGINT) AS sum_alert_count FROM ({_RISK}) GROUP BY 1 ORDER BY 1 LIMIT 10000")
+@query("chart_risk", f"SELECT report_date, CAST(sum(alert_count) AS BIGINT) AS sum_alert_count FROM ({_RISK}) GROUP BY 1 ORDER BY 1")
 def _(spark, folder):
     return V.chart(W.mart_daily_risk_report(alert_facts(spark, folder)), ["report_date"], F.sum("alert_count"), "sum_alert_count")
 
@@ -301,7 +301,7 @@ def _(spark, folder):
 
 @query(
     "chart_merchant",
-    f"SELECT merchant_id, CAST(sum(alert_count) AS BIGINT) AS sum_alert_count FROM ({_MERCHANT}) GROUP BY 1 ORDER BY 1 LIMIT 10000",
+    f"SELECT merchant_id, CAST(sum(alert_count) AS BIGINT) AS sum_alert_count FROM ({_MERCHANT}) GROUP BY 1 ORDER BY 1",
 )
 def _(spark, folder):
     return V.chart(merchant_mart(spark, folder), ["merchant_id"], F.sum("alert_count"), "sum_alert_count")
@@ -315,7 +315,7 @@ def _(spark, folder):
 @query(
     "chart_aml_total",
     "SELECT event_date, CAST(sum(t) AS DOUBLE) AS sum_daily_total FROM (SELECT account_id, CAST(event_date AS VARCHAR) AS event_date,"
-    " sum(amount) AS t FROM sp WHERE amount<9900 GROUP BY 1,2 HAVING count(*)>=3 AND sum(amount)>=9900) GROUP BY 1 ORDER BY 1 LIMIT 10000",
+    " sum(amount) AS t FROM sp WHERE amount<9900 GROUP BY 1,2 HAVING count(*)>=3 AND sum(amount)>=9900) GROUP BY 1 ORDER BY 1",
 )
 def _(spark, folder):
     mart = W.mart_aml_structuring_patterns(facts(spark, folder))

@@ -6,27 +6,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scale
 from .ordered import UNKNOWN, hot_keys, with_hot_flag
 
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 48 << 20
 SALTS = 64
 
 
-def is_small(df: DataFrame, rows: int | None = None) -> bool:
-    """Counts at most ``rows + 1`` rows."""
-    rows = rows or scale(df.sparkSession, "broadcast_rows", BROADCAST_ROWS)
-    return df.limit(rows + 1).count() <= rows
+def data_bytes(df: DataFrame) -> int:
+    """Size of the rows, from one distributed aggregate: text by its length, other fields by eight bytes."""
+    fields = df.schema.fields
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in fields if isinstance(f.dataType, T.StringType)]
+    width = 8 * (len(fields) + 2)
+    return df.agg(F.sum(sum(texts, F.lit(width)).cast("long"))).first()[0] or 0
 
 
-def local_copy(df: DataFrame, rows: int = 1000) -> DataFrame | None:
-    """The rows as a literal table of the plan when there are at most ``rows`` of them, else None.
-
-    For configuration that a plan mentions several times: its own plan then runs once.
-    """
-    table = df.limit(rows + 1).toArrow()
-    return df.sparkSession.createDataFrame(table, df.schema) if table.num_rows <= rows else None
+def is_small(df: DataFrame, most: int | None = None) -> bool:
+    return data_bytes(df) <= (most or scale(df.sparkSession, "broadcast_bytes", BROADCAST_BYTES))
 
 
 def salted_join(
@@ -59,11 +57,11 @@ def lookup_join(
     right: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    rows: int | None = None,
+    most: int | None = None,
     hot: DataFrame | None = UNKNOWN,
 ) -> DataFrame:
-    """Broadcasts ``right`` when a count proves it small, else salts the hot keys of ``left``."""
-    if is_small(right, rows):
+    """Broadcasts ``right`` when its measured bytes are few, else salts the hot keys of ``left``."""
+    if is_small(right, most):
         return left.join(F.broadcast(right), list(keys), how)
     return salted_join(left, right, keys, how, hot=hot)
 

@@ -24,7 +24,6 @@ from ..session import scale
 HOT_ROWS = 2_000_000
 CELL_MS = 600_000
 CELL_ROWS = 1_000_000
-SMALL_BYTES = 64 << 20
 UNKNOWN = object()
 
 _CELL = "_cell"
@@ -32,23 +31,9 @@ _HOT = "_hot"
 _LEAD = "_lead"
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate; None where it cannot be asked."""
-    plan = getattr(df, "_jdf", None)
-    return None if plan is None else int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame | None:
-    """Keys with more than ``limit`` rows: at most rows / limit of them, whatever the data.
-
-    None means that no key needs care: without an explicit limit a table that is estimated to be small
-    is not counted. The estimate decides on speed only, results are the same either way.
-    """
-    if limit is None:
-        size = estimated_bytes(df)
-        if size is not None and size < scale(df.sparkSession, "small_bytes", SMALL_BYTES):
-            return None
-        limit = scale(df.sparkSession, "hot_rows", HOT_ROWS)
+def hot_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame:
+    """Keys with more than ``limit`` rows: at most rows / limit of them, whatever the data."""
+    limit = limit if limit is not None else scale(df.sparkSession, "hot_rows", HOT_ROWS)
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).select(*keys)
 
 

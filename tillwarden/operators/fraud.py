@@ -113,14 +113,12 @@ def detect_asof(payments: DataFrame, rules: DataFrame, profiles: DataFrame, **tu
         .withColumn("structuring_ms", F.col("structuring_window_hours") * HOUR_MS)
         .withColumn("_reach", F.greatest("velocity_window_ms", "structuring_ms"))
     )
-    seen = join_spans(
-        payments, spans, F.greatest(F.lit(0), F.col("from_ms") - F.col("_reach")), F.col("to_ms")
-    ).drop("_reach")
+    seen = join_spans(payments, spans, F.col("from_ms") - F.col("_reach"), F.col("to_ms")).drop("_reach")
     sums = [
         LookBack("window_count", "velocity_window_ms", F.lit(1).cast("long")),
         *_structuring_sums(F.col("structuring_threshold"), "structuring_ms"),
     ]
-    own = F.col("occurred_ms") >= F.col("from_ms")
+    own = F.col("from_ms").isNull() | (F.col("occurred_ms") >= F.col("from_ms"))
     swept = look_back(seen, ["account_id", "rule_seq"], "occurred_ms", "seq", sums, keep=own, **tuning)
     signals = swept.withColumns(
         {

@@ -141,18 +141,21 @@ def payment_state(events: DataFrame) -> DataFrame:
 def settled_events(commands: DataFrame, existing: DataFrame, step: str = "LEDGER_APPLY") -> DataFrame:
     """Settled event per ledger command: same payment, amount rounded to cents, no merchant.
 
-    The event id is a hash of saga and step, so a replayed command gives the same event.
+    Commands of one payment get the versions after its stored ones, in ``seq`` order. The event id is a hash of saga and step, so a replayed command gives the same event.
     """
     once = first_per_key(commands, ["saga_id"], F.col("seq").asc())
     known = aggregate_versions(existing).select(
         F.col("aggregate_id").alias("payment_id"), F.col("version").alias("_max")
     )
-    joined = once.join(known, "payment_id", "left")
+    rows = once.withColumn("_n", F.lit(1).cast("long"))
+    hot = hot_keys(once, ["payment_id"])
+    numbered = running_totals(rows, ["payment_id"], ["seq", "saga_id"], "seq", ["_n"], CELL_ROWS, hot=hot)
+    joined = salted_join(numbered, known, ["payment_id"], "left", hot=hot)
     return joined.select(
         F.md5(F.concat_ws("|", "saga_id", F.lit(step))).alias("event_id"),
         F.col("payment_id").alias("aggregate_id"),
         F.lit("PaymentSettledV1").alias("event_type"),
-        (F.coalesce(F.col("_max"), F.lit(0)) + 1).cast("int").alias("version"),
+        (F.coalesce(F.col("_max"), F.lit(0)) + F.col("_n")).cast("int").alias("version"),
         "account_id",
         money("amount").alias("amount"),
         "currency",
@@ -160,33 +163,23 @@ def settled_events(commands: DataFrame, existing: DataFrame, step: str = "LEDGER
     )
 
 
-def settled_payload(settled: DataFrame) -> DataFrame:
-    body = F.struct(
-        F.col("event_id").alias("eventId"),
-        F.col("aggregate_id").alias("paymentId"),
-        F.col("account_id").alias("accountId"),
-        F.col("amount").cast("decimal(19,2)").alias("amount"),
-        "currency",
-        F.date_format("occurred_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("occurredAt"),
-    )
-    return settled.withColumn("payload", F.to_json(body))
-
-
 def idempotency_outcome(requests: DataFrame, limit: int | None = None) -> DataFrame:
     """Outcome per request: ``created``, ``idempotent_hit`` or ``failed`` (key reused for another body).
 
-    A request without a key is always created. Expiry is stored but not consulted on lookup.
+    A request without a key is always created. Of requests of one key and arrival the one with the least hash is
+    first, then one of equal ones; so a key is created once. Expiry is stored but not consulted on lookup.
     """
     hashed = requests.withColumn("request_hash", F.sha2("body", 256))
+    hashed = hashed.withColumn("_place", F.struct("arrival", "request_hash", F.monotonically_increasing_id().alias("row")))
     has_key = F.coalesce(F.col("idempotency_key").rlike(r"\S"), F.lit(False))
     same = F.col("request_hash") == F.col("_first.request_hash")
     outcome = (
-        F.when(F.col("arrival") == F.col("_first.arrival"), "created").when(same, "idempotent_hit").otherwise("failed")
+        F.when(F.col("_place") == F.col("_first._place"), "created").when(same, "idempotent_hit").otherwise("failed")
     )
-    seen = with_first(hashed.filter(has_key), ["idempotency_key"], "arrival", ["request_hash"], limit)
+    seen = with_first(hashed.filter(has_key), ["idempotency_key"], "_place", ["request_hash"], limit)
     judged = seen.withColumn("outcome", outcome).withColumn("key_hash", F.sha2("idempotency_key", 256)).drop("_first")
     plain = hashed.filter(~has_key).withColumn("outcome", F.lit("created"))
-    return judged.unionByName(plain.withColumn("key_hash", F.lit(None).cast("string")))
+    return judged.unionByName(plain.withColumn("key_hash", F.lit(None).cast("string"))).drop("_place")
 
 
 def idempotency_records(requests: DataFrame) -> DataFrame:

@@ -11,7 +11,6 @@ from ..functions.ordered import exact_percentile, running_totals
 from ..sources.schemas import PAYMENT_STEPS
 
 TIMEOUT_SECONDS = 30
-STUCK_LIMIT = 100
 _HOUR_MS = 3_600_000
 
 
@@ -184,16 +183,10 @@ def payments_with_saga(payments: DataFrame, events: DataFrame) -> DataFrame:
     return salted_join(payments, state, ["payment_id"], "left")
 
 
-def stuck_sagas(failures: DataFrame, instances: DataFrame, limit: int = STUCK_LIMIT) -> DataFrame:
-    """Unresolved failures, newest first, then problem sagas without a failure record.
-
-    Each part takes at most ``limit`` rows before it is looked up or filtered; ties go by saga id.
-    """
-    open_failures = failures.filter(~F.col("resolved")).orderBy(F.col("created_at").desc(), "saga_id").limit(limit)
+def stuck_sagas(failures: DataFrame, instances: DataFrame, limit: int | None = None) -> DataFrame:
+    """Unresolved failures and problem sagas without a failure record; a ``limit`` takes the newest of them all."""
     known = instances.select("saga_id", "saga_type", "status", "current_step")
-    # At most ``limit`` rows, so the failures are the side to broadcast; the outer side stays whole.
-    matched = known.join(F.broadcast(open_failures.select("saga_id")), "saga_id", "left_semi")
-    recorded = open_failures.join(matched, "saga_id", "left").select(
+    recorded = failures.filter(~F.col("resolved")).join(known, "saga_id", "left").select(
         "saga_id",
         F.coalesce("saga_type", F.lit("unknown")).alias("saga_type"),
         F.coalesce("status", F.lit("FAILED")).alias("status"),
@@ -202,13 +195,8 @@ def stuck_sagas(failures: DataFrame, instances: DataFrame, limit: int = STUCK_LI
         F.col("created_at").alias("created_at"),
         "resolved",
     )
-    problems = (
-        instances.filter(F.col("status").isin("FAILED", "COMPENSATING"))
-        .orderBy(F.col("updated_at").desc(), "saga_id")
-        .limit(limit)
-    )
-    recorded_ids = failures.select("saga_id").join(F.broadcast(problems.select("saga_id")), "saga_id", "left_semi")
-    unrecorded = problems.join(recorded_ids, "saga_id", "left_anti").select(
+    problems = instances.filter(F.col("status").isin("FAILED", "COMPENSATING"))
+    unrecorded = problems.join(failures.select("saga_id"), "saga_id", "left_anti").select(
         "saga_id",
         "saga_type",
         "status",
@@ -217,7 +205,8 @@ def stuck_sagas(failures: DataFrame, instances: DataFrame, limit: int = STUCK_LI
         F.col("updated_at").alias("created_at"),
         F.lit(False).alias("resolved"),
     )
-    return recorded.unionByName(unrecorded)
+    stuck = recorded.unionByName(unrecorded)
+    return stuck if limit is None else stuck.orderBy(F.col("created_at").desc(), "saga_id").limit(limit)
 
 
 def compensation_failures(log: DataFrame) -> DataFrame:

@@ -70,9 +70,9 @@ def valid_payments(parsed: DataFrame) -> DataFrame:
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
-    """Fixed value: the first 2000 characters are what a dead letter keeps of its record."""
+    """Rejected records with their whole text, so that they can be replayed; a display may cut it."""
     return parsed.filter(F.col("error").isNotNull()).select(
-        F.substring("value", 1, 2000).alias("raw"), "error", F.col("ingest_ts").alias("occurred_at")
+        F.col("value").alias("raw"), "error", F.col("ingest_ts").alias("occurred_at")
     )
 
 

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import first_per_key, local_copy, salted_join
+from ..functions.joins import first_per_key, lookup_join
 from ..sources.schemas import DEFAULT_RULE, FRAUD_RULE, FraudRule
 
 RULE_FIELDS = [f.name for f in FRAUD_RULE]
 BUCKET_MS = 30 * 24 * 3_600_000
-_FAR_MS = 4_102_444_800_000  # 2100-01-01
+#: Most copies of a span in a join by time buckets.
+BUCKETS = 1000
 
 
 def compact_latest(log: DataFrame, keys: Sequence[str], offset: str = "offset") -> DataFrame:
@@ -46,52 +47,54 @@ def _effective(rule: Column) -> list[Column]:
 
 
 def rule_intervals(log: DataFrame) -> DataFrame:
-    """Rules with the time span ``[from_ms, to_ms)`` in which each is in force.
+    """Rules with the time span ``[from_ms, to_ms)`` in which each is in force; NULL is an open end.
 
-    The log holds hand-made configuration changes, so ordering it in one task is no concern. A span
-    before the first record belongs to the built-in rule.
+    A record without ``valid_from`` holds from its ingest time on. The log holds hand-made configuration changes,
+    so ordering it in one task is no concern. A span before the first record belongs to the built-in rule.
     """
-    order = Window.orderBy("valid_from", "offset")
-    log = log.filter(F.col("valid_from").isNotNull())
+    start = F.col("valid_from") if "valid_from" in log.columns else F.lit(None).cast("timestamp")
+    if "ingest_ts" in log.columns:
+        start = F.coalesce(start, F.col("ingest_ts"))
+    log = log.withColumn("_start", F.unix_millis(start)).filter(F.col("_start").isNotNull())
+    order = Window.orderBy("_start", "offset")
     spans = log.select(
         *_effective(F.struct(*RULE_FIELDS)),
         F.col("offset").alias("rule_seq"),
-        F.unix_millis("valid_from").alias("from_ms"),
-        F.coalesce(F.unix_millis(F.lead("valid_from").over(order)), F.lit(_FAR_MS)).alias("to_ms"),
+        F.col("_start").alias("from_ms"),
+        F.lead("_start").over(order).alias("to_ms"),
     )
-    before = log.agg(F.coalesce(F.unix_millis(F.min("valid_from")), F.lit(_FAR_MS)).alias("to_ms")).select(
+    before = log.agg(F.min("_start").alias("to_ms")).select(
         *[F.lit(getattr(DEFAULT_RULE, f)).cast(FRAUD_RULE[f].dataType).alias(f) for f in RULE_FIELDS],
         F.lit(-1).cast("long").alias("rule_seq"),
-        F.lit(0).cast("long").alias("from_ms"),
+        F.lit(None).cast("long").alias("from_ms"),
         "to_ms",
     )
-    return spans.unionByName(before).filter(F.col("from_ms") < F.col("to_ms"))
+    # records of one instant: only the last one's span is not empty
+    return spans.unionByName(before).filter(F.coalesce(F.col("from_ms") < F.col("to_ms"), F.lit(True)))
 
 
 def join_spans(payments: DataFrame, spans: DataFrame, since: Column, until: Column) -> DataFrame:
-    """Payments with every span that covers them: an equi join on 30-day buckets, then the exact test.
+    """Payments with every span that covers them: an equi join on time buckets, then the exact test.
 
-    A short list of spans becomes a literal table; a long one joins by bucket like any other table.
+    Buckets reach from the first to the last end of any span. Payments before or after belong to the outermost
+    ones, and so do open spans (NULL ends): they are cut to this range, so a span has at most ``BUCKETS`` copies.
     """
-    copy = local_copy(spans)
-    spans = copy if copy is not None else spans
-    bucketed = spans.withColumn("_since", since).withColumn("_until", until)
-    bucketed = bucketed.withColumn(
-        "_bucket",
-        F.explode(
-            F.sequence(F.floor(F.col("_since") / BUCKET_MS), F.floor((F.col("_until") - 1) / BUCKET_MS))
-        ),
-    )
-    left = payments.withColumn("_bucket", F.floor(F.col("occurred_ms") / BUCKET_MS))
-    # Open spans cover at most 1,600 buckets, so a local copy bounds the broadcast. Buckets are few and
-    # large: without a broadcast they are salted.
-    if copy is not None:
-        joined = left.join(F.broadcast(bucketed), "_bucket")
-    else:
-        joined = salted_join(left, bucketed, ["_bucket"], "inner")
-    return joined.filter(
-        (F.col("occurred_ms") >= F.col("_since")) & (F.col("occurred_ms") < F.col("_until"))
-    ).drop("_bucket", "_since", "_until")
+    marked = spans.withColumn("_since", since).withColumn("_until", until)
+    ends = F.least(F.min("_since"), F.min("_until")), F.greatest(F.max("_since"), F.max("_until"))
+    low, high = marked.agg(*ends).first()  # two numbers
+    low, high = (0, 0) if low is None else (low, high)
+    width = max(BUCKET_MS, -(-(high - low + 1) // BUCKETS))
+
+    def bucket(at: Column) -> Column:
+        return F.floor((F.least(F.greatest(at, F.lit(low)), F.lit(high)) - low) / width)
+
+    first, last = bucket(F.coalesce("_since", F.lit(low))), bucket(F.coalesce("_until", F.lit(high)))
+    bucketed = marked.withColumn("_bucket", F.explode(F.sequence(first, last)))
+    left = payments.withColumn("_bucket", bucket(F.col("occurred_ms")))
+    joined = lookup_join(left, bucketed, ["_bucket"], "inner")
+    at = F.col("occurred_ms")
+    inside = (F.col("_since").isNull() | (at >= F.col("_since"))) & (F.col("_until").isNull() | (at < F.col("_until")))
+    return joined.filter(inside).drop("_bucket", "_since", "_until")
 
 
 def rule_asof(payments: DataFrame, log: DataFrame) -> DataFrame:
@@ -141,7 +144,8 @@ def rules_list(registry: DataFrame) -> DataFrame:
 def rule_payload(versions: DataFrame) -> DataFrame:
     """Published form of a rule: its spec with ruleId, version and enabled put in.
 
-    The spec is an object of any shape, so the fields are merged as a map of JSON values.
+    The spec is an object of any shape, so the fields are merged as a map of JSON values. A spec that is no JSON
+    object has no payload but an ``error``, so that it is not published.
     """
     # to_json of a map<string, variant> keeps numbers as numbers and nested values as they are.
     spec = F.from_json("json_spec", "map<string, variant>")
@@ -150,6 +154,11 @@ def rule_payload(versions: DataFrame) -> DataFrame:
     )
     reserved = F.array(F.lit("ruleId"), F.lit("version"), F.lit("enabled"))
     kept = F.map_filter(spec, lambda k, _: ~F.array_contains(reserved, k))
+    good = F.coalesce(~F.is_variant_null(F.try_parse_json("json_spec")), F.lit(False)) & spec.isNotNull()
     return versions.select(
-        "id", "version", F.col("id").alias("key"), F.to_json(F.map_concat(kept, own)).alias("payload")
+        "id",
+        "version",
+        F.col("id").alias("key"),
+        F.when(good, F.to_json(F.map_concat(kept, own))).alias("payload"),
+        F.when(~good, "invalid rule spec").alias("error"),
     )

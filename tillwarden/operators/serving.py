@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.columns import severity
 from ..functions.joins import first_per_key
 
-# Buffer sizes and page limits of the live views.
-RECENT_BUFFER = 200
+# Page sizes of the live views.
+RECENT_ALERTS = 200
 RECENT_DEFAULT = 50
-RECENT_MAX = 500
-CHART_ROWS = 10_000
 TABLE_ROWS = 50
 HISTOGRAM_BINS = 25
 
@@ -43,7 +41,7 @@ def alerts_by_severity(alerts: DataFrame) -> DataFrame:
 
 
 def alerts_per_minute(alerts: DataFrame, as_of: Column, minutes: int = 15) -> DataFrame:
-    """Alerts per clock minute over the last minutes, zero-filled, oldest first."""
+    """Alerts per clock minute over the last minutes up to ``as_of``, zero-filled, oldest first."""
     spark = alerts.sparkSession
     label = F.date_format("at", "HH:mm")
     spine = (
@@ -51,7 +49,8 @@ def alerts_per_minute(alerts: DataFrame, as_of: Column, minutes: int = 15) -> Da
         .select(F.timestamp_seconds(F.unix_seconds(as_of) - (minutes - 1 - F.col("id")) * 60).alias("at"), "id")
         .select("id", label.alias("minute"))
     )
-    recent = alerts.filter(F.unix_millis(as_of) - F.unix_millis("occurred_at") <= minutes * 60_000)
+    age = F.unix_millis(as_of) - F.unix_millis("occurred_at")
+    recent = alerts.filter(age.between(0, minutes * 60_000))
     counts = recent.groupBy(F.date_format("occurred_at", "HH:mm").alias("minute")).agg(F.count(F.lit(1)).alias("n"))
     return (
         spine.join(counts, "minute", "left")
@@ -60,10 +59,9 @@ def alerts_per_minute(alerts: DataFrame, as_of: Column, minutes: int = 15) -> Da
     )
 
 
-def recent_payments(payments: DataFrame, limit: int = RECENT_DEFAULT, arrival: str = "arrival", buffer: int = RECENT_BUFFER) -> DataFrame:
-    """Newest arrivals first; the limit is held in 1..500 and by the buffer."""
-    rows = min(max(1, min(RECENT_MAX, limit)), buffer)
-    return payments.orderBy(F.col(arrival).desc()).limit(rows)
+def recent_payments(payments: DataFrame, limit: int = RECENT_DEFAULT, arrival: str = "arrival") -> DataFrame:
+    """The ``limit`` newest arrivals, newest first."""
+    return payments.orderBy(F.col(arrival).desc()).limit(max(1, limit))
 
 
 def live_payments(snapshot: DataFrame, live: DataFrame, limit: int = 50) -> DataFrame:
@@ -73,13 +71,14 @@ def live_payments(snapshot: DataFrame, live: DataFrame, limit: int = 50) -> Data
     return merged.drop("_live").orderBy(F.col("occurred_at").desc(), "payment_id").limit(limit)
 
 
-def recent_alerts(alerts: DataFrame, limit: int = RECENT_BUFFER, arrival: str = "seq") -> DataFrame:
+def recent_alerts(alerts: DataFrame, limit: int = RECENT_ALERTS, arrival: str = "seq") -> DataFrame:
     return alerts.orderBy(F.col(arrival).desc(), "alert_id").limit(limit)
 
 
-def chart(mart: DataFrame, by: Sequence[str], metric: Column, name: str, rows: int = CHART_ROWS) -> DataFrame:
-    """Metric per group, at most ``rows`` groups in key order."""
-    return mart.groupBy(*by).agg(metric.alias(name)).orderBy(*by).limit(rows)
+def chart(mart: DataFrame, by: Sequence[str], metric: Column, name: str, rows: int | None = None) -> DataFrame:
+    """Metric per group in key order; a display may ask for the first ``rows`` groups."""
+    ordered = mart.groupBy(*by).agg(metric.alias(name)).orderBy(*by)
+    return ordered if rows is None else ordered.limit(rows)
 
 
 def chart_pivot(mart: DataFrame, index: str, series: str, metric: Column, values: Sequence[str], name: str) -> DataFrame:

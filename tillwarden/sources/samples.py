@@ -44,6 +44,13 @@ def payments(spark: SparkSession, folder: str) -> DataFrame:
     return shape_payments(read_table(spark, folder, "events"))
 
 
+def far_payments(spark: SparkSession, folder: str) -> DataFrame:
+    """Payments of which some lie sixty years earlier, before 1970, and some a hundred years later."""
+    shift = F.when(F.col("seq") % 97 == 0, -1_893_456_000_000).when(F.col("seq") % 97 == 1, 3_155_760_000_000).otherwise(0)
+    moved = payments(spark, folder).withColumn("occurred_ms", F.col("occurred_ms") + shift)
+    return moved.withColumn("occurred_at", F.timestamp_millis("occurred_ms"))
+
+
 def payment_arrivals(spark: SparkSession, folder: str) -> DataFrame:
     """Payments with a late, out-of-order ``arrival`` and repeated deliveries."""
     base = payments(spark, folder).withColumn("arrival", F.col("seq") * 100 + (F.col("seq") % 7) * 300 + F.col("seq") % 100)
