@@ -128,9 +128,9 @@ def test_live_status_mixes_but_saga_status_does_not(spark):
     assert got == {"p1": ("saga-1", "FAILED", "STARTED"), "p2": (None, None, None)}
 
 
-def test_recent_buffer(spark):
+def test_recent_payments(spark):
     df = spark.createDataFrame([("p1", 1), ("p2", 2), ("p3", 3)], "payment_id string, arrival long")
-    assert [r.payment_id for r in serving.recent_payments(df, 50, buffer=2).collect()] == ["p3", "p2"]
+    assert [r.payment_id for r in serving.recent_payments(df, 2).collect()] == ["p3", "p2"]
     assert len(serving.recent_payments(df, 0).collect()) == 1
 
 

@@ -91,7 +91,9 @@ def test_replayed_batch_leaves_the_same_rows(spark, data, topic):
     assert [n for n, _ in sent].count("fraud_alerts") == 4 and sent[-3:] == sent[-6:-3]
 
 
-def test_balances_with_copies_in_other_batches(spark, data):
+@pytest.mark.parametrize("merge_every", [2, 16])
+def test_balances_with_copies_in_other_batches(spark, data, monkeypatch, merge_every):
+    monkeypatch.setattr(jobs, "MERGE_EVERY", merge_every)
     folder = shared_dir(spark, "arrivals")
     arrivals = S.payment_arrivals(spark, data).drop("k", "occurred_ms")
     third = F.col("seq") < 400
@@ -105,7 +107,7 @@ def test_balances_with_copies_in_other_batches(spark, data):
     jobs.balances(stream, root).awaitTermination()
     unique = landing.dedup_first(arrivals, ["event_id"])
     names = ["account_id", "currency", "balance", "last_occurred_at"]
-    assert _set(jobs.newest_batch(spark, root, "account_balance"), *names) == _set(ledger.account_balance(unique), *names)
+    assert _set(jobs.current_balances(spark, root), *names) == _set(ledger.account_balance(unique), *names)
     events = jobs.read_batches(spark, root, "balance_events")
     assert events.count() == unique.count()
     last = events.groupBy("account_id", "currency").agg(F.max_by("balance_after", "arrival").alias("balance"))
@@ -129,7 +131,7 @@ def test_hourly_metrics_of_closed_hours(spark, data):
 def test_landing_and_outcomes(spark, data, topic):
     root = shared_dir(spark, "landing")
     jobs.land(_stream(spark, topic), root).awaitTermination()
-    landed = spark.read.parquet(f"{root}/payments_raw")
+    landed = spark.read.parquet(f"{root}/payment_events")
     batch = landing.land_payments(landing.read_payment_topic(spark.read.parquet(topic)))
     assert _set(landed, "event_id", "account_id", "occurred_at") == _set(batch, "event_id", "account_id", "occurred_at")
     events = S.saga_events(spark, data)
@@ -138,4 +140,24 @@ def test_landing_and_outcomes(spark, data, topic):
         events.filter((F.col("seq") % 20 < 10) == flag).coalesce(1).write.mode("append").parquet(folder)
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     jobs.saga_outcomes(stream, root).awaitTermination()
-    assert _set(spark.read.parquet(f"{root}/saga_outcomes"), "outcome", "sagas") == _set(lifecycle.saga_outcomes(events), "outcome", "sagas")
+    assert _set(jobs.newest_batch(spark, root, "saga_outcomes"), "outcome", "sagas") == _set(lifecycle.saga_outcomes(events), "outcome", "sagas")
+
+
+def test_a_batch_reads_only_the_days_it_reaches(spark, data):
+    """A record of long ago adds its own days, and history between is not read."""
+    folder = shared_dir(spark, "days")
+    base = S.payments(spark, data).filter("seq < 300")
+    day = F.expr("INTERVAL 1 DAY")
+    for k in range(5):
+        shifted = base.withColumn("occurred_at", F.col("occurred_at") + k * 40 * day)
+        if k == 4:
+            old = base.filter("seq = 7").withColumn("occurred_at", F.lit("1970-01-05 00:00:00").cast("timestamp"))
+            shifted = shifted.filter("seq <> 7").unionByName(old)
+        S.raw_payment_records(shifted.withColumn("seq", F.col("seq") + 1000 * k)).coalesce(1).write.mode("append").parquet(folder)
+    root = shared_dir(spark, "detect")
+    jobs.detect(_stream(spark, folder), root, lambda: TIGHT, lambda: S.profiles(spark, data)).awaitTermination()
+    alerts = spark.read.parquet(f"{root}/scores")
+    assert alerts.filter("batch_id = 4").count() == alerts.filter("batch_id = 3").count()
+    history = spark.read.schema(jobs.HISTORY).parquet(f"{root}/history")
+    reached = history.filter("batch_id = 4").select(F.explode(F.sequence(F.col("day") - 1, F.col("day"))).alias("day")).distinct()
+    assert history.filter("batch_id < 4").join(reached, "day", "left_semi").count() < 0.3 * history.filter("batch_id < 4").count()

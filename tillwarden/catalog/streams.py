@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import fraud as D
 from ..operators import landing as L
+from ..operators import monitoring
 from ..operators import replay as R
 from ..operators import rules
 from ..session import shared_dir, use_utc
 from ..sources import samples as S
-from ..sources.tables import utc_times
+from ..sources.tables import read_table, utc_times
+from ..sources.topics import file_stream
 from ..streaming import jobs
 from .base import REASONS, SCORE, query
-from .detection import _ALERTS, _GOOD, _HOURLY
+from .detection import _ALERTS, _GOOD, _HOURLY, _alert_records, _saga_records, _strict_records
 
 
 def _stream(spark, folder, table):
@@ -41,7 +44,21 @@ def _drain(spark, name, start):
 def _(spark, folder):
     """Hours still open at the end of the input are not written."""
     root = _drain(spark, "hourly", lambda r: jobs.hourly_metrics(_payments(spark, folder), r))
-    return spark.read.parquet(f"{root}/hourly_metrics")
+    return jobs.read_batches(spark, root, "hourly_metrics")
+
+
+@query(
+    "stream_metric_records",
+    f"""SELECT epoch_ms(window_start)||':'||currency AS "key", currency, payment_count, total_amount FROM ({_HOURLY})
+    WHERE window_end <= (SELECT max(occurred_at) FROM pay) - INTERVAL 5 SECOND""",
+)
+def _(spark, folder):
+    """The published records of closed hours, with their value read back."""
+    root = _drain(spark, "hourly", lambda r: jobs.hourly_metrics(_payments(spark, folder), r))
+    body = F.from_json("value", "currency string, count long, totalAmount double")
+    return jobs.read_batches(spark, root, "metric_records").select(
+        "key", body["currency"].alias("currency"), body["count"].alias("payment_count"), body["totalAmount"].alias("total_amount")
+    )
 
 
 def _detected(spark, folder):
@@ -52,6 +69,44 @@ def _detected(spark, folder):
     )
 
 
+def _tight(spark, folder):
+    """Three files of the raw topic, the tight rule from the second batch on, and some rows dated 1970."""
+    path, last = shared_dir(spark, "tight"), read_table(spark, folder, "events").count()
+    long_ago = F.when(F.col("seq") % 101 == 50, F.timestamp_millis(F.col("seq") * 1000)).otherwise(F.col("occurred_at"))
+    moved = S.payments(spark, folder).withColumn("occurred_at", long_ago).withColumn("occurred_ms", F.unix_millis(long_ago))
+    records = S.raw_payment_records(moved)
+    for k in range(3):
+        part = records.filter((F.col("offset") * 3 >= k * last) & (F.col("offset") * 3 < (k + 1) * last))
+        part.coalesce(1).write.mode("append").parquet(path)
+    used = []
+
+    def rule():
+        used.append(rules.active_rule(S.rule_log(spark).filter(F.col("offset") < (1 if not used else 2))))
+        return used[-1]
+
+    stream = file_stream(spark, path, files_per_batch=1)
+    return _drain(spark, "detect", lambda r: jobs.detect(stream, r, rule, lambda: S.profiles(spark, folder)))
+
+
+_TIGHT = f"""
+  moved AS (SELECT * REPLACE (CASE WHEN seq%101=50 THEN make_timestamp(seq*1000000) ELSE occurred_at END AS occurred_at,
+      CASE WHEN seq%101=50 THEN seq*1000 ELSE occurred_ms END AS occurred_ms), seq*3 >= (SELECT count(*) FROM events) AS tight
+    FROM raw WHERE {_GOOD}),
+  seen AS (SELECT *, amount>10000 AS amount_over_max, contains(lower(merchant_id),':foreign') AS geo_anomaly,
+      count(*) OVER vd AS vd, count(*) OVER vt AS vt, count(*) FILTER (amount<9900) OVER st AS sc, coalesce(sum(amount) FILTER (amount<9900) OVER st, 0) AS ss
+    FROM moved WINDOW vd AS (PARTITION BY account_id ORDER BY occurred_ms RANGE BETWEEN 3600000 PRECEDING AND CURRENT ROW),
+      vt AS (PARTITION BY account_id ORDER BY occurred_ms RANGE BETWEEN 21600000 PRECEDING AND CURRENT ROW),
+      st AS (PARTITION BY account_id ORDER BY occurred_ms RANGE BETWEEN 86400000 PRECEDING AND CURRENT ROW)),
+  live AS (SELECT seen.*, sc>=3 AND ss>9900 AS structuring, CASE WHEN tight THEN vt>2 ELSE vd>50 END AS velocity,
+      CASE WHEN tight THEN 'rule-tight' ELSE 'rule-default' END AS rule_id, coalesce(baseline_risk,0.1e0) AS baseline_risk
+    FROM seen LEFT JOIN prof ON user_id=account_id)"""
+
+
+@query("stream_fraud_alerts_tight", f"WITH {_TIGHT} SELECT * FROM ({_ALERTS} FROM live) WHERE reasons<>''")
+def _(spark, folder):
+    return jobs.read_batches(spark, _tight(spark, folder), "alerts")
+
+
 # Only payments that parse are seen by the stream, so its windows hold fewer rows than those of the
 # batch queries.
 _SEEN = f"""
@@ -95,7 +150,7 @@ def _(spark, folder):
     arriving = _payments(spark, folder).withColumn("arrival", F.col("seq"))
     copies = arriving.withColumn("_copy", F.explode(F.when(F.col("seq") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     root = _drain(spark, "balances", lambda r: jobs.balances(copies.drop("_copy"), r))
-    return jobs.newest_batch(spark, root, "account_balance")
+    return jobs.current_balances(spark, root)
 
 
 @query(
@@ -105,7 +160,7 @@ def _(spark, folder):
 def _(spark, folder):
     events = S.shape_saga_events(S.shape_orders(_stream(spark, folder, "orders")))
     root = _drain(spark, "outcomes", lambda r: jobs.saga_outcomes(events, r))
-    return spark.read.parquet(f"{root}/saga_outcomes")
+    return jobs.newest_batch(spark, root, "saga_outcomes")
 
 
 @query(
@@ -116,10 +171,130 @@ def _(spark, folder):
 def _(spark, folder):
     records = S.raw_payment_records(_payments(spark, folder))
     root = _drain(spark, "landing", lambda r: jobs.land(records, r))
-    landed = spark.read.parquet(f"{root}/payments_raw").drop("month")
+    landed = jobs.read_batches(spark, root, "payment_events").drop("month")
     return L.dedup_replacing(landed, L.SORT_KEYS["payment_events"])
 
 
+@query(
+    "stream_payment_dlq",
+    f"""SELECT 'payment.events' AS topic, CAST(seq%3 AS INT) AS "partition", seq AS "offset", value AS raw_message,
+      'cannot parse input: not JSON' AS error, TIMESTAMP '{S.AS_OF}' AS ingested_at FROM raw WHERE k%10=3""",
+)
+def _(spark, folder):
+    root = _drain(spark, "landing", lambda r: jobs.land(S.raw_payment_records(_payments(spark, folder)), r))
+    return jobs.read_batches(spark, root, "payment_events_dlq")
+
+
+def _topic(spark, name, records):
+    """A topic kept as a file, with every 13th record broken, as a stream."""
+    path = shared_dir(spark, name)
+    broken = F.when(F.col("offset") % 13 == 5, F.concat(F.lit("broken "), F.col("value"))).otherwise(F.col("value"))
+    records.withColumn("value", broken).write.parquet(path)
+    return file_stream(spark, path)
+
+
+def _landed(spark, table, records):
+    """Landed rows and, marked, the records that could not be landed."""
+    root = _drain(spark, table, lambda r: jobs.land(_topic(spark, f"{table}-topic", records), r, table))
+    good = jobs.read_batches(spark, root, table).drop("month")
+    bad = jobs.read_batches(spark, root, f"{table}_dlq").select("offset", F.col("error").alias("rejected"))
+    return good.withColumn("rejected", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
+
+
+_REJECT = "'cannot parse input: not JSON'"
+
+
+@query(
+    "stream_land_alerts",
+    f"""SELECT offset_ AS "offset", CASE WHEN ok THEN alert_id END AS alert_id, CASE WHEN ok THEN user_id END AS user_id, CASE WHEN ok THEN score END AS score,
+      CASE WHEN ok THEN CASE WHEN seq%2=0 THEN occurred_at ELSE TIMESTAMP '1970-01-01' END END AS occurred_at, CASE WHEN NOT ok THEN {_REJECT} END AS rejected
+    FROM (SELECT *, seq AS offset_, seq%13<>5 AS ok FROM al)""",
+)
+def _(spark, folder):
+    both = _landed(spark, "fraud_alerts", _alert_records(spark, folder))
+    return both.select("offset", "alert_id", "user_id", "score", "occurred_at", "rejected")
+
+
+@query(
+    "stream_land_metrics",
+    f"""SELECT n AS "offset", CASE WHEN ok THEN window_start END AS window_start, CASE WHEN ok THEN currency END AS currency, CASE WHEN ok THEN payment_count END AS payment_count,
+      CASE WHEN ok THEN total_amount END AS total_amount, CASE WHEN NOT ok THEN {_REJECT} END AS rejected
+    FROM (SELECT *, n%13<>5 AS ok FROM (SELECT *, row_number() OVER (ORDER BY window_start, currency) AS n FROM ({_HOURLY})))""",
+)
+def _(spark, folder):
+    hourly = monitoring.hourly_metrics(S.payments(spark, folder))
+    keyed = L.metric_records(hourly)
+    number = F.row_number().over(Window.orderBy(F.split("key", ":")[0].cast("long"), F.split("key", ":")[1])).cast("long")
+    made = keyed.select(
+        F.lit("payment_metrics").alias("topic"), F.lit(0).alias("partition"), number.alias("offset"), "key", "value",
+        F.lit(S.AS_OF).cast("timestamp").alias("ingest_ts"),
+    )
+    both = _landed(spark, "payment_metrics_hourly", made)
+    return both.select("offset", "window_start", "currency", "payment_count", "total_amount", "rejected")
+
+
+@query(
+    "stream_land_saga_events",
+    f"""SELECT seq AS "offset", CASE WHEN ok THEN CASE WHEN n%11<>0 THEN saga_id ELSE '' END END AS saga_id, CASE WHEN ok THEN CASE WHEN n%5<>0 THEN event_type ELSE '' END END AS event_type,
+      CASE WHEN ok THEN status END AS status, CASE WHEN ok THEN occurred_at END AS occurred_at, CASE WHEN NOT ok THEN {_REJECT} END AS rejected
+    FROM (SELECT *, seq//10 AS n, seq%13<>5 AS ok FROM sev)""",
+)
+def _(spark, folder):
+    both = _landed(spark, "saga_events", _saga_records(spark, folder))
+    return both.select("offset", "saga_id", "event_type", "status", "occurred_at", "rejected")
+
+
+_STRICT = "replace(value, 'pay-'||seq, '00000000-0000-4000-8000-'||lpad(CAST(seq AS VARCHAR),12,'0'))"
+
+
+def _projected(spark, folder):
+    """The ledger projection over three files of the raw topic."""
+    path, last = shared_dir(spark, "strict"), read_table(spark, folder, "events").count()
+    strict = _strict_records(spark, folder)
+    for k in range(3):
+        part = strict.filter((F.col("offset") * 3 >= k * last) & (F.col("offset") * 3 < (k + 1) * last))
+        part.coalesce(1).write.mode("append").parquet(path)
+    root = shared_dir(spark, "projection")
+    for q in jobs.projection(file_stream(spark, path, files_per_batch=1), root):
+        q.awaitTermination()
+    return root
+
+
+@query(
+    "stream_projection_dlt",
+    f"""SELECT 'payment.events.DLT' AS topic, CAST(seq%3 AS INT) AS "partition", seq AS "offset", account_id AS "key",
+      CASE WHEN k%10=3 THEN 'invalid json' WHEN seq%6=0 THEN 'paymentId is not a UUID' ELSE 'missing or blank field: accountId' END AS error,
+      CASE WHEN k%10=3 OR seq%6=0 THEN value ELSE {_STRICT} END AS value
+    FROM raw WHERE NOT ({_GOOD}) OR seq%6=0""",
+)
+def _(spark, folder):
+    return jobs.read_batches(spark, _projected(spark, folder), "dlt")
+
+
+@query(
+    "stream_projection_balances",
+    f"""SELECT account_id, currency, CAST(sum(amount) AS DOUBLE) AS balance, max(occurred_at) AS last_occurred_at, arg_max(event_id, seq) AS last_source_event_id
+    FROM raw WHERE {_GOOD} AND seq%6<>0 GROUP BY 1,2""",
+)
+def _(spark, folder):
+    return jobs.current_balances(spark, _projected(spark, folder))
+
+
+@query(
+    "stream_timed_out_steps",
+    """SELECT saga_id, step_name, 'FAILURE' AS status, 'Step timed out after 30s' AS error_message, false AS is_compensation FROM stp
+    WHERE status='EXECUTING' AND started_at < (SELECT least(max(started_at), max(completed_at)) FROM stp) - INTERVAL 35 SECOND""",
+)
+def _(spark, folder):
+    """Steps still open when the streams have moved on by the timeout and the watermark's delay."""
+    steps = S.shape_saga_steps(spark, S.shape_orders(_stream(spark, folder, "orders")))
+    named = steps.withColumn("saga_id", F.concat(F.lit("saga-"), F.col("saga_instance_id")))
+    started = named.filter("started_at is not null")
+    replied = named.filter("completed_at is not null").withColumnRenamed("completed_at", "replied_at")
+    root = _drain(spark, "timeouts", lambda r: jobs.timed_out_steps(started, replied, r))
+    return spark.read.parquet(f"{root}/timed_out_steps")
+
+
 # Replay
 
 

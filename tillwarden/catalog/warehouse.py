@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import literal_time
 from ..operators import serving as V
 from ..operators import warehouse as W
+from ..operators.monitoring import hourly_metrics
+from ..plans.refresh import refresh
+from ..session import shared_dir
 from ..sources import samples as S
 from .base import query
 
@@ -347,3 +353,31 @@ def _(spark, folder):
 def _(spark, folder):
     mart = W.mart_daily_revenue(facts(spark, folder))
     return V.chart_pivot(mart, "revenue_date", "currency", F.sum("total_revenue"), ["USD", "EUR", "GBP"], "revenue")
+
+
+@query(
+    "refresh_tables",
+    f"""WITH kept AS (SELECT * FROM sa WHERE alert_date + 90 > DATE '{AS_OF[:10]}')
+    SELECT 'stg_payment_events' AS table_name, count(*) AS rows FROM sp UNION ALL SELECT 'fct_payments', count(*) FROM sp
+    UNION ALL SELECT 'stg_fraud_alerts', count(*) FROM kept UNION ALL SELECT 'fct_fraud_alerts', count(*) FROM kept
+    UNION ALL SELECT 'dim_account', count(DISTINCT account_id) FROM sp UNION ALL SELECT 'dim_merchant', count(DISTINCT merchant_id) FROM sp
+    UNION ALL SELECT 'dim_currency', count(DISTINCT currency) FROM sp UNION ALL SELECT 'dim_rule', count(DISTINCT rule_id) FROM kept
+    UNION ALL SELECT 'mart_daily_revenue', count(*) FROM (SELECT DISTINCT event_date, currency FROM sp)
+    UNION ALL SELECT 'mart_daily_risk_report', count(DISTINCT alert_date) FROM kept
+    UNION ALL SELECT 'mart_aml_structuring_patterns', count(*) FROM (SELECT 1 FROM sp WHERE amount<9900 GROUP BY account_id, event_date HAVING count(*)>=3 AND sum(amount)>=9900)
+    UNION ALL SELECT 'mart_customer_risk_rfm', count(DISTINCT account_id) FROM sp UNION ALL SELECT 'mart_merchant_risk_profile', count(DISTINCT merchant_id) FROM sp
+    UNION ALL SELECT 'mart_settlement_latency', 0 UNION ALL SELECT 'stg_saga_events', 0
+    UNION ALL SELECT 'stg_payment_metrics_hourly', count(*) FROM (SELECT DISTINCT date_trunc('hour', occurred_at), currency FROM pay)""",
+)
+def _(spark, folder):
+    """Rows of every table of a refresh whose raw payments are landed twice; all sample lifecycles have expired."""
+    once = S.payments(spark, folder).withColumnRenamed("seq", "offset")
+    raw = {
+        "payment_events": once.unionByName(once.withColumn("offset", F.col("offset") - 10**6)),
+        "fraud_alerts": S.alerts_raw(spark, folder, second=True),
+        "payment_metrics_hourly": hourly_metrics(S.payments(spark, folder)),
+        "saga_events": S.saga_events(spark, folder),
+    }
+    tables = refresh(spark, raw, shared_dir(spark, "warehouse"), literal_time(AS_OF))
+    counts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, counts)

@@ -75,20 +75,34 @@ def land_payments(read: DataFrame) -> DataFrame:
     return read.filter(F.col("error").isNull()).drop("error", "raw_message", "ingest_ts", "topic", "partition")
 
 
-def payment_dlq(read: DataFrame) -> DataFrame:
+def topic_dlq(read: DataFrame) -> DataFrame:
+    """The records of a read topic that cannot be landed, with their place and text."""
     return read.filter(F.col("error").isNotNull()).select(
         "topic", "partition", "offset", "raw_message", "error", F.col("ingest_ts").alias("ingested_at")
     )
 
 
-def land_alerts(records: DataFrame) -> DataFrame:
+payment_dlq = topic_dlq
+
+
+
+def _place() -> list:
+    return ["topic", "partition", "offset", F.col("value").alias("raw_message"), "ingest_ts"]
+
+
+def landed(read: DataFrame) -> DataFrame:
+    """The good rows of a read topic, without what only rejects need."""
+    return read.filter(F.col("error").isNull()).drop("error", "raw_message", "ingest_ts", "topic", "partition")
+
+
+def read_alert_topic(records: DataFrame) -> DataFrame:
     doc = F.col(_DOC)
     at = F.timestamp_millis(_number("occurredAtEpochMs", "long"))
     return (
         _with_doc(records, "alertId", "userId", "paymentId", "score", "reasons", "ruleId", "occurredAtEpochMs")
-        .filter(landing_error(["score", "occurredAtEpochMs"]).isNull())
         .select(
-            "offset",
+            *_place(),
+            landing_error(["score", "occurredAtEpochMs"]).alias("error"),
             _text("alertId").alias("alert_id"),
             _text("userId").alias("user_id"),
             _text("paymentId").alias("payment_id"),
@@ -101,13 +115,13 @@ def land_alerts(records: DataFrame) -> DataFrame:
     )
 
 
-def land_metrics(records: DataFrame) -> DataFrame:
+def read_metric_topic(records: DataFrame) -> DataFrame:
     start = F.timestamp_millis(_number("windowStartEpochMs", "long"))
     return (
         _with_doc(records, "windowStartEpochMs", "windowEndEpochMs", "currency", "count", "totalAmount")
-        .filter(landing_error(["windowStartEpochMs", "windowEndEpochMs", "count", "totalAmount"]).isNull())
         .select(
-            "offset",
+            *_place(),
+            landing_error(["windowStartEpochMs", "windowEndEpochMs", "count", "totalAmount"]).alias("error"),
             start.alias("window_start"),
             F.timestamp_millis(_number("windowEndEpochMs", "long")).alias("window_end"),
             F.to_date(start).alias("metric_date"),
@@ -118,14 +132,14 @@ def land_metrics(records: DataFrame) -> DataFrame:
     )
 
 
-def land_saga_events(records: DataFrame) -> DataFrame:
+def read_saga_topic(records: DataFrame) -> DataFrame:
     doc = F.col(_DOC)
     at = time_or_zero(_text("occurredAt"))
     return (
         _with_doc(records, "sagaId", "sagaType", "eventType", "status", "stepName", "paymentId", "attempt", "occurredAt")
-        .filter(landing_error(["attempt"]).isNull())
         .select(
-            "offset",
+            *_place(),
+            landing_error(["attempt"]).alias("error"),
             _text("sagaId").alias("saga_id"),
             _text("sagaType").alias("saga_type"),
             _text("eventType").alias("event_type"),
@@ -139,6 +153,27 @@ def land_saga_events(records: DataFrame) -> DataFrame:
     )
 
 
+def land_alerts(records: DataFrame) -> DataFrame:
+    return landed(read_alert_topic(records))
+
+
+def land_metrics(records: DataFrame) -> DataFrame:
+    return landed(read_metric_topic(records))
+
+
+def land_saga_events(records: DataFrame) -> DataFrame:
+    return landed(read_saga_topic(records))
+
+
+# Reader of the topic behind each raw table, and the column that gives a row's month.
+TOPIC_READERS = {
+    "payment_events": (read_payment_topic, "occurred_at"),
+    "fraud_alerts": (read_alert_topic, "alert_date"),
+    "payment_metrics_hourly": (read_metric_topic, "metric_date"),
+    "saga_events": (read_saga_topic, "event_date"),
+}
+
+
 def dedup_replacing(df: DataFrame, keys: Sequence[str], version: str = "offset") -> DataFrame:
     """Last write wins per sort key."""
     return first_per_key(df, keys, F.col(version).desc())

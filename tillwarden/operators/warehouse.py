@@ -96,8 +96,12 @@ def _alerts_per_payment(alerts: DataFrame) -> DataFrame:
 
 
 def int_customer_activity(payments: DataFrame, alerts: DataFrame) -> DataFrame:
-    """Both sides are reduced to one row per payment id (and account) before they meet."""
-    paid = payments.groupBy("account_id", "payment_id").agg(
+    """Both sides are reduced to one row per payment id (and account) before they meet.
+
+    Payments are dealt by payment id once: the aggregation and the join both find them there.
+    """
+    dealt = payments.select("account_id", "payment_id", "occurred_at", "amount").repartition("payment_id")
+    paid = dealt.groupBy("account_id", "payment_id").agg(
         F.max("occurred_at").alias("_last"), F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_amount")
     )
     risk = alerts.groupBy("payment_id").agg(F.max("score").alias("_score_max"))
@@ -262,9 +266,10 @@ def mart_merchant_risk_profile(payments: DataFrame, alerts: DataFrame, dedup: bo
     """Merchant totals over payments joined with their alerts.
 
     A payment with k alerts counts k times, in count and total. The pairs are never built: counts per
-    payment are multiplied instead. With ``dedup`` each payment counts once.
+    payment are multiplied instead. With ``dedup`` each payment counts once. Payments are dealt by payment id once.
     """
-    paid = payments.groupBy("merchant_id", "payment_id").agg(F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_amount"))
+    dealt = payments.select("merchant_id", "payment_id", "amount").repartition("payment_id")
+    paid = dealt.groupBy("merchant_id", "payment_id").agg(F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_amount"))
     alerts_of = F.coalesce(F.col("_alerts"), F.lit(0))
     times = F.lit(1) if dedup else F.greatest(alerts_of, F.lit(1))
     return (

@@ -270,9 +270,13 @@ def saga_instances(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def saga_steps(spark: SparkSession, folder: str) -> DataFrame:
+    return shape_saga_steps(spark, orders(spark, folder))
+
+
+def shape_saga_steps(spark: SparkSession, orders_df: DataFrame) -> DataFrame:
     steps = _values(spark, PATH_STEPS, "path, step_name, step_order, status, retry_count, i0, i1")
     types = F.create_map(*[F.lit(x) for s in PAYMENT_STEPS for x in (s.name, s.step_type)])
-    return orders(spark, folder).join(steps, "path").select(
+    return orders_df.join(steps, "path").select(
         (F.col("o_orderkey") * 4 + F.col("step_order")).alias("id"),
         F.col("o_orderkey").alias("saga_instance_id"),
         "step_name",

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import MONEY
@@ -48,31 +49,83 @@ def read_batches(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}").drop("batch_id")
 
 
-def hourly_metrics(payments: DataFrame, root: str, trigger: Trigger = Trigger()) -> StreamingQuery:
-    """Hourly metrics, written once when the watermark passes an hour. Only this branch drops late rows."""
+def hourly_metrics(
+    payments: DataFrame, root: str, trigger: Trigger = Trigger(), publish: Callable[[str, DataFrame], None] | None = None
+) -> StreamingQuery:
+    """Hourly metrics, written once when the watermark passes an hour, as a table and as keyed records.
+
+    Only this branch drops late rows.
+    """
     metrics = monitoring.hourly_metrics(payments.withWatermark("occurred_at", WATERMARK))
-    writer = metrics.writeStream.outputMode("append").format("parquet").option("path", f"{root}/hourly_metrics")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            batch.write.mode("overwrite").parquet(batch_folder(root, "hourly_metrics", batch_id))
+            records = landing.metric_records(batch)
+            records.write.mode("overwrite").parquet(batch_folder(root, "metric_records", batch_id))
+            if publish is not None:
+                publish(TOPICS["metrics"], records)
+        finally:
+            batch.unpersist()
+
+    writer = metrics.writeStream.outputMode("append").foreachBatch(write)
     return _start(writer, f"{root}/_checkpoints/hourly_metrics", trigger)
 
 
-def land(records: DataFrame, root: str, trigger: Trigger = Trigger()) -> StreamingQuery:
-    """Raw payments by month; the file sink's own log makes each batch appear once."""
-    landed = landing.land_payments(landing.read_payment_topic(records))
-    by_month = landed.withColumn("month", F.date_format("occurred_at", "yyyyMM"))
-    writer = by_month.writeStream.outputMode("append").format("parquet").partitionBy("month").option("path", f"{root}/payments_raw")
-    return _start(writer, f"{root}/_checkpoints/payments_raw", trigger)
+def land(records: DataFrame, root: str, table: str = "payment_events", trigger: Trigger = Trigger()) -> StreamingQuery:
+    """Rows of a topic by month in ``table``; records that cannot be landed in ``<table>_dlq``.
+
+    The two add up to what was read.
+    """
+    read_topic, dated = landing.TOPIC_READERS[table]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        read = read_topic(batch).persist()
+        try:
+            good = landing.landed(read).withColumn("month", F.date_format(dated, "yyyyMM"))
+            good.write.mode("overwrite").partitionBy("month").parquet(batch_folder(root, table, batch_id))
+            landing.topic_dlq(read).write.mode("overwrite").parquet(batch_folder(root, f"{table}_dlq", batch_id))
+        finally:
+            read.unpersist()
+
+    return _start(records.writeStream.foreachBatch(write), f"{root}/_checkpoints/{table}", trigger)
 
 
 def saga_outcomes(events: DataFrame, root: str, trigger: Trigger = Trigger()) -> StreamingQuery:
-    """Running counter of outcomes; each batch holds the complete (three-row) result."""
+    """Running counter of outcomes; each batch writes the complete (three-row) result to its own folder."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(f"{root}/saga_outcomes")
+        batch.coalesce(1).write.mode("overwrite").parquet(batch_folder(root, "saga_outcomes", batch_id))
 
     writer = lifecycle.saga_outcomes(events).writeStream.outputMode("complete").foreachBatch(write)
     return _start(writer, f"{root}/_checkpoints/saga_outcomes", trigger)
 
 
+def timed_out_steps(
+    started: DataFrame, replied: DataFrame, root: str, timeout_seconds: int = lifecycle.TIMEOUT_SECONDS, trigger: Trigger = Trigger()
+) -> StreamingQuery:
+    """Failure replies for steps without a reply in time.
+
+    ``started`` and ``replied`` have ``saga_id, step_name`` and ``started_at`` or ``replied_at``. It is an outer join
+    of both streams over the timeout: what has met no reply when the watermark passes is emitted, and the state
+    holds one timeout's worth of steps.
+    """
+    left = started.select(F.col("saga_id").alias("s"), F.col("step_name").alias("n"), "started_at").withWatermark("started_at", WATERMARK)
+    right = replied.select("saga_id", "step_name", "replied_at").withWatermark("replied_at", WATERMARK)
+    until = F.col("started_at") + F.expr(f"INTERVAL {timeout_seconds} SECONDS")
+    met = (F.col("s") == F.col("saga_id")) & (F.col("n") == F.col("step_name")) & F.col("replied_at").between(F.col("started_at"), until)
+    late = left.join(right, met, "leftOuter").filter(F.col("replied_at").isNull()).select(
+        F.col("s").alias("saga_id"),
+        F.col("n").alias("step_name"),
+        F.lit("FAILURE").alias("status"),
+        F.lit(f"Step timed out after {timeout_seconds}s").alias("error_message"),
+        F.lit(False).alias("is_compensation"),
+    )
+    writer = late.writeStream.outputMode("append").format("parquet").option("path", f"{root}/timed_out_steps")
+    return _start(writer, f"{root}/_checkpoints/timed_out_steps", trigger)
+
+
 def detect(
     records: DataFrame,
     root: str,
@@ -86,8 +139,8 @@ def detect(
     Results are written as tables; ``publish`` also gets them as keyed JSON records by topic name.
 
     ``rules`` and ``profiles`` are called for each batch, so a change acts on the next one. The look-back
-    history is a narrow table by day and batch. A batch reads back only the days and accounts its windows
-    reach, and is scored by the same sweep as the batch job, hot accounts included. Payments are never
+    history is a narrow table by day and batch. A batch reads back only the days that its own windows reach and
+    the accounts and profiles it touches, and is scored by the same sweep as the batch job, hot accounts included. Payments are never
     dropped for being late.
     """
 
@@ -107,21 +160,23 @@ def detect(
                 "partitionOverwriteMode", "dynamic"
             ).partitionBy("day", "batch_id").parquet(f"{root}/history")
 
-            first, last = fresh.agg(F.min("occurred_ms"), F.max("occurred_ms")).first()
             new_rows = fresh.drop("topic", "partition", "offset", "key", "ingest_ts").withColumn("is_new", F.lit(True))
+            touched = fresh.select("account_id").distinct()
             seen = new_rows
-            if batch_id > 0 and first is not None:
+            if batch_id > 0:
+                # The days that some window of this batch reaches: a record of long ago adds its own few.
+                reached = F.sequence(F.floor((F.col("occurred_ms") - reach) / DAY_MS), day)
+                days = [r[0] for r in fresh.select(F.explode(reached)).distinct().collect()]
                 history = (
                     spark.read.schema(HISTORY)
                     .parquet(f"{root}/history")
-                    .filter(F.col("day").between((first - reach) // DAY_MS, last // DAY_MS))
-                    .filter((F.col("batch_id") < batch_id) & F.col("occurred_ms").between(first - reach, last))
+                    .filter(F.col("day").isin(days) & (F.col("batch_id") < batch_id))
                     .drop("day", "batch_id")
                 )
-                touched = fresh.select("account_id").distinct()
                 earlier = history.join(touched, "account_id", "left_semi").withColumn("is_new", F.lit(False))
                 seen = new_rows.unionByName(earlier, allowMissingColumns=True)
-            scored = fraud.detect(seen, rule, profiles(), keep=F.col("is_new")).persist()
+            known = profiles().join(touched.withColumnRenamed("account_id", "user_id"), "user_id", "left_semi")
+            scored = fraud.detect(seen, rule, known, keep=F.col("is_new")).persist()
             try:
                 alerts = fraud.fraud_alerts(scored)
                 alerts.write.mode("overwrite").parquet(batch_folder(root, "alerts", batch_id))
@@ -145,34 +200,83 @@ def to_kafka(servers: str) -> Callable[[str, DataFrame], None]:
     return lambda topic, records: write_kafka(records, servers, topic)
 
 
-def balances(payments: DataFrame, root: str, trigger: Trigger = Trigger()) -> StreamingQuery:
-    """Balance events and current balances from payments with an ``arrival`` number.
+#: Batches whose changed balances are read back before they are merged into a new base.
+MERGE_EVERY = 16
 
-    Repeated event ids are dropped by keyed state (first delivery wins), also across batches. Balances
-    of a batch start from the snapshot that the batch before left.
-    """
-    once = payments.dropDuplicates(["event_id"])
+
+_CHANGES = T.StructType([*ACCOUNT_BALANCE.fields, T.StructField("batch_id", T.LongType())])
+
+
+def _project(root: str) -> Callable[[DataFrame, int], None]:
+    """Balance events of a batch, and the balances it changed; every ``MERGE_EVERY`` batches a merged base."""
 
     def project(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.withColumn("amount", F.col("amount").cast(MONEY)).persist()
         try:
-            opening = spark.createDataFrame([], ACCOUNT_BALANCE)
-            if batch_id > 0:
-                opening = spark.read.schema(ACCOUNT_BALANCE).parquet(batch_folder(root, "account_balance", batch_id - 1))
-            events = ledger.balance_events(batch, opening)
+            touched = batch.select("account_id", "currency").distinct()
+            opening = current_balances(spark, root, before=batch_id)
+            known = opening.join(touched, ["account_id", "currency"], "left_semi")
+            events = ledger.balance_events(batch, known)
             events.write.mode("overwrite").parquet(batch_folder(root, "balance_events", batch_id))
-            merged = ledger.merge_balances(opening, ledger.account_balance(batch))
-            merged.write.mode("overwrite").parquet(batch_folder(root, "account_balance", batch_id))
+            changed = ledger.merge_balances(known, ledger.account_balance(batch))
+            changed.write.mode("overwrite").parquet(batch_folder(root, "balance_changes", batch_id))
+            if batch_id % MERGE_EVERY == MERGE_EVERY - 1:
+                merged = current_balances(spark, root, before=batch_id + 1, based_before=batch_id)
+                merged.write.mode("overwrite").parquet(batch_folder(root, "balance_base", batch_id))
         finally:
             batch.unpersist()
 
-    writer = once.writeStream.foreachBatch(project)
+    return project
+
+
+def current_balances(spark: SparkSession, root: str, before: int | None = None, based_before: int | None = None) -> DataFrame:
+    """Balances after the batches below ``before`` (all of them if None): the last base and the changes since.
+
+    Of an account's rows the newest holds; the base has one each, and at most ``MERGE_EVERY`` batches follow it.
+    ``based_before`` asks for a base of an earlier batch than that.
+    """
+    if before is None:
+        before = 1 + (spark.read.schema(_CHANGES).parquet(f"{root}/balance_changes").agg(F.max("batch_id")).first()[0] or 0)
+    base = (before if based_before is None else based_before) // MERGE_EVERY * MERGE_EVERY - 1
+    rows = spark.createDataFrame([], _CHANGES)
+    if base >= 0:
+        merged = spark.read.schema(ACCOUNT_BALANCE).parquet(batch_folder(root, "balance_base", base))
+        rows = rows.unionByName(merged.withColumn("batch_id", F.lit(base).cast("long")))
+    if before - 1 > base:
+        changes = spark.read.schema(_CHANGES).parquet(f"{root}/balance_changes")
+        rows = rows.unionByName(changes.filter((F.col("batch_id") > base) & (F.col("batch_id") < before)))
+    newest = rows.groupBy("account_id", "currency").agg(F.max_by(F.struct(*ACCOUNT_BALANCE.names[2:]), "batch_id").alias("r"))
+    return newest.select("account_id", "currency", "r.*")
+
+
+def balances(payments: DataFrame, root: str, trigger: Trigger = Trigger()) -> StreamingQuery:
+    """Balance events and changed balances from payments with an ``arrival`` number.
+
+    Repeated event ids are dropped by keyed state (first delivery wins), also across batches. A batch writes the
+    balances of the accounts it touches, no others.
+    """
+    writer = payments.dropDuplicates(["event_id"]).writeStream.foreachBatch(_project(root))
     return _start(writer, f"{root}/_checkpoints/balances", trigger)
 
 
+def projection(records: DataFrame, root: str, trigger: Trigger = Trigger()) -> tuple[StreamingQuery, StreamingQuery]:
+    """The ledger from the raw topic: poison records to ``<topic>.DLT`` and balances of the others.
+
+    Both queries parse strictly and alike, so each record goes to one of them. The offset is the arrival.
+    """
+    strict = parsing.parse_payments_strict(records)
+
+    def poison(batch: DataFrame, batch_id: int) -> None:
+        parsing.projection_dlt(batch).write.mode("overwrite").parquet(batch_folder(root, "dlt", batch_id))
+
+    letters = _start(strict.writeStream.foreachBatch(poison), f"{root}/_checkpoints/dlt", trigger)
+    good = strict.filter(F.col("error").isNull()).withColumn("arrival", F.col("offset"))
+    return letters, balances(good.drop("error", "value"), root, trigger)
+
+
 def newest_batch(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The snapshot of the last batch of a job that writes snapshots."""
+    """The rows of the last batch of a job whose batches hold complete results."""
     df = spark.read.parquet(f"{root}/{name}")
     last = df.agg(F.max("batch_id")).first()[0]
     return df.filter(F.col("batch_id") == last).drop("batch_id")
