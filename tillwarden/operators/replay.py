@@ -32,7 +32,7 @@ _MERGE_EVERY = 1000
 
 OUTPUT = (
     "saga_id string, seq long, part int, record string, event_type string, step_name string, "
-    "status string, attempt int, retry_count int, error_message string"
+    "status string, attempt int, retry_count int, error_message string, saga_status string, current_step string"
 )
 _LOG = ["saga_id", "seq", "step_name", "status", "error_message", "is_compensation", "action"]
 
@@ -224,10 +224,10 @@ def _fold(steps):
 
     def states(saga_id, seq, state) -> list[tuple]:
         rows = [
-            (saga_id, seq, i, "step", None, names_of[i], state[0][i], None, state[1][i], state[2][i])
+            (saga_id, seq, i, "step", None, names_of[i], state[0][i], None, state[1][i], state[2][i], state[3], names_of[state[4]])
             for i in range(len(steps))
         ]
-        rows.append((saga_id, seq, 0, "saga", None, names_of[state[4]], state[3], None, None, None))
+        rows.append((saga_id, seq, 0, "saga", None, names_of[state[4]], state[3], None, None, None, state[3], names_of[state[4]]))
         return rows
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
@@ -254,13 +254,13 @@ def _fold(steps):
                 continue
             seq = row[names["seq"]]
             if pending_start:
-                out.append((saga, seq, 0, "event", "SAGA_STARTED", None, "STARTED", 1, None, None))
+                out.append((saga, seq, 0, "event", "SAGA_STARTED", None, "STARTED", 1, None, None, None, None))
                 pending_start = False
             entry = _entry(row, names, index_of)
             if entry is None:
                 continue
             for part, (kind, status, index, attempt) in enumerate(apply_entry(steps, state, *entry), 1):
-                out.append((saga, seq, part, "event", f"{kind}_{status}", names_of[index], status, attempt, None, None))
+                out.append((saga, seq, part, "event", f"{kind}_{status}", names_of[index], status, attempt, None, None, None, None))
             if len(out) >= 20_000:
                 yield frame(out)
                 out = []
@@ -307,8 +307,9 @@ def lifecycle_events(replayed: DataFrame) -> DataFrame:
 
 
 def step_states(replayed: DataFrame) -> DataFrame:
+    """Final state of every step, with that of its saga beside it, so that the fold runs once for both."""
     return replayed.filter(F.col("record") == "step").select(
-        "saga_id", F.col("part").alias("step_order"), "step_name", "status", "retry_count", "error_message"
+        "saga_id", F.col("part").alias("step_order"), "step_name", "status", "retry_count", "error_message", "saga_status", "current_step"
     )
 
 
