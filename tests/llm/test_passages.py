@@ -48,7 +48,7 @@ def test_near_passages(documents, words, edits):
 
 
 def test_a_passage_that_most_documents_share(documents, words):
-    rows = [(i, words(i, 60) + " " + words(99, 70) + " " + words(i, 60, 60)) for i in range(150)]
+    rows = [(i, words(i, 60) + " " + words(999, 70) + " " + words(i, 60, 60)) for i in range(150)]
     found = passages.find(documents(rows)).collect()
     # a group's first document may differ between windows, so a passage can be told of two earlier ones
     assert {(r.doc_id, r.first_word, r.n_words) for r in found} == {(i, 60, 70) for i in range(1, 150)}

@@ -64,8 +64,8 @@ def test_nulls_copies_and_short_texts(documents):
 
 def test_the_bound_holds_for_a_share_of_the_shingles():
     assert sketch_join.most_apart(100, 0) == (100 + 125) // 9
-    low = sketch_join.most_apart(2000, sketch_join.band_of(2000))
-    assert 2000 / 4 * 0.5 ** (int(sketch_join.band_of(2000)) + 1) < low < sketch_join.PIECES
+    band = int(sketch_join.band_of(2000))
+    assert 2000 / 4 * 0.5 ** (band + 1) < sketch_join.most_apart(2000, band) < sketch_join.PIECES
 
 
 def test_components_of_a_long_path(spark):

