@@ -146,3 +146,12 @@ ORACLES["op10_decontamination"] = f"""WITH d AS ({_shingle_sql("documents", "doc
     n AS (SELECT item_id, count(*) AS n FROM b GROUP BY 1)
     SELECT doc_id, item_id, c / n AS containment FROM (SELECT doc_id, item_id, count(*) AS c FROM d JOIN b USING (s) GROUP BY 1, 2) JOIN n USING (item_id)
     WHERE c / n >= {decontam.CONTAINED}"""
+
+
+ORACLES["op4_sketch_join"] = f"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(text, '{url_filter.UPPER}', '{url_filter.LOWER}'), '[ \\t-\\r]+'), lambda x: x <> '') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+    l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+    r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, least_id AS component_id FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS least_id FROM r GROUP BY 1) USING (doc_id)"""
