@@ -7,13 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import MONEY
+
 MINUTE = 60
+DAY_MINUTES = 1440
 
 
 def hourly_metrics(payments: DataFrame, amount: Column | None = None) -> DataFrame:
     """Count and total per currency and event-time hour. Partial sums form before the shuffle, so a
     handful of currencies is no bottleneck."""
-    total = F.sum(amount if amount is not None else F.col("amount"))
+    # decimals, so that a total does not depend on the order of its rows
+    total = F.sum((amount if amount is not None else F.col("amount")).cast(MONEY))
     return (
         payments.groupBy(F.window("occurred_at", "1 hour").alias("w"), "currency")
         .agg(F.count(F.lit(1)).alias("payment_count"), total.alias("total_amount"))
@@ -50,19 +54,30 @@ def rate(events: DataFrame, time: str, keys: Sequence[str], window_seconds: int,
     )
 
 
-def sustained(points: DataFrame, hold_seconds: int, step_seconds: int = MINUTE) -> DataFrame:
-    """Spans of consecutive true grid instants (column ``at``) that last ``hold_seconds`` or longer.
+def _spans(series: DataFrame, per_day: int) -> DataFrame:
+    """Runs of consecutive slots (``_from``, ``_to``) of a series of distinct ``_slot``.
 
-    The series has one row per instant, so its length depends on the time covered, not on the data.
+    Runs are found day by day; only those that touch a day's end, two a day at most, are joined in one task.
     """
-    slot = F.floor(F.unix_seconds("at") / step_seconds)
-    series = points.select(slot.alias("_slot")).distinct()
-    island = F.col("_slot") - F.row_number().over(Window.orderBy("_slot"))
-    spans = (
-        series.withColumn("_island", island)
-        .groupBy("_island")
+    own = Window.partitionBy("_day").orderBy("_slot")
+    runs = (
+        series.withColumn("_day", F.floor(F.col("_slot") / per_day))
+        .withColumn("_island", F.col("_slot") - F.row_number().over(own))
+        .groupBy("_day", "_island")
         .agg(F.min("_slot").alias("_from"), F.max("_slot").alias("_to"))
     )
+    at_edge = (F.col("_from") % per_day == 0) | (F.col("_to") % per_day == per_day - 1)
+    order = Window.orderBy("_from")
+    apart = F.coalesce((F.col("_from") != F.lag("_to").over(order) + 1).cast("int"), F.lit(1))
+    edges = runs.filter(at_edge).withColumn("_apart", apart).withColumn("_run", F.sum("_apart").over(order))
+    joined = edges.groupBy("_run").agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"))
+    return runs.filter(~at_edge).select("_from", "_to").unionByName(joined.select("_from", "_to"))
+
+
+def sustained(points: DataFrame, hold_seconds: int, step_seconds: int = MINUTE) -> DataFrame:
+    """Spans of consecutive true grid instants (column ``at``) that last ``hold_seconds`` or longer."""
+    slot = F.floor(F.unix_seconds("at") / step_seconds)
+    spans = _spans(points.select(slot.alias("_slot")).distinct(), 86_400 // step_seconds)
     held = hold_seconds // step_seconds
     return spans.filter(F.col("_to") - F.col("_from") >= held).select(
         F.timestamp_seconds(F.col("_from") * step_seconds).alias("pending_since"),
@@ -117,9 +132,14 @@ def alarm_outbox_lag(outbox: DataFrame, as_of: Column, lag_seconds: int = OUTBOX
     first = outbox.agg((F.ceil(F.min(micros) / (MINUTE * 1_000_000)) - 1).alias("_m")).filter(F.col("_m").isNotNull())
     end = F.floor(F.unix_seconds(as_of) / MINUTE) + 1
     points = quiet.unionByName(first).distinct().filter(F.col("_m") < end)
-    following = F.coalesce(F.lead("_m").over(Window.orderBy("_m")), end)
+    # the next quiet minute of the same day, or the first one of the next day that has any
+    days = points.groupBy(F.floor(F.col("_m") / DAY_MINUTES).alias("_day")).agg(F.min("_m").alias("_first"))
+    later = days.select("_day", F.lead("_first").over(Window.orderBy("_day")).alias("_later"))
+    dated = points.withColumn("_day", F.floor(F.col("_m") / DAY_MINUTES)).join(later, "_day")
+    own = Window.partitionBy("_day").orderBy("_m")
+    following = F.coalesce(F.lead("_m").over(own), F.col("_later"), end)
     held = hold_seconds // MINUTE
-    spans = points.select((F.col("_m") + 1).alias("_from"), (following - 1).alias("_to"))
+    spans = dated.select((F.col("_m") + 1).alias("_from"), (following - 1).alias("_to"))
     return spans.filter(F.col("_to") - F.col("_from") >= held).select(
         F.timestamp_seconds(F.col("_from") * MINUTE).alias("pending_since"),
         F.timestamp_seconds((F.col("_from") + held) * MINUTE).alias("fired_at"),

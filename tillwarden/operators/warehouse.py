@@ -89,9 +89,14 @@ def int_payments_with_alerts(payments: DataFrame, alerts: DataFrame) -> DataFram
     return salted_join(payments, right, ["payment_id"], "left")
 
 
+def exact_sum(score: str) -> Column:
+    """Sum of scores as decimals: it does not depend on the order of its rows."""
+    return F.sum(F.col(score).cast("decimal(18,12)"))
+
+
 def _alerts_per_payment(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy("payment_id").agg(
-        F.count(F.lit(1)).alias("_alerts"), F.sum("score").alias("_score_sum"), F.max("score").alias("_score_max")
+        F.count(F.lit(1)).alias("_alerts"), exact_sum("score").alias("_score_sum"), F.max("score").alias("_score_max")
     )
 
 
@@ -228,7 +233,7 @@ def mart_daily_risk_report(alerts: DataFrame) -> DataFrame:
         alerts.groupBy(F.col("alert_date").alias("report_date"))
         .agg(
             F.count(F.lit(1)).alias("alert_count"),
-            F.avg("score").alias("avg_fraud_score"),
+            (exact_sum("score").cast("double") / F.count("score")).alias("avg_fraud_score"),
             F.max("score").alias("max_fraud_score"),
             F.countDistinct("user_id").alias("affected_users"),
             F.countDistinct("rule_id").alias("triggered_rules"),
@@ -279,7 +284,7 @@ def mart_merchant_risk_profile(payments: DataFrame, alerts: DataFrame, dedup: bo
             F.sum(F.col("_n") * times).alias("payment_count"),
             wide_sum((F.col("_amount") * times).cast("decimal(38,4)")).alias("total_amount"),
             F.sum(F.col("_n") * alerts_of).alias("alert_count"),
-            F.sum(F.col("_n") * F.col("_score_sum")).alias("_scores"),
+            F.sum(F.col("_n") * F.col("_score_sum").cast("decimal(28,12)")).cast("double").alias("_scores"),
             F.max("_score_max").alias("max_fraud_score"),
         )
         .withColumn("avg_fraud_score", F.try_divide("_scores", "alert_count"))
