@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import literal_time
+from ..functions.jsonfields import json_or_null
 from ..operators import lifecycle as G
 from ..operators import serving as V
 from ..sources import samples as S
@@ -247,3 +248,11 @@ def _(spark, folder):
 def _(spark, folder):
     page = V.saga_list(S.saga_instances(spark, folder), "FAILED", "PaymentSaga", 50, 100)
     return page.select("saga_id", "status", "created_at")
+
+
+@query("step_payload", "SELECT saga_id, CASE WHEN id%3<>0 THEN 'pay-'||id END AS payment_id, id%3=0 AS is_null FROM inst")
+def _(spark, folder):
+    """Payloads as JSON values; those of every third lifecycle are NULL."""
+    instances, _ = _inputs(spark, folder)
+    value = json_or_null(F.when(F.col("id") % 3 != 0, F.col("payload")))
+    return instances.select("saga_id", F.try_variant_get(value, "$.paymentId", "string").alias("payment_id"), value.isNull().alias("is_null"))

@@ -98,3 +98,8 @@ def text_items(doc: Column, field: str) -> Column:
         lambda v: F.try_variant_get(v, "$", "string"),
     )
     return F.coalesce(texts, F.array().cast("array<string>"))
+
+
+def json_or_null(text: Column) -> Column:
+    """Text as a JSON value; NULL stays NULL and does not become a JSON null."""
+    return F.when(text.isNotNull(), F.parse_json(text))
