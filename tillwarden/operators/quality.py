@@ -21,6 +21,14 @@ def unique(df: DataFrame, *columns: str) -> DataFrame:
     return known.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
+def unique_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column`` and ``violations``: repeated values of each of several columns, from one scan and one shuffle."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    values = df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
+    repeated = values.groupBy("column", "value").agg((F.count(F.lit(1)) > 1).cast("long").alias("more"))
+    return repeated.groupBy("column").agg(F.sum("more").alias("violations"))
+
+
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Key values of the child that the parent lacks. NULLs are ignored.
 

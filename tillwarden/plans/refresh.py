@@ -122,7 +122,7 @@ SEGMENTS = ("LOW", "MEDIUM", "HIGH")
 
 
 def check_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Violations per check. Row checks of a table share one scan; the others run on their own keys."""
+    """Violations per check. Row checks of a table share one scan, and so do its unique keys."""
     parts = []
 
     def count(name: str, df: DataFrame) -> None:
@@ -142,8 +142,12 @@ def check_report(tables: dict[str, DataFrame]) -> DataFrame:
             pairs = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"`{n}`").alias("violations")) for n in broken])
             counted = df.agg(*[F.count_if(test).alias(n) for n, test in broken.items()])
             parts.append(counted.select(F.inline(pairs)))
-        for c in UNIQUE.get(table, []):
-            count(f"{table}.{c}.unique", quality.unique(df, c))
+        keys = UNIQUE.get(table, [])
+        if keys:
+            # a column without any value has no row of its own
+            zeros = df.sparkSession.createDataFrame([(c, 0) for c in keys], "column string, violations long")
+            found = quality.unique_counts(df, keys).unionByName(zeros).groupBy("column").agg(F.max("violations").alias("violations"))
+            parts.append(found.select(F.concat(F.lit(f"{table}."), "column", F.lit(".unique")).alias("check_name"), "violations"))
     for child, column, parent in RELATIONS:
         if child in tables and parent in tables:
             count(f"{child}.{column}.relationships", quality.relationships(tables[child], column, tables[parent], column))
