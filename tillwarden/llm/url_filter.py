@@ -117,11 +117,13 @@ def judge(
 ) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule`` and ``verdict`` of each page; the host's ``trust`` and ``distrust`` beside them."""
     split = split_urls(pick(pages, "page_id", "url", "html"))
-    fits = host_rules(split.select("host").filter("host <> ''").distinct(), rules)
+    fits = materialize(host_rules(split.select("host").filter("host <> ''").distinct(), rules), "host-rules")
     judged = split.join(fits, "host", "left").withColumn(
         "found", F.try_element_at(F.filter("rules", lambda r: F.col("path").startswith(r["prefix"])), F.lit(1))
     )
     judged = judged.select("page_id", "host", "path", F.col("found.rule").alias("rule"), F.col("found.verdict").alias("said"))
+    # both written, so that the join of pages and hosts stands alone and a hot host in it is split among tasks
+    judged = materialize(judged, "judged-pages")
     counts = materialize(
         judged.filter("said is not null")
         .groupBy("host")
