@@ -7,7 +7,6 @@ one's docs. Rows without a doc_id and further columns pass through every stage b
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tillwarden.llm import decontam, passages, queries, sketch_join, toxicity
 from tillwarden.session import materialize
@@ -21,8 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones: the smallest doc_id."""
-    groups = sketch_join.join(docs).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(groups, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return sketch_join.keep_first(docs)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,6 +48,12 @@ def test_components_are_those_of_all_pairs(spark, documents, words, size):
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in found} == brute(rows)
 
 
+def test_without_broadcast(documents, words, monkeypatch):
+    monkeypatch.setattr(sketch_join, "FEW_IDS", -1)
+    rows = [(i, words(i // 2, 60 + i % 2)) for i in range(20)]
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in sketch_join.join(documents(rows)).collect()} == brute(rows)
+
+
 def test_a_line_that_all_share_links_nothing(documents, words):
     rows = [(i, words(99, 12) + "\n" + words(i, 20)) for i in range(120)]
     found = sketch_join.join(documents(rows)).collect()

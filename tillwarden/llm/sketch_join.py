@@ -19,7 +19,8 @@ is verified on whole shingle sets before it counts.
 
 Rows. One per document: nulls, blank and empty texts have no shingles and no links; texts with fewer than five words
 have one shingle. Equal sets are one node from the start, however many copies there are. Rows with equal doc_id
-come out each with the component of their own text. A null doc_id is never a component's name unless nothing else is.
+come out each with the component of their own text. A set that only rows without a doc_id have is linked with equal
+sets alone, and its component has no name.
 """
 
 from __future__ import annotations
@@ -228,8 +229,9 @@ def candidates(sketches: DataFrame) -> DataFrame:
         part = sketches.select("node", F.col("n_shingles").alias("n"), F.lit(k).alias("band"), F.col(f"bound{k}").alias("bound"), F.size(f"keys{k}").alias("all"), F.explode(f"keys{k}").alias("key"))
         rows = part if rows is None else rows.unionByName(part)
     shared = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("met"))
-    shared = shared.filter("low <> high").select("key", "met")
-    hits = rows.join(shared, "key").dropDuplicates(["key", "node"])
+    # written, so that both sides of the join are plain shuffles and a hot piece is split among tasks
+    shared = materialize(shared.filter("low <> high").select("key", "met"), "shared-pieces")
+    hits = rows.join(shared, "key").repartition("node", "band").dropDuplicates(["node", "band", "key"])
     own = W.partitionBy("node", "band")
     ranked = hits.withColumns(
         {"rank": F.row_number().over(own.orderBy("met", "key")), "here": F.count("*").over(own), "weight": F.sum("met").over(own)}
@@ -237,6 +239,16 @@ def candidates(sketches: DataFrame) -> DataFrame:
     return ranked.filter("rank <= bound + 1 - (all - here)").select("key", "node", "n", "weight")
 
 
+def keep_first(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest doc_id; rows without a doc_id stay.
+
+    Repeated rows of a kept doc_id are one document and stay together.
+    """
+    gone = materialize(join(docs).filter("doc_id <> component_id").select("doc_id").distinct(), "copies")
+    gone = F.broadcast(gone) if gone.count() <= FEW_IDS else gone
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def join(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of each row, with ``node`` (the name of its shingle set)."""
     sketches = materialize(pick(docs, "doc_id", "text").mapInArrow(_sketch, _SKETCH), "sketches")
@@ -247,6 +259,7 @@ def join(docs: DataFrame) -> DataFrame:
     held = materialize(picked.join(bits, "node"), "held")
     central = held.groupBy("key").agg(F.max_by(F.struct("node", "n", "bits"), F.struct("weight", "node")).alias("c"), F.count("*").alias("met"))
     central = central.filter("met > 1").select("key", F.col("c.node").alias("node"), F.col("c.n").alias("n"), F.col("c.bits").alias("bits"))
+    central = materialize(central, "central")
     star = held.alias("x").join(central.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") != F.col("y.node")) & _near("x", "y"))
     star = materialize(star.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "pairs")
     links = verified(star, docs, names)
@@ -254,6 +267,7 @@ def join(docs: DataFrame) -> DataFrame:
     # pairs of sets that have not met through a central one
     placed = held.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
+    split = materialize(split, "split-groups")
     mixed = materialize(placed.join(split, "key"), "mixed")
     x, y = mixed.alias("x"), mixed.alias("y")
     rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _near("x", "y"))
