@@ -22,7 +22,9 @@ def test_each_run_lies_in_the_one_window_of_its_minimum(values, run):
         assert b - a + 1 >= run and a <= c <= b
 
 
-def test_repeats_are_found_with_their_places(documents, words):
+@pytest.mark.parametrize("few", [-1, passages.FEW_BYTES])
+def test_repeats_are_found_with_their_places(documents, words, monkeypatch, few):
+    monkeypatch.setattr(passages, "FEW_BYTES", few)
     rows = [(i, words(i, 200)) for i in range(6)]
     rows[3] = (3, words(30, 80) + "\n" + words(1, 60, 70) + " " + words(31, 90))
     rows[5] = (5, words(1, 51, 20))

@@ -75,5 +75,5 @@ def contained(docs: DataFrame, items: DataFrame, least: float = CONTAINED) -> Da
 
 def clean(docs: DataFrame, items: DataFrame, least: float = CONTAINED) -> DataFrame:
     """``docs`` without those that hold an item; rows without a doc_id stay."""
-    held = contained(docs, items, least).select("doc_id").distinct()
+    held = _small(materialize(contained(docs, items, least).select("doc_id").distinct(), "held"))
     return docs.join(held, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -38,8 +38,8 @@ RUN = WORDS - SHINGLE + 1
 HASHES, ENOUGH = 4, 2
 #: Share of shingles that agree within a passage.
 SHARE = 0.8
-#: Rows up to which ids are broadcast instead of joined by shuffle; some 20 bytes each.
-FEW_IDS = 500_000
+#: Bytes of ids and stretches up to which they are broadcast instead of joined by shuffle.
+FEW_BYTES = 32 << 20
 
 _SEEDS = seeds(HASHES, 31)
 
@@ -192,12 +192,20 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
 
 
+def _few(lists: DataFrame, column: str) -> DataFrame:
+    """An id and a list in each row, with a hint to broadcast them if they are few by a count of all lists."""
+    size = lists.agg(F.sum(24 + 8 * F.size(column))).first()[0] or 0
+    return F.broadcast(lists) if size <= FEW_BYTES else lists
+
+
 def find(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``first_word``, ``n_words`` of passages, and where the earlier document ``other_doc_id`` has them."""
     named = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc"), "text").filter("doc is not null")
     windows = named.mapInArrow(_windows, "value long, doc long, f byte, left int, at int, right int")
     groups = windows.groupBy("value").agg(F.min(F.struct("doc", "at")).alias("o"), F.max("doc").alias("last"))
     shared = groups.filter("o.doc <> last").select("value", F.col("o.doc").alias("o_doc"), F.col("o.at").alias("o_at"))
+    # written, so that both sides of the join are plain shuffles and a hot value is split among tasks
+    shared = materialize(shared, "shared-windows")
     met = windows.join(shared, "value").filter("doc <> o_doc")
     # a document's own windows bound its rows
     held = met.groupBy("doc", "o_doc").agg(F.collect_list(F.struct("f", "at", "left", "right", "o_at")).alias("rows"))
@@ -205,8 +213,7 @@ def find(docs: DataFrame) -> DataFrame:
     pairs = materialize(held.mapInArrow(_pairs, "doc long, o_doc long, low int, high int, o_low int, o_high int"), "passages")
     ends = pairs.select("doc", "low", "high").union(pairs.select("o_doc", "o_low", "o_high")).distinct()
     wanted = materialize(ends.groupBy("doc").agg(F.collect_set(F.struct("low", "high")).alias("wanted")), "stretches")
-    few = F.broadcast(wanted) if wanted.count() <= FEW_IDS else wanted
-    slices = materialize(named.join(few, "doc").mapInArrow(_slices, "doc long, low int, high int, shingles binary"), "slices")
+    slices = materialize(named.join(_few(wanted, "wanted"), "doc").mapInArrow(_slices, "doc long, low int, high int, shingles binary"), "slices")
     here = pairs.join(slices.withColumnRenamed("shingles", "here"), ["doc", "low", "high"])
     there = slices.select(F.col("doc").alias("o_doc"), F.col("low").alias("o_low"), F.col("high").alias("o_high"), F.col("shingles").alias("there"))
     both = here.join(there, ["o_doc", "o_low", "o_high"])
@@ -249,7 +256,7 @@ def cut(docs: DataFrame, passages: DataFrame) -> DataFrame:
     while own in docs.columns:
         own += "_"
     spans = passages.select("doc_id", F.struct("first_word", "n_words").alias("one")).groupBy("doc_id").agg(F.collect_set("one").alias(own))
-    held = docs.join(spans, "doc_id", "left").select(*[F.col(f"`{c}`") for c in docs.columns], own)
+    held = docs.join(_few(materialize(spans, "cuts"), own), "doc_id", "left").select(*[F.col(f"`{c}`") for c in docs.columns], own)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     plain = held.filter(F.col(own).isNull()).drop(own)
     less = held.filter(F.col(own).isNotNull()).mapInArrow(_without(own), columns).filter("text <> ''")
