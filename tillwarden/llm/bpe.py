@@ -133,13 +133,32 @@ def _cut(pattern: str, chunk: int, overlap: int):
     return run
 
 
+def round_trip(docs: DataFrame, ranks: Broadcast, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """``doc_id``, ``ids`` and ``decoded`` as ``encode`` and ``decode`` give them.
+
+    Short texts are decoded in the worker that encodes them, so that a task needs one Python worker.
+    """
+    plain, long = _halves(docs, ranks, pattern, chunk, overlap, True)
+    return plain.unionByName(decode(long, ranks))
+
+
 def encode(docs: DataFrame, ranks: Broadcast, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int) of each row's whole text."""
+    plain, long = _halves(docs, ranks, pattern, chunk, overlap, False)
+    return plain.unionByName(long)
+
+
+def _halves(docs: DataFrame, ranks: Broadcast, pattern: str, chunk: int, overlap: int, decoded: bool) -> tuple[DataFrame, DataFrame]:
+    """Short texts, ``decoded`` too if asked for, and long ones."""
     rows = pick(docs, "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     short = F.coalesce(F.length("text"), F.lit(0)) <= chunk
     run = _encoder(ranks, pattern)
-    plain = rows.filter(short).mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    if decoded:
+        back = _decoder(ranks)
+        plain = rows.filter(short).mapInArrow(lambda batches: back(run(batches)), f"doc_id {kind}, ids array<int>, decoded binary")
+    else:
+        plain = rows.filter(short).mapInArrow(run, f"doc_id {kind}, ids array<int>")
     # long texts: the chunks are dealt out before the costly part
     long = rows.filter(~short).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     chunks = long.mapInArrow(
@@ -162,13 +181,10 @@ def encode(docs: DataFrame, ranks: Broadcast, pattern: str, chunk: int = CHUNK,
     coded = pieces.mapInArrow(run, f"row long, doc_id {kind}, k int, ids array<int>")
     ordered = F.array_sort(F.collect_list(F.struct("k", "ids")))
     joined = coded.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.flatten(F.transform(ordered, lambda x: x["ids"])).alias("ids"))
-    return plain.unionByName(joined.select("doc_id", "ids"))
+    return plain, joined.select("doc_id", "ids")
 
 
-def decode(coded: DataFrame, ranks: Broadcast) -> DataFrame:
-    """Adds ``decoded`` (binary): the bytes of all ids of a row, joined."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema)
-
+def _decoder(ranks: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Bytes(ranks.value)
         for batch in batches:
@@ -187,4 +203,10 @@ def decode(coded: DataFrame, ranks: Broadcast) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*piece.columns, text], [*piece.schema.names, "decoded"])
                 first = step
 
-    return coded.mapInArrow(run, f"{columns}, decoded binary")
+    return run
+
+
+def decode(coded: DataFrame, ranks: Broadcast) -> DataFrame:
+    """Adds ``decoded`` (binary): the bytes of all ids of a row, joined."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema)
+    return coded.mapInArrow(_decoder(ranks), f"{columns}, decoded binary")

@@ -101,7 +101,7 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
 def coded_documents(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``ids`` and ``decoded`` with the given vocabulary."""
     ranks = bpe.ship_ranks(docs.sparkSession, public_tokenizers.path(VOCABULARY))
-    return bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
 
 
 def code_digests(coded: DataFrame) -> DataFrame:
