@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -57,6 +58,31 @@ def test_a_passage_that_most_documents_share(documents, words):
     assert {r.doc_id for r in found if r.other_doc_id == 0} == set(range(1, 150)) and len(found) < 2 * 150
 
 
+def covered(found):
+    return {(r[0], w) for r in found for w in range(r[1], r[1] + r[2])}
+
+
+def brute(rows):
+    """Words of passages from all pairs of documents, by the operator's own comparison of whole texts."""
+    hashes, begins = passages.ordered_shingles(pa.array([t for _, t in rows]))
+    texts = [hashes[a:b] for a, b in zip(begins[:-1], begins[1:], strict=True)]
+    pairs = ((i, j) for j in range(len(rows)) for i in range(j))
+    return covered((rows[j][0], low, high - low + 4) for i, j in pairs for low, high in passages.agreeing(texts[j], texts[i]))
+
+
+@pytest.mark.parametrize("common", [64, 10_000])
+def test_passages_around_a_line_that_earlier_documents_have_alone(documents, words, monkeypatch, common):
+    monkeypatch.setattr(passages, "COMMON", common, raising=False)
+    line = words(900, 35)
+    rows = [(i, words(i, 40) + " " + (line if i % 3 else words(900, 30)) + " " + words(i, 50, 40)) for i in range(50)]
+    for i in range(50, 90):
+        k = 100 + (i - 50) % 20
+        rows.append((i, words(i, 60) + " " + words(k, 12) + " " + line + " " + words(k, 13, 12) + " " + words(i, 60, 60)))
+    want = brute(rows)
+    assert {d for d, _ in want} == set(range(70, 90))
+    assert covered(passages.find(documents(rows)).collect()) == want
+
+
 def test_cut_takes_the_passages_out(documents, words):
     rows = [(0, words(0, 100)), (1, "Before " + words(0, 100) + " after é."), (2, words(0, 100)), (3, None), (4, ""), (None, words(0, 100))]
     docs = documents(rows)

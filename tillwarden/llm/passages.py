@@ -6,10 +6,15 @@ between left and right that holds the centre. Windows are the nodes of the Carte
 span is long enough; a node's parent is such a node too, so the tree is built over the minima of sliding windows
 alone, some 2 of every ``RUN`` positions.
 
-Join. Windows with the same minimum come from runs that agree in a min-hash. In each group every window meets the
-group's first one (smallest document, then place), so a passage in m documents makes m - 1 rows, whatever m is.
-Rows of a pair of documents whose windows lie alike are joined into intervals, and an interval counts when
-``ENOUGH`` of the hash functions agree in it.
+Common shingles (in more than ``COMMON`` documents, as far as a task sees more than one of them) would hide what is
+rare beside them. A second set of windows, over hashes that rank common shingles last, is added where it differs.
+
+Join. Windows with the same minimum come from runs that agree in a min-hash. In each group every window first meets the
+smallest document alone, so a passage in m documents makes m - 1 rows, whatever m is. Windows that lie in no passage
+confirmed so far then meet the first 8, 64, 512 ... documents of their group, until none has an earlier one left. Windows
+at a common shingle go on only where half a run is common; elsewhere the second set stands for them.
+A window meets every place that the other document has of the same minimum. Rows of a pair
+of documents whose windows lie alike are joined into intervals, and an interval counts when ``ENOUGH`` functions agree in it.
 
 Verification. The shingles of both stretches are compared in place: a passage is a longest stretch of at least
 ``RUN`` shingles in which four of five agree, at ends that agree; a stretch may be longer than the windows that
@@ -29,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..session import materialize
 from .texts import SHINGLE, blocks, byte_spans, find_words, mix, pick, seeds, shingle_hashes, word_hashes
@@ -36,6 +42,12 @@ from .texts import SHINGLE, blocks, byte_spans, find_words, mix, pick, seeds, sh
 WORDS = 50
 RUN = WORDS - SHINGLE + 1
 HASHES, ENOUGH = 4, 2
+#: Documents beyond which a shingle is common, and how many common ones are sent to the tasks (the limit doubles until they fit).
+COMMON, MOST_COMMON = 64, 500_000
+#: Shingles that are counted together in a task.
+COUNTED = 2_000_000
+#: Times as many documents of a group are met in each further round.
+WIDER = 8
 #: Share of shingles that agree within a passage.
 SHARE = 0.8
 #: Bytes of ids and stretches up to which they are broadcast instead of joined by shuffle.
@@ -83,28 +95,117 @@ def ordered_shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return shingle_hashes(word_hashes(data, starts, ends), firsts)
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("value", pa.int64()), ("doc", pa.int64()), ("f", pa.int8()), ("left", pa.int32()), ("at", pa.int32()), ("right", pa.int32())])
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles that more than one of some ``COUNTED`` shingles' documents have, and how many have them."""
+    held: list[np.ndarray] = []
+
+    def counts() -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(h[n > 1].view(np.int64)), pa.array(n[n > 1])], ["h", "n"])
+
     for whole in batches:
         for batch in blocks(whole, "text"):
             hashes, begins = ordered_shingles(batch.column("text"))
-            docs = batch.column("doc").to_pylist()
-            cols: list[list] = [[], [], [], [], [], []]
-            for f in range(HASHES):
-                ranked = mix(hashes ^ _SEEDS[f])
-                for i, doc in enumerate(docs):
-                    if begins[i + 1] - begins[i] < RUN:
-                        continue
-                    values = ranked[begins[i] : begins[i + 1]]
-                    found = compact_windows(values)
-                    left, at, right = zip(*found, strict=True)
-                    cols[0] += values[list(at)].view(np.int64).tolist()
-                    cols[1] += [doc] * len(found)
-                    cols[2] += [f] * len(found)
-                    cols[3] += left
-                    cols[4] += at
-                    cols[5] += right
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cols, schema, strict=True)], schema=schema)
+            held += [np.unique(hashes[a:b]) for a, b in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True) if b - a >= RUN]
+            if sum(map(len, held)) > COUNTED:
+                yield counts()
+    yield counts()
+
+
+def common_shingles(named: DataFrame) -> np.ndarray:
+    """Hashes of common shingles in ascending order, ``MOST_COMMON`` at most."""
+    counts = named.mapInArrow(_repeated, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counts, limit = materialize(counts.filter(F.col("n") > COMMON), "common-shingles"), COMMON
+    while counts.filter(F.col("n") > limit).count() > MOST_COMMON:
+        limit *= 2
+    return np.sort(counts.filter(F.col("n") > limit).select("h").toArrow().column("h").to_numpy().view(np.uint64))
+
+
+def is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in an ascending array."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def _half_common(common: np.ndarray) -> np.ndarray:
+    """Which places of a text lie in a run of which half the shingles are common."""
+    sums = np.concatenate(([0], np.cumsum(common)))
+    runs = np.concatenate(([0], np.cumsum(2 * (sums[RUN:] - sums[:-RUN]) >= RUN)))
+    at = np.arange(len(common))
+    return runs[np.minimum(at, len(runs) - 2) + 1] > runs[np.maximum(at - RUN + 1, 0)]
+
+
+def _thinned(values: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans (left, at, right) in order of place; places of one value less than ``RUN`` apart are told by the first, which is marked."""
+    spans = spans[np.argsort(spans[:, 1], kind="stable")]
+    marked = np.zeros(len(spans), bool)
+    own = values[spans[:, 1]]
+    if len(np.unique(own)) == len(own):
+        return spans, marked
+    kept, last = [], {}
+    for i, (v, at) in enumerate(zip(own.tolist(), spans[:, 1].tolist(), strict=True)):
+        k = last.get(v)
+        if k is not None and at - spans[k, 1] < RUN:
+            spans[k, 2] = max(spans[k, 2], spans[i, 2])
+            marked[k] = True
+        else:
+            last[v] = i
+            kept.append(i)
+    return spans[kept], marked[kept]
+
+
+#: A window in one number: place, what lies left and right of it, and bits for: goes on in later rounds, is thinned, function.
+_AT, _LEFT, _RIGHT, _ON, _THIN = 1 << 22, 1 << 14, 1 << 6, 1 << 5, 1 << 4
+_REACH = 3 * RUN
+
+
+def text_windows(hashes: np.ndarray, common: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Minima and packed windows of one text, an array for each function."""
+    out: tuple[list, list] = ([], [])
+    some = bool(common.any())
+    goes_on = ~common | _half_common(common) if some else None
+    last = len(hashes) - 1
+    for f in range(HASHES):
+        values = mix(hashes ^ _SEEDS[f])
+        spans = np.array(compact_windows(values), np.int64)
+        if some:
+            rare_first = values >> np.uint64(1) | common.astype(np.uint64) << np.uint64(63)
+            more = np.setdiff1d(sliding_minima(rare_first, RUN), spans[:, 1])
+            spans = np.concatenate((spans, np.stack((np.maximum(more - 2 * RUN, 0), more, np.minimum(more + 2 * RUN, last)), axis=1)))
+        spans, thin = _thinned(values, spans)
+        left, at, right = spans.T
+        on = goes_on[at] if some else np.ones(len(at), bool)
+        out[0].append(values[at].view(np.int64))
+        out[1].append(at * _AT + np.minimum(at - left, _REACH) * _LEFT + np.minimum(right - at, _REACH) * _RIGHT + on * _ON + thin * _THIN + f)
+    return out
+
+
+def _windows(known: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in blocks(whole, "text"):
+                hashes, begins = ordered_shingles(batch.column("text"))
+                common = is_in(hashes, known)
+                value, pack, doc, many = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], []
+                for d, a, b in zip(batch.column("doc").to_pylist(), begins[:-1].tolist(), begins[1:].tolist(), strict=True):
+                    if b - a >= RUN:
+                        v, p = text_windows(hashes[a:b], common[a:b])
+                        value += v
+                        pack += p
+                        doc.append(d)
+                        many.append(sum(map(len, v)))
+                docs = np.repeat(np.array(doc, np.int64), many)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(value)), pa.array(docs), pa.array(np.concatenate(pack))], ["value", "doc", "pack"])
+
+    return run
+
+
+def unpacked(pack: int, o_pack: int) -> dict:
+    at = pack // _AT
+    left, right = at - pack // _LEFT % 256, at + pack // _RIGHT % 256
+    return {"f": pack % 16, "at": at, "left": left, "right": right, "o_at": o_pack // _AT, "thin": bool((pack | o_pack) & _THIN)}
 
 
 def _snap(low: int, high: int) -> tuple[int, int]:
@@ -115,29 +216,30 @@ def _snap(low: int, high: int) -> tuple[int, int]:
 def intervals(rows: list[dict]) -> list[tuple[int, int, int, int]]:
     """Stretches (from, to) of shingles, here and in the other text, in which enough hash functions agree."""
     out = []
-    group: list[dict] = []
 
-    def close() -> None:
+    def close(group: list[dict]) -> None:
         if len({r["f"] for r in group}) >= ENOUGH:
-            at, other = [r["at"] for r in group], [r["o_at"] for r in group]
-            left = max(min(r["left"] for r in group), min(at) - 2 * RUN)
-            right = min(max(r["right"] for r in group), max(at) + 2 * RUN)
-            out.append((*_snap(left, right), *_snap(left - min(at) + min(other), right - max(at) + max(other))))
+            at, apart = [r["at"] for r in group], [r["at"] - r["o_at"] for r in group]
+            left = max(min(r["left"] for r in group), min(at) - _REACH)
+            right = min(max(r["right"] for r in group), max(at) + _REACH)
+            slack = RUN if any(r.get("thin") for r in group) else 0
+            out.append((*_snap(left, right), *_snap(left - max(apart) - slack, right - min(apart) + slack)))
 
+    group: list[dict] = []
     for r in sorted(rows, key=lambda r: (r["at"], r["o_at"], r["f"])):
         if group and (r["at"] - group[-1]["at"] > 2 * RUN or abs(r["o_at"] - group[-1]["o_at"]) > 2 * RUN):
-            close()
+            close(group)
             group = []
         group.append(r)
     if group:
-        close()
+        close(group)
     return out
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc", "o_doc", "low", "high", "o_low", "o_high"]
     for batch in batches:
-        out = [(doc, other, *i) for doc, other, rows in zip(*(batch.column(c).to_pylist() for c in ("doc", "o_doc", "rows")), strict=True) for i in intervals(rows)]
+        out = [(doc, other, *i) for doc, other, rows in zip(*(batch.column(c).to_pylist() for c in ("doc", "o_doc", "rows")), strict=True) for i in intervals([unpacked(**r) for r in rows])]
         cols = zip(*out, strict=True) if out else [[]] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i < 2 else pa.int32()) for i, c in enumerate(cols)], names)
 
@@ -198,19 +300,8 @@ def _few(lists: DataFrame, column: str) -> DataFrame:
     return F.broadcast(lists) if size <= FEW_BYTES else lists
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``first_word``, ``n_words`` of passages, and where the earlier document ``other_doc_id`` has them."""
-    named = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc"), "text").filter("doc is not null")
-    windows = named.mapInArrow(_windows, "value long, doc long, f byte, left int, at int, right int")
-    groups = windows.groupBy("value").agg(F.min(F.struct("doc", "at")).alias("o"), F.max("doc").alias("last"))
-    shared = groups.filter("o.doc <> last").select("value", F.col("o.doc").alias("o_doc"), F.col("o.at").alias("o_at"))
-    # written, so that both sides of the join are plain shuffles and a hot value is split among tasks
-    shared = materialize(shared, "shared-windows")
-    met = windows.join(shared, "value").filter("doc <> o_doc")
-    # a document's own windows bound its rows
-    held = met.groupBy("doc", "o_doc").agg(F.collect_list(F.struct("f", "at", "left", "right", "o_at")).alias("rows"))
-    held = held.filter(F.size(F.array_distinct(F.transform("rows", lambda r: r["f"]))) >= ENOUGH)
-    pairs = materialize(held.mapInArrow(_pairs, "doc long, o_doc long, low int, high int, o_low int, o_high int"), "passages")
+def _compared(named: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Passages of written pairs of stretches, from the texts themselves."""
     ends = pairs.select("doc", "low", "high").union(pairs.select("o_doc", "o_low", "o_high")).distinct()
     wanted = materialize(ends.groupBy("doc").agg(F.collect_set(F.struct("low", "high")).alias("wanted")), "stretches")
     slices = materialize(named.join(_few(wanted, "wanted"), "doc").mapInArrow(_slices, "doc long, low int, high int, shingles binary"), "slices")
@@ -218,7 +309,42 @@ def find(docs: DataFrame) -> DataFrame:
     there = slices.select(F.col("doc").alias("o_doc"), F.col("low").alias("o_low"), F.col("high").alias("o_high"), F.col("shingles").alias("there"))
     both = here.join(there, ["o_doc", "o_low", "o_high"])
     columns = ", ".join(f"{c} long" for c in ("doc_id", "first_word", "n_words", "other_doc_id", "other_first_word", "other_n_words"))
-    return both.select("doc", "low", "high", "here", "o_doc", "o_low", "o_high", "there").mapInArrow(_check, columns).distinct()
+    return both.select("doc", "low", "high", "here", "o_doc", "o_low", "o_high", "there").mapInArrow(_check, columns)
+
+
+def _unsettled(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Windows whose place lies in no passage found so far."""
+    span = F.struct(F.col("first_word").alias("low"), (F.col("first_word") + F.col("n_words") - SHINGLE).alias("high"))
+    spans = found.groupBy(F.col("doc_id").alias("doc")).agg(F.collect_set(span).alias("spans"))
+    at = F.shiftright("pack", _AT.bit_length() - 1)
+    inside = F.exists("spans", lambda s: (at >= s["low"]) & (at <= s["high"]))
+    return rows.join(spans, "doc", "left").filter(~F.coalesce(inside, F.lit(False))).drop("spans")
+
+
+def find(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``first_word``, ``n_words`` of passages, and where the earlier document ``other_doc_id`` has them."""
+    named = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc"), "text").filter("doc is not null")
+    windows = named.mapInArrow(_windows(common_shingles(named)), "value long, doc long, pack long")
+    own = W.partitionBy("value")
+    ranked = windows.withColumns({"rank": F.dense_rank().over(own.orderBy("doc")), "low": F.min("doc").over(own), "high": F.max("doc").over(own)})
+    shared = materialize(ranked.filter("low <> high").select("value", "doc", "pack", "rank"), "shared-windows")
+    rows, reach, found, done = shared.filter("rank > 1"), 1, None, None
+    while True:
+        others = shared.filter(F.col("rank") <= reach).select("value", F.col("doc").alias("o_doc"), F.col("rank").alias("o_rank"), F.col("pack").alias("o_pack"))
+        met = rows.join(others, "value").filter("o_rank < rank")
+        held = met.groupBy("doc", "o_doc").agg(F.collect_list(F.struct("pack", "o_pack")).alias("rows"))
+        held = held.filter(F.size(F.array_distinct(F.transform("rows", lambda r: r["pack"] % 16))) >= ENOUGH)
+        pairs = held.mapInArrow(_pairs, "doc long, o_doc long, low int, high int, o_low int, o_high int")
+        pairs = materialize(pairs if done is None else pairs.join(done, pairs.columns, "left_anti"), "passages")
+        done = pairs if done is None else done.unionByName(pairs)
+        if found is None or not pairs.isEmpty():
+            more = materialize(_compared(named, pairs).distinct(), "found")
+            found = more if found is None else found.unionByName(more)
+        rows = materialize(_unsettled(rows.filter(F.col("pack").bitwiseAND(_ON) > 0), found), "unsettled")
+        most = rows.agg(F.max("rank")).first()[0] or 0
+        if most <= reach + 1:
+            return found.distinct()
+        reach *= WIDER
 
 
 def _without(column: str):
