@@ -83,6 +83,23 @@ def test_passages_around_a_line_that_earlier_documents_have_alone(documents, wor
     assert covered(passages.find(documents(rows)).collect()) == want
 
 
+def test_a_line_that_also_stands_outside_of_the_passage(documents, words):
+    rows = []
+    for k in range(30):
+        line = words(500 + k, 30)
+        passage = words(600 + k, 15) + " " + line + " " + words(700 + k, 15)
+        rows.append((k, words(k, 10) + " " + line + " " + words(k, 460, 10) + " " + passage + " " + words(k, 50, 470)))
+        rows.append((100 + k, words(100 + k, 5) + " " + line + " " + words(100 + k, 475, 5) + " " + passage))
+    want = brute(rows)
+    assert {d for d, _ in want} == set(range(100, 130))
+    assert covered(passages.find(documents(rows)).collect()) == want
+
+
+def test_texts_that_repeat_one_word(documents):
+    found = passages.find(documents([(1, "word " * 3000), (2, "word " * 2000)])).collect()
+    assert covered(found) == {(2, w) for w in range(2000)}
+
+
 def test_cut_takes_the_passages_out(documents, words):
     rows = [(0, words(0, 100)), (1, "Before " + words(0, 100) + " after é."), (2, words(0, 100)), (3, None), (4, ""), (None, words(0, 100))]
     docs = documents(rows)

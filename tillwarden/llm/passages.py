@@ -13,8 +13,8 @@ Join. Windows with the same minimum come from runs that agree in a min-hash. In
 smallest document alone, so a passage in m documents makes m - 1 rows, whatever m is. Windows that lie in no passage
 confirmed so far then meet the first 8, 64, 512 ... documents of their group, until none has an earlier one left. Windows
 at a common shingle go on only where half a run is common; elsewhere the second set stands for them.
-A window meets every place that the other document has of the same minimum. Rows of a pair
-of documents whose windows lie alike are joined into intervals, and an interval counts when ``ENOUGH`` functions agree in it.
+A window meets every place that the other document has of the same minimum. Rows of a pair of documents are grouped by
+diagonal (the distance of the two places) and then by place, and a group counts when ``ENOUGH`` functions agree in it.
 
 Verification. The shingles of both stretches are compared in place: a passage is a longest stretch of at least
 ``RUN`` shingles in which four of five agree, at ends that agree; a stretch may be longer than the windows that
@@ -225,14 +225,18 @@ def intervals(rows: list[dict]) -> list[tuple[int, int, int, int]]:
             slack = RUN if any(r.get("thin") for r in group) else 0
             out.append((*_snap(left, right), *_snap(left - max(apart) - slack, right - min(apart) + slack)))
 
-    group: list[dict] = []
-    for r in sorted(rows, key=lambda r: (r["at"], r["o_at"], r["f"])):
-        if group and (r["at"] - group[-1]["at"] > 2 * RUN or abs(r["o_at"] - group[-1]["o_at"]) > 2 * RUN):
+    def split(rows: list[dict], key, gap: int) -> Iterator[list[dict]]:
+        group: list[dict] = []
+        for r in sorted(rows, key=key):
+            if group and key(r) - key(group[-1]) > gap:
+                yield group
+                group = []
+            group.append(r)
+        yield group
+
+    for diagonal in split(rows, lambda r: r["at"] - r["o_at"], RUN):
+        for group in split(diagonal, lambda r: r["at"], 2 * RUN):
             close(group)
-            group = []
-        group.append(r)
-    if group:
-        close(group)
     return out
 
 
