@@ -95,6 +95,17 @@ def test_a_line_that_also_stands_outside_of_the_passage(documents, words):
     assert covered(passages.find(documents(rows)).collect()) == want
 
 
+def test_all_near_passages_at_the_least_share(documents, words):
+    rows = []
+    for k in range(500):
+        w = words(20_000 + k, 60).split()
+        rows.append((k, words(k, 60) + " " + " ".join(w) + " " + words(k, 60, 60)))
+        w[20], w[40] = "e20", "e40"
+        rows.append((10_000 + k, words(10_000 + k, 60) + " " + " ".join(w) + " " + words(10_000 + k, 60, 60)))
+    found = {(r.doc_id, r.first_word, r.n_words, r.other_doc_id) for r in passages.find(documents(rows)).collect()}
+    assert found == {(10_000 + k, 60, 60, k) for k in range(500)}
+
+
 def test_texts_that_repeat_one_word(documents):
     found = passages.find(documents([(1, "word " * 3000), (2, "word " * 2000)])).collect()
     assert covered(found) == {(2, w) for w in range(2000)}

@@ -41,7 +41,7 @@ from .texts import SHINGLE, blocks, byte_spans, find_words, mix, pick, seeds, sh
 
 WORDS = 50
 RUN = WORDS - SHINGLE + 1
-HASHES, ENOUGH = 4, 2
+HASHES, ENOUGH = 10, 2
 #: Documents beyond which a shingle is common, and how many common ones are sent to the tasks (the limit doubles until they fit).
 COMMON, MOST_COMMON = 64, 500_000
 #: Shingles that are counted together in a task.
