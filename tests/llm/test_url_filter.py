@@ -67,3 +67,13 @@ def test_repeated_and_no_rows(spark):
     rows = [("http://a.com/", None)] * 3
     assert url_filter.judge(pages(spark, rows), RULES).count() == 3
     assert url_filter.judge(pages(spark, rows).limit(0), RULES).count() == 0
+
+
+def test_small_scores_count_as_large_ones_do(spark):
+    """Each host of a chain gives a share of 1 in 20,000 of its distrust to the next, so the last one has less than 5e-13."""
+    rows = [("http://bad.net/es/a", None)]
+    for near, far in (("bad.net", "h1.org"), ("h1.org", "h2.org"), ("h2.org", "h3.org")):
+        rows += [(f"http://{far}/", link(near)), (f"http://many-{far}/", link(near) * 19_999)]
+    found = {r.host: r for r in url_filter.judge(pages(spark, rows), RULES).collect()}
+    assert 0 < found["h3.org"].distrust < 5e-13
+    assert [found[h].verdict for h in ("h1.org", "h2.org", "h3.org")] == ["block"] * 3

@@ -29,6 +29,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DAMPING = 0.85
 ROUNDS = 8
 THRESHOLD = 1.0
+#: Share by which distrust must be the larger one: sums of floats in another order differ by less.
+MARGIN = 1e-9
 #: What follows href= in a link of a page, up to its closing quote.
 HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)"""
 
@@ -140,6 +142,7 @@ def judge(
         F.coalesce(F.sum(F.when(F.col("kind") == "blocked", F.col("score"))), F.lit(0.0)).alias("distrust"),
     )
     out = judged.join(hosts, "host", "left").fillna(0.0, ["trust", "distrust"])
-    bad = F.round("distrust", 12) > F.round(F.col("trust") * threshold, 12)
+    # relative, as scores are shares of all seeds and shrink with their number
+    bad = (F.col("distrust") > 0) & (F.col("distrust") > F.col("trust") * threshold * (1 + MARGIN))
     verdict = F.coalesce("said", F.when(bad, "block").otherwise("allow"))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "trust", "distrust")
