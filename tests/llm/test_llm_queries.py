@@ -16,7 +16,7 @@ from tillwarden.llm import bpe, passages, queries, toxicity
 def test_sql(spark, data, name):
     found = queries.QUERIES[name](spark, data)
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{data}/{table}.parquet'")
     result = con.execute(queries.ORACLES[name])
     names = [c[0] for c in result.description]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bpe, decontam, digest, langid, passages, quality, shards, sketch_join, toxicity, url_filter
+from . import bpe, decontam, digest, langid, maintext, negatives, passages, phrases, quality, shards, sketch_join, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -155,3 +155,49 @@ ORACLES["op4_sketch_join"] = f"""WITH RECURSIVE w AS (SELECT doc_id, list_filter
     l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
     r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
     SELECT doc_id, coalesce(n, 0) AS n_shingles, least_id AS component_id FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS least_id FROM r GROUP BY 1) USING (doc_id)"""
+
+
+@query
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.mine(read_table(spark, folder, "documents"))
+
+
+ORACLES["op11_phrases"] = f"""WITH w AS (SELECT lang, list_filter(string_split_regex(p, '[ \\t]+'), lambda x: x <> '') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'), '[.,;:!?\\n-\\r]')) AS p FROM documents)),
+    c AS (SELECT lang, phrase, k, count(*) AS n FROM (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) v(k) WHERE len(w) >= k)) GROUP BY ALL),
+    t AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM c WHERE k = 1 GROUP BY 1),
+    keyed AS (SELECT concat(lang, '\t', phrase) AS key, n FROM c WHERE n >= {phrases.LEAST}),
+    p AS (SELECT lang, phrase, k, n AS a, string_split(phrase, ' ') AS w FROM c WHERE k > 1 AND n >= {phrases.LEAST}),
+    cut AS (SELECT p.lang, p.phrase, a, j, f.n AS l, g.n AS r, CAST((1000000::HUGEINT * a * a) // (f.n::HUGEINT * g.n) AS BIGINT) AS score
+        FROM (SELECT *, concat(lang, '\t', array_to_string(w[1 : j], ' ')) AS head, concat(lang, '\t', array_to_string(w[j + 1 :], ' ')) AS rest FROM (SELECT *, unnest(range(1, k)) AS j FROM p)) p
+        JOIN keyed f ON f.key = p.head JOIN keyed g ON g.key = p.rest),
+    lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+    longer AS (SELECT lang, array_to_string(w[i : i + 1], ' ') AS phrase, max(a) AS most FROM (SELECT *, unnest([1, 2]) AS i FROM p WHERE k = 3) GROUP BY 1, 2),
+    ranked AS (SELECT o.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+        FROM lowest o LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < {phrases.COVERED} * a)
+    SELECT lang, rank, phrase, a, l, r, t.n AS n, score FROM ranked JOIN t USING (lang) WHERE rank <= 2000"""
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read_table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), moved.cast("int").alias("label"), F.col("embedding").alias("vector"))
+    return negatives.mine(vectors, F.col("id") % 50 == 0)
+
+
+ORACLES["op12_hard_negatives"] = f"""WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS v FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS anchor_id, e.vec_id AS other, q.label = e.label AS same, CAST(list_sum(list_transform(list_zip(q.v, e.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+        FROM e q JOIN e ON q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0),
+    p AS (SELECT anchor_id, other AS positive_id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= {negatives.POSITIVES})
+    SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, other AS negative_id, p_score AS positive_score, score AS negative_score FROM (
+        SELECT s.anchor_id, p.positive_id, s.other, p.score AS p_score, s.score, row_number() OVER (PARTITION BY s.anchor_id, p.positive_id ORDER BY s.score DESC, s.other) AS rank
+        FROM p JOIN s ON s.anchor_id = p.anchor_id WHERE NOT same AND {negatives.LOW} * p.score <= 100 * s.score AND 100 * s.score <= {negatives.HIGH} * p.score)
+    WHERE rank <= {negatives.NEGATIVES}"""
+
+
+@query
+def op13_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return maintext.extracted(read_table(spark, folder, "pages"))
