@@ -88,26 +88,23 @@ def _tree(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(order), np.array(parents), np.array(edges)
 
 
-_ANCHOR = "wave long, place int, id long, label int, x array<long>, parent int, edge double"
+_ANCHOR = "part long, place int, id long, label int, x array<long>, parent int, edge double"
 _ANCHOR_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.float64()]
 
 
-def _plant(width: int, most: int):
-    """Trees over the sorted anchors of a partition."""
+def _plant(width: int):
+    """Trees over the sorted anchors of a partition; each is a part, numbered in the order of the range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, done = TaskContext.get().partitionId(), 0
+        part = TaskContext.get().partitionId() << 32
         for batch in batches:
             for first in range(0, batch.num_rows, TREE):
                 block = batch.slice(first, TREE)
-                if done + block.num_rows > most:
-                    part, done = part + (1 << 32), 0
                 vectors = _matrix(block.column(2), width)
                 order, parents, edges = _tree(vectors)
-                parents = np.where(parents < 0, -1, parents + done)
                 columns = [
                     np.full(len(order), part),
-                    np.arange(len(order), dtype=np.int32) + done,
+                    np.arange(len(order), dtype=np.int32),
                     block.column(0).to_numpy()[order],
                     block.column(1).to_numpy()[order],
                     list(vectors[order]),
@@ -116,15 +113,30 @@ def _plant(width: int, most: int):
                 ]
                 names = [c.split()[0] for c in _ANCHOR.split(", ")]
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, _ANCHOR_TYPES)], names=names)
-                done += len(order)
+                part += 1
 
     return run
 
 
+def _waves(anchors: DataFrame, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of parts that hold at most ``most`` anchors together, one part at least. The list has a row for each tree."""
+    first = last = None
+    held = 0
+    for part, many in anchors.groupBy("part").count().orderBy("part").toLocalIterator():
+        if first is not None and held + many > most:
+            yield first, last
+            first, held = None, 0
+        first, last, held = part if first is None else first, part, held + many
+    if first is not None:
+        yield first, last
+
+
 def _read_wave(anchors: DataFrame) -> Wave:
-    table = anchors.orderBy("place").toArrow()
+    table = anchors.orderBy("part", "place").toArrow()
     vectors = np.array(table["x"].combine_chunks().flatten()).reshape(table.num_rows, -1)
-    return Wave(*[table[c].to_numpy() for c in ("id", "label")], vectors, *[table[c].to_numpy() for c in ("parent", "edge")])
+    ids, labels, parents, edges, place = (table[c].to_numpy() for c in ("id", "label", "parent", "edge", "place"))
+    begun = np.arange(len(place)) - place
+    return Wave(ids, labels, vectors, np.where(parents < 0, -1, parents + begun), edges)
 
 
 class _Bounds:
@@ -255,7 +267,7 @@ def _find_negatives(shared, windows, width: int, many: int, low: int, high: int)
                             fits = (found >= least[w]) & (found <= most[w])
                             best.add(w, found[fits], ids[which[fits]])
                 bounds.leave(a)
-        yield best.batch(place=places, positive=positives, positive_score=scores)
+        yield best.batch(place=places, anchor_id=wave.ids[places], positive=positives, positive_score=scores)
 
     return run
 
@@ -285,21 +297,19 @@ def mine(
     result = None
     # The range also goes by id, so that copies of one vector are split.
     ordered = few.repartitionByRange(max(1, -(-size // most)), "label", "vector", "id").sortWithinPartitions("label", "vector", "id")
-    anchors = materialize(ordered.mapInArrow(_plant(width, most), _ANCHOR), "anchors")
-    for (number,) in anchors.select("wave").distinct().orderBy("wave").collect():
-        wave = _read_wave(anchors.filter(F.col("wave") == number))
+    anchors = materialize(ordered.mapInArrow(_plant(width), _ANCHOR), "anchors")
+    for first, last in _waves(anchors, most):
+        wave = _read_wave(anchors.filter(F.col("part").between(first, last)))
         shared = spark.sparkContext.broadcast(wave)
         near = rows.mapInArrow(_find_positives(shared, width, positives), "place int, other long, score long")
         table = _first(near, ["place"], positives).orderBy("place", "rank").toArrow()
         windows = spark.sparkContext.broadcast([table[c].to_numpy() for c in ("place", "other", "score")])
-        schema = "place int, positive long, positive_score long, other long, score long"
+        schema = "place int, anchor_id long, positive long, positive_score long, other long, score long"
         found = rows.mapInArrow(_find_negatives(shared, windows, width, negatives, low, high), schema)
-        ranked = _first(found, ["place", "positive", "positive_score"], negatives)
-        names = anchors.filter(F.col("wave") == number).select("place", F.col("id").alias("anchor_id"))
-        part = materialize(ranked.join(names, "place"), "negatives")
+        part = materialize(_first(found, ["place", "anchor_id", "positive", "positive_score"], negatives), "negatives")
         result = part if result is None else result.unionByName(part)
     if result is None:
-        schema = "place int, positive long, positive_score long, other long, score long, rank int, anchor_id long"
+        schema = "place int, anchor_id long, positive long, positive_score long, other long, score long, rank int"
         result = spark.createDataFrame([], schema)
     return result.select(
         "anchor_id",
