@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tillwarden.operators import lifecycle, replay, serving
+from tillwarden.operators import automaton, lifecycle, replay, serving
 from tillwarden.sources.schemas import PAYMENT_STEPS
 
 LOG = "saga_id string, seq long, step_name string, status string, error_message string, is_compensation boolean, action string"
@@ -90,6 +90,40 @@ def test_hot_saga_in_cells_equals_plain_fold(spark, seed):
     assert result() == result(limit=50, width=7)
 
 
+def _plain(rows):
+    """The fold by a loop over the entries."""
+    out = []
+    for saga in {r[0] for r in rows}:
+        log = sorted(r for r in rows if r[0] == saga)
+        state = automaton.start_state(PAYMENT_STEPS)
+        out.append((saga, log[0][1], 0, "SAGA_STARTED", None, "STARTED", 1))
+        for _, seq, step, status, error, undo, action in log:
+            if action or step in NAMES:
+                index = NAMES.index(step) if step in NAMES else 0
+                events = automaton.apply_entry(PAYMENT_STEPS, state, index, status == "SUCCESS", bool(undo), action, error)
+                out += [(saga, seq, part, f"{kind}_{s}", NAMES[i], s, n) for part, (kind, s, i, n) in enumerate(events, 1)]
+        out += [(saga, i, NAMES[i], state[0][i], state[1][i], state[2][i], state[3], NAMES[state[4]]) for i in range(len(NAMES))]
+    return sorted(map(repr, out))
+
+
+@pytest.mark.parametrize("tuning", [{}, {"limit": 40, "width": 11}, {"limit": 30, "width": 1}])
+def test_replay_equals_a_plain_loop(spark, tuning, monkeypatch):
+    """Cells of one row need several levels of blocks."""
+    monkeypatch.setattr(replay, "BLOCK", 4)
+    monkeypatch.setattr(replay, "CHUNK", 5)
+    rng = random.Random(7)
+    rows = _random_log(rng, "a", 150) + _random_log(rng, "b", 33) + _random_log(rng, "c", 1) + [("d", 5, "UNKNOWN", "SUCCESS", None, None, None)]
+    done = replay.replay(spark.createDataFrame(rows, LOG), **tuning)
+    found = [tuple(r) for r in replay.lifecycle_events(done).collect()] + [tuple(r) for r in replay.step_states(done).collect()]
+    assert sorted(map(repr, found)) == _plain(rows)
+
+
+def test_replay_stays_in_the_jvm(spark):
+    done = replay.replay(spark.createDataFrame(_random_log(random.Random(1), "a", 90), LOG), limit=20, width=8)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
 def test_next_action_equals_fold(spark):
     """The column form against the fold, over every step, reply and state."""
     import itertools
@@ -105,7 +139,7 @@ def test_next_action_equals_fold(spark):
         name, ok, undo, f, r, n = row
         state = [[f, r, "X", "X"], [0, 0, 0, n], [None] * 4, "EXECUTING", 0]
         before = [list(p) if isinstance(p, list) else p for p in state]
-        events = replay.apply_entry(PAYMENT_STEPS, state, NAMES.index(name), ok, undo, None, None)
+        events = automaton.apply_entry(PAYMENT_STEPS, state, NAMES.index(name), ok, undo, None, None)
         if len(events) == 2:
             want = f"COMPLETE:{events[1][1]}"
         else:

@@ -1,286 +1,254 @@
-"""Replay of reply logs through the lifecycle state machine.
-
-A lifecycle is a fold over its ordered replies with a small state, so it is folded row by row over
-sorted partitions: no group is ever held in memory. The log of a hot lifecycle is cut into cells. How
-a cell acts on every state it could start from is worked out for all cells in parallel; chaining these
-tables (one row per cell) gives each cell its true starting state, and then all cells are folded in
-parallel as well.
+"""Replay of reply logs through the lifecycle state machine, by composed transitions.
+
+A reply takes each lane of the automaton to another, so replies compose like functions, and the state before each of
+them is a running composition. Rows of a lifecycle meet as one array of bounded length, where the composition is a sum:
+the state is one number, lane and retry counts side by side, and a reply adds what a table says. The log of a hot
+lifecycle is cut into cells. Each cell is first composed for all lanes it could start from, these tables are composed
+in blocks of cells, and blocks in blocks, until one is left; going down again gives each cell its starting lane. No
+array grows with a lifecycle, and no row passes through Python.
 """
 
 from __future__ import annotations
 
-import itertools
-import json
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ordered import CELL_ROWS, hot_keys, with_cells
-from ..sources import schemas
+from ..functions.ordered import hot_keys, with_cells
+from ..session import materialize, scale
 from ..sources.schemas import PAYMENT_STEPS, StepDefinition
+from .automaton import DIGIT, STATUSES, Automaton, automaton
+
+#: Rows of an array that are composed one after the other before the parts are joined.
+CHUNK = 64
+#: Cells whose tables are composed at once.
+BLOCK = 256
+#: Rows of a lifecycle that are one array. The list of longer ones has at most rows / CELL entries.
+CELL = 8_192
+
+class _Tables:
+    """The automaton's tables as columns. A state has the lane in its lowest bits and then a retry count for each step."""
+
+    def __init__(self, machine: Automaton):
+        self.machine = machine
+        self.many = len(machine.steps)
+        self.lane_bits = max(1, (len(machine.lanes) - 1).bit_length())
+        self.count_bits = (62 - self.lane_bits) // self.many
+        #: Rows whose retries fit the counts.
+        self.most = (1 << self.count_bits) - 1
+        self.mask = (1 << self.lane_bits) - 1
+        lanes = [i for i in range(len(machine.lanes)) for _ in range(machine.codes)]
+        more = [0 if r < 0 else 1 << (self.lane_bits + r * self.count_bits) for r in machine.retried]
+        self.delta = self.table([n - lane + m for n, lane, m in zip(machine.nexts, lanes, more)], "L")
+        self.writes, self.keeps = self.table(machine.writes, "L"), self.table(machine.keeps, "L")
+        self.error_step, self.error_kept = self.table(machine.error_step), self.table(machine.error_kept)
+        self.first, self.second = self.table(machine.first_event), self.table(machine.second_event)
+        self.currents = self.table(machine.currents)
+        self.names = self.table([s.name for s in machine.steps])
+
+    @staticmethod
+    def table(values, suffix: str = "") -> Column:
+        """A literal array; the optimizer folds it into one value."""
+        texts = ["NULL" if v is None else f"'{v}'" if isinstance(v, str) else f"{v}{suffix}" for v in values]
+        return F.expr(f"array({', '.join(texts)})")
+
+    def code(self) -> Column:
+        """Of a log row."""
+        count = 4 * self.many
+        code = F.when(F.col("action") == "RETRY", count).when(F.col("action") == "FORCE_COMPLETE", count + 1)
+        ok, undo = (F.coalesce(c, F.lit(False)).cast("int") for c in (F.col("status") == "SUCCESS", F.col("is_compensation")))
+        for i, step in enumerate(self.machine.steps):
+            code = code.when(F.col("action").isNull() & (F.col("step_name") == step.name), 4 * i + 2 * ok + undo)
+        return code.otherwise(self.machine.codes - 1)
+
+    def at(self, state: Column, code: Column) -> Column:
+        """Place in the tables."""
+        return (state.bitwiseAND(F.lit(self.mask)) * self.machine.codes + code + 1).cast("int")
+
+    def step(self, state: Column, code: Column) -> Column:
+        return state + F.element_at(self.delta, self.at(state, code))
+
+    def count(self, state: Column, step: Column) -> Column:
+        """Retries of a step within the array."""
+        return F.call_function("shiftright", state, (step * self.count_bits + self.lane_bits).cast("int")).bitwiseAND(F.lit(self.most))
+
+    def current(self, state: Column) -> Column:
+        return F.element_at(self.currents, (state.bitwiseAND(F.lit(self.mask)) + 1).cast("int"))
+
+    def before(self, codes: Column, start: Column) -> Column:
+        """States before each row and behind the last. Appending copies an array, so it is done in chunks."""
+        numbers = F.sequence(F.lit(0), F.floor((F.size(codes) - 1) / CHUNK).cast("int"))
+        chunks = F.transform(numbers, lambda i: F.slice(codes, i * CHUNK + 1, F.lit(CHUNK)))
+
+        def run(chunk: Column, first: Column) -> Column:
+            return F.aggregate(chunk, F.array(first), lambda acc, c: F.concat(acc, F.array(self.step(F.element_at(acc, -1), c))))
+
+        def join(acc: Column, chunk: Column) -> Column:
+            last = F.element_at(F.element_at(acc, -1), -1)
+            return F.concat(acc, F.array(F.slice(run(chunk, last), F.lit(2), F.lit(CHUNK))))
+
+        return F.flatten(F.aggregate(chunks, F.array(F.array(start)), join))
+
+
+def _alone(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are worked out once: a generator keeps the optimizer from copying them into lambdas."""
+    packed = F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))
+    return df.select("*", F.explode(packed).alias("_one")).select(*df.columns, "_one.*")
+
+
+def _arrays(rows: DataFrame) -> DataFrame:
+    """One row for each lifecycle and cell with its entries in order."""
+    return rows.groupBy("saga_id", "_cell").agg(F.sort_array(F.collect_list(F.struct("seq", "code", "error"))).alias("rows"))
+
+
+def _codes() -> Column:
+    return F.transform("rows", lambda r: r["code"])
+
+
+def _starting_lanes(tables: DataFrame, machine: Automaton) -> DataFrame:
+    """``saga_id, _cell, lane`` from ``table``, which maps each lane that a cell could start from to the one it ends in."""
+    if not (tables.agg(F.max("_cell")).first()[0] or 0):
+        return tables.select("saga_id", "_cell", F.lit(machine.start_lane).alias("lane"))
+    gathered = tables.groupBy("saga_id", F.expr(f"_cell div {BLOCK}").alias("_block")).agg(F.sort_array(F.collect_list(F.struct("_cell", "table"))).alias("parts"))
+    gathered = materialize(gathered, "blocks")
+    same = F.expr(f"sequence(0, {len(machine.lanes) - 1})")
+    whole = F.aggregate("parts", same, lambda acc, p: F.transform(acc, lambda lane: F.element_at(p["table"], lane + 1)))
+    above = materialize(gathered.select("saga_id", F.col("_block").alias("_cell"), whole.alias("table")), "block-tables")
+    starts = _starting_lanes(above, machine).withColumnRenamed("_cell", "_block")
+    lanes = F.aggregate("parts", F.array("lane"), lambda acc, p: F.concat(acc, F.array(F.element_at(p["table"], F.element_at(acc, -1) + 1))))
+    placed = F.arrays_zip(F.transform("parts", lambda p: p["_cell"]).alias("_cell"), F.slice(lanes, F.lit(1), F.size("parts")).alias("lane"))
+    return gathered.join(starts, ["saga_id", "_block"]).select("saga_id", F.inline(placed).alias("_cell", "lane"))
+
+
+def _open_cells(cells: DataFrame, t: _Tables) -> DataFrame:
+    """Cells of hot lifecycles with their starting lane and the retries counted before them."""
+    lanes = F.expr(f"sequence(0L, {len(t.machine.lanes) - 1}L)")
+    table = F.transform(lanes, lambda lane: F.aggregate(_codes(), lane, t.step).bitwiseAND(F.lit(t.mask)).cast("int"))
+    tables = materialize(cells.select("saga_id", "_cell", table.alias("table")), "cell-tables")
+    opened = cells.join(_starting_lanes(tables, t.machine), ["saga_id", "_cell"])
+    ended = _alone(opened, end=F.aggregate(_codes(), F.col("lane").cast("long"), t.step))
+    steps = range(t.many)
+    added = ended.select("saga_id", "_cell", "lane", *[t.count(F.col("end"), F.lit(i)).alias(f"_r{i}") for i in steps])
+    earlier = Window.partitionBy("saga_id").orderBy("_cell")
+    so_far = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    base = F.array(*[F.coalesce(F.sum(f"_r{i}").over(so_far), F.lit(0)).cast("long") for i in steps])
+    opening = added.select("saga_id", "_cell", "lane", base.alias("base"), (F.row_number().over(earlier) == 1).alias("is_first"))
+    return cells.join(opening, ["saga_id", "_cell"])
+
+
+def _folded(cells: DataFrame, t: _Tables) -> DataFrame:
+    """Each cell's entries with the state before them, and what the cell leaves behind."""
+    traced = _alone(cells, states=t.before(_codes(), F.col("lane").cast("long")))
+    marks = F.zip_with("rows", F.slice("states", F.lit(1), F.size("rows")), lambda r, s: F.struct(r["seq"].alias("seq"), r["error"].alias("error"), s.alias("state"), t.at(s, r["code"]).alias("at")))
+    marked = _alone(traced, marks=marks, end=F.element_at("states", -1)).drop("rows", "states")
+    word = F.aggregate(
+        "marks",
+        F.when(F.col("is_first"), F.lit(t.machine.start_word)).otherwise(F.lit(0)).cast("long"),
+        lambda w, m: F.element_at(t.writes, m["at"]).bitwiseOR(w.bitwiseAND(F.element_at(t.keeps, m["at"]))),
+    )
 
-# The fold travels with the job: executors need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-cloudpickle.register_pickle_by_value(schemas)
-
-_SAME = "\0"  # a step error that the cell has not touched
-_MERGE_EVERY = 1000
-
-OUTPUT = (
-    "saga_id string, seq long, part int, record string, event_type string, step_name string, "
-    "status string, attempt int, retry_count int, error_message string, saga_status string, current_step string"
-)
-_LOG = ["saga_id", "seq", "step_name", "status", "error_message", "is_compensation", "action"]
-
-# State: [step statuses, step retry counts, step errors, saga status, index of the current step]
-
-
-def start_state(steps: tuple[StepDefinition, ...]) -> list:
-    waiting = ["EXECUTING"] + ["PENDING"] * (len(steps) - 1)
-    return [waiting, [0] * len(steps), [None] * len(steps), "EXECUTING", 0]
-
-
-def _run(state: list, index: int, status: str) -> None:
-    state[0][index] = status
-    state[3] = status
-    state[4] = index
-
-
-def _finish(state: list, status: str) -> tuple:
-    state[3] = status
-    return ("SAGA", status, state[4], 1)
-
-
-def _retry(state: list, index: int) -> None:
-    state[1][index] += 1
-    state[2][index] = None
-    _run(state, index, "EXECUTING")
-
-
-def apply_entry(steps, state: list, index: int, ok: bool, undo: bool, action: str | None, error: str | None) -> list[tuple]:
-    """Advances the state by one log entry and gives the lifecycle events it causes."""
-    if action == "RETRY":
-        _retry(state, state[4])
-        return []
-    if action == "FORCE_COMPLETE":
-        return [_finish(state, "COMPLETED")]
-    step = steps[index]
-    status = ("COMPENSATED" if undo else "COMPLETED") if ok else "FAILED"
-    state[0][index] = status
-    state[2][index] = error
-    events = [("STEP", status, index, state[1][index] + 1)]
-    if ok and not undo:
-        if index + 1 < len(steps):
-            _run(state, index + 1, "EXECUTING")
-        else:
-            events.append(_finish(state, "COMPLETED"))
-        return events
-    if not undo and step.step_type == "RETRYABLE":
-        if state[1][index] < step.max_retries:
-            _retry(state, index)
-        else:
-            events.append(_finish(state, "FAILED"))
-        return events
-    for earlier in range(index - 1, -1, -1):
-        target = steps[earlier]
-        if target.step_type == "COMPENSABLE" and target.compensable and state[0][earlier] == "COMPLETED":
-            _run(state, earlier, "COMPENSATING")
-            return events
-    events.append(_finish(state, "FAILED" if undo and not ok else "COMPENSATED"))
-    return events
-
-
-def _groups(batches: Iterator[pd.DataFrame]):
-    """Rows of sorted batches with a flag that is true on the first row of each (saga, cell)."""
-    last = None
-    for pdf in batches:
-        columns = [pdf[c].tolist() for c in pdf.columns]
-        names = {c: i for i, c in enumerate(pdf.columns)}
-        for row in zip(*columns):
-            key = (row[names["saga_id"]], row[names["_cell"]])
-            yield row, names, key != last
-            last = key
-
-
-def _entry(row: tuple, names: dict, index_of: dict):
-    """Arguments of ``apply_entry`` from a log row; NULL when the step is unknown."""
-    action = row[names["action"]]
-    action = action if isinstance(action, str) else None
-    step = row[names["step_name"]]
-    if action is None and step not in index_of:
-        return None
-    error = row[names["error_message"]]
-    return (
-        index_of.get(step, 0),
-        row[names["status"]] == "SUCCESS",
-        bool(row[names["is_compensation"]]) if row[names["is_compensation"]] is not None else False,
-        action,
-        error if isinstance(error, str) else None,
+    def error(i: int) -> Column:
+        """NULL if no entry touched the step's error, else a struct with its new value."""
+        last = F.try_element_at(F.filter("marks", lambda m: F.element_at(t.error_step, m["at"]) == i), F.lit(-1))
+        return F.when(last.isNotNull(), F.struct(F.when(F.element_at(t.error_kept, last["at"]), last["error"]).alias("value")))
+
+    counts = F.array(*[F.element_at("base", i + 1) + t.count(F.col("end"), F.lit(i)) for i in range(t.many)])
+    return _alone(
+        marked, word=word, errors=F.array(*[error(i) for i in range(t.many)]), counts=counts, current=t.current(F.col("end")), last_seq=F.element_at("marks", -1)["seq"]
     )
 
 
-def _lanes(steps) -> list[tuple]:
-    """Every state a cell could start from, as far as decisions depend on it."""
-    undoable = [i for i, s in enumerate(steps) if s.step_type == "COMPENSABLE" and s.compensable]
-    retryable = [i for i, s in enumerate(steps) if s.step_type == "RETRYABLE"]
-    done = itertools.product((False, True), repeat=len(undoable))
-    counts = list(itertools.product(*[range(steps[i].max_retries + 1) for i in retryable]))
-    return [(d, c, current) for d in done for c in counts for current in range(len(steps))]
+def _events(t: _Tables) -> Column:
+    """Lifecycle events of a folded cell: ``seq, part, event, attempt``."""
+    numbered = list(enumerate(t.machine.events))
+    own = t.table([e[1] if e[3] else -1 for _, e in numbered])
+
+    def caused(m: Column) -> Column:
+        def event(part: int, number: Column) -> Column:
+            step = F.element_at(own, number + 1)
+            attempt = F.when(step >= 0, F.element_at("base", F.greatest(step, F.lit(0)) + 1) + t.count(m["state"], step) + 1).otherwise(F.lit(1))
+            return F.struct(m["seq"].alias("seq"), F.lit(part).alias("part"), number.alias("event"), attempt.cast("int").alias("attempt"))
 
+        both = F.array(event(1, F.element_at(t.first, m["at"])), event(2, F.element_at(t.second, m["at"])))
+        return F.filter(both, lambda e: e["event"] > 0)
 
-def _lane_state(steps, lane: tuple) -> list:
-    done, counts, current = lane
-    undoable = [i for i, s in enumerate(steps) if s.step_type == "COMPENSABLE" and s.compensable]
-    retryable = [i for i, s in enumerate(steps) if s.step_type == "RETRYABLE"]
-    statuses, retries = [None] * len(steps), [0] * len(steps)
-    for i, is_done in zip(undoable, done):
-        statuses[i] = "COMPLETED" if is_done else None
-    for i, n in zip(retryable, counts):
-        retries[i] = n
-    return [statuses, retries, [_SAME] * len(steps), None, current]
+    start = F.struct(F.element_at("marks", 1)["seq"].alias("seq"), F.lit(0).alias("part"), F.lit(1).alias("event"), F.lit(1).alias("attempt"))
+    begun = F.when(F.col("is_first"), F.array(start)).otherwise(F.filter(F.array(start), lambda e: F.lit(False)))
+    return F.concat(begun, F.flatten(F.transform("marks", caused)))
 
 
-def _lane_of(steps, state: list) -> tuple:
-    done = tuple(
-        state[0][i] == "COMPLETED" for i, s in enumerate(steps) if s.step_type == "COMPENSABLE" and s.compensable
+def _merged(folded: DataFrame, t: _Tables) -> DataFrame:
+    """What the cells of a lifecycle leave behind together: the newest of each."""
+
+    def newest(value: Column, there: Column) -> Column:
+        return F.max(F.when(there, F.struct("_cell", value.alias("v"))))["v"]
+
+    digits = [F.call_function("shiftright", F.col("word"), F.lit(DIGIT * i)).bitwiseAND(F.lit(7)) for i in range(t.many + 1)]
+    merged = folded.groupBy("saga_id").agg(
+        *[newest(d, d > 0).alias(f"_d{i}") for i, d in enumerate(digits)],
+        *[newest(F.col("errors")[i], F.col("errors")[i].isNotNull()).alias(f"_e{i}") for i in range(t.many)],
+        *[newest(F.col(c), F.lit(True)).alias(c) for c in ("counts", "current", "last_seq")],
     )
-    counts = tuple(min(state[1][i], s.max_retries) for i, s in enumerate(steps) if s.step_type == "RETRYABLE")
-    return done, counts, state[4]
-
-
-def _after_lane(steps, state: list, lane: tuple, exit_state: list) -> list:
-    """The true state behind a cell: what the cell set, and what it left as it was."""
-    begun = _lane_state(steps, lane)
-    return [
-        [old if new is None else new for old, new in zip(state[0], exit_state[0])],
-        [old + new - base for old, new, base in zip(state[1], exit_state[1], begun[1])],
-        [old if new == _SAME else new for old, new in zip(state[2], exit_state[2])],
-        state[3] if exit_state[3] is None else exit_state[3],
-        exit_state[4],
-    ]
+    word = None
+    for i in range(t.many + 1):
+        part = F.coalesce(F.col(f"_d{i}"), F.lit(0)).cast("long") * (1 << (DIGIT * i))
+        word = part if word is None else word + part
+    errors = F.array(*[F.col(f"_e{i}") for i in range(t.many)])
+    return merged.select("saga_id", word.alias("word"), errors.alias("errors"), "counts", "current", "last_seq")
+
 
+_RECORD = "seq long, part int, kind int, event int, attempt int, digit int, retries int, error string, saga int, current int"
 
-def _cell_tables(steps):
-    """Per cell: the exit state for every lane. Lanes that have become equal are folded once."""
-    lanes, index_of = _lanes(steps), {s.name: i for i, s in enumerate(steps)}
-
-    def merge(live: list) -> list:
-        by_state: dict = {}
-        for state, members in live:
-            by_state.setdefault(json.dumps(state), (state, []))[1].extend(members)
-        return list(by_state.values())
-
-    def table(live: list) -> str:
-        exits = {lane: state for state, members in live for lane in members}
-        return json.dumps([exits[i] for i in range(len(lanes))])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, live, seen, out = None, None, 0, []
-        for row, names, first in _groups(batches):
-            if first:
-                if key is not None:
-                    out.append((*key, table(live)))
-                key = (row[names["saga_id"]], row[names["_cell"]])
-                live = [(_lane_state(steps, lane), [i]) for i, lane in enumerate(lanes)]
-                seen = 0
-            entry = _entry(row, names, index_of)
-            if entry is None:
-                continue
-            for state, _ in live:
-                apply_entry(steps, state, *entry)
-            seen += 1
-            if seen % _MERGE_EVERY == 0 or seen in (10, 100):
-                live = merge(live)
-        if key is not None:
-            out.append((*key, table(live)))
-        yield pd.DataFrame(out, columns=["saga_id", "_cell", "table"])
-
-    return run
-
-
-def _chain(steps):
-    """Starting state of every cell of one lifecycle, from the tables of the cells before it."""
-    numbers = {lane: i for i, lane in enumerate(_lanes(steps))}
-
-    def run(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
-        state, out = start_state(steps), []
-        cells = cells.sort_values("_cell")
-        last = cells["_cell"].iloc[-1]
-        for cell, text in zip(cells["_cell"], cells["table"]):
-            out.append((key[0], cell, json.dumps({"state": state, "first": not out, "last": bool(cell == last)})))
-            lane = _lane_of(steps, state)
-            state = _after_lane(steps, state, lane, json.loads(text)[numbers[lane]])
-        return pd.DataFrame(out, columns=["saga_id", "_cell", "opening"])
-
-    return run
-
-
-def _fold(steps):
-    names_of, index_of = [s.name for s in steps], {s.name: i for i, s in enumerate(steps)}
-
-    def states(saga_id, seq, state) -> list[tuple]:
-        rows = [
-            (saga_id, seq, i, "step", None, names_of[i], state[0][i], None, state[1][i], state[2][i], state[3], names_of[state[4]])
-            for i in range(len(steps))
-        ]
-        rows.append((saga_id, seq, 0, "saga", None, names_of[state[4]], state[3], None, None, None, state[3], names_of[state[4]]))
-        return rows
-
-    def frame(rows: list[tuple]) -> pd.DataFrame:
-        columns = [c.split()[0] for c in OUTPUT.split(", ")]
-        pdf = pd.DataFrame(rows, columns=columns)
-        return pdf.astype({"attempt": "Int32", "retry_count": "Int32"})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out, saga, state, seq, last = [], None, None, None, True
-        for row, names, first in _groups(batches):
-            if first:
-                if saga is not None and last:
-                    out.extend(states(saga, seq, state))
-                saga, state, last = row[names["saga_id"]], start_state(steps), True
-                opening = row[names["opening"]]
-                begins = True
-                if isinstance(opening, str):
-                    known = json.loads(opening)
-                    state, begins, last = known["state"], known["first"], known["last"]
-                else:
-                    seq = row[names["seq"]]
-                pending_start = begins
-            if isinstance(row[names["opening"]], str):
-                continue
-            seq = row[names["seq"]]
-            if pending_start:
-                out.append((saga, seq, 0, "event", "SAGA_STARTED", None, "STARTED", 1, None, None, None, None))
-                pending_start = False
-            entry = _entry(row, names, index_of)
-            if entry is None:
-                continue
-            for part, (kind, status, index, attempt) in enumerate(apply_entry(steps, state, *entry), 1):
-                out.append((saga, seq, part, "event", f"{kind}_{status}", names_of[index], status, attempt, None, None, None, None))
-            if len(out) >= 20_000:
-                yield frame(out)
-                out = []
-        if saga is not None and last:
-            out.extend(states(saga, seq, state))
-        yield frame(out)
-
-    return run
-
-
-def _openings(hot_log: DataFrame, steps) -> DataFrame:
-    """True starting state of every cell of the hot lifecycles."""
-    by_cell = hot_log.drop("_hot").repartition("saga_id", "_cell").sortWithinPartitions("saga_id", "_cell", "seq")
-    tables = by_cell.mapInPandas(_cell_tables(steps), "saga_id string, _cell long, table string")
-    chained = tables.groupBy("saga_id").applyInPandas(_chain(steps), "saga_id string, _cell long, opening string")
-    return chained.withColumn("seq", F.lit(-1).cast("long"))
+
+def _record(**given: Column) -> Column:
+    """One record; fields that are not given are NULL."""
+    fields = [f.split() for f in _RECORD.split(", ")]
+    return F.struct(*[given.get(k, F.lit(None)).cast({"long": "bigint"}.get(kind, kind)).alias(k) for k, kind in fields])
+
+
+def _event_records(t: _Tables) -> Column:
+    return F.transform(_events(t), lambda e: _record(seq=e["seq"], part=e["part"], kind=F.lit(0), event=e["event"], attempt=e["attempt"]))
+
+
+def _state_records(t: _Tables) -> Column:
+    def digit(i: int) -> Column:
+        return F.call_function("shiftright", F.col("word"), F.lit(DIGIT * i)).bitwiseAND(F.lit(7))
+
+    common = {"seq": F.col("last_seq"), "saga": digit(t.many), "current": F.col("current")}
+    steps = [
+        _record(part=F.lit(i), kind=F.lit(1), digit=digit(i), retries=F.element_at("counts", i + 1), error=F.col("errors")[i]["value"], **common)
+        for i in range(t.many)
+    ]
+    return F.array(*steps, _record(part=F.lit(0), kind=F.lit(2), digit=digit(t.many), **common))
+
+
+def _named(records: DataFrame, t: _Tables) -> DataFrame:
+    """Records with the names of events, steps and statuses."""
+    events = t.machine.events
+    names = [s.name for s in t.machine.steps]
+    kind, statuses = F.col("kind"), t.table(STATUSES)
+
+    def of_event(values: list) -> Column:
+        return F.element_at(t.table(values), F.col("event") + 1)
+
+    step = F.element_at(t.names, F.when(kind == 1, F.col("part")).otherwise(F.col("current")) + 1)
+    return records.select(
+        "saga_id",
+        "seq",
+        "part",
+        F.element_at(t.table(["event", "step", "saga"]), kind + 1).alias("record"),
+        of_event([e[0] for e in events]).alias("event_type"),
+        F.when(kind == 0, of_event([None if e[1] is None else names[e[1]] for e in events])).otherwise(step).alias("step_name"),
+        F.when(kind == 0, of_event([e[2] for e in events])).otherwise(F.element_at(statuses, F.col("digit") + 1)).alias("status"),
+        "attempt",
+        F.col("retries").alias("retry_count"),
+        F.col("error").alias("error_message"),
+        F.element_at(statuses, F.col("saga") + 1).alias("saga_status"),
+        F.element_at(t.names, F.col("current") + 1).alias("current_step"),
+    )
 
 
 def replay(
-    log: DataFrame, steps: tuple[StepDefinition, ...] = PAYMENT_STEPS, limit: int | None = None, width: int = CELL_ROWS
+    log: DataFrame, steps: tuple[StepDefinition, ...] = PAYMENT_STEPS, limit: int | None = None, width: int = CELL
 ) -> DataFrame:
     """Events (``record = event``) and final states (``step`` and ``saga`` rows) of every lifecycle.
 
@@ -289,15 +257,23 @@ def replay(
     """
     if "action" not in log.columns:
         log = log.withColumn("action", F.lit(None).cast("string"))
+    t = _Tables(automaton(steps))
     keys = ["saga_id"]
-    hot = hot_keys(log, keys, limit)
-    celled = with_cells(log.select(*_LOG), hot, keys, "seq", width)
-    both = celled.drop("_hot").withColumn("opening", F.lit(None).cast("string"))
-    if hot is not None:
-        both = both.unionByName(_openings(celled.filter(F.col("_hot")), steps), allowMissingColumns=True)
-    both = both.withColumn("_lead", F.col("opening").isNull())
-    ordered = both.repartition("saga_id", "_cell").sortWithinPartitions("saga_id", "_cell", "_lead", "seq")
-    return ordered.mapInPandas(_fold(steps), OUTPUT)
+    most = min(CELL, t.most)
+    limit = min(limit or scale(log.sparkSession, "hot_rows", most), most)
+    rows = log.select("saga_id", "seq", t.code().alias("code"), F.col("error_message").alias("error"))
+    hot = materialize(hot_keys(rows, keys, limit), "hot-sagas")
+    is_hot = not hot.isEmpty()
+    celled = with_cells(rows, hot if is_hot else None, keys, "seq", min(width, most))
+    zero = F.array(*[F.lit(0).cast("long")] * t.many)
+    cold = _arrays(celled.filter(~F.col("_hot"))).withColumns({"lane": F.lit(t.machine.start_lane), "base": zero, "is_first": F.lit(True)})
+    records = _folded(cold, t).select("saga_id", F.inline(F.concat(_event_records(t), _state_records(t))))
+    if is_hot:
+        cells = materialize(_arrays(celled.filter(F.col("_hot"))), "cells")
+        folded = _folded(_open_cells(cells, t), t)
+        records = records.unionByName(folded.select("saga_id", F.inline(_event_records(t))))
+        records = records.unionByName(_merged(folded, t).select("saga_id", F.inline(_state_records(t))))
+    return _named(records, t)
 
 
 def lifecycle_events(replayed: DataFrame) -> DataFrame:
