@@ -40,14 +40,17 @@ class _Tables:
         more = [0 if r < 0 else 1 << (self.lane_bits + r * self.count_bits) for r in machine.retried]
         self.delta = self.table([n - lane + m for n, lane, m in zip(machine.nexts, lanes, more)], "L")
         self.writes, self.keeps = self.table(machine.writes, "L"), self.table(machine.keeps, "L")
-        self.error_step, self.error_kept = self.table(machine.error_step), self.table(machine.error_kept)
+        self.error_step, self.error_kept = self.table(machine.error_step), self.table([int(k) for k in machine.error_kept])
         self.first, self.second = self.table(machine.first_event), self.table(machine.second_event)
         self.currents = self.table(machine.currents)
         self.names = self.table([s.name for s in machine.steps])
 
     @staticmethod
     def table(values, suffix: str = "") -> Column:
-        """A literal array; the optimizer folds it into one value."""
+        """A literal array. A long one is split from text, which the optimizer folds; thousands of literals are slow to plan."""
+        if len(values) > 64:
+            kind = "bigint" if suffix else "int"
+            return F.expr(f"cast(split('{','.join(str(int(v)) for v in values)}', ',') as array<{kind}>)")
         texts = ["NULL" if v is None else f"'{v}'" if isinstance(v, str) else f"{v}{suffix}" for v in values]
         return F.expr(f"array({', '.join(texts)})")
 
@@ -135,11 +138,15 @@ def _open_cells(cells: DataFrame, t: _Tables) -> DataFrame:
     return cells.join(opening, ["saga_id", "_cell"])
 
 
-def _folded(cells: DataFrame, t: _Tables) -> DataFrame:
-    """Each cell's entries with the state before them, and what the cell leaves behind."""
+def _marked(cells: DataFrame, t: _Tables) -> DataFrame:
+    """Each cell's entries as ``marks``: with the state before them and the place in the tables."""
     traced = _alone(cells, states=t.before(_codes(), F.col("lane").cast("long")))
     marks = F.zip_with("rows", F.slice("states", F.lit(1), F.size("rows")), lambda r, s: F.struct(r["seq"].alias("seq"), r["error"].alias("error"), s.alias("state"), t.at(s, r["code"]).alias("at")))
-    marked = _alone(traced, marks=marks, end=F.element_at("states", -1)).drop("rows", "states")
+    return _alone(traced, marks=marks, end=F.element_at("states", -1)).drop("rows", "states")
+
+
+def _left(marked: DataFrame, t: _Tables) -> DataFrame:
+    """What each cell leaves behind."""
     word = F.aggregate(
         "marks",
         F.when(F.col("is_first"), F.lit(t.machine.start_word)).otherwise(F.lit(0)).cast("long"),
@@ -149,41 +156,43 @@ def _folded(cells: DataFrame, t: _Tables) -> DataFrame:
     def error(i: int) -> Column:
         """NULL if no entry touched the step's error, else a struct with its new value."""
         last = F.try_element_at(F.filter("marks", lambda m: F.element_at(t.error_step, m["at"]) == i), F.lit(-1))
-        return F.when(last.isNotNull(), F.struct(F.when(F.element_at(t.error_kept, last["at"]), last["error"]).alias("value")))
+        return F.when(last.isNotNull(), F.struct(F.when(F.element_at(t.error_kept, last["at"]) == 1, last["error"]).alias("value")))
 
     counts = F.array(*[F.element_at("base", i + 1) + t.count(F.col("end"), F.lit(i)) for i in range(t.many)])
-    return _alone(
-        marked, word=word, errors=F.array(*[error(i) for i in range(t.many)]), counts=counts, current=t.current(F.col("end")), last_seq=F.element_at("marks", -1)["seq"]
+    left = {"word": word, "errors": F.array(*[error(i) for i in range(t.many)]), "counts": counts, "current": t.current(F.col("end"))}
+    return _alone(marked, **left, last_seq=F.element_at("marks", -1)["seq"]).drop("marks")
+
+
+def _events(marked: DataFrame, t: _Tables) -> DataFrame:
+    """Lifecycle events: those of each entry, and the start before the first."""
+    events, names = t.machine.events, [s.name for s in t.machine.steps]
+    number = F.col("event") + 1
+    own = F.element_at(t.table([e[1] if e[3] else -1 for e in events]), number)
+    attempt = F.when(own >= 0, F.element_at("base", F.greatest(own, F.lit(0)) + 1) + t.count(F.col("m.state"), own) + 1).otherwise(F.lit(1))
+    entries = marked.select("saga_id", "base", "is_first", F.posexplode("marks").alias("at", "m"))
+    start = F.when(F.col("is_first") & (F.col("at") == 0), F.lit(1)).otherwise(F.lit(0))
+    caused = F.array(start, F.element_at(t.first, F.col("m.at")), F.element_at(t.second, F.col("m.at")))
+    each = entries.select("saga_id", "base", "m", F.posexplode(caused).alias("part", "event")).filter(F.col("event") > 0)
+    return each.select(
+        "saga_id",
+        F.col("m.seq").alias("seq"),
+        "part",
+        F.lit("event").alias("record"),
+        F.element_at(t.table([e[0] for e in events]), number).alias("event_type"),
+        F.element_at(t.table([None if e[1] is None else names[e[1]] for e in events]), number).alias("step_name"),
+        F.element_at(t.table([e[2] for e in events]), number).alias("status"),
+        attempt.cast("int").alias("attempt"),
     )
 
 
-def _events(t: _Tables) -> Column:
-    """Lifecycle events of a folded cell: ``seq, part, event, attempt``."""
-    numbered = list(enumerate(t.machine.events))
-    own = t.table([e[1] if e[3] else -1 for _, e in numbered])
-
-    def caused(m: Column) -> Column:
-        def event(part: int, number: Column) -> Column:
-            step = F.element_at(own, number + 1)
-            attempt = F.when(step >= 0, F.element_at("base", F.greatest(step, F.lit(0)) + 1) + t.count(m["state"], step) + 1).otherwise(F.lit(1))
-            return F.struct(m["seq"].alias("seq"), F.lit(part).alias("part"), number.alias("event"), attempt.cast("int").alias("attempt"))
-
-        both = F.array(event(1, F.element_at(t.first, m["at"])), event(2, F.element_at(t.second, m["at"])))
-        return F.filter(both, lambda e: e["event"] > 0)
-
-    start = F.struct(F.element_at("marks", 1)["seq"].alias("seq"), F.lit(0).alias("part"), F.lit(1).alias("event"), F.lit(1).alias("attempt"))
-    begun = F.when(F.col("is_first"), F.array(start)).otherwise(F.filter(F.array(start), lambda e: F.lit(False)))
-    return F.concat(begun, F.flatten(F.transform("marks", caused)))
-
-
-def _merged(folded: DataFrame, t: _Tables) -> DataFrame:
+def _merged(left: DataFrame, t: _Tables) -> DataFrame:
     """What the cells of a lifecycle leave behind together: the newest of each."""
 
     def newest(value: Column, there: Column) -> Column:
         return F.max(F.when(there, F.struct("_cell", value.alias("v"))))["v"]
 
     digits = [F.call_function("shiftright", F.col("word"), F.lit(DIGIT * i)).bitwiseAND(F.lit(7)) for i in range(t.many + 1)]
-    merged = folded.groupBy("saga_id").agg(
+    merged = left.groupBy("saga_id").agg(
         *[newest(d, d > 0).alias(f"_d{i}") for i, d in enumerate(digits)],
         *[newest(F.col("errors")[i], F.col("errors")[i].isNotNull()).alias(f"_e{i}") for i in range(t.many)],
         *[newest(F.col(c), F.lit(True)).alias(c) for c in ("counts", "current", "last_seq")],
@@ -196,55 +205,25 @@ def _merged(folded: DataFrame, t: _Tables) -> DataFrame:
     return merged.select("saga_id", word.alias("word"), errors.alias("errors"), "counts", "current", "last_seq")
 
 
-_RECORD = "seq long, part int, kind int, event int, attempt int, digit int, retries int, error string, saga int, current int"
-
+def _states(left: DataFrame, t: _Tables) -> DataFrame:
+    """Final states: a row for each step, and one for the saga at its current step."""
+    statuses = t.table(STATUSES)
 
-def _record(**given: Column) -> Column:
-    """One record; fields that are not given are NULL."""
-    fields = [f.split() for f in _RECORD.split(", ")]
-    return F.struct(*[given.get(k, F.lit(None)).cast({"long": "bigint"}.get(kind, kind)).alias(k) for k, kind in fields])
+    def status(i: int) -> Column:
+        digit = F.call_function("shiftright", F.col("word"), F.lit(DIGIT * i)).bitwiseAND(F.lit(7))
+        return F.element_at(statuses, (digit + 1).cast("int"))
 
+    def row(record: str, part: int, name: Column, own: Column, retries: Column, error: Column) -> Column:
+        fields = {"part": F.lit(part), "record": F.lit(record), "step_name": name, "status": own, "retry_count": retries.cast("int"), "error_message": error}
+        return F.struct(*[v.alias(k) for k, v in fields.items()])
 
-def _event_records(t: _Tables) -> Column:
-    return F.transform(_events(t), lambda e: _record(seq=e["seq"], part=e["part"], kind=F.lit(0), event=e["event"], attempt=e["attempt"]))
-
-
-def _state_records(t: _Tables) -> Column:
-    def digit(i: int) -> Column:
-        return F.call_function("shiftright", F.col("word"), F.lit(DIGIT * i)).bitwiseAND(F.lit(7))
-
-    common = {"seq": F.col("last_seq"), "saga": digit(t.many), "current": F.col("current")}
+    current, none = F.element_at(t.names, F.col("current") + 1), F.lit(None)
     steps = [
-        _record(part=F.lit(i), kind=F.lit(1), digit=digit(i), retries=F.element_at("counts", i + 1), error=F.col("errors")[i]["value"], **common)
-        for i in range(t.many)
+        row("step", i, F.lit(s.name), status(i), F.element_at("counts", i + 1), F.col("errors")[i]["value"]) for i, s in enumerate(t.machine.steps)
     ]
-    return F.array(*steps, _record(part=F.lit(0), kind=F.lit(2), digit=digit(t.many), **common))
-
-
-def _named(records: DataFrame, t: _Tables) -> DataFrame:
-    """Records with the names of events, steps and statuses."""
-    events = t.machine.events
-    names = [s.name for s in t.machine.steps]
-    kind, statuses = F.col("kind"), t.table(STATUSES)
-
-    def of_event(values: list) -> Column:
-        return F.element_at(t.table(values), F.col("event") + 1)
-
-    step = F.element_at(t.names, F.when(kind == 1, F.col("part")).otherwise(F.col("current")) + 1)
-    return records.select(
-        "saga_id",
-        "seq",
-        "part",
-        F.element_at(t.table(["event", "step", "saga"]), kind + 1).alias("record"),
-        of_event([e[0] for e in events]).alias("event_type"),
-        F.when(kind == 0, of_event([None if e[1] is None else names[e[1]] for e in events])).otherwise(step).alias("step_name"),
-        F.when(kind == 0, of_event([e[2] for e in events])).otherwise(F.element_at(statuses, F.col("digit") + 1)).alias("status"),
-        "attempt",
-        F.col("retries").alias("retry_count"),
-        F.col("error").alias("error_message"),
-        F.element_at(statuses, F.col("saga") + 1).alias("saga_status"),
-        F.element_at(t.names, F.col("current") + 1).alias("current_step"),
-    )
+    saga = row("saga", 0, current, status(t.many), none, none.cast("string"))
+    each = left.select("saga_id", F.col("last_seq").alias("seq"), status(t.many).alias("saga_status"), current.alias("current_step"), F.inline(F.array(*steps, saga)))
+    return each
 
 
 def replay(
@@ -253,7 +232,8 @@ def replay(
     """Events (``record = event``) and final states (``step`` and ``saga`` rows) of every lifecycle.
 
     ``log`` has ``saga_id, seq, step_name, status, error_message, is_compensation`` and, for entries of
-    operators, ``action`` (``RETRY`` or ``FORCE_COMPLETE``). ``seq`` numbers the entries.
+    operators, ``action`` (``RETRY`` or ``FORCE_COMPLETE``). ``seq`` numbers the entries. A filter on ``record`` leaves
+    only the branch that it needs.
     """
     if "action" not in log.columns:
         log = log.withColumn("action", F.lit(None).cast("string"))
@@ -261,19 +241,22 @@ def replay(
     keys = ["saga_id"]
     most = min(CELL, t.most)
     limit = min(limit or scale(log.sparkSession, "hot_rows", most), most)
-    rows = log.select("saga_id", "seq", t.code().alias("code"), F.col("error_message").alias("error"))
+    # Written once: the count of hot lifecycles and the fold both read it, and the log may be costly to derive.
+    rows = materialize(log.select("saga_id", "seq", t.code().cast("short").alias("code"), F.col("error_message").alias("error")), "coded-log")
     hot = materialize(hot_keys(rows, keys, limit), "hot-sagas")
     is_hot = not hot.isEmpty()
     celled = with_cells(rows, hot if is_hot else None, keys, "seq", min(width, most))
     zero = F.array(*[F.lit(0).cast("long")] * t.many)
     cold = _arrays(celled.filter(~F.col("_hot"))).withColumns({"lane": F.lit(t.machine.start_lane), "base": zero, "is_first": F.lit(True)})
-    records = _folded(cold, t).select("saga_id", F.inline(F.concat(_event_records(t), _state_records(t))))
+    marked = _marked(cold, t)
+    events, states = _events(marked, t), _states(_left(marked, t), t)
     if is_hot:
         cells = materialize(_arrays(celled.filter(F.col("_hot"))), "cells")
-        folded = _folded(_open_cells(cells, t), t)
-        records = records.unionByName(folded.select("saga_id", F.inline(_event_records(t))))
-        records = records.unionByName(_merged(folded, t).select("saga_id", F.inline(_state_records(t))))
-    return _named(records, t)
+        marked = _marked(_open_cells(cells, t), t)
+        events = events.unionByName(_events(marked, t))
+        states = states.unionByName(_states(_merged(_left(marked, t), t), t))
+    both = events.unionByName(states, allowMissingColumns=True)
+    return both.select("saga_id", "seq", "part", "record", "event_type", "step_name", "status", "attempt", "retry_count", "error_message", "saga_status", "current_step")
 
 
 def lifecycle_events(replayed: DataFrame) -> DataFrame:
