@@ -14,7 +14,7 @@ from ..session import shared_dir, use_utc
 from ..sources import samples as S
 from ..sources.tables import read_table, utc_times
 from ..sources.topics import file_stream
-from ..streaming import jobs
+from ..streaming import jobs, lookback, sagas
 from .base import REASONS, SCORE, query
 from .detection import _ALERTS, _GOOD, _HOURLY, _alert_records, _saga_records, _strict_records
 
@@ -70,7 +70,10 @@ def _detected(spark, folder):
 
 
 def _tight(spark, folder):
-    """Three files of the raw topic, the tight rule from the second batch on, and some rows dated 1970."""
+    """Three files of the raw topic, the tight rule from the second batch on, and some rows dated 1970.
+
+    The windows are kept in keyed state; rules arrive as a topic of their own.
+    """
     path, last = shared_dir(spark, "tight"), read_table(spark, folder, "events").count()
     long_ago = F.when(F.col("seq") % 101 == 50, F.timestamp_millis(F.col("seq") * 1000)).otherwise(F.col("occurred_at"))
     moved = S.payments(spark, folder).withColumn("occurred_at", long_ago).withColumn("occurred_ms", F.unix_millis(long_ago))
@@ -78,14 +81,15 @@ def _tight(spark, folder):
     for k in range(3):
         part = records.filter((F.col("offset") * 3 >= k * last) & (F.col("offset") * 3 < (k + 1) * last))
         part.coalesce(1).write.mode("append").parquet(path)
-    used = []
-
-    def rule():
-        used.append(rules.active_rule(S.rule_log(spark).filter(F.col("offset") < (1 if not used else 2))))
-        return used[-1]
-
+    topic, log = shared_dir(spark, "tight-rules"), S.rule_log(spark)
+    for k in range(2):
+        log.filter(F.col("offset") == k).coalesce(1).write.mode("append").parquet(topic)
+    rules = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(topic)
     stream = file_stream(spark, path, files_per_batch=1)
-    return _drain(spark, "detect", lambda r: jobs.detect(stream, r, rule, lambda: S.profiles(spark, folder)))
+    root = shared_dir(spark, "lookback")
+    for q in lookback.detect(stream, rules, root, lambda: S.profiles(spark, folder), shards=16):
+        q.awaitTermination()
+    return root
 
 
 _TIGHT = f"""
@@ -325,6 +329,33 @@ def _(spark, folder):
     return done.filter("step_name = current_step").select("saga_id", "saga_status", "current_step", "retry_count")
 
 
+def _in_batches(spark, name, log, parts, order="seq"):
+    """A table as a stream of files, one a batch, in the given order."""
+    path, log = shared_dir(spark, name), log.persist()
+    last = log.agg(F.max(order)).first()[0] + 1
+    for k in range(parts):
+        part = log.filter((F.col(order) * parts >= k * last) & (F.col(order) * parts < (k + 1) * last))
+        part.coalesce(1).write.mode("append").parquet(path)
+    schema = log.schema
+    log.unpersist()
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query(
+    "stream_saga_replay",
+    """SELECT saga_id, step_order, step_name, s.status, retry_count, CASE WHEN s.status='FAILED' THEN error_message END AS error_message,
+      i.status AS saga_status, current_step FROM stp s JOIN (SELECT saga_id, status, current_step FROM inst) i USING (saga_id)""",
+)
+def _(spark, folder):
+    """The last states of the steps after three batches of replies."""
+    replies = S.saga_replies(spark, folder).select("saga_id", "seq", "step_name", "status", "error_message", "is_compensation")
+    # Lifecycles are cut by the batches: replies are numbered within them and mixed.
+    mixed = replies.withColumn("arrival", F.pmod(F.col("seq"), F.lit(10)))
+    root = shared_dir(spark, "saga-replay")
+    sagas.replay(_in_batches(spark, "replies", mixed, 3, "arrival"), root).awaitTermination()
+    return R.step_states(sagas.newest_states(jobs.read_batches(spark, root, "saga_replay")))
+
+
 @query("saga_lifecycle_events", "SELECT saga_id, event_type, step_name, status, attempt FROM sev")
 def _(spark, folder):
     return R.lifecycle_events(R.replay(S.saga_replies(spark, folder))).drop("seq", "part")

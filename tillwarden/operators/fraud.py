@@ -120,7 +120,12 @@ def detect_asof(payments: DataFrame, rules: DataFrame, profiles: DataFrame, **tu
     ]
     own = F.col("from_ms").isNull() | (F.col("occurred_ms") >= F.col("from_ms"))
     swept = look_back(seen, ["account_id", "rule_seq"], "occurred_ms", "seq", sums, keep=own, **tuning)
-    signals = swept.withColumns(
+    return score_counted(swept, profiles, hot_keys(payments, ["account_id"], tuning.get("limit"))).drop("from_ms", "to_ms", "structuring_ms", "rule_seq")
+
+
+def score_counted(counted: DataFrame, profiles: DataFrame, hot: DataFrame | None = UNKNOWN) -> DataFrame:
+    """Scores payments that have their window counts and the fields of their rule beside them."""
+    signals = counted.withColumns(
         {
             "amount_over_max": amount_over_max(F.col("amount"), F.col("max_amount")),
             "velocity": F.col("window_count") > F.col("velocity_max_count"),
@@ -130,9 +135,7 @@ def detect_asof(payments: DataFrame, rules: DataFrame, profiles: DataFrame, **tu
         }
     )
     keep = [c for c in signals.columns if c not in RULE_FIELDS or c == "rule_id"]
-    hot = hot_keys(payments, ["account_id"], tuning.get("limit"))
-    enriched = enrich_risk(signals.select(*keep), profiles, hot)
-    return score_columns(enriched).drop("from_ms", "to_ms", "structuring_ms", "rule_seq")
+    return score_columns(enrich_risk(signals.select(*keep), profiles, hot))
 
 
 def fraud_alerts(scored: DataFrame) -> DataFrame:
