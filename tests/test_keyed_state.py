@@ -1,6 +1,7 @@
 """Streams with keyed state: replay of lifecycles, timers of steps, look-back windows."""
 
 import datetime
+import hashlib
 import random
 import time
 
@@ -14,7 +15,7 @@ from tillwarden.session import shared_dir
 from tillwarden.sources import samples as S
 from tillwarden.sources.schemas import DEFAULT_RULE, FraudRule
 from tillwarden.sources.topics import file_stream
-from tillwarden.streaming import jobs, lookback, sagas
+from tillwarden.streaming import jobs, lookback, requests, sagas
 
 
 def _set(df):
@@ -138,3 +139,31 @@ def test_state_of_a_live_job_expires(spark, data, keep_ms, seen):
     finally:
         query.stop()
     assert [r.window_count for r in spark.table(f"live{seen}").orderBy("seq").collect()] == [1, seen]
+
+
+def test_requests_across_batches_and_restarts(spark):
+    """The first of a key wins for good; equal ones get its reply, others fail; blank keys are always created."""
+    schema = "idempotency_key string, body string, arrival long, reply string"
+    deliveries = [
+        [("k", "x", 5, "r5"), ("k", "x", 3, "r3"), ("k", "y", 4, "r4"), (None, "x", 1, "n1"), (" ", "x", 2, "n2"), ("n", None, 9, "z9")],
+        [("k", "x", 1, "r1"), ("k", "y", 0, "r0"), ("m", "a", 7, "m7"), ("m", "b", 7, "m8"), (None, "x", 1, "n3"), ("n", None, 9, "z10")],
+        [("m", "a", 9, "m9"), ("m", "b", 9, "m10"), ("k", "x", 99, "r99")],
+    ]
+    source, root = shared_dir(spark, "requests"), shared_dir(spark, "judged")
+    for rows in deliveries:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        requests.judge(spark.readStream.schema(schema).parquet(source), root, shards=3).awaitTermination()
+    found = jobs.read_batches(spark, root, "idempotency").collect()
+    first = min("ab", key=lambda b: hashlib.sha256(b.encode()).hexdigest())
+    reply = {"a": "m7", "b": "m8"}[first]
+
+    def m(body, own):
+        return (f"m{body}", *(("created", own) if own == reply else ("idempotent_hit", reply) if body == first else ("failed", None)))
+
+    got = sorted(((r.idempotency_key or "") + (r.body or ""), r.outcome, r.reply or "") for r in found)
+    want = [("kx", "created", "r3"), ("ky", "failed", ""), ("kx", "idempotent_hit", "r3"), ("x", "created", "n1"), (" x", "created", "n2"), ("n", "created", "z9")]
+    want += [("kx", "idempotent_hit", "r3"), ("ky", "failed", ""), ("x", "created", "n3"), ("n", "idempotent_hit", "z9"), ("kx", "idempotent_hit", "r3")]
+    want += [tuple(v or "" for v in m(*a)) for a in (("a", "m7"), ("b", "m8"), ("a", "m9"), ("b", "m10"))]
+    assert got == sorted(want)
+    with pytest.raises(ValueError):
+        requests.judge(spark.readStream.schema(schema).parquet(source), root, keep_ms=5)

@@ -14,7 +14,7 @@ from ..session import shared_dir, use_utc
 from ..sources import samples as S
 from ..sources.tables import read_table, utc_times
 from ..sources.topics import file_stream
-from ..streaming import jobs, lookback, sagas
+from ..streaming import jobs, lookback, requests, sagas
 from .base import REASONS, SCORE, query
 from .detection import _ALERTS, _GOOD, _HOURLY, _alert_records, _saga_records, _strict_records
 
@@ -356,6 +356,43 @@ def _(spark, folder):
     return R.step_states(sagas.newest_states(jobs.read_batches(spark, root, "saga_replay")))
 
 
+@query(
+    "stream_step_timeouts",
+    """SELECT saga_id, step_name, CAST(attempt AS INT) AS attempt, started_at + to_seconds(30 * attempt) AS timed_out_at, 'FAILURE' AS status
+    FROM (SELECT *, unnest(range(1, CASE WHEN step_name='NOTIFY' THEN 5 ELSE 2 END)) AS attempt FROM stp WHERE status='EXECUTING')
+    WHERE started_at < (SELECT greatest(max(started_at), max(completed_at)) FROM stp) - to_seconds(5 + 30 * attempt)""",
+)
+def _(spark, folder):
+    """Timers of the steps without a reply; that of a retryable step is set again for each of its retries."""
+    steps = S.shape_saga_steps(spark, S.shape_orders(_stream(spark, folder, "orders")))
+    named = steps.withColumn("saga_id", F.concat(F.lit("saga-"), F.col("saga_instance_id")))
+    started = named.filter("started_at is not null")
+    replied = named.filter("completed_at is not null").withColumnRenamed("completed_at", "replied_at")
+    root = _drain(spark, "timers", lambda r: sagas.step_timeouts(started, replied, r))
+    return jobs.read_batches(spark, root, "step_timeouts").select("saga_id", "step_name", "attempt", "timed_out_at", "status")
+
+
+@query(
+    "stream_idempotency",
+    """SELECT idempotency_key, body, requested_at, account_id, CASE WHEN row_number() OVER w = 1 THEN 'created' WHEN body = first_value(body) OVER w THEN 'idempotent_hit' ELSE 'failed' END AS outcome,
+      CASE WHEN body = first_value(body) OVER w THEN 'to '||first_value(body) OVER w END AS reply
+    FROM req WINDOW w AS (PARTITION BY idempotency_key ORDER BY requested_at, sha256(body))""",
+)
+def _(spark, folder):
+    """Requests in three batches by their time, so that keys are used again in later ones."""
+    day = F.unix_date(F.col("requested_at").cast("date"))
+    all_ = S.requests(spark, folder).select("idempotency_key", "body", "requested_at", "account_id", (day.cast("long") * 86_400_000).alias("arrival"))
+    with_reply = all_.withColumn("reply", F.concat(F.lit("to "), "body"))
+    first, last = all_.agg(F.min("arrival"), F.max("arrival")).first()
+    path = shared_dir(spark, "requests")
+    for k in range(3):
+        low, high = (first + (last + 1 - first) * n // 3 for n in (k, k + 1))
+        with_reply.filter((F.col("arrival") >= low) & (F.col("arrival") < high)).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(with_reply.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    root = _drain(spark, "idempotency", lambda r: requests.judge(stream, r, shards=16))
+    return jobs.read_batches(spark, root, "idempotency").select("idempotency_key", "body", "requested_at", "account_id", "outcome", "reply")
+
+
 @query("saga_lifecycle_events", "SELECT saga_id, event_type, step_name, status, attempt FROM sev")
 def _(spark, folder):
     return R.lifecycle_events(R.replay(S.saga_replies(spark, folder))).drop("seq", "part")
