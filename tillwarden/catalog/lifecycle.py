@@ -48,6 +48,29 @@ def _(spark, folder):
     return result.withColumn("p95_seconds", F.round("p95_seconds", 6))
 
 
+#: Orders finish within minutes; the windows are of 30 days in steps of ten.
+_SLOT, _WIDTH, _BOUNDS = 864_000, 3, (1.0, 5.0, 20.0, 60.0, 120.0, 600.0)
+
+
+@query(
+    "saga_duration_quantiles",
+    f"""WITH v AS (SELECT lower(status) AS outcome, CAST(floor(epoch(completed_at) / {_SLOT}) AS BIGINT) AS s, (epoch_ms(completed_at) - epoch_ms(created_at)) / 1000 AS d
+      FROM inst WHERE completed_at IS NOT NULL),
+    w AS (SELECT outcome, s + unnest(range({_WIDTH})) AS s, d FROM v),
+    n AS (SELECT outcome, s, count(*) AS samples FROM w GROUP BY 1, 2),
+    b AS (SELECT n.outcome, n.s, samples, le, lag(le, 1, 0) OVER (PARTITION BY n.outcome, n.s ORDER BY le) AS low,
+        (SELECT count(*) FROM w WHERE w.outcome = n.outcome AND w.s = n.s AND d <= le) AS c FROM n, (VALUES {", ".join(f"({b}e0)" for b in _BOUNDS)}) x(le)),
+    p AS (SELECT *, lag(c, 1, 0) OVER (PARTITION BY outcome, s ORDER BY le) AS c0 FROM b),
+    q AS (SELECT outcome, s, arg_min(CASE WHEN c > c0 THEN low + (le - low) * (0.95e0 * samples - c0) / (c - c0) ELSE le END, le) FILTER (c >= 0.95e0 * samples) AS v FROM p GROUP BY 1, 2)
+    SELECT 'PaymentSaga' AS saga_type, outcome, make_timestamp((s + 1) * {_SLOT} * 1000000) AS window_end, round(coalesce(v, {_BOUNDS[-1]}e0), 6) AS bucket_seconds, samples FROM n JOIN q USING (outcome, s)""",
+)
+def _(spark, folder):
+    """The sketches are random, so tests bound their error against the exact percentile instead."""
+    partials = G.saga_duration_partials(S.saga_instances(spark, folder), _SLOT, bounds=_BOUNDS)
+    found = G.saga_duration_quantiles(partials, 0.95, _SLOT, _WIDTH, bounds=_BOUNDS)
+    return found.drop("sketch_seconds").withColumn("bucket_seconds", F.round("bucket_seconds", 6))
+
+
 @query(
     "step_metrics",
     """SELECT 'PaymentSaga' AS saga_type, step_name, step_type, count(completed_at) AS runs,

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jsonfields as J
+from ..functions import quantiles
 from ..functions.joins import first_per_key, salted_join
 from ..functions.ordered import exact_percentile, running_totals
 from ..sources.schemas import PAYMENT_STEPS
@@ -86,24 +87,45 @@ def saga_outcomes(events: DataFrame) -> DataFrame:
     )
 
 
-def saga_duration_p95(instances: DataFrame, share: float = 0.95, window: str = "5 minutes", exact: bool = True, **tuning) -> DataFrame:
-    """Percentile of finished sagas' duration in seconds by type, outcome and completion window."""
-    finished = instances.filter(F.col("completed_at").isNotNull()).select(
+def _durations(instances: DataFrame) -> DataFrame:
+    return instances.filter(F.col("completed_at").isNotNull()).select(
         "saga_type",
         F.lower("status").alias("outcome"),
-        F.window("completed_at", window)["start"].alias("window_start"),
+        "completed_at",
         (F.unix_millis("completed_at") - F.unix_millis("created_at")).alias("ms"),
     )
+
+
+def saga_duration_p95(instances: DataFrame, share: float = 0.95, window: str = "5 minutes", **tuning) -> DataFrame:
+    """Exact percentile of finished sagas' duration in seconds by type, outcome and completion window."""
+    finished = _durations(instances).withColumn("window_start", F.window("completed_at", window)["start"]).drop("completed_at")
     keys = ["saga_type", "outcome", "window_start"]
-    if exact:
-        ranked = exact_percentile(finished, keys, "ms", share, "ms", width=60_000, **tuning)
-    else:
-        ranked = finished.groupBy(*keys).agg(
-            F.percentile_approx("ms", share, 10_000).alias("ms"), F.count(F.lit(1)).alias("samples")
-        )
+    ranked = exact_percentile(finished, keys, "ms", share, "ms", width=60_000, **tuning)
     return ranked.select(*keys, (F.col("ms") / 1000).alias("p95_seconds"), "samples")
 
 
+def saga_duration_partials(instances: DataFrame, slot_seconds: int = 300, **tuning) -> DataFrame:
+    """Mergeable states of the durations by type, outcome and completion slot, in one pass. They can be stored and merged."""
+    slot = F.floor(F.unix_seconds("completed_at") / slot_seconds).alias("slot")
+    finished = _durations(instances).select("saga_type", "outcome", slot, (F.col("ms") / 1000).alias("_seconds"))
+    return quantiles.partials(finished, ["saga_type", "outcome", "slot"], F.col("_seconds"), **tuning)
+
+
+def saga_duration_quantiles(partials: DataFrame, share: float = 0.95, slot_seconds: int = 300, width: int = 1, **tuning) -> DataFrame:
+    """Quantile of the durations over sliding windows of ``width`` slots: interpolated in buckets, and from the sketch."""
+    keys = ["saga_type", "outcome", "slot"]
+    seen = quantiles.merged(quantiles.sliding(partials, "slot", width), keys, **tuning)
+    bounds = {k: v for k, v in tuning.items() if k == "bounds"}
+    return seen.select(
+        "saga_type",
+        "outcome",
+        F.timestamp_seconds((F.col("slot") + 1) * slot_seconds).alias("window_end"),
+        quantiles.bucket_quantile(F.col("counts"), share, **bounds).alias("bucket_seconds"),
+        quantiles.sketch_quantile(F.col("sketch"), share).alias("sketch_seconds"),
+        "samples",
+    )
+
+
 def step_metrics(instances: DataFrame, steps: DataFrame) -> DataFrame:
     """Durations, retries and failures per step."""
     seconds = (F.unix_millis("completed_at") - F.unix_millis("started_at")) / 1000
