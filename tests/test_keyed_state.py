@@ -10,12 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 from test_lifecycle import LOG, _random_log
 
-from tillwarden.operators import fraud, parsing, replay
+from tillwarden.operators import fraud, monitoring, parsing, replay
 from tillwarden.session import shared_dir
 from tillwarden.sources import samples as S
 from tillwarden.sources.schemas import DEFAULT_RULE, FraudRule
 from tillwarden.sources.topics import file_stream
-from tillwarden.streaming import jobs, lookback, requests, sagas
+from tillwarden.streaming import alarms, jobs, late, lookback, requests, sagas
 
 
 def _set(df):
@@ -167,3 +167,57 @@ def test_requests_across_batches_and_restarts(spark):
     assert got == sorted(want)
     with pytest.raises(ValueError):
         requests.judge(spark.readStream.schema(schema).parquet(source), root, keep_ms=5)
+
+
+def _files(spark, name, batches, schema):
+    folder = shared_dir(spark, name)
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def test_late_rows_are_counted(spark):
+    """What was landed, what was late and what is still open are what was read."""
+    t0 = datetime.datetime(2026, 1, 1)
+    rng = random.Random(8)
+
+    def rows(hour, many, late):
+        spread = [hour * 60 + rng.randrange(60) for _ in range(many)] + [rng.randrange(max(1, hour * 60)) for _ in range(late)]
+        return [(t0 + datetime.timedelta(minutes=m), rng.choice(["EUR", "USD"]), 1.0) for m in spread]
+
+    batches = [rows(0, 40, 0), rows(3, 40, 10), rows(4, 40, 25), rows(9, 40, 30), rows(9, 5, 30), [(t0 + datetime.timedelta(days=9), "EUR", 1.0)], [(t0, "EUR", 1.0)] * 7]
+    payments = _files(spark, "late", batches, "occurred_at timestamp, currency string, amount double")
+    root, sent = shared_dir(spark, "hourly"), []
+    counter = late.LateCounter(sent.append).start(spark)
+    try:
+        jobs.hourly_metrics(payments, root, late=counter).awaitTermination()
+        waited = time.time()
+        while counter.read < sum(map(len, batches)) and time.time() - waited < 30:
+            time.sleep(0.2)
+    finally:
+        counter.stop(spark)
+    landed = spark.read.parquet(f"{root}/hourly_metrics").agg(F.sum("payment_count")).first()[0]
+    assert counter.read == sum(map(len, batches)) and all(b["exact"] for b in counter.batches)
+    assert landed + counter.late + 1 == counter.read and counter.late > 7 and sent == counter.batches
+
+
+def test_alarm_states_across_batches(spark):
+    """One alarm fires over the end of a batch, one only gets pending; silence resolves them."""
+    t0 = datetime.datetime(2026, 1, 1)
+
+    def at(minute, many, name):
+        return [(name, t0 + datetime.timedelta(minutes=minute, seconds=i % 60), True) for i in range(many)]
+
+    first = at(0, 1, "high") + at(10, 400, "high") + at(11, 400, "high") + at(13, 1, "high") + at(13, 1, "slow") + at(10, 40, "slow")
+    second = at(15, 500, "high") + at(16, 1, "high")
+    clock = [(n, t0 + datetime.timedelta(minutes=m), False) for m in (60, 62) for n in ("high", "slow")]
+    events = _files(spark, "alarms", [first, second, clock[:2], clock[2:]], "alarm string, at timestamp, counts boolean")
+    root = shared_dir(spark, "watch")
+    known = [alarms.Alarm("high", 1.0, 300, 300), alarms.Alarm("slow", 0.1, 300, 300)]
+    alarms.watch(events, root, known).awaitTermination()
+    rows = spark.read.parquet(f"{root}/alarms").selectExpr("alarm", "state", f"(unix_seconds(at) - unix_seconds(timestamp'{t0}')) div 60 AS m", "batch_id")
+    found = sorted((r.alarm, r.m, r.state) for r in rows.collect())
+    assert found == [("high", 11, "pending"), ("high", 16, "firing"), ("high", 21, "resolved"), ("slow", 11, "pending"), ("slow", 16, "resolved")]
+    assert rows.filter("state = 'pending'").first().batch_id < rows.filter("state = 'firing'").first().batch_id
+    high = spark.createDataFrame([r for r in first + second if r[0] == "high"], "alarm string, at timestamp, counts boolean")
+    assert _set(alarms.spans(spark, root).drop("alarm")) == _set(monitoring.alarm_rate(high, "at", 1.0))

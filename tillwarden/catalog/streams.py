@@ -14,7 +14,7 @@ from ..session import shared_dir, use_utc
 from ..sources import samples as S
 from ..sources.tables import read_table, utc_times
 from ..sources.topics import file_stream
-from ..streaming import jobs, lookback, requests, sagas
+from ..streaming import alarms, jobs, lookback, requests, sagas
 from .base import REASONS, SCORE, query
 from .detection import _ALERTS, _GOOD, _HOURLY, _alert_records, _saga_records, _strict_records
 
@@ -393,6 +393,34 @@ def _(spark, folder):
     return jobs.read_batches(spark, root, "idempotency").select("idempotency_key", "body", "requested_at", "account_id", "outcome", "reply")
 
 
+def _alarm_stream_sql():
+    from .ledger import _QUIET, _alarm_sql
+
+    return _alarm_sql("SELECT occurred_at AS t FROM sa", _QUIET)
+
+
+@query("stream_alarm_high_fraud", _alarm_stream_sql())
+def _(spark, folder):
+    """Alerts in four batches by time, so that holds cross the ends of batches, and then a tick of the clock."""
+    from .ledger import _QUIET
+    from .warehouse import alerts
+
+    path = shared_dir(spark, "alerts")
+    rows = alerts(spark, folder).select(F.lit("high-fraud").alias("alarm"), F.col("occurred_at").alias("at"), F.lit(True).alias("counts")).filter("at IS NOT NULL").persist()
+    first, last = rows.agg(F.min("at"), F.max("at")).first()
+    for k in range(4):
+        low, high = (first + (last - first) * n / 4 for n in (k, k + 1))
+        part = rows.filter((F.col("at") >= low) & ((F.col("at") < high) | F.lit(k == 3)))
+        part.coalesce(1).write.mode("append").parquet(path)
+    ticks = rows.limit(1).select("alarm", F.explode(F.array(F.lit(1), F.lit(2))).alias("d")).select("alarm", (F.lit(last) + F.make_dt_interval("d")).alias("at"), F.lit(False).alias("counts"))
+    ticks.coalesce(1).write.mode("append").parquet(path)
+    schema = rows.schema
+    rows.unpersist()
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    root = _drain(spark, "alarms", lambda r: alarms.watch(stream, r, [alarms.Alarm("high-fraud", _QUIET)]))
+    return alarms.spans(spark, root).drop("alarm")
+
+
 @query("saga_lifecycle_events", "SELECT saga_id, event_type, step_name, status, attempt FROM sev")
 def _(spark, folder):
     return R.lifecycle_events(R.replay(S.saga_replies(spark, folder))).drop("seq", "part")

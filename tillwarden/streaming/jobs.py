@@ -18,6 +18,7 @@ from ..functions.columns import MONEY
 from ..operators import fraud, landing, ledger, lifecycle, monitoring, parsing
 from ..sources.schemas import ACCOUNT_BALANCE, FraudRule
 from ..sources.topics import TOPICS, write_kafka
+from .late import LateCounter
 
 WATERMARK = "5 seconds"
 CHECKPOINT_INTERVAL = "60 seconds"
@@ -50,12 +51,18 @@ def read_batches(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def hourly_metrics(
-    payments: DataFrame, root: str, trigger: Trigger = Trigger(), publish: Callable[[str, DataFrame], None] | None = None
+    payments: DataFrame,
+    root: str,
+    trigger: Trigger = Trigger(),
+    publish: Callable[[str, DataFrame], None] | None = None,
+    late: LateCounter | None = None,
 ) -> StreamingQuery:
     """Hourly metrics, written once when the watermark passes an hour, as a table and as keyed records.
 
-    Only this branch drops late rows.
+    Only this branch drops late rows; ``late`` counts them.
     """
+    if late is not None:
+        payments = late.observed(payments, "occurred_at", 3_600_000)
     metrics = monitoring.hourly_metrics(payments.withWatermark("occurred_at", WATERMARK))
 
     def write(batch: DataFrame, batch_id: int) -> None:
