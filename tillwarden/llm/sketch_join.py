@@ -14,8 +14,9 @@ the rarest d + 1 (in one order for all sets) on both sides still finds all links
 passages out of the join: copies with many edits do not meet in the pieces of their template.
 
 Groups. In each piece's group every set is compared with one central member; linked ones form components. Only
-sets of different components are then compared pair by pair, under the bit sketch inside the join. Every link
-is verified on whole shingle sets before it counts.
+sets of different components are then compared pair by pair, inside the join under a bit sketch of ``WIDE_BITS``: the
+narrow one, which every row carries, is full for sets of some hundred shingles, so that the texts of one template would
+all be verified with each other. Every link is verified on whole shingle sets before it counts.
 
 Rows. One per document: nulls, blank and empty texts have no shingles and no links; texts with fewer than five words
 have one shingle. Equal sets are one node from the start, however many copies there are. Rows with equal doc_id
@@ -39,7 +40,8 @@ from .components import components
 from .texts import blocks, mix, pick, seeds, shingled
 
 PIECES = 176
-BITS = 256
+#: Bits of the sketch that all rows of a group carry, and of the one that only rows compared pair by pair get.
+BITS, WIDE_BITS = 256, 1024
 #: Largest set that is sketched whole, and shingles that a sketched set has at most (on average) beyond it.
 WHOLE, SAMPLE = 640, 288
 #: Rows up to which ids are broadcast instead of joined by shuffle; some 20 bytes each.
@@ -107,13 +109,16 @@ def set_names(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return mix(_group_sums(mix(hashes ^ _SUM), firsts) + np.diff(firsts).astype(np.uint64)).view(np.int64)
 
 
-def bit_sketches(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    """Rows of BITS / 64 whole numbers."""
-    sets = len(firsts) - 1
+def bit_sketches(hashes: np.ndarray, firsts: np.ndarray, width: int = BITS) -> np.ndarray:
+    """Rows of width / 64 whole numbers, worked out for some sets at a time."""
+    sets, most = len(firsts) - 1, (1 << 20) // width
+    if sets > most:
+        cuts = [firsts[i : i + most + 1] for i in range(0, sets, most)]
+        return np.concatenate([bit_sketches(hashes[c[0] : c[-1]], c - c[0], width) for c in cuts])
     text = np.repeat(np.arange(sets), np.diff(firsts))
-    bit = (mix(hashes ^ _BIT) & np.uint64(BITS - 1)).astype(np.int64)
-    odd = (np.bincount(text * BITS + bit, minlength=sets * BITS) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64).reshape(sets, BITS // 64)
+    bit = (mix(hashes ^ _BIT) & np.uint64(width - 1)).astype(np.int64)
+    odd = (np.bincount(text * width + bit, minlength=sets * width) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(sets, width // 64)
 
 
 def pieces(hashes: np.ndarray, text: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,13 +174,16 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bound[short] = 10 * PIECES
                 out += [pa.array(bound.astype(np.int32)), _lists(keys.view(np.int64), np.searchsorted(at, np.arange(len(size) + 1)))]
             out.append(_lists(bits, np.arange(len(size) + 1) * width))
-            yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_shingles", "node", "bound0", "keys0", "bound1", "keys1", "bits"])
+            some = np.where(fresh, WIDE_BITS // 64, 0)
+            wide = bit_sketches(hashes, firsts, WIDE_BITS)[fresh].reshape(-1)
+            out.append(_lists(wide, np.concatenate(([0], np.cumsum(some)))))
+            yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_shingles", "node", "bound0", "keys0", "bound1", "keys1", "bits", "wide"])
 
 
-def _near(a: str, b: str) -> Column:
+def _near(a: str, b: str, width: int = BITS) -> Column:
     """Sizes and bit sketches of two rows allow a link."""
     size_a, size_b = F.col(f"{a}.n"), F.col(f"{b}.n")
-    apart = sum((F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in range(BITS // 64)), F.lit(0))
+    apart = sum((F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in range(width // 64)), F.lit(0))
     return (size_a * 100 >= size_b * 80) & (size_b * 100 >= size_a * 80) & (apart * 9 <= size_a + size_b)
 
 
@@ -191,13 +199,13 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield found.filter(pa.array(right))
 
 
-def _unpack(raw: bytes) -> np.ndarray:
+def _unpack(raw: bytes | pa.Buffer) -> np.ndarray:
     wide = np.zeros((len(raw) // 5, 8), np.uint8)
     wide[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
     return wide.reshape(-1).view(np.uint64)
 
 
-def linked(left: bytes, right: bytes) -> bool:
+def linked(left: bytes | pa.Buffer, right: bytes | pa.Buffer) -> bool:
     a, b = _unpack(left), _unpack(right)
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= 80 * (len(a) + len(b) - both)
@@ -205,7 +213,8 @@ def linked(left: bytes, right: bytes) -> bool:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        kept = [linked(x, y) for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist(), strict=True)]
+        # Each set is read in place: a batch may hold many long ones.
+        kept = [linked(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("left"), batch.column("right"), strict=True)]
         yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
 
@@ -268,9 +277,11 @@ def join(docs: DataFrame) -> DataFrame:
     placed = held.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
     split = materialize(split, "split-groups")
-    mixed = materialize(placed.join(split, "key"), "mixed")
+    mixed = materialize(placed.drop("bits", "weight").join(split, "key"), "mixed")
+    wide = sketches.filter("size(wide) > 0").select("node", F.col("wide").alias("bits")).join(mixed.select("node").distinct(), "node").dropDuplicates(["node"])
+    mixed = materialize(mixed.join(wide, "node"), "mixed")
     x, y = mixed.alias("x"), mixed.alias("y")
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _near("x", "y"))
+    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _near("x", "y", WIDE_BITS))
     rest = materialize(rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(star, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
         links = links.unionByName(verified(rest, docs, names))
@@ -284,4 +295,4 @@ def join(docs: DataFrame) -> DataFrame:
     return full.select("doc_id", "n_shingles", "node", "component_id").unionByName(none).select("doc_id", "n_shingles", "component_id", "node")
 
 
-_SKETCH = "doc_id long, n_shingles long, node long, bound0 int, keys0 array<long>, bound1 int, keys1 array<long>, bits array<long>"
+_SKETCH = "doc_id long, n_shingles long, node long, bound0 int, keys0 array<long>, bound1 int, keys1 array<long>, bits array<long>, wide array<long>"
