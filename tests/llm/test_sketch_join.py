@@ -78,3 +78,11 @@ def test_components_of_a_long_path(spark):
     edges = spark.range(300).selectExpr("id AS a", "id + 1 AS b")
     found = components(edges)
     assert found.count() == 301 and found.select("component").distinct().collect()[0][0] == 0
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(documents, words):
+    """Document 2 is a copy of 1 and the first of text B; none of the three texts may go."""
+    a, b, c = (words(i, 40) for i in (1, 2, 3))
+    docs = documents([(1, a), (2, a), (2, b), (3, b), (4, c), (4, c), (5, None), (5, a), (None, a)])
+    kept = sorted((r.doc_id or 0, r.text or "") for r in sketch_join.keep_first(docs).collect())
+    assert kept == sorted([(1, a), (2, b), (4, c), (4, c), (5, ""), (0, a)])

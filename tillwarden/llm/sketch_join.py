@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from ..session import materialize
@@ -248,14 +249,37 @@ def candidates(sketches: DataFrame) -> DataFrame:
     return ranked.filter("rank <= bound + 1 - (all - here)").select("key", "node", "n", "weight")
 
 
+def _with_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the name of their own shingle set as the last column."""
+    for whole in batches:
+        for batch in blocks(whole, "text"):
+            names = pa.array(set_names(*distinct_sets(batch.column("text"))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, names], [*batch.schema.names, "_set"])
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest doc_id; rows without a doc_id stay.
 
-    Repeated rows of a kept doc_id are one document and stay together.
+    Repeated rows of a kept doc_id are one document and stay together. Rows of one doc_id with different texts are
+    judged each by its own text, so that the last copy of a text is never dropped for another text of its id.
     """
-    gone = materialize(join(docs).filter("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    gone = F.broadcast(gone) if gone.count() <= FEW_IDS else gone
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    judged = materialize(join(docs).filter("doc_id IS NOT NULL").select("doc_id", "node", "component_id"), "judged")
+    gone = judged.filter("doc_id <> component_id").select("doc_id", "node").distinct()
+    spans = judged.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("node").alias("named"), F.count("*").alias("all"))
+    # NULL stands for a text without shingles
+    several = materialize(spans.filter("low <> high OR (named > 0 AND named < all)").select("doc_id"), "several-texts")
+    single = materialize(gone.join(several, "doc_id", "left_anti").select("doc_id").distinct(), "copies")
+    dropped = F.broadcast(single) if single.count() <= FEW_IDS else single
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    kept = docs.join(dropped, "doc_id", "left_anti")
+    if several.isEmpty():
+        return kept.select(*columns)
+    usual = kept.join(several, "doc_id", "left_anti").select(*columns)
+    mixed = docs.join(several, "doc_id", "left_semi").select(*columns)
+    named = mixed.mapInArrow(_with_names, T.StructType([*mixed.schema.fields, T.StructField("_set", T.LongType())]))
+    names = gone.select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"))
+    own = named.join(names, (named["doc_id"] == names["_id"]) & (named["_set"] == names["_node"]), "left_anti")
+    return usual.unionByName(own.drop("_set"))
 
 
 def join(docs: DataFrame) -> DataFrame:
