@@ -10,6 +10,7 @@ from ..operators import landing as L
 from ..operators import monitoring
 from ..operators import replay as R
 from ..operators import rules
+from ..plans import merge
 from ..session import shared_dir, use_utc
 from ..sources import samples as S
 from ..sources.tables import read_table, utc_times
@@ -179,6 +180,25 @@ def _(spark, folder):
     return L.dedup_replacing(landed, L.SORT_KEYS["payment_events"])
 
 
+@query(
+    "merge_landed",
+    """SELECT event_id, payment_id, CASE WHEN k%10=7 THEN '' ELSE account_id END AS account_id, CAST(amount AS DOUBLE) AS amount,
+      currency, merchant_id, occurred_at, CASE WHEN seq%20=0 THEN seq+1000000000 ELSE seq END AS "offset" FROM raw WHERE k%10<>3""",
+)
+def _(spark, folder):
+    """Three batches, the last of which repeats rows of both; merged after the first and the third."""
+    path, root, records = shared_dir(spark, "deliveries"), shared_dir(spark, "merged"), S.raw_payment_records(S.payments(spark, folder))
+    early = F.col("offset") % 3 < 2
+    again = records.filter(F.col("offset") % 20 == 0).withColumn("offset", F.col("offset") + 1_000_000_000)
+    for k, part in enumerate((records.filter(early), records.filter(~early), again)):
+        part.coalesce(1).write.mode("append").parquet(path)
+        jobs.land(file_stream(spark, path), root).awaitTermination()
+        if k != 1:
+            merge.merge(spark, root, "payment_events")
+    merge.vacuum(spark, root, "payment_events", keep=1)
+    return merge.read_landed(spark, root, "payment_events")
+
+
 @query(
     "stream_payment_dlq",
     f"""SELECT 'payment.events' AS topic, CAST(seq%3 AS INT) AS "partition", seq AS "offset", value AS raw_message,
