@@ -126,3 +126,12 @@ def test_empty(documents):
     docs = documents([])
     assert passages.find(docs).count() == 0
     assert passages.cut(docs, passages.find(docs)).count() == 0
+
+
+def test_rows_of_one_id_with_other_texts_are_left_whole(documents, words):
+    """A passage of one row must not be cut out of another row's text."""
+    line, own, other = words(1, 60), words(2, 40), words(3, 90)
+    docs = documents([(1, line), (2, f"{own} {line}"), (2, other), (3, f"{line} {own}"), (3, f"{line} {own}")])
+    kept = sorted((r.doc_id, r.text) for r in passages.cut(docs, passages.find(docs)).collect())
+    assert [t for d, t in kept if d < 3] == [line, *sorted([f"{own} {line}", other])]
+    assert len([t for d, t in kept if d == 3]) in (0, 2) and all(line not in t for d, t in kept if d == 3)

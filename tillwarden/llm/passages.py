@@ -380,12 +380,18 @@ def _without(column: str):
 def cut(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """``docs`` without the passages that an earlier document has; a text of which nothing is left goes as a row.
 
+    A passage names a document by its id. Where rows of one id have different texts it is open which of them it is in,
+    so these rows are left whole; copies of one row are cut alike.
+
     Columns stay as they are, but for ``n_chars``, which is counted anew where there is one.
     """
     own = "_stretches"
     while own in docs.columns:
         own += "_"
     spans = passages.select("doc_id", F.struct("first_word", "n_words").alias("one")).groupBy("doc_id").agg(F.collect_set("one").alias(own))
+    text = F.xxhash64("text")
+    several = docs.groupBy("doc_id").agg(F.min(text).alias("low"), F.max(text).alias("high")).filter("low <> high").select("doc_id")
+    spans = spans.join(several, "doc_id", "left_anti")
     held = docs.join(_few(materialize(spans, "cuts"), own), "doc_id", "left").select(*[F.col(f"`{c}`") for c in docs.columns], own)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     plain = held.filter(F.col(own).isNull()).drop(own)

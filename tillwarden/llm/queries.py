@@ -63,7 +63,7 @@ def _url_sql() -> str:
         UNION ALL SELECT kind, host, seed * (1 - {damping}) FROM seeds) GROUP BY 1, 2)"""
         )
     last = f"r{url_filter.ROUNDS}"
-    return f"""WITH {", ".join(ctes)} SELECT page_id, j.host, path, rule, coalesce(said, CASE WHEN round(coalesce(b.score, 0), 12) > round(coalesce(a.score, 0), 12) THEN 'block' ELSE 'allow' END) AS verdict
+    return f"""WITH {", ".join(ctes)} SELECT page_id, j.host, path, rule, coalesce(said, CASE WHEN coalesce(b.score, 0) > 0 AND b.score > coalesce(a.score, 0) * {url_filter.THRESHOLD}e0 * (1 + {url_filter.MARGIN:e}) THEN 'block' ELSE 'allow' END) AS verdict
         FROM judged j LEFT JOIN {last} a ON a.host = j.host AND a.kind = 'allow' LEFT JOIN {last} b ON b.host = j.host AND b.kind = 'block'"""
 
 
