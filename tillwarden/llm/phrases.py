@@ -32,9 +32,9 @@ BUDGET, MOST_GROUPS = 1_000_000, 16_384
 #: A candidate goes if a longer one that contains it has this share of its count, in hundredths.
 COVERED = 50
 #: Bytes of text that are counted at once.
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 #: Leaves that a group gathers before it merges them.
-GATHERED = 4_000_000
+GATHERED = 2_000_000
 _BUCKETS = 4_096
 _WORD, _BLANK, _BREAK = 0, 1, 2
 _KIND = np.zeros(256, np.uint8)
