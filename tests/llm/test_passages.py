@@ -135,3 +135,62 @@ def test_rows_of_one_id_with_other_texts_are_left_whole(documents, words):
     kept = sorted((r.doc_id, r.text) for r in passages.cut(docs, passages.find(docs)).collect())
     assert [t for d, t in kept if d < 3] == [line, *sorted([f"{own} {line}", other])]
     assert len([t for d, t in kept if d == 3]) in (0, 2) and all(line not in t for d, t in kept if d == 3)
+
+
+def test_pairs_of_a_shared_line_grow_with_its_documents(documents, words, monkeypatch):
+    """Documents that share one line and nothing else must not meet each other."""
+    pairs = []
+    plain = passages.candidates
+
+    def counted(*args):
+        out = passages.materialize(plain(*args), "counted")
+        pairs[-1] += out.count()
+        return out
+
+    monkeypatch.setattr(passages, "candidates", counted)
+    for m in (150, 600):
+        pairs.append(0)
+        line = words(5000, 30)
+        rows = [(i, words(i, 50) + " " + line + " " + words(i, 50, 50)) for i in range(m)]
+        assert passages.find(documents(rows)).count() == 0
+    assert 0 < pairs[1] <= 4.5 * pairs[0] and pairs[1] <= 30 * 600
+
+
+def lines_and_passages(words):
+    """Texts of lines that many documents have, among them passages of 50 words and more, exact and near."""
+    rng = random.Random(7)
+    pool = [words(3000 + k, rng.randint(12, 44)) for k in range(6)]
+    shared = [words(4000 + k, 15) + " " + rng.choice(pool) + " " + words(4100 + k, rng.randint(20, 40)) for k in range(40)]
+    rows = []
+    for i in range(400):
+        parts = [words(i, 30), rng.choice(pool), words(i, 20, 30), rng.choice(pool), words(i, 25, 50)]
+        if i % 4 == 0:
+            passage = shared[rng.randrange(40)].split()
+            if i % 8 == 0:
+                passage[rng.randrange(5, len(passage) - 5)] = f"edit{i}"
+            parts.insert(rng.choice((1, 3)), " ".join(passage))
+        rows.append((i, " ".join(parts)))
+    return rows
+
+
+def repeated_words(rows):
+    """(document, place) of words in runs of 50 that an earlier document has too, by a plain loop over the texts."""
+    seen, out = {}, set()
+    for doc, text in rows:
+        w = text.split()
+        for i in range(len(w) - 49):
+            if seen.setdefault(tuple(w[i : i + 50]), doc) != doc:
+                out.update((doc, k) for k in range(i, i + 50))
+    return out
+
+
+def test_recall_among_common_lines_and_the_same_result_for_any_partitions(documents, words):
+    rows = lines_and_passages(words)
+    results = [{tuple(r) for r in passages.find(documents(rows).repartition(n)).collect()} for n in (1, 7, 64)]
+    assert results[0] == results[1] == results[2]
+    found = covered(results[0])
+    exact, near = repeated_words(rows), brute(rows)
+    assert len(exact) > 2000 and exact <= found
+    assert len(near & found) >= 0.99 * len(near)
+    by_doc = {d for d, _ in near}
+    assert {d for d, _ in found} <= by_doc

@@ -4,23 +4,27 @@ Windows. A text is a sequence of five-word shingles. For each of ``HASHES`` hash
 ``RUN`` shingles that have the same shingle as their minimum form one compact window (left, centre, right): every run
 between left and right that holds the centre. Windows are the nodes of the Cartesian tree over the hashes whose
 span is long enough; a node's parent is such a node too, so the tree is built over the minima of sliding windows
-alone, some 2 of every ``RUN`` positions.
+alone, some 2 of every ``RUN`` positions. A window ends beside the nearest lesser minimum on each side; these are found for
+all texts of a block at once.
 
-Common shingles (in more than ``COMMON`` documents, as far as a task sees more than one of them) would hide what is
-rare beside them. A second set of windows, over hashes that rank common shingles last, is added where it differs.
+Join. Windows with the same minimum come from runs that agree in a min-hash. In each group every window meets the
+smallest document alone, so a group of m documents makes m - 1 rows, whatever m is. A window meets every place that the
+other document has of the same minimum. Rows of a pair of documents are grouped by diagonal (the distance of the two
+places) and then by place, and a group counts when ``ENOUGH`` functions agree in it.
 
-Join. Windows with the same minimum come from runs that agree in a min-hash. In each group every window first meets the
-smallest document alone, so a passage in m documents makes m - 1 rows, whatever m is. Windows that lie in no passage
-confirmed so far then meet the first 8, 64, 512 ... documents of their group, until none has an earlier one left. Windows
-at a common shingle go on only where half a run is common; elsewhere the second set stands for them.
-A window meets every place that the other document has of the same minimum. Rows of a pair of documents are grouped by
-diagonal (the distance of the two places) and then by place, and a group counts when ``ENOUGH`` functions agree in it.
+Finer keys. Windows that do not lie in a passage confirmed so far, such as those at a line that many documents have and
+nothing else, form groups anew: the runs around them are cut in ``PARTS`` parts, and the minima of all parts together
+are the key. Again each group meets its smallest document alone. What no other document has under one key is not looked
+at under the next. The last key is the whole run, so an exact copy of a run always meets one. Every step is in proportion to
+the windows it starts from; no group is ever paired with itself.
 
 Verification. The shingles of both stretches are compared in place: a passage is a longest stretch of at least
 ``RUN`` shingles in which four of five agree, at ends that agree; a stretch may be longer than the windows that
 found it.
 
-Result: one row per passage of a document that an earlier one has too, with its place there, counted in words. Nulls,
+Result: one row per passage of a document that an earlier one has too, with its place there, counted in words; of
+passages within a longer one of the same document only the longer is told, and of earlier documents that a passage was
+met in the smallest. Nulls,
 empty texts and texts of fewer than 50 words have none, and neither have rows without a doc_id, which cannot be
 named; ``cut`` keeps such rows as they are. Rows of one doc_id count as one document: what only they share is no
 repetition. Repeats within a document alone are none either.
@@ -42,12 +46,8 @@ from .texts import SHINGLE, blocks, byte_spans, find_words, mix, pick, seeds, sh
 WORDS = 50
 RUN = WORDS - SHINGLE + 1
 HASHES, ENOUGH = 10, 2
-#: Documents beyond which a shingle is common, and how many common ones are sent to the tasks (the limit doubles until they fit).
-COMMON, MOST_COMMON = 64, 500_000
-#: Shingles that are counted together in a task.
-COUNTED = 2_000_000
-#: Times as many documents of a group are met in each further round.
-WIDER = 8
+#: Parts of a run whose minima are a finer key; the last are its single shingles.
+PARTS = (2, 4, RUN)
 #: Share of shingles that agree within a passage.
 SHARE = 0.8
 #: Bytes of ids and stretches up to which they are broadcast instead of joined by shuffle.
@@ -56,36 +56,66 @@ FEW_BYTES = 32 << 20
 _SEEDS = seeds(HASHES, 31)
 
 
-def sliding_minima(values: np.ndarray, run: int) -> np.ndarray:
-    """Places of the minimum of every run of ``run`` values, each place once; of equal values the left one is less."""
-    if len(values) < run:
-        return np.zeros(0, np.int64)
-    low = np.uint64((1 << max(24, len(values).bit_length())) - 1)
-    least, width = values & ~low | np.arange(len(values), dtype=np.uint64), 1
-    while 2 * width <= run:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    if width < run:
-        least = np.minimum(least[: len(least) - (run - width)], least[run - width :])
-    least = least[np.concatenate(([True], least[1:] != least[:-1]))]
-    return (least & low).astype(np.int64)
+class Block:
+    """Shingles of some texts in a row, with each one's place in its text, and the texts' first and last."""
+
+    def __init__(self, hashes: np.ndarray, begins: np.ndarray) -> None:
+        sizes = np.diff(begins)
+        self.hashes, self.text = hashes, np.repeat(np.arange(len(sizes)), sizes)
+        self.first, self.last = begins[:-1][self.text], begins[1:][self.text] - 1
+        self.place = np.arange(len(hashes)) - self.first
+        # the low bits of a hash give way to the place, so that of equal ones the left one is less
+        self.low = np.uint64((1 << max(24, int(sizes.max(initial=0)).bit_length())) - 1)
+
+    def keyed(self, values: np.ndarray) -> np.ndarray:
+        return values & ~self.low | self.place.astype(np.uint64)
+
+    def runs(self, run: int) -> np.ndarray:
+        """Where runs begin that end within their text."""
+        return np.flatnonzero(self.place + run - 1 <= self.last - self.first)
+
+    def minima(self, keyed: np.ndarray, starts: np.ndarray, run: int) -> np.ndarray:
+        """Where the minimum of ``run`` values is, for each start."""
+        least, width = keyed, 1
+        while 2 * width <= run:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        return (np.minimum(least[starts], least[starts + run - width]) & self.low).astype(np.int64) + self.first[starts]
+
+
+def _lesser_before(keys: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The nearest lesser key before each one, -1 for none; nothing before a marked begin counts."""
+    found = np.where(begins, -1, np.arange(len(keys)) - 1)
+    todo = np.flatnonzero(~begins)
+    while len(todo):
+        todo = todo[keys[found[todo]] > keys[todo]]
+        # all between the one found and what it has found itself are greater still
+        found[todo] = found[found[todo]]
+        todo = todo[found[todo] >= 0]
+    return found
+
+
+def block_windows(block: Block, values: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Left ends, centres and right ends of all compact windows of at least ``run`` values, by centre."""
+    starts = block.runs(run)
+    if not len(starts):
+        return (np.zeros(0, np.int64),) * 3
+    keyed = block.keyed(values)
+    at = block.minima(keyed, starts, run)
+    at = at[np.concatenate(([True], at[1:] != at[:-1]))]
+    keys, texts = keyed[at], block.text[at]
+    edge = texts[1:] != texts[:-1]
+    before = _lesser_before(keys, np.concatenate(([True], edge)))
+    after = len(at) - 1 - _lesser_before(keys[::-1], np.concatenate(([True], edge[::-1])))[::-1]
+    left = np.where(before < 0, block.first[at], at[before] + 1)
+    right = np.where(after == len(at), block.last[at], at[np.minimum(after, len(at) - 1)] - 1)
+    return left, at, right
 
 
 def compact_windows(values: np.ndarray, run: int = RUN) -> list[tuple[int, int, int]]:
-    """(left, centre, right) of all compact windows of at least ``run`` values, from a Cartesian tree over the minima."""
-    places = sliding_minima(values, run)
-    ranks = np.empty(len(places), np.int64)
-    ranks[np.lexsort((places, values[places]))] = np.arange(len(places))
-    out: list[tuple[int, int, int]] = []
-    stack: list[tuple[int, int, int]] = []  # place, rank, left
-    for place, rank in zip(places.tolist(), ranks.tolist(), strict=True):
-        while stack and stack[-1][1] > rank:
-            at, _, left = stack.pop()
-            if place - left >= run:
-                out.append((left, at, place - 1))
-        stack.append((place, rank, stack[-1][0] + 1 if stack else 0))
-    out += [(left, at, len(values) - 1) for at, _, left in stack if len(values) - left >= run]
-    return out
+    """(left, centre, right) of all compact windows of one sequence."""
+    found = block_windows(Block(values, np.array([0, len(values)])), values, run)
+    return list(zip(*(part.tolist() for part in found), strict=True))
 
 
 def ordered_shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -95,157 +125,130 @@ def ordered_shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return shingle_hashes(word_hashes(data, starts, ends), firsts)
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles that more than one of some ``COUNTED`` shingles' documents have, and how many have them."""
-    held: list[np.ndarray] = []
+#: A window in one number: place, what lies left and right of it, a bit for thinned ones, and the function.
+_AT, _LEFT, _RIGHT, _THIN = 1 << 22, 1 << 14, 1 << 6, 1 << 4
+_REACH = 3 * RUN
+
+
+def packed(block: Block, values: np.ndarray, left: np.ndarray, at: np.ndarray, right: np.ndarray, f: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Value, text and packed window; of windows of one value within ``RUN`` places the first stands for all and is marked."""
+    order = np.lexsort((at, values, block.text[at]))
+    values, left, at, right = values[order], left[order], at[order], right[order]
+    text, place = block.text[at], block.place[at]
+    cell = place // RUN
+    new = np.ones(len(at), bool)
+    new[1:] = (text[1:] != text[:-1]) | (values[1:] != values[:-1]) | (cell[1:] != cell[:-1])
+    kept = np.flatnonzero(new)
+    thin = np.diff(np.append(kept, len(at))) > 1
+    if len(kept) < len(at):
+        right = np.maximum.reduceat(right, kept)
+        values, left, at, text, place = (x[kept] for x in (values, left, at, text, place))
+    pack = place * _AT + np.minimum(at - left, _REACH) * _LEFT + np.minimum(right - at, _REACH) * _RIGHT + thin * _THIN + f
+    return values.view(np.int64), text, pack
 
-    def counts() -> pa.RecordBatch:
-        h, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(h[n > 1].view(np.int64)), pa.array(n[n > 1])], ["h", "n"])
 
+def _rows(batch: pa.RecordBatch, found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    value, text, pack = (np.concatenate(c) for c in zip(*found, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(value), batch.column("doc").take(pa.array(text)), pa.array(pack)], ["value", "doc", "pack"])
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in blocks(whole, "text"):
-            hashes, begins = ordered_shingles(batch.column("text"))
-            held += [np.unique(hashes[a:b]) for a, b in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True) if b - a >= RUN]
-            if sum(map(len, held)) > COUNTED:
-                yield counts()
-    yield counts()
-
-
-def common_shingles(named: DataFrame) -> np.ndarray:
-    """Hashes of common shingles in ascending order, ``MOST_COMMON`` at most."""
-    counts = named.mapInArrow(_repeated, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    counts, limit = materialize(counts.filter(F.col("n") > COMMON), "common-shingles"), COMMON
-    while counts.filter(F.col("n") > limit).count() > MOST_COMMON:
-        limit *= 2
-    return np.sort(counts.filter(F.col("n") > limit).select("h").toArrow().column("h").to_numpy().view(np.uint64))
-
-
-def is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which values are in an ascending array."""
-    if not len(known):
-        return np.zeros(len(values), bool)
-    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
-
-
-def _half_common(common: np.ndarray) -> np.ndarray:
-    """Which places of a text lie in a run of which half the shingles are common."""
-    sums = np.concatenate(([0], np.cumsum(common)))
-    runs = np.concatenate(([0], np.cumsum(2 * (sums[RUN:] - sums[:-RUN]) >= RUN)))
-    at = np.arange(len(common))
-    return runs[np.minimum(at, len(runs) - 2) + 1] > runs[np.maximum(at - RUN + 1, 0)]
-
-
-def _thinned(values: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Spans (left, at, right) in order of place; places of one value less than ``RUN`` apart are told by the first, which is marked."""
-    spans = spans[np.argsort(spans[:, 1], kind="stable")]
-    marked = np.zeros(len(spans), bool)
-    own = values[spans[:, 1]]
-    if len(np.unique(own)) == len(own):
-        return spans, marked
-    kept, last = [], {}
-    for i, (v, at) in enumerate(zip(own.tolist(), spans[:, 1].tolist(), strict=True)):
-        k = last.get(v)
-        if k is not None and at - spans[k, 1] < RUN:
-            spans[k, 2] = max(spans[k, 2], spans[i, 2])
-            marked[k] = True
-        else:
-            last[v] = i
-            kept.append(i)
-    return spans[kept], marked[kept]
-
-
-#: A window in one number: place, what lies left and right of it, and bits for: goes on in later rounds, is thinned, function.
-_AT, _LEFT, _RIGHT, _ON, _THIN = 1 << 22, 1 << 14, 1 << 6, 1 << 5, 1 << 4
-_REACH = 3 * RUN
-
+            block = Block(*ordered_shingles(batch.column("text")))
+            found = []
+            for f in range(HASHES):
+                values = mix(block.hashes ^ _SEEDS[f])
+                left, at, right = block_windows(block, values)
+                found.append(packed(block, values[at], left, at, right, f))
+            yield _rows(batch, found)
 
-def text_windows(hashes: np.ndarray, common: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Minima and packed windows of one text, an array for each function."""
-    out: tuple[list, list] = ([], [])
-    some = bool(common.any())
-    goes_on = ~common | _half_common(common) if some else None
-    last = len(hashes) - 1
-    for f in range(HASHES):
-        values = mix(hashes ^ _SEEDS[f])
-        spans = np.array(compact_windows(values), np.int64)
-        if some:
-            rare_first = values >> np.uint64(1) | common.astype(np.uint64) << np.uint64(63)
-            more = np.setdiff1d(sliding_minima(rare_first, RUN), spans[:, 1])
-            spans = np.concatenate((spans, np.stack((np.maximum(more - 2 * RUN, 0), more, np.minimum(more + 2 * RUN, last)), axis=1)))
-        spans, thin = _thinned(values, spans)
-        left, at, right = spans.T
-        on = goes_on[at] if some else np.ones(len(at), bool)
-        out[0].append(values[at].view(np.int64))
-        out[1].append(at * _AT + np.minimum(at - left, _REACH) * _LEFT + np.minimum(right - at, _REACH) * _RIGHT + on * _ON + thin * _THIN + f)
-    return out
 
+def _finer(parts: int):
+    """Windows under the minima of ``parts`` parts of each run that holds one of the ``places``."""
+    cuts = [RUN * k // parts for k in range(parts + 1)]
+    # where each shingle is a part, one function is as good as all
+    functions = HASHES if parts < RUN else 1
 
-def _windows(known: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in blocks(whole, "text"):
                 hashes, begins = ordered_shingles(batch.column("text"))
-                common = is_in(hashes, known)
-                value, pack, doc, many = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], []
-                for d, a, b in zip(batch.column("doc").to_pylist(), begins[:-1].tolist(), begins[1:].tolist(), strict=True):
-                    if b - a >= RUN:
-                        v, p = text_windows(hashes[a:b], common[a:b])
-                        value += v
-                        pack += p
-                        doc.append(d)
-                        many.append(sum(map(len, v)))
-                docs = np.repeat(np.array(doc, np.int64), many)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(value)), pa.array(docs), pa.array(np.concatenate(pack))], ["value", "doc", "pack"])
+                block = Block(hashes, begins)
+                places, sizes = batch.column("places"), np.diff(begins)
+                text = np.repeat(np.arange(len(sizes)), places.value_lengths().to_numpy(zero_copy_only=False))
+                place = places.flatten().to_numpy()
+                # a row of the same id may be shorter than the one that a place was found in
+                inside = place < sizes[text]
+                open_ = np.zeros(len(hashes) + 1, np.int64)
+                open_[1 + begins[text[inside]] + place[inside]] = 1
+                sums = np.cumsum(open_)
+                starts = block.runs(RUN)
+                starts = starts[sums[starts + RUN] > sums[starts]]
+                found = []
+                for f in range(functions):
+                    values = mix(block.hashes ^ _SEEDS[f])
+                    keyed = block.keyed(values)
+                    key, first, same = np.full(len(starts), _SEEDS[f]), None, np.ones(max(0, len(starts) - 1), bool)
+                    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                        at = block.minima(keyed, starts + a, b - a)
+                        first = at if first is None else first
+                        same &= at[1:] == at[:-1]
+                        key = mix(key + values[at])
+                    new = np.flatnonzero(np.concatenate((np.ones(min(1, len(starts)), bool), ~same)))
+                    # from the first run with these minima to the last one's end
+                    ends = starts[np.append(new[1:], len(starts))[: len(new)] - 1] + RUN - 1
+                    found.append(packed(block, key[new], starts[new], first[new], ends, f))
+                yield _rows(batch, found)
 
     return run
 
 
-def unpacked(pack: int, o_pack: int) -> dict:
-    at = pack // _AT
-    left, right = at - pack // _LEFT % 256, at + pack // _RIGHT % 256
-    return {"f": pack % 16, "at": at, "left": left, "right": right, "o_at": o_pack // _AT, "thin": bool((pack | o_pack) & _THIN)}
-
-
-def _snap(low: int, high: int) -> tuple[int, int]:
-    """A stretch widened to whole multiples, so that a document met by many has few different stretches."""
-    return max(0, low) // RUN * RUN, -(-(high + 1) // RUN) * RUN
-
-
-def intervals(rows: list[dict]) -> list[tuple[int, int, int, int]]:
-    """Stretches (from, to) of shingles, here and in the other text, in which enough hash functions agree."""
-    out = []
-
-    def close(group: list[dict]) -> None:
-        if len({r["f"] for r in group}) >= ENOUGH:
-            at, apart = [r["at"] for r in group], [r["at"] - r["o_at"] for r in group]
-            left = max(min(r["left"] for r in group), min(at) - _REACH)
-            right = min(max(r["right"] for r in group), max(at) + _REACH)
-            slack = RUN if any(r.get("thin") for r in group) else 0
-            out.append((*_snap(left, right), *_snap(left - max(apart) - slack, right - min(apart) + slack)))
-
-    def split(rows: list[dict], key, gap: int) -> Iterator[list[dict]]:
-        group: list[dict] = []
-        for r in sorted(rows, key=key):
-            if group and key(r) - key(group[-1]) > gap:
-                yield group
-                group = []
-            group.append(r)
-        yield group
-
-    for diagonal in split(rows, lambda r: r["at"] - r["o_at"], RUN):
-        for group in split(diagonal, lambda r: r["at"], 2 * RUN):
-            close(group)
-    return out
+def intervals(group: np.ndarray, pack: np.ndarray, o_pack: np.ndarray, enough: int) -> tuple[np.ndarray, ...]:
+    """Stretches of shingles, here and in the other text, in which enough hash functions agree: group, low, high, o_low, o_high.
 
+    ``group`` numbers the pairs of documents in ascending order.
+    """
+    at = pack // _AT
+    apart = at - o_pack // _AT
+    order = np.lexsort((apart, group))
+    near = np.zeros(len(order), np.int64)
+    near[1:] = (np.diff(group[order]) != 0) | (np.diff(apart[order]) > RUN)
+    diagonal = np.empty_like(near)
+    diagonal[order] = np.cumsum(near)
+    order = np.lexsort((at, diagonal))
+    group, diagonal, pack, o_pack, at, apart = (x[order] for x in (group, diagonal, pack, o_pack, at, apart))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(diagonal) != 0) | (np.diff(at) > 2 * RUN)
+    firsts = np.flatnonzero(new)
+    functions = np.bitwise_count(np.bitwise_or.reduceat(1 << pack % 16, firsts))
+    thin = np.bitwise_or.reduceat((pack | o_pack) & _THIN, firsts) > 0
+    left = np.maximum(np.minimum.reduceat(at - pack // _LEFT % 256, firsts), at[firsts] - _REACH)
+    right = np.minimum(np.maximum.reduceat(at + pack // _RIGHT % 256, firsts), np.maximum.reduceat(at, firsts) + _REACH)
+    if enough == 1:
+        left, right = left - RUN, right + RUN  # ends of runs, not of all that agrees around them
+    slack = np.where(thin, RUN, 0)
+    o_left, o_right = left - np.maximum.reduceat(apart, firsts) - slack, right - np.minimum.reduceat(apart, firsts) + slack
+    # widened to whole multiples, so that a document met by many has few different stretches
+    low, o_low = (np.maximum(x, 0) // RUN * RUN for x in (left, o_left))
+    high, o_high = (-(-(x + 1) // RUN) * RUN for x in (right, o_right))
+    kept = functions >= enough
+    return tuple(x[kept] for x in (group[firsts], low, high, o_low, o_high))
+
+
+def _pairs(enough: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch.column("rows")
+            flat = rows.flatten()
+            group = np.repeat(np.arange(batch.num_rows), rows.value_lengths().to_numpy(zero_copy_only=False))
+            which, *ends = intervals(group, flat.field("pack").to_numpy(), flat.field("o_pack").to_numpy(), enough)
+            ids = [batch.column(c).take(pa.array(which)) for c in ("doc", "o_doc")]
+            yield pa.RecordBatch.from_arrays([*ids, *(pa.array(e.astype(np.int32)) for e in ends)], ["doc", "o_doc", "low", "high", "o_low", "o_high"])
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc", "o_doc", "low", "high", "o_low", "o_high"]
-    for batch in batches:
-        out = [(doc, other, *i) for doc, other, rows in zip(*(batch.column(c).to_pylist() for c in ("doc", "o_doc", "rows")), strict=True) for i in intervals([unpacked(**r) for r in rows])]
-        cols = zip(*out, strict=True) if out else [[]] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i < 2 else pa.int32()) for i, c in enumerate(cols)], names)
+    return run
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,38 +320,63 @@ def _compared(named: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _unsettled(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """Windows whose place lies in no passage found so far."""
+    """Windows that do not lie in one passage found so far from end to end."""
     span = F.struct(F.col("first_word").alias("low"), (F.col("first_word") + F.col("n_words") - SHINGLE).alias("high"))
     spans = found.groupBy(F.col("doc_id").alias("doc")).agg(F.collect_set(span).alias("spans"))
     at = F.shiftright("pack", _AT.bit_length() - 1)
-    inside = F.exists("spans", lambda s: (at >= s["low"]) & (at <= s["high"]))
+    left, right = at - F.shiftright("pack", _LEFT.bit_length() - 1) % 256, at + F.shiftright("pack", _RIGHT.bit_length() - 1) % 256
+    inside = F.exists("spans", lambda s: (left >= s["low"]) & (right <= s["high"]))
     return rows.join(spans, "doc", "left").filter(~F.coalesce(inside, F.lit(False))).drop("spans")
 
 
+def _shared(windows: DataFrame, name: str) -> DataFrame:
+    """Windows that more than one document has, with the smallest of these (``least``), written."""
+    own = W.partitionBy("value")
+    held = windows.withColumns({"least": F.min("doc").over(own), "most": F.max("doc").over(own)})
+    return materialize(held.filter("least <> most").select("value", "doc", "pack", "least"), name)
+
+
+def candidates(rows: DataFrame, shared: DataFrame, enough: int) -> DataFrame:
+    """Pairs of stretches: windows that meet those of the smallest document of their group."""
+    others = shared.filter("doc = least").select("value", F.col("doc").alias("o_doc"), F.col("pack").alias("o_pack"))
+    met = rows.filter("doc > least").select("value", "doc", "pack").join(others, "value")
+    held = met.groupBy("doc", "o_doc").agg(F.collect_list(F.struct("pack", "o_pack")).alias("rows"))
+    if enough > 1:
+        held = held.filter(F.size(F.array_distinct(F.transform("rows", lambda r: r["pack"] % 16))) >= enough)
+    return held.mapInArrow(_pairs(enough), "doc long, o_doc long, low int, high int, o_low int, o_high int")
+
+
+def _longest(found: DataFrame) -> DataFrame:
+    """Passages without those that lie in a longer one of their document, each with the smallest document it was met in."""
+    here = ["doc_id", "first_word", "n_words"]
+    spans = found.groupBy(here).agg(F.min(F.struct("other_doc_id", "other_first_word", "other_n_words")).alias("there"))
+    before = W.partitionBy("doc_id").orderBy("first_word", F.desc("n_words")).rowsBetween(W.unboundedPreceding, -1)
+    end = F.col("first_word") + F.col("n_words")
+    kept = spans.withColumn("reached", F.max(end).over(before)).filter(F.col("reached").isNull() | (end > F.col("reached")))
+    return kept.select(*here, "there.*").select(found.columns)
+
+
 def find(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``first_word``, ``n_words`` of passages, and where the earlier document ``other_doc_id`` has them."""
     named = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc"), "text").filter("doc is not null")
-    windows = named.mapInArrow(_windows(common_shingles(named)), "value long, doc long, pack long")
-    own = W.partitionBy("value")
-    ranked = windows.withColumns({"rank": F.dense_rank().over(own.orderBy("doc")), "low": F.min("doc").over(own), "high": F.max("doc").over(own)})
-    shared = materialize(ranked.filter("low <> high").select("value", "doc", "pack", "rank"), "shared-windows")
-    rows, reach, found, done = shared.filter("rank > 1"), 1, None, None
-    while True:
-        others = shared.filter(F.col("rank") <= reach).select("value", F.col("doc").alias("o_doc"), F.col("rank").alias("o_rank"), F.col("pack").alias("o_pack"))
-        met = rows.join(others, "value").filter("o_rank < rank")
-        held = met.groupBy("doc", "o_doc").agg(F.collect_list(F.struct("pack", "o_pack")).alias("rows"))
-        held = held.filter(F.size(F.array_distinct(F.transform("rows", lambda r: r["pack"] % 16))) >= ENOUGH)
-        pairs = held.mapInArrow(_pairs, "doc long, o_doc long, low int, high int, o_low int, o_high int")
-        pairs = materialize(pairs if done is None else pairs.join(done, pairs.columns, "left_anti"), "passages")
-        done = pairs if done is None else done.unionByName(pairs)
-        if found is None or not pairs.isEmpty():
-            more = materialize(_compared(named, pairs).distinct(), "found")
-            found = more if found is None else found.unionByName(more)
-        rows = materialize(_unsettled(rows.filter(F.col("pack").bitwiseAND(_ON) > 0), found), "unsettled")
-        most = rows.agg(F.max("rank")).first()[0] or 0
-        if most <= reach + 1:
-            return found.distinct()
-        reach *= WIDER
+    shared = _shared(named.mapInArrow(_windows, "value long, doc long, pack long"), "shared-windows")
+    done = materialize(candidates(shared, shared, ENOUGH), "passages")
+    found = materialize(_compared(named, done).distinct(), "found")
+    for parts in PARTS:
+        # an open group has a window that is not in a passage; its other documents may be the ones that share a passage with it
+        unsettled = materialize(_unsettled(shared.filter("doc > least"), found).select("value").distinct(), "unsettled")
+        places = shared.join(unsettled, "value", "left_semi").select("doc", F.shiftright("pack", _AT.bit_length() - 1).alias("place"))
+        places = materialize(places.groupBy("doc").agg(F.collect_set("place").alias("places")), "places")
+        if places.isEmpty():
+            break
+        texts = named.join(_few(places, "places"), "doc")
+        shared = _shared(texts.mapInArrow(_finer(parts), "value long, doc long, pack long"), "shared-runs")
+        pairs = candidates(_unsettled(shared, found), shared, 1)
+        pairs = materialize(pairs.join(done, pairs.columns, "left_anti"), "passages")
+        done = done.unionByName(pairs)
+        if not pairs.isEmpty():
+            found = found.unionByName(materialize(_compared(named, pairs).distinct(), "found"))
+    return _longest(found)
 
 
 def _without(column: str):
