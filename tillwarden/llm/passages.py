@@ -13,10 +13,11 @@ other document has of the same minimum. Rows of a pair of documents are grouped
 places) and then by place, and a group counts when ``ENOUGH`` functions agree in it.
 
 Finer keys. Windows that do not lie in a passage confirmed so far, such as those at a line that many documents have and
-nothing else, form groups anew: the runs around them are cut in ``PARTS`` parts, and the minima of all parts together
-are the key. Again each group meets its smallest document alone. What no other document has under one key is not looked
-at under the next. The last key is the whole run, so an exact copy of a run always meets one. Every step is in proportion to
-the windows it starts from; no group is ever paired with itself.
+nothing else, form groups anew: the runs around them are cut in parts, and the minima of all parts together
+are the key (``FINER``). Again each group meets its smallest document alone. Of every run one place is a multiple of
+``RUN``; only where windows of enough functions hold such a place and are shared, runs get a finer key. The last key is the
+whole run, so an exact copy of a run always meets one. Every step is in proportion to the windows it starts from; no group
+is ever paired with itself.
 
 Verification. The shingles of both stretches are compared in place: a passage is a longest stretch of at least
 ``RUN`` shingles in which four of five agree, at ends that agree; a stretch may be longer than the windows that
@@ -46,8 +47,11 @@ from .texts import SHINGLE, blocks, byte_spans, find_words, mix, pick, seeds, sh
 WORDS = 50
 RUN = WORDS - SHINGLE + 1
 HASHES, ENOUGH = 10, 2
-#: Parts of a run whose minima are a finer key; the last are its single shingles.
-PARTS = (2, 4, RUN)
+#: Finer keys: parts of a run whose minima make one, and hash functions in which a place must have an open window to get one.
+#: The last key is all shingles of a run; in an exact copy of a run every function has such a window.
+FINER = ((2, 6), (RUN, HASHES))
+#: Values up to which they are broadcast instead of joined by shuffle.
+FEW_VALUES = 1 << 20
 #: Share of shingles that agree within a passage.
 SHARE = 0.8
 #: Bytes of ids and stretches up to which they are broadcast instead of joined by shuffle.
@@ -356,22 +360,39 @@ def _longest(found: DataFrame) -> DataFrame:
     return kept.select(*here, "there.*").select(found.columns)
 
 
+def _cells(rows: DataFrame, functions: int) -> DataFrame:
+    """Places (multiples of ``RUN``) of a document that windows of enough functions hold, with these windows' values."""
+    at = F.shiftright("pack", _AT.bit_length() - 1)
+    left, right = at - F.shiftright("pack", _LEFT.bit_length() - 1) % 256, at + F.shiftright("pack", _RIGHT.bit_length() - 1) % 256
+    first, last = F.ceil(left / RUN), F.floor(right / RUN)
+    steps = F.when(first <= last, F.sequence(first, last))
+    held = rows.select("doc", "value", F.expr("shiftleft(1, int(pack % 16))").alias("f"), F.explode(steps).alias("cell"))
+    cells = held.groupBy("doc", "cell").agg(F.bit_or("f").alias("fs"), F.collect_set("value").alias("values"))
+    return cells.filter(F.bit_count("fs") >= functions).select("doc", (F.col("cell") * RUN).alias("place"), "values")
+
+
+def _open(shared: DataFrame, found: DataFrame, functions: int) -> DataFrame:
+    """Documents with the ``places`` that may hold a passage not yet found, and those of the documents they may share it with."""
+    rows = _unsettled(shared.filter("doc > least").select("doc", "value", "pack").repartition("doc"), found)
+    values = materialize(_cells(rows, functions).select(F.explode("values").alias("value")).distinct(), "unsettled")
+    values = F.broadcast(values) if values.count() <= FEW_VALUES else values
+    rows = shared.join(values, "value", "left_semi").select("doc", "value", "pack").repartition("doc")
+    return materialize(_cells(rows, functions).groupBy("doc").agg(F.collect_set("place").alias("places")), "places")
+
+
 def find(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``first_word``, ``n_words`` of passages, and where the earlier document ``other_doc_id`` has them."""
     named = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc"), "text").filter("doc is not null")
     shared = _shared(named.mapInArrow(_windows, "value long, doc long, pack long"), "shared-windows")
     done = materialize(candidates(shared, shared, ENOUGH), "passages")
     found = materialize(_compared(named, done).distinct(), "found")
-    for parts in PARTS:
-        # an open group has a window that is not in a passage; its other documents may be the ones that share a passage with it
-        unsettled = materialize(_unsettled(shared.filter("doc > least"), found).select("value").distinct(), "unsettled")
-        places = shared.join(unsettled, "value", "left_semi").select("doc", F.shiftright("pack", _AT.bit_length() - 1).alias("place"))
-        places = materialize(places.groupBy("doc").agg(F.collect_set("place").alias("places")), "places")
+    for parts, functions in FINER:
+        places = _open(shared, found, functions)
         if places.isEmpty():
-            break
+            continue
         texts = named.join(_few(places, "places"), "doc")
-        shared = _shared(texts.mapInArrow(_finer(parts), "value long, doc long, pack long"), "shared-runs")
-        pairs = candidates(_unsettled(shared, found), shared, 1)
+        runs = _shared(texts.mapInArrow(_finer(parts), "value long, doc long, pack long"), "shared-runs")
+        pairs = candidates(_unsettled(runs, found), runs, 1)
         pairs = materialize(pairs.join(done, pairs.columns, "left_anti"), "passages")
         done = done.unionByName(pairs)
         if not pairs.isEmpty():
