@@ -323,12 +323,13 @@ def _compared(named: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.select("doc", "low", "high", "here", "o_doc", "o_low", "o_high", "there").mapInArrow(_check, columns)
 
 
-def _unsettled(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """Windows that do not lie in one passage found so far from end to end."""
+def _unsettled(rows: DataFrame, found: DataFrame, whole: bool = True) -> DataFrame:
+    """Windows that do not lie in one passage found so far, from end to end (``whole``) or with their place alone."""
     span = F.struct(F.col("first_word").alias("low"), (F.col("first_word") + F.col("n_words") - SHINGLE).alias("high"))
     spans = found.groupBy(F.col("doc_id").alias("doc")).agg(F.collect_set(span).alias("spans"))
     at = F.shiftright("pack", _AT.bit_length() - 1)
     left, right = at - F.shiftright("pack", _LEFT.bit_length() - 1) % 256, at + F.shiftright("pack", _RIGHT.bit_length() - 1) % 256
+    left, right = (left, right) if whole else (at, at)
     inside = F.exists("spans", lambda s: (left >= s["low"]) & (right <= s["high"]))
     return rows.join(spans, "doc", "left").filter(~F.coalesce(inside, F.lit(False))).drop("spans")
 
@@ -371,9 +372,9 @@ def _cells(rows: DataFrame, functions: int) -> DataFrame:
     return cells.filter(F.bit_count("fs") >= functions).select("doc", (F.col("cell") * RUN).alias("place"), "values")
 
 
-def _open(shared: DataFrame, found: DataFrame, functions: int) -> DataFrame:
+def _open(shared: DataFrame, found: DataFrame, functions: int, whole: bool) -> DataFrame:
     """Documents with the ``places`` that may hold a passage not yet found, and those of the documents they may share it with."""
-    rows = _unsettled(shared.filter("doc > least").select("doc", "value", "pack").repartition("doc"), found)
+    rows = _unsettled(shared.filter("doc > least").select("doc", "value", "pack").repartition("doc"), found, whole)
     values = materialize(_cells(rows, functions).select(F.explode("values").alias("value")).distinct(), "unsettled")
     values = F.broadcast(values) if values.count() <= FEW_VALUES else values
     rows = shared.join(values, "value", "left_semi").select("doc", "value", "pack").repartition("doc")
@@ -387,7 +388,8 @@ def find(docs: DataFrame) -> DataFrame:
     done = materialize(candidates(shared, shared, ENOUGH), "passages")
     found = materialize(_compared(named, done).distinct(), "found")
     for parts, functions in FINER:
-        places = _open(shared, found, functions)
+        # what reaches beyond a passage found is left to the last key: most of it are mere edges
+        places = _open(shared, found, functions, parts == RUN)
         if places.isEmpty():
             continue
         texts = named.join(_few(places, "places"), "doc")
