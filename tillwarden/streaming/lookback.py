@@ -21,11 +21,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from ..functions.columns import MONEY
 from ..operators import fraud, parsing
+from ..operators.fraud import HOUR_MS
 from ..sources import schemas
 from ..sources.schemas import DEFAULT_RULE, FRAUD_RULE
-from .jobs import DAY_MS, Trigger, _start, batch_folder
+from .jobs import DAY_MS, Trigger, _start, _start_keyed, batch_folder
 
-# Processors travel with the job: executors need not have this package installed.
+# Processors travel with the job: executors need not have this package installed. What they use must be in these modules
+# or a plain value, no other module of the package.
 for module in (sys.modules[__name__], schemas):
     cloudpickle.register_pickle_by_value(module)
 
@@ -55,7 +57,7 @@ def window_counts(ms: np.ndarray, seq: np.ndarray, amount: np.ndarray, units: np
     summed = np.concatenate(([0], np.cumsum(np.where(small, units[order], 0))))
     end = place[asked] + 1
     fast = np.searchsorted(times, ms[asked] - rule.velocity_window_ms)
-    slow = np.searchsorted(times, ms[asked] - rule.structuring_window_hours * fraud.HOUR_MS)
+    slow = np.searchsorted(times, ms[asked] - rule.structuring_window_hours * HOUR_MS)
     return end - fast, counted[end] - counted[slow], summed[end] - summed[slow]
 
 
@@ -86,7 +88,7 @@ class LookBack(StatefulProcessor):
         return _typed(dict(zip(FRAUD_RULE.names, self.rule.get()))) if self.rule.exists() else DEFAULT_RULE
 
     def _account(self, account: str, new: pd.DataFrame, rule) -> pd.DataFrame:
-        reach = max(rule.velocity_window_ms, rule.structuring_window_hours * fraud.HOUR_MS)
+        reach = max(rule.velocity_window_ms, rule.structuring_window_hours * HOUR_MS)
         ms = new["occurred_ms"].to_numpy(np.int64)
         own, first = ms // self.bucket_ms, (ms - reach) // self.bucket_ms
         reached = sorted({b for low, high in set(zip(first.tolist(), own.tolist())) for b in range(low, high + 1)})
@@ -163,5 +165,5 @@ def detect(
             batch.unpersist()
 
     written = _start(records.writeStream.foreachBatch(letters), f"{root}/_checkpoints/letters", trigger)
-    stream = counted(records, rule_log, keep_ms=None if trigger.available_now else keep_ms, **tuning).writeStream.outputMode("append").foreachBatch(score)
-    return written, _start(stream, f"{root}/_checkpoints/lookback", trigger)
+    stream = counted(records, rule_log, keep_ms=None if trigger.available_now else keep_ms, **tuning)
+    return written, _start_keyed(stream, "append", score, f"{root}/_checkpoints/lookback", trigger)
