@@ -8,7 +8,7 @@ import textwrap
 import pytest
 
 
-@pytest.mark.parametrize("name", ["stream_fraud_alerts_tight", "stream_saga_replay", "stream_step_timeouts", "stream_idempotency"])
+@pytest.mark.parametrize("name", ["stream_fraud_alerts_tight", "stream_saga_replay", "stream_step_timeouts", "stream_idempotency", "stream_alarm_high_fraud"])
 def test_keyed_stream(tmp_path, data, name):
     here = os.path.dirname(os.path.abspath(__file__))
     code = f"""

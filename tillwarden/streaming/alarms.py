@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators.monitoring import MINUTE
-from .jobs import WATERMARK, Trigger, _start, batch_folder
+from .jobs import WATERMARK, Trigger, _start_keyed, batch_folder
 
 # Processors travel with the job: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -119,7 +119,7 @@ def watch(events: DataFrame, root: str, alarms: list[Alarm], step: int = MINUTE,
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(batch_folder(root, "alarms", batch_id))
 
-    return _start(changes.writeStream.outputMode("append").foreachBatch(write), f"{root}/_checkpoints/alarms", trigger)
+    return _start_keyed(changes, "append", write, f"{root}/_checkpoints/alarms", trigger)
 
 
 def spans(spark: SparkSession, root: str) -> DataFrame:
