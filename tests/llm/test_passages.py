@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -194,3 +195,87 @@ def test_recall_among_common_lines_and_the_same_result_for_any_partitions(docume
     assert len(near & found) >= 0.99 * len(near)
     by_doc = {d for d, _ in near}
     assert {d for d, _ in found} <= by_doc
+
+
+def stretches(count, alike):
+    """Rows of two stretches: unrelated ones, or also copies, edited and moved ones, repeats and empty ones."""
+    rng = np.random.default_rng(count)
+    rows = []
+    for i in range(count):
+        here, there = (rng.integers(0, 1 << 32, rng.integers(1, 250), dtype=np.uint32) for _ in range(2))
+        kind = i % 6 if alike else 0
+        if kind == 1:
+            there = np.concatenate((there[:9], here, there[9:20]))
+        elif kind == 2:
+            there = here + (rng.random(len(here)) < rng.random() * 0.3).astype(np.uint32)
+        elif kind == 3:
+            there = np.concatenate((here[len(here) // 2 :], there[:30], here[: len(here) // 2]))
+        elif kind == 4:
+            here, there = here % 40, there % 40
+        elif kind == 5:
+            there = there[:0]
+        rows.append({"doc": i, "low": 46 * (i % 5), "here": here.tobytes(), "o_doc": i + 1, "o_low": 46 * (i % 3), "there": there.tobytes()})
+    kinds = [("doc", pa.int64()), ("low", pa.int32()), ("here", pa.binary()), ("o_doc", pa.int64()), ("o_low", pa.int32()), ("there", pa.binary())]
+    return pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
+
+
+def each_alone(batch):
+    """The passages of rows that are compared one by one."""
+    out = []
+    for r in batch.to_pylist():
+        here, there = (np.frombuffer(r[c], np.uint32) for c in ("here", "there"))
+        for low, high in passages.agreeing(here, there):
+            at = np.flatnonzero(np.isin(there, here[low:high]))
+            out.append((r["doc"], r["low"] + low, high - low + 4, r["o_doc"], r["o_low"] + int(at[0]), int(at[-1] - at[0]) + 5))
+    return out
+
+
+def together(batch):
+    return [tuple(r.values()) for part in passages._check(iter([batch])) for r in part.to_pylist()]
+
+
+@pytest.mark.parametrize("slices", [1, 1 << 12, 1 << 18])
+def test_stretches_compared_together_are_those_compared_one_by_one(monkeypatch, slices):
+    monkeypatch.setattr(passages, "SLICES", slices)
+    for batch in (stretches(600, True), stretches(600, True).slice(101, 300), stretches(5, False), stretches(0, True)):
+        assert together(batch) == each_alone(batch)
+    assert len(each_alone(stretches(600, True))) > 100
+
+
+def test_comparing_many_stretches_costs_far_less_than_a_call_for_each():
+    batch = stretches(3000, False)
+    seconds = []
+    for compare in (each_alone, together) * 3:
+        start = time.process_time()
+        assert compare(batch) == []
+        seconds.append(time.process_time() - start)
+    assert min(seconds[1::2]) < min(seconds[::2]) / 2
+
+
+def test_the_first_of_equal_windows_near_each_other_stands_for_all():
+    rng = random.Random(3)
+    sizes = [900, 0, 400, 60]
+    block = passages.Block(np.arange(sum(sizes), dtype=np.uint64), np.concatenate(([0], np.cumsum(sizes))))
+    at = np.array(sorted(rng.sample(range(sum(sizes)), 500)))
+    values = np.array([rng.choice([7, 8, 9, 1 << 63, rng.randrange(1 << 64)]) for _ in at], np.uint64)
+    left, right = (np.array([x + s * rng.randrange(40) for x in at]) for s in (-1, 1))
+    want = {}
+    for v, low, x, high in zip(values.tolist(), left.tolist(), at.tolist(), right.tolist(), strict=True):
+        first = want.setdefault((block.text[x], v, block.place[x] // passages.RUN), [x, low, high, 0])
+        if first[0] != x:
+            first[2:] = max(first[2], high), 1
+    rows = {(t, v, block.place[x], x - low, high - x, thin, 5) for (t, v, _), (x, low, high, thin) in want.items()}
+    value, text, pack = passages.packed(block, values, left, at, right, 5)
+    found = zip(text.tolist(), value.view(np.uint64).tolist(), (pack >> 22).tolist(), (pack >> 14 & 255).tolist(), (pack >> 6 & 255).tolist(), (pack >> 4 & 1).tolist(), (pack & 15).tolist(), strict=True)
+    assert len(value) == len(rows) < len(at) and set(found) == rows
+
+
+def test_lesser_keys_beyond_a_long_row_of_greater_ones():
+    keys = np.concatenate([np.arange(3000, 6000), np.random.default_rng(5).permutation(3000), np.arange(2000)]).astype(np.uint64)
+    begins = np.zeros(len(keys), bool)
+    begins[[0, 3100, 3101, 5000]] = True
+    want = []
+    for i, key in enumerate(keys.tolist()):
+        last = max(np.flatnonzero(begins[: i + 1]))
+        want.append(next((j for j in range(i - 1, last - 1, -1) if keys[j] <= key), -1))
+    assert passages._lesser_before(keys, begins).tolist() == want

@@ -47,6 +47,17 @@ def test_slices_of_a_batch_and_words_beyond_a_block(monkeypatch):
     assert len(shingle_hashes(word_hashes(data, starts, ends), firsts)[0]) == 2
 
 
+def test_words_are_hashed_alike_in_pieces_of_any_size(monkeypatch):
+    from tillwarden.llm import texts
+
+    column = pa.array(["one two THREE", "x" * 300 + " y " + "z " * 500, None, "one"], pa.string())
+    whole = shingled(column)[0].tolist()
+    for piece in (1, 7, 256):
+        monkeypatch.setattr(texts, "PIECE", piece)
+        monkeypatch.setattr(texts, "_POWERS", [])
+        assert shingled(column)[0].tolist() == whole
+
+
 def test_no_rows():
     hashes, firsts = shingled(pa.array([], pa.string()))
     assert len(hashes) == 0 and firsts.tolist() == [0]

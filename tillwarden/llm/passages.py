@@ -54,10 +54,13 @@ FINER = ((2, 6), (RUN, HASHES))
 FEW_VALUES = 1 << 20
 #: Share of shingles that agree within a passage.
 SHARE = 0.8
+#: Bytes of slices that are compared at once.
+SLICES = 1 << 18
 #: Bytes of ids and stretches up to which they are broadcast instead of joined by shuffle.
 FEW_BYTES = 32 << 20
 
 _SEEDS = seeds(HASHES, 31)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Block:
@@ -70,44 +73,65 @@ class Block:
         self.place = np.arange(len(hashes)) - self.first
         # the low bits of a hash give way to the place, so that of equal ones the left one is less
         self.low = np.uint64((1 << max(24, int(sizes.max(initial=0)).bit_length())) - 1)
+        self._places, self._runs = self.place.astype(np.uint64), {}
 
     def keyed(self, values: np.ndarray) -> np.ndarray:
-        return values & ~self.low | self.place.astype(np.uint64)
-
-    def runs(self, run: int) -> np.ndarray:
-        """Where runs begin that end within their text."""
-        return np.flatnonzero(self.place + run - 1 <= self.last - self.first)
-
-    def minima(self, keyed: np.ndarray, starts: np.ndarray, run: int) -> np.ndarray:
-        """Where the minimum of ``run`` values is, for each start."""
-        least, width = keyed, 1
+        return values & ~self.low | self._places
+
+    def runs(self, run: int) -> tuple[np.ndarray, np.ndarray]:
+        """Whether a run that begins at a place ends within its text, and whether it is the text's first; the same for all functions."""
+        if run not in self._runs:
+            inside = (self.place + run - 1 <= self.last - self.first)[: max(0, len(self.place) - run + 1)]
+            self._runs[run] = inside, inside & (self.place[: len(inside)] == 0)
+        return self._runs[run]
+
+    @staticmethod
+    def least(keyed: np.ndarray, run: int) -> np.ndarray:
+        """The minimum of each ``run`` values in a row."""
+        width = 1
         while 2 * width <= run:
-            least = np.minimum(least[:-width], least[width:])
+            keyed = np.minimum(keyed[:-width], keyed[width:])
             width *= 2
-        return (np.minimum(least[starts], least[starts + run - width]) & self.low).astype(np.int64) + self.first[starts]
+        return np.minimum(keyed[: len(keyed) - run + width], keyed[run - width :]) if width < run else keyed
+
+    def where(self, least: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Where the minima are that were found for runs from ``starts``."""
+        return (least & self.low).astype(np.int64) + self.first[starts]
+
+
+#: Keys that go on one by one: for so few, steps of whole arrays cost more.
+_LAST = 64
 
 
 def _lesser_before(keys: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """The nearest lesser key before each one, -1 for none; nothing before a marked begin counts."""
     found = np.where(begins, -1, np.arange(len(keys)) - 1)
     todo = np.flatnonzero(~begins)
-    while len(todo):
+    while len(todo) > _LAST:
         todo = todo[keys[found[todo]] > keys[todo]]
         # all between the one found and what it has found itself are greater still
         found[todo] = found[found[todo]]
         todo = todo[found[todo] >= 0]
+    one_key, one_found = memoryview(keys), memoryview(found)
+    for i in todo.tolist():
+        key, j = one_key[i], one_found[i]
+        while j >= 0 and one_key[j] > key:
+            j = one_found[j]
+        one_found[i] = j
     return found
 
 
 def block_windows(block: Block, values: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Left ends, centres and right ends of all compact windows of at least ``run`` values, by centre."""
-    starts = block.runs(run)
-    if not len(starts):
+    inside, firsts = block.runs(run)
+    if not inside.any():
         return (np.zeros(0, np.int64),) * 3
-    keyed = block.keyed(values)
-    at = block.minima(keyed, starts, run)
-    at = at[np.concatenate(([True], at[1:] != at[:-1]))]
-    keys, texts = keyed[at], block.text[at]
+    keys = block.least(block.keyed(values), run)
+    new = firsts.copy()
+    new[1:] |= keys[1:] != keys[:-1]
+    starts = np.flatnonzero(new & inside)
+    keys = keys[starts]
+    at, texts = block.where(keys, starts), block.text[starts]
     edge = texts[1:] != texts[:-1]
     before = _lesser_before(keys, np.concatenate(([True], edge)))
     after = len(at) - 1 - _lesser_before(keys[::-1], np.concatenate(([True], edge[::-1])))[::-1]
@@ -134,19 +158,31 @@ _AT, _LEFT, _RIGHT, _THIN = 1 << 22, 1 << 14, 1 << 6, 1 << 4
 _REACH = 3 * RUN
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each value is one of the known ones, which are in order."""
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def packed(block: Block, values: np.ndarray, left: np.ndarray, at: np.ndarray, right: np.ndarray, f: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Value, text and packed window; of windows of one value within ``RUN`` places the first stands for all and is marked."""
-    order = np.lexsort((at, values, block.text[at]))
-    values, left, at, right = values[order], left[order], at[order], right[order]
     text, place = block.text[at], block.place[at]
     cell = place // RUN
-    new = np.ones(len(at), bool)
-    new[1:] = (text[1:] != text[:-1]) | (values[1:] != values[:-1]) | (cell[1:] != cell[:-1])
-    kept = np.flatnonzero(new)
-    thin = np.diff(np.append(kept, len(at))) > 1
-    if len(kept) < len(at):
-        right = np.maximum.reduceat(right, kept)
-        values, left, at, text, place = (x[kept] for x in (values, left, at, text, place))
+    # one number for text, value and cell: only windows that share it can be of one value in one cell
+    near = values + (text.astype(np.uint64) << np.uint64(32) | cell.astype(np.uint64)) * _ODD
+    known = np.sort(near)
+    known = known[1:][known[1:] == known[:-1]]
+    thin = np.zeros(len(at), bool)
+    if len(known):
+        many = np.flatnonzero(_among(near, known))
+        many = many[np.lexsort((at[many], values[many], text[many]))]
+        new = np.ones(len(many), bool)
+        new[1:] = np.logical_or.reduce([x[many][1:] != x[many][:-1] for x in (text, values, cell)])
+        firsts = np.flatnonzero(new)
+        kept, right = np.ones(len(at), bool), right.copy()
+        right[many[firsts]] = np.maximum.reduceat(right[many], firsts)
+        thin[many[firsts]] = np.diff(np.append(firsts, len(many))) > 1
+        kept[many[~new]] = False
+        values, left, at, right, text, place, thin = (x[kept] for x in (values, left, at, right, text, place, thin))
     pack = place * _AT + np.minimum(at - left, _REACH) * _LEFT + np.minimum(right - at, _REACH) * _RIGHT + thin * _THIN + f
     return values.view(np.int64), text, pack
 
@@ -187,15 +223,16 @@ def _finer(parts: int):
                 open_ = np.zeros(len(hashes) + 1, np.int64)
                 open_[1 + begins[text[inside]] + place[inside]] = 1
                 sums = np.cumsum(open_)
-                starts = block.runs(RUN)
+                starts = np.flatnonzero(block.runs(RUN)[0])
                 starts = starts[sums[starts + RUN] > sums[starts]]
                 found = []
                 for f in range(functions):
                     values = mix(block.hashes ^ _SEEDS[f])
                     keyed = block.keyed(values)
                     key, first, same = np.full(len(starts), _SEEDS[f]), None, np.ones(max(0, len(starts) - 1), bool)
+                    least = {width: block.least(keyed, width) for width in set(np.diff(cuts).tolist())}
                     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                        at = block.minima(keyed, starts + a, b - a)
+                        at = block.where(least[b - a][starts + a], starts) if b - a > 1 else starts + a
                         first = at if first is None else first
                         same &= at[1:] == at[:-1]
                         key = mix(key + values[at])
@@ -272,14 +309,16 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def agreeing(here: np.ndarray, there: np.ndarray) -> list[tuple[int, int]]:
-    """Stretches (from, to) of ``here``, at least ``RUN`` long and ``SHARE`` of them found in ``there``.
-
-    Runs that agree are joined from the left for as long as the share holds; ends agree.
-    """
+    """Stretches (from, to) of ``here``, at least ``RUN`` long and ``SHARE`` of them found in ``there``."""
     same = np.concatenate(([False], np.isin(here, there), [False]))
     edges = np.flatnonzero(same[1:] != same[:-1]).tolist()
+    return joined(edges[::2], edges[1::2])
+
+
+def joined(lows: list[int], highs: list[int]) -> list[tuple[int, int]]:
+    """Stretches from runs that agree, joined from the left for as long as the share holds; ends agree."""
     out, start, end, agree = [], -1, -1, 0
-    for low, high in zip(edges[::2], edges[1::2], strict=True):
+    for low, high in zip(lows, highs, strict=True):
         if start >= 0 and agree + high - low >= SHARE * (high - start):
             end, agree = high, agree + high - low
             continue
@@ -291,18 +330,57 @@ def agreeing(here: np.ndarray, there: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _held(rows: np.ndarray, values: np.ndarray, other_rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whether each value is among the other values of its row."""
+    keys, pool = (r.astype(np.uint64) << np.uint64(32) | v for r, v in ((rows, values), (other_rows, others)))
+    return _among(keys, np.sort(pool)) if len(pool) else np.zeros(len(keys), bool)
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The shingles of a column of slices, the row of each, and where rows begin."""
+    raw, offsets = byte_spans(column)
+    begins = offsets // 4
+    return raw.view(np.uint32), np.repeat(np.arange(len(column)), np.diff(begins)), begins
+
+
+def agreements(here: pa.Array, there: pa.Array) -> tuple[np.ndarray, ...]:
+    """Row and stretch (from, to) of all that agrees in the rows, and its first and last shingle there."""
+    (shingles, rows, begins), (others, other_rows, other_begins) = _lists(here), _lists(there)
+    same = _held(rows, shingles, other_rows, others)
+    # a False behind each row, so that no run reaches into the next one
+    padded = np.zeros(len(same) + len(begins), bool)
+    padded[1 + np.arange(len(same)) + rows] = same
+    edges = np.flatnonzero(padded[1:] != padded[:-1])
+    row = np.searchsorted(begins + np.arange(len(begins)), edges[::2], side="right") - 1
+    lows, highs = (e - begins[row] - row for e in (edges[::2], edges[1::2]))
+    # what does not agree in SHARE of RUN shingles has no passage
+    total = np.bincount(row, highs - lows, minlength=len(begins))
+    hopeful = total[row] >= SHARE * RUN
+    row, lows, highs = row[hopeful], lows[hopeful], highs[hopeful]
+    each, counts = np.unique(row, return_counts=True)
+    lows, highs, last, found = lows.tolist(), highs.tolist(), 0, []
+    for r, n in zip(each.tolist(), counts.tolist(), strict=True):
+        first, last = last, last + n
+        found += [(r, low, high) for low, high in joined(lows[first:last], highs[first:last])]
+    row, low, high = np.array(found, np.int64).reshape(-1, 3).T
+    # the same passage there: from the first to the last shingle that both have
+    sizes, other_sizes = high - low, np.diff(other_begins)[row]
+    at, other_at = (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) for n in (sizes, other_sizes))
+    which, other_which = (np.repeat(np.arange(len(row)), n) for n in (sizes, other_sizes))
+    common = _held(other_which, others[other_begins[row][other_which] + other_at], which, shingles[(begins[row] + low)[which] + at])
+    other_which, other_at = other_which[common], other_at[common]
+    ends = np.searchsorted(other_which, np.arange(len(row) + 1))
+    return row, low, high, other_at[ends[:-1]], other_at[ends[1:] - 1]
+
+
 def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "first_word", "n_words", "other_doc_id", "other_first_word", "other_n_words"]
-    for batch in batches:
-        out = []
-        for r in batch.to_pylist():
-            here, there = (np.frombuffer(r[c], np.uint32) for c in ("here", "there"))
-            for low, high in agreeing(here, there):
-                # the same passage there: from the first to the last shingle that both have
-                found = np.flatnonzero(np.isin(there, here[low:high]))
-                out.append((r["doc"], r["low"] + low, high - low + SHINGLE - 1, r["o_doc"], r["o_low"] + int(found[0]), int(found[-1] - found[0]) + SHINGLE))
-        cols = zip(*out, strict=True) if out else [[]] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
+    for whole in batches:
+        for batch in blocks(whole, "here", SLICES):
+            row, low, high, first, last = agreements(batch.column("here"), batch.column("there"))
+            doc, o_doc, from_, o_from = (batch.column(c).to_numpy()[row] for c in ("doc", "o_doc", "low", "o_low"))
+            columns = (doc, from_ + low, high - low + SHINGLE - 1, o_doc, o_from + first, last - first + SHINGLE)
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names)
 
 
 def _few(lists: DataFrame, column: str) -> DataFrame:
