@@ -92,6 +92,11 @@ class _Tables:
         return F.flatten(F.aggregate(chunks, F.array(F.array(start)), join))
 
 
+def code(machine: Automaton) -> Column:
+    """The automaton's code of a log row, from ``step_name, status, is_compensation`` and ``action``."""
+    return _Tables(machine).code()
+
+
 def _alone(df: DataFrame, **columns: Column) -> DataFrame:
     """Adds columns that are worked out once: a generator keeps the optimizer from copying them into lambdas."""
     packed = F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))
