@@ -1,21 +1,24 @@
 """Detection with look-back windows in keyed state.
 
-Payments are dealt to shards by account. A shard keeps the payments of its accounts by account and time bucket, so a
-batch reads the buckets that its own windows reach, however long the history is, and late payments find the neighbours
-of their time. A live job lets state expire a while after it was last written; a job that drains its source and stops
-keeps it, as Spark lets one with expiry run for ever. One checkpoint is for one of the two. Records of the rule topic go to every shard, where the
-last one holds for all payments from its batch on.
+Payments are dealt to groups by account. A group keeps the payments of its accounts by day and bucket of accounts
+(``blocks``), so a batch reads the days and buckets that its own windows reach, however long the history is, and late
+payments find the neighbours of their time. All accounts of a group are counted at once. A live job lets state expire a
+while after it was last written; a job that drains its source and stops keeps it, as Spark lets one with expiry run for
+ever. One checkpoint is for one of the two. Records of the rule topic go to every group, where the last one holds for
+all payments from its batch on.
 """
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -24,6 +27,7 @@ from ..operators import fraud, parsing
 from ..operators.fraud import HOUR_MS
 from ..sources import schemas
 from ..sources.schemas import DEFAULT_RULE, FRAUD_RULE
+from . import blocks
 from .jobs import DAY_MS, Trigger, _start, _start_keyed, batch_folder
 
 # Processors travel with the job: executors need not have this package installed. What they use must be in these modules
@@ -43,84 +47,118 @@ _NAMES = [c.split()[0] for c in OUTPUT.split(", ")]
 _COLUMNS = [c.split()[0] for c in _PAYMENT.split(", ")]
 
 
-def window_counts(ms: np.ndarray, seq: np.ndarray, amount: np.ndarray, units: np.ndarray, asked: np.ndarray, rule) -> tuple[np.ndarray, ...]:
+def window_counts(ms: np.ndarray, seq: np.ndarray, amount: np.ndarray, units: np.ndarray, asked: np.ndarray, rule, account: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """For the rows asked for: payments in the velocity window, and count and sum of the small ones in the structuring window.
 
-    A window reaches from its width before a row to the row itself; rows of one time count in order of ``seq``.
+    A window reaches from its width before a row to the row itself, within the row's account (a number; all rows are of
+    one if None); rows of one time count in order of ``seq``.
     """
-    order = np.lexsort((seq, ms))
+    account = np.zeros(len(ms), np.int64) if account is None else account
+    order = np.lexsort((seq, ms, account))
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    times = ms[order]
     small = amount[order] < rule.structuring_threshold
     counted = np.concatenate(([0], np.cumsum(small)))
     summed = np.concatenate(([0], np.cumsum(np.where(small, units[order], 0))))
+
+    def begin(width: int) -> np.ndarray:
+        """Places where the windows begin: each is sorted in before the rows of its time."""
+        is_row = np.concatenate((np.zeros(len(asked), bool), np.ones(len(ms), bool)))
+        times, owners = np.concatenate((ms[asked] - width, ms)), np.concatenate((account[asked], account))
+        merged = np.lexsort((is_row, times, owners))
+        before = np.cumsum(is_row[merged])
+        found = np.empty(len(asked), np.int64)
+        starts = ~is_row[merged]
+        found[merged[starts]] = before[starts]
+        return found
+
     end = place[asked] + 1
-    fast = np.searchsorted(times, ms[asked] - rule.velocity_window_ms)
-    slow = np.searchsorted(times, ms[asked] - rule.structuring_window_hours * HOUR_MS)
+    fast, slow = begin(rule.velocity_window_ms), begin(rule.structuring_window_hours * HOUR_MS)
     return end - fast, counted[end] - counted[slow], summed[end] - summed[slow]
 
 
 def _typed(values) -> schemas.FraudRule:
-    """A rule from values that went through pandas, where whole numbers may have become floating ones."""
+    """A rule from values of any kind of number."""
     kinds = {"long": int, "double": float, "boolean": bool, "string": str}
     return schemas.FraudRule(**{f.name: kinds[f.dataType.typeName()](values[f.name]) for f in FRAUD_RULE.fields})
 
 
+_ARROW = {"string": pa.string(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}
+
+
 class LookBack(StatefulProcessor):
-    """Counts the look-back windows of new payments from the buckets that they reach."""
+    """Counts the look-back windows of new payments from the days and buckets that they reach."""
 
     def __init__(self, bucket_ms: int, keep_ms: int | None):
         self.bucket_ms, self.keep_ms = bucket_ms, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.rule = handle.getValueState("rule", _RULE)
-        value = "ms array<long>, seq array<long>, amount array<double>, units array<long>"
-        self.rows = handle.getMapState("payments", "account_id string, bucket long", value, self.keep_ms)
+        self.rows = blocks.Buckets(handle, "payments", self.keep_ms)
 
-    def _in_force(self, records: pd.DataFrame) -> schemas.FraudRule:
+    def _in_force(self, records: pa.Table) -> schemas.FraudRule:
         """The last record written; a disabled one gives way to the built-in rule."""
-        if len(records):
-            last = _typed(records.sort_values("seq").iloc[-1])
+        if records.num_rows:
+            newest = pc.sort_indices(records["seq"], sort_keys=[("", "ascending")])[-1].as_py()
+            last = _typed(json.loads(records["rule"][newest].as_py()))
             rule = last if last.enabled else DEFAULT_RULE
             self.rule.update(tuple(getattr(rule, f) for f in FRAUD_RULE.names))
             return rule
         return _typed(dict(zip(FRAUD_RULE.names, self.rule.get()))) if self.rule.exists() else DEFAULT_RULE
 
-    def _account(self, account: str, new: pd.DataFrame, rule) -> pd.DataFrame:
+    def _counted(self, new: pa.Table, rule, now: int) -> tuple[np.ndarray, ...]:
+        """The window counts of new payments, which are stored."""
         reach = max(rule.velocity_window_ms, rule.structuring_window_hours * HOUR_MS)
-        ms = new["occurred_ms"].to_numpy(np.int64)
+        number, accounts = blocks.distinct(new["account_id"])
+        ms, hashes = new["occurred_ms"].to_numpy(), new[blocks.HASH].to_numpy()
         own, first = ms // self.bucket_ms, (ms - reach) // self.bucket_ms
-        reached = sorted({b for low, high in set(zip(first.tolist(), own.tolist())) for b in range(low, high + 1)})
-        held = {b: self.rows.getValue((account, b)) for b in reached if self.rows.containsKey((account, b))}
-        kinds = (np.int64, np.int64, np.float64, np.int64)
-        fresh = [ms, new["seq"].to_numpy(np.int64), new["amount"].to_numpy(np.float64), new["units"].to_numpy(np.int64)]
-        every = [np.concatenate([np.array(v[i], k) for v in held.values()] + [fresh[i]]) for i, k in enumerate(kinds)]
-        asked = np.arange(len(every[0]) - len(ms), len(every[0]))
-        counts = window_counts(*every, asked, rule)
-        for b in np.unique(own).tolist():
-            mine = own == b
-            before = held.get(b, ([],) * 4)
-            self.rows.updateValue((account, b), tuple([*before[i], *fresh[i][mine].tolist()] for i in range(4)))
-        return new[_COLUMNS].assign(**dict(zip(("window_count", "small_count", "small_units"), counts)))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = pd.concat(list(rows), ignore_index=True)
-        is_rule = frame["rule_id"].notna()
-        rule = self._in_force(frame[is_rule])
-        payments = frame[~is_rule]
-        for account, new in payments.groupby("account_id", sort=True):
-            counted = self._account(account, new, rule)
-            yield counted.assign(**{f: getattr(rule, f) for f in FRAUD_RULE.names})[_NAMES]
+        self.rows.open(hashes, own)
+        wide = [(hashes[at], first[at] + n) for n in range(int((own - first).max()) + 1) if (at := first + n <= own).any()]
+        held = self.rows.held(*(np.concatenate(v) for v in zip(*wide)))
+        columns = ["account_id", blocks.HASH, "occurred_ms", "seq", "amount", "units"]
+        fresh = new.select(columns).append_column("written_ms", pa.array(np.full(len(ms), now)))
+        every, before = fresh, 0
+        if held is not None:
+            day = held["occurred_ms"].to_numpy() // self.bucket_ms
+            entry, mine = np.concatenate((self.rows.bucket(held[blocks.HASH].to_numpy()), self.rows.bucket(hashes))), np.concatenate((day, own))
+            _, days = np.unique(mine, return_inverse=True)
+            entry = entry * (int(days.max()) + 1) + days
+            rewritten = np.isin(entry[: len(day)], entry[len(day) :])
+            before = int(rewritten.sum())
+            alive = np.ones(len(day), bool) if self.keep_ms is None else held["written_ms"].to_numpy() > now - self.keep_ms
+            owner = blocks.places(held["account_id"], accounts)
+            if self.keep_ms is not None:  # What is written again lives on, by account and day.
+                touched = alive & np.isin(owner * len(mine) + days[: len(day)], number * len(mine) + days[len(day) :]) & (owner >= 0)
+                held = held.set_column(held.column_names.index("written_ms"), "written_ms", pa.array(np.where(touched, now, held["written_ms"].to_numpy())))
+            stored = pa.concat_tables([held.filter(pa.array(alive & rewritten)), fresh])
+            every = pa.concat_tables([held.filter(pa.array(alive & (owner >= 0))), fresh])
+            number = np.concatenate((owner[alive & (owner >= 0)], number))
+        else:
+            stored = fresh
+        self.rows.put(stored, before, stored["occurred_ms"].to_numpy() // self.bucket_ms)
+        asked = np.arange(every.num_rows - len(ms), every.num_rows)
+        return window_counts(*(every[c].to_numpy() for c in columns[2:]), asked, rule, number)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        table = blocks.read(rows)
+        is_rule = pc.is_valid(table["rule"])
+        rule = self._in_force(table.filter(is_rule))
+        payments = table.filter(pc.invert(is_rule)).combine_chunks()
+        if not payments.num_rows:
+            return
+        now = 0 if self.keep_ms is None else timerValues.getCurrentProcessingTimeInMs()
+        counts = self._counted(payments, rule, now)
+        told = payments.select(_COLUMNS)
+        for name, values in zip(("window_count", "small_count", "small_units"), counts):
+            told = told.append_column(name, pa.array(values, pa.int64()))
+        for f in FRAUD_RULE.fields:
+            told = told.append_column(f.name, pa.repeat(pa.scalar(getattr(rule, f.name), _ARROW[f.dataType.typeName()]), told.num_rows))
+        yield from blocks.give(told)
 
     def close(self) -> None:
         pass
 
 
-def _shard(account: Column, shards: int) -> Column:
-    return F.pmod(F.xxhash64(account), F.lit(shards)).cast("int")
-
-
 def counted(records: DataFrame, rule_log: DataFrame, shards: int = SHARDS, bucket_ms: int = DAY_MS, keep_ms: int | None = KEEP_MS) -> DataFrame:
     """Payments of the raw topic with their window counts and the rule in force; ``rule_log`` is the topic of rules.
 
@@ -128,12 +166,17 @@ def counted(records: DataFrame, rule_log: DataFrame, shards: int = SHARDS, bucke
     """
     payments = parsing.valid_payments(parsing.parse_payments(records))
     units = (F.col("amount").cast(MONEY) * F.lit(10**_SCALE)).cast("long")
-    rows = payments.withColumns({"units": units, "amount": F.col("amount").cast("double"), "seq": F.col("offset")}).select(_shard(F.col("account_id"), shards).alias("shard"), *_COLUMNS)
-    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    rules = rule_log.select(every, F.col("offset").alias("seq"), *[F.col(f).cast(FRAUD_RULE[f].dataType) for f in FRAUD_RULE.names])
+    known = payments.filter(F.col("account_id").isNotNull()).withColumns({"units": units, "amount": F.col("amount").cast("double"), "seq": F.col("offset")})
+    hashed = known.select(*_COLUMNS, F.xxhash64("account_id").alias(blocks.HASH))
+    number = blocks.groups(shards)
+    rows = hashed.withColumn(blocks.GROUP, F.pmod(F.col(blocks.HASH), F.lit(number)).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(number - 1))).alias(blocks.GROUP)
+    rule = F.to_json(F.struct(*[F.col(f).cast(FRAUD_RULE[f].dataType).alias(f) for f in FRAUD_RULE.names])).alias("rule")
+    rules = rule_log.filter(F.col("rule_id").isNotNull()).select(every, F.col("offset").alias("seq"), rule)
     both = rows.unionByName(rules, allowMissingColumns=True)
     mode = "None" if keep_ms is None else "ProcessingTime"
-    return both.groupBy("shard").transformWithStateInPandas(LookBack(bucket_ms, keep_ms), OUTPUT, "Append", mode)
+    judged = blocks.pack_groups(both).groupBy("shard").transformWithState(LookBack(bucket_ms, keep_ms), blocks.BLOCK, "Append", mode)
+    return blocks.unpack(judged, OUTPUT)
 
 
 def detect(
